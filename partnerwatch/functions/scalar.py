@@ -81,3 +81,13 @@ def greatest_of(cols: Sequence[Column]) -> Column:
 def nan_to_null(c: str | Column) -> Column:
     """NaN compares greater than every number in Spark; pandas treats it as missing."""
     return F.nanvl(col_of(c).cast("double"), F.lit(None).cast("double"))
+
+
+MONEY_DECIMAL = "decimal(38,6)"
+
+
+def money_sum(c: str | Column) -> Column:
+    """Exact sum of a money column: accumulated as decimal(38,6), returned as
+    double. The total no longer depends on partitioning or summation order, so
+    retries and repartitioning cannot change a reported figure."""
+    return F.sum(col_of(c).cast(MONEY_DECIMAL)).cast("double")

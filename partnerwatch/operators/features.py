@@ -18,6 +18,7 @@ from partnerwatch import config as C
 from partnerwatch.functions.scalar import (
     greatest_of,
     indicator,
+    money_sum,
     is_round,
     label_lookup,
     ros_kernel,
@@ -178,8 +179,7 @@ def aggregate_to_partner_level(df: DataFrame, use_netted: bool = True,
     amt = on_clean("Amount")
     aggs += [
         F.count(amt).alias("TotalTransactions"),
-        F.sum(amt).alias("TotalAmount"),
-        F.avg(amt).alias("AvgAmount"),
+        money_sum(amt).alias("TotalAmount"),
         F.stddev_samp(amt).alias("StdAmount"),
         F.max(amt).alias("MaxSingleAmount"),
     ]
@@ -205,6 +205,10 @@ def aggregate_to_partner_level(df: DataFrame, use_netted: bool = True,
     aggs.append(netted_count)
 
     rolled = df.groupBy(partner_col).agg(*aggs).filter(F.col("TotalTransactions") > 0)
+    rolled = rolled.withColumn("AvgAmount", F.col("TotalAmount") / F.col("TotalTransactions"))
+    first = [c for c in ("BusinessPartnerName", "Segment", "TransactionType") if c in rolled.columns]
+    order = [partner_col, *first, "TotalTransactions", "TotalAmount", "AvgAmount"]
+    rolled = rolled.select(*order, *[c for c in rolled.columns if c not in order])
     numeric = [f.name for f in rolled.schema.fields
                if f.name != partner_col and f.dataType.typeName() in ("long", "integer", "double")]
     rolled = rolled.fillna(0, subset=numeric)
@@ -231,10 +235,9 @@ SLIM_ROLLUP_COLUMNS = (
 def partner_rollup_raw(df: DataFrame, partner_col: str = "BusinessPartner",
                        order_col: str = "CADocumentNumber") -> DataFrame:
     """A2: the exploration rollup: all rows (no netting), a column subset."""
-    keep = [c for c in SLIM_ROLLUP_COLUMNS if c in df.columns or c not in ("BusinessPartnerName", "Segment")]
     slim_src = [c for c in df.columns if c in {
         partner_col, order_col, "BusinessPartnerName", "Segment", "Amount", "ACDocCount", "ZCDocCount",
         "IsHighValue", "IsExtremeValue", "Balance", "TotalDebit"}]
     rolled = aggregate_to_partner_level(df.select(*slim_src), use_netted=False,
                                         partner_col=partner_col, order_col=order_col)
-    return rolled.select(*[c for c in keep if c in rolled.columns])
+    return rolled.select(*[c for c in SLIM_ROLLUP_COLUMNS if c in rolled.columns])

@@ -83,8 +83,9 @@ rollup AS (
     arg_min(Segment, CADocumentNumber) FILTER (WHERE IsNetted = 0 AND Segment IS NOT NULL) AS Segment,
     arg_min(TransactionType, CADocumentNumber) FILTER (WHERE IsNetted = 0 AND TransactionType IS NOT NULL) AS TransactionType,
     count(Amount) FILTER (WHERE IsNetted = 0) AS TotalTransactions,
-    coalesce(sum(Amount) FILTER (WHERE IsNetted = 0), 0) AS TotalAmount,
-    coalesce(avg(Amount) FILTER (WHERE IsNetted = 0), 0) AS AvgAmount,
+    coalesce(CAST(sum(CAST(Amount AS DECIMAL(38,6))) FILTER (WHERE IsNetted = 0) AS DOUBLE), 0) AS TotalAmount,
+    coalesce(CAST(sum(CAST(Amount AS DECIMAL(38,6))) FILTER (WHERE IsNetted = 0) AS DOUBLE)
+             / count(Amount) FILTER (WHERE IsNetted = 0), 0) AS AvgAmount,
     coalesce(stddev_samp(Amount) FILTER (WHERE IsNetted = 0), 0) AS StdAmount,
     coalesce(max(Amount) FILTER (WHERE IsNetted = 0), 0) AS MaxSingleAmount,
     CAST(coalesce(sum(NumberOfItems) FILTER (WHERE IsNetted = 0), 0) AS BIGINT) AS TotalItems,
@@ -114,6 +115,21 @@ partners AS (
          NettedPairsCount,
          Segment || '_' || TransactionType AS PeerGroup
   FROM rollup WHERE TotalTransactions > 0
+),
+raw_partners AS (
+  SELECT BusinessPartner,
+    arg_min(BusinessPartnerName, CADocumentNumber) FILTER (WHERE BusinessPartnerName IS NOT NULL) AS BusinessPartnerName,
+    arg_min(Segment, CADocumentNumber) FILTER (WHERE Segment IS NOT NULL) AS Segment,
+    count(Amount) AS TotalTransactions, CAST(sum(CAST(Amount AS DECIMAL(38,6))) AS DOUBLE) AS TotalAmount,
+    CAST(sum(CAST(Amount AS DECIMAL(38,6))) AS DOUBLE) / count(Amount) AS AvgAmount,
+    coalesce(stddev_samp(Amount), 0) AS StdAmount, max(Amount) AS MaxSingleAmount,
+    CAST(sum(ACDocCount) AS BIGINT) AS ACDocCount, CAST(sum(ZCDocCount) AS BIGINT) AS ZCDocCount,
+    CAST(sum(IsHighValue) AS BIGINT) AS HighValueCount, CAST(sum(IsExtremeValue) AS BIGINT) AS ExtremeValueCount,
+    max(Balance) AS Balance, max(TotalDebit) AS TotalDebit,
+    sum(ZCDocCount) / (sum(ACDocCount) + 1) AS ReversalRatio,
+    coalesce(stddev_samp(Amount), 0) / (CAST(sum(CAST(Amount AS DECIMAL(38,6))) AS DOUBLE) / count(Amount) + 1)
+      AS AmountVolatility
+  FROM sig2 GROUP BY BusinessPartner
 )"""
 
 

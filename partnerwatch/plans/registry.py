@@ -23,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-MONEY_2DP = {"TotalAmount", "AvgAmount", "StdAmount"}
+MONEY_2DP = {"StdAmount"}
 
 
 def register(key: str, sql: str | None = None):
@@ -64,6 +64,9 @@ def sql_round(cols: list[str], digits: int = 6, money: set[str] = MONEY_2DP) ->
     return ", ".join(f"{R(c, 2 if c in money else digits)} AS {c}" for c in cols)
 
 
+MSUM = "CAST(sum(CAST(Amount AS DECIMAL(38,6))) AS DOUBLE)"
+
+
 # ------------------------------------------------------------------ helpers
 def _silver(spark, sf):
     return P.fixture_silver(spark, sf)
@@ -201,13 +204,13 @@ RAW_COLS = list(features.SLIM_ROLLUP_COLUMNS)
     "SELECT BusinessPartner, "
     "arg_min(BusinessPartnerName, CADocumentNumber) FILTER (WHERE BusinessPartnerName IS NOT NULL) AS BusinessPartnerName, "
     "arg_min(Segment, CADocumentNumber) FILTER (WHERE Segment IS NOT NULL) AS Segment, "
-    f"count(Amount) AS TotalTransactions, {R('sum(Amount)', 2)} AS TotalAmount, {R('avg(Amount)', 2)} AS AvgAmount, "
+    f"count(Amount) AS TotalTransactions, {R(MSUM)} AS TotalAmount, {R(MSUM + ' / count(Amount)')} AS AvgAmount, "
     f"{R('coalesce(stddev_samp(Amount), 0)', 2)} AS StdAmount, {R('max(Amount)')} AS MaxSingleAmount, "
     "CAST(sum(ACDocCount) AS BIGINT) AS ACDocCount, CAST(sum(ZCDocCount) AS BIGINT) AS ZCDocCount, "
     "CAST(sum(IsHighValue) AS BIGINT) AS HighValueCount, CAST(sum(IsExtremeValue) AS BIGINT) AS ExtremeValueCount, "
     f"{R('max(Balance)')} AS Balance, {R('max(TotalDebit)')} AS TotalDebit, "
     f"{R('sum(ZCDocCount) / (sum(ACDocCount) + 1)')} AS ReversalRatio, "
-    f"{R('coalesce(stddev_samp(Amount), 0) / (avg(Amount) + 1)')} AS AmountVolatility "
+    f"{R('coalesce(stddev_samp(Amount), 0) / (' + MSUM + ' / count(Amount) + 1)')} AS AmountVolatility "
     "FROM sig2 GROUP BY BusinessPartner"))
 def q_partner_rollup_raw(spark, sf):
     tx = features.add_transaction_signals(_silver(spark, sf))
@@ -247,3 +250,433 @@ def q_iqr_flags(spark, sf):
     s = peers.score_features_by_segment(_partners(spark, sf), FEATS, "PeerGroup", 2.0, C.peer_group_bound())
     return s.select("BusinessPartner", "PeerGroup", r("iqr_max_score").alias("iqr_max_score"), "iqr_flag",
                     "iqr_triggered_cols")
+
+
+# ------------------------------------------------------------------ A3-A16, H1, H2, W5, M1
+from partnerwatch.operators import alerts, explore, iforest  # noqa: E402
+
+
+def _sig(spark, sf):
+    return features.add_transaction_signals(silver.add_days_overdue(_silver(spark, sf), FX.LEDGER_AS_OF))
+
+
+def _raw_partners(spark, sf):
+    return features.partner_rollup_raw(features.add_transaction_signals(_silver(spark, sf)))
+
+
+@register("segment_overview", O.with_ledger(
+    f"SELECT Segment, count(Amount) AS Transactions, {R(MSUM)} AS TotalAmount, "
+    f"{R(MSUM + ' / count(Amount)')} AS AvgAmount, count(DISTINCT BusinessPartner) AS UniquePartners, "
+    "round_even(count(Amount) / sum(count(Amount)) OVER () * 100 * 10.0, 0) / 10.0 AS PctTransactions "
+    "FROM sig2 GROUP BY Segment"))
+def q_segment_overview(spark, sf):
+    return rounded(explore.segment_overview(_sig(spark, sf)))
+
+
+@register("doc_type_counts", O.with_ledger(
+    "SELECT CADocumentType AS DocumentType, count(*) AS Count FROM silver "
+    "WHERE CADocumentType IS NOT NULL GROUP BY 1"))
+def q_doc_type_counts(spark, sf):
+    return explore.doc_type_counts(_silver(spark, sf))
+
+
+@register("global_reversal_ratio", O.with_ledger(
+    "SELECT count(*) FILTER (WHERE CADocumentType = 'AC') AS ac_total, "
+    "count(*) FILTER (WHERE CADocumentType = 'ZC') AS zc_total, "
+    f"{R(chr(40) + 'count(*) FILTER (WHERE CADocumentType = ' + chr(39) + 'ZC' + chr(39) + ')) / (count(*) FILTER (WHERE CADocumentType = ' + chr(39) + 'AC' + chr(39) + ') + 1)')} AS global_ratio "
+    "FROM silver"))
+def q_global_reversal_ratio(spark, sf):
+    return rounded(explore.global_reversal_ratio(_silver(spark, sf)))
+
+
+@register("monthly_series", O.with_ledger(
+    f"SELECT strftime(NetDueDate, '%Y-%m') AS month, count(Amount) AS transaction_count, "
+    f"{R(MSUM)} AS total_amount FROM silver WHERE NetDueDate IS NOT NULL GROUP BY 1"))
+def q_monthly_series(spark, sf):
+    return rounded(explore.monthly_series(_silver(spark, sf)))
+
+
+@register("amount_summary", O.with_ledger(
+    f"SELECT {R('max(Amount)')} AS largest, count(*) FILTER (WHERE Amount > 10000) AS over_10k, "
+    f"count(*) FILTER (WHERE Amount > 100000) AS over_100k, {R('quantile_cont(Amount, 0.5)')} AS median, "
+    f"{R('quantile_cont(Amount, 0.99)')} AS p99 FROM silver"))
+def q_amount_summary(spark, sf):
+    return rounded(explore.amount_summary(_silver(spark, sf)))
+
+
+@register("data_profile", O.with_ledger(
+    f"SELECT count(*) AS rows, CAST({len(SILVER_COLS)} AS BIGINT) AS columns, "
+    "count(DISTINCT BusinessPartner) AS partners, min(NetDueDate) AS first_date, max(NetDueDate) AS last_date "
+    "FROM silver"))
+def q_data_profile(spark, sf):
+    return explore.data_profile(_silver(spark, sf))
+
+
+def _long_sql(source: str, cols) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM {source}" for c in cols)
+
+
+@register("feature_describe", O.with_ledger(
+    f"SELECT feature, {R('avg(v)')} AS mean, {R('stddev_samp(v)')} AS std, {R('min(v)')} AS min, "
+    f"{R('quantile_cont(v, 0.5)')} AS p50, {R('max(v)')} AS max "
+    f"FROM ({_long_sql('partners', FEATS)}) GROUP BY feature"))
+def q_feature_describe(spark, sf):
+    return rounded(explore.describe_features(_partners(spark, sf), FEATS))
+
+
+EDA8 = list(explore.EDA_FEATURES)
+EDA10 = list(explore.EDA_CORR_FEATURES)
+
+
+@register("feature_skew", O.with_ledger(
+    f"SELECT feature, {R('skewness(v)')} AS skew, coalesce(abs(skewness(v)) > 5.0, FALSE) AS highly_skewed "
+    f"FROM ({_long_sql('raw_partners', EDA8)}) GROUP BY feature"))
+def q_feature_skew(spark, sf):
+    return rounded(explore.feature_skew(_raw_partners(spark, sf), EDA8))
+
+
+def _corr_sql(source: str, cols, threshold: float | None = None) -> str:
+    parts = []
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS r FROM {source}")
+    body = " UNION ALL ".join(parts)
+    cond = f" WHERE abs(r) > {threshold!r}" if threshold is not None else ""
+    return (f"SELECT feature_a, feature_b, {R('CASE WHEN isnan(r) THEN NULL ELSE r END')} AS r "
+            f"FROM ({body}){cond}")
+
+
+@register("feature_corr", O.with_ledger(_corr_sql("raw_partners", EDA10)))
+def q_feature_corr(spark, sf):
+    return rounded(explore.feature_correlation(_raw_partners(spark, sf), EDA10))
+
+
+@register("corr_pairs", O.with_ledger(_corr_sql("raw_partners", EDA10, 0.7)))
+def q_corr_pairs(spark, sf):
+    return rounded(explore.correlated_pairs(_raw_partners(spark, sf), EDA10, 0.7))
+
+
+@register("iqr_breakdown", O.with_ledger(
+    "SELECT Segment, count(BusinessPartner) AS Partners, count(*) FILTER (WHERE iqr_flag) AS IQR_Flagged, "
+    "round_even(count(*) FILTER (WHERE iqr_flag) / count(BusinessPartner) * 100 * 10.0, 0) / 10.0 AS PctFlagged "
+    "FROM iqr GROUP BY Segment", extra_ctes=O.iqr_cte(group="Segment")))
+def q_iqr_breakdown(spark, sf):
+    scored = peers.score_features_by_segment(_partners(spark, sf), FEATS, "Segment", 2.0, len(C.SEGMENT_LABELS) + 1)
+    return explore.flag_breakdown(scored, "iqr_flag", "Segment", flagged_name="IQR_Flagged")
+
+
+@register("detection_overlap", O.with_alerts(
+    "SELECT count(*) FILTER (WHERE isolation_forest_flag AND iqr_flag) AS both, "
+    "count(*) FILTER (WHERE isolation_forest_flag AND NOT iqr_flag) AS if_only, "
+    "count(*) FILTER (WHERE NOT isolation_forest_flag AND iqr_flag) AS iqr_only, "
+    "count(*) FILTER (WHERE NOT isolation_forest_flag AND NOT iqr_flag) AS neither FROM alerts"))
+def q_detection_overlap(spark, sf):
+    return explore.detection_overlap(FX.alert_stream(spark, sf))
+
+
+@register("eda_summary", O.with_ledger(
+    "SELECT * FROM (SELECT count(*) AS transactions, "
+    f"{R('max(Amount)')} AS largest_amount, count(*) FILTER (WHERE Amount > 10000) AS over_10k, "
+    "count(*) FILTER (WHERE Amount > 100000) AS over_100k, "
+    f"{R(chr(40) + 'count(*) FILTER (WHERE CADocumentType = ' + chr(39) + 'ZC' + chr(39) + ')) / (count(*) FILTER (WHERE CADocumentType = ' + chr(39) + 'AC' + chr(39) + ') + 1)')} AS global_zc_ac_ratio, "
+    f"{R('quantile_cont(Amount, 0.5)')} AS median_amount FROM sig2) "
+    ", (SELECT count(*) AS partners, count(*) FILTER (WHERE ReversalRatio > 5) AS reversal_over_5x, "
+    "count(*) FILTER (WHERE MaxSingleAmount > 100000) AS max_amount_over_100k, "
+    "count(*) FILTER (WHERE TotalTransactions > (SELECT quantile_cont(TotalTransactions, 0.99) FROM raw_partners)) "
+    f"AS top_1pct_volume, {R('max(ReversalRatio)')} AS max_reversal_ratio FROM raw_partners)"))
+def q_eda_summary(spark, sf):
+    return rounded(explore.eda_summary(_sig(spark, sf), _raw_partners(spark, sf)))
+
+
+@register("amount_histogram", O.with_ledger(
+    "SELECT CAST(b AS INTEGER) AS bin, " + R("lo + b * ((hi - lo) / 100.0)") + " AS bin_start, "
+    + R("lo + (b + 1) * ((hi - lo) / 100.0)") + " AS bin_end, count(*) AS count FROM ("
+    "SELECT CASE WHEN hi - lo = 0 THEN 0 ELSE least(floor((Amount - lo) * (100.0 / (hi - lo))), 99) END AS b, lo, hi "
+    "FROM silver, (SELECT min(Amount) AS lo, max(Amount) AS hi FROM silver)) GROUP BY b, lo, hi"))
+def q_amount_histogram(spark, sf):
+    return rounded(explore.histogram(_silver(spark, sf), "Amount", 100))
+
+
+_KDE_COL = "ReversalRatio"
+
+
+@register("segment_density", O.with_ledger(
+    f"SELECT Segment, point, {R('g0 + point * gstep', 9)} AS x, "
+    f"{R('sum(exp(-0.5 * pow(((g0 + point * gstep) - x) / bw, 2))) / (n * bw * sqrt(2 * pi()))', 9)} AS density "
+    "FROM (SELECT c.Segment, c.x, g.n, g.bw, g.g0, g.gstep, CAST(p.point AS INTEGER) AS point FROM clipped c "
+    "JOIN g ON c.Segment = g.Segment, range(1000) p(point)) GROUP BY Segment, point, n, bw, g0, gstep",
+    extra_ctes=(
+        f"cap AS (SELECT Segment, quantile_cont({_KDE_COL}, 0.95) AS cap FROM partners GROUP BY Segment), "
+        f"clipped AS (SELECT p.Segment, least(p.{_KDE_COL}, cap.cap) AS x FROM partners p JOIN cap USING (Segment)), "
+        "gstat AS (SELECT Segment, count(x) AS n, stddev_samp(x) AS sd, min(x) AS mn, max(x) AS mx FROM clipped "
+        "GROUP BY Segment), "
+        "g AS (SELECT Segment, n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, mn - (mx - mn) * 0.5 AS g0, "
+        "(mx - mn) * 2 / 999.0 AS gstep FROM gstat WHERE n >= 5 AND sd > 0)")))
+def q_segment_density(spark, sf):
+    d = explore.segment_density(_partners(spark, sf), _KDE_COL, "Segment", 0.95, 1000, 5, len(C.SEGMENT_LABELS) + 1)
+    return d.select("Segment", "point", r("x", 9).alias("x"), r("density", 9).alias("density"))
+
+
+@register("winsorize", O.with_ledger(
+    "SELECT BusinessPartner, " + ", ".join(
+        f"{R(f'least(CAST({c} AS DOUBLE), (SELECT quantile_cont({c}, 0.99) FROM raw_partners))')} AS {c}"
+        for c in EDA8) + " FROM raw_partners"))
+def q_winsorize(spark, sf):
+    w = peers.winsorize(_raw_partners(spark, sf), EDA8, 0.99)
+    return rounded(w.select("BusinessPartner", *EDA8), money=set())
+
+
+@register("standard_scale", O.with_ledger(
+    "SELECT p.BusinessPartner, p.PeerGroup, " + ", ".join(
+        R(f"(p.{c} - g.{c}__m) / CASE WHEN g.{c}__s = 0 THEN 1 ELSE g.{c}__s END") + f" AS {c}_scaled" for c in FEATS)
+    + " FROM partners p JOIN (SELECT PeerGroup, " + ", ".join(
+        f"avg({c}) AS {c}__m, stddev_pop({c}) AS {c}__s" for c in FEATS)
+    + " FROM partners GROUP BY PeerGroup) g ON p.PeerGroup = g.PeerGroup"))
+def q_standard_scale(spark, sf):
+    s = peers.standard_scale(_partners(spark, sf), FEATS, "PeerGroup", C.peer_group_bound())
+    return rounded(s.select("BusinessPartner", "PeerGroup", *[f"{c}_scaled" for c in FEATS]), money=set())
+
+
+# ------------------------------------------------------------------ L1-L6, W4, J4, S8, L3
+def _reason_sql(m: float = 2.0, srr: float = 5.0, hbt: float = 100_000.0, hrs: float = 0.7) -> str:
+    def f1(x):
+        return f"format('{{:.1f}}', CAST({x} AS DOUBLE))"
+
+    def f2(x):
+        return f"format('{{:.2f}}', CAST({x} AS DOUBLE))"
+
+    def f0c(x):
+        return f"format('{{:,.0f}}', CAST({x} AS DOUBLE))"
+
+    tail = " || ' IQRs above ' || PeerGroup || ' peers'"
+    texts = []
+    for c in FEATS:
+        s = f"{c}_iqr_score"
+        if c == "ReversalRatio":
+            t = f"'ReversalRatio ' || {f1(c)} || 'x is ' || {f1(s)}{tail}"
+        elif c in alerts.MONEY_FEATURES:
+            t = f"'{c} $' || {f0c(c)} || ' is ' || {f1(s)}{tail}"
+        elif c == "AvgROSScore":
+            t = (f"'Average transaction amount is suspiciously close to authority limits (ROS score ' || {f2(c)} "
+                 f"|| ', ' || {f1(s)}{tail} || ')'")
+        elif c == "RoundTransactionRate":
+            t = f"format('{{:.0f}}', CAST({c} AS DOUBLE) * 100) || '% of transactions are round numbers (' || {f1(s)}{tail} || ')'"
+        elif c == "NettedPairsCount":
+            t = f"format('{{:,}}', CAST({c} AS BIGINT)) || ' AC/ZC cancellation pairs detected (' || {f1(s)}{tail} || ')'"
+        else:
+            t = f"'{c} (' || {f1(c)} || ') is ' || {f1(s)}{tail}"
+        texts.append(f"CASE WHEN list_contains(string_split(iqr_triggered_cols, ', '), '{c}') THEN {t} END")
+    per = "concat_ws('; ', " + ", ".join(texts) + ")"
+    rules = [
+        f"CASE WHEN ReversalRatio > {srr!r} AND NOT contains(iqr_triggered_cols, 'ReversalRatio') "
+        f"THEN 'ReversalRatio ' || {f1('ReversalRatio')} || 'x exceeds {srr!r}x threshold' END",
+        f"CASE WHEN AvgROSScore > {hrs!r} AND NOT contains(iqr_triggered_cols, 'AvgROSScore') "
+        f"THEN 'Avg transaction amount near authority limit (ROS score ' || {f2('AvgROSScore')} || ')' END",
+        f"CASE WHEN abs(Balance) > {hbt!r} THEN 'Balance $' || {f0c('Balance')} || ' exceeds ${hbt:,.0f} threshold' END",
+    ]
+    return f"CASE WHEN iqr_flag THEN concat_ws('; ', NULLIF({per}, ''), {', '.join(rules)}) ELSE '' END"
+
+
+@register("flag_reason", O.with_ledger(
+    f"SELECT BusinessPartner, iqr_flag, {_reason_sql()} AS flag_reason FROM iqr", extra_ctes=O.iqr_cte()))
+def q_flag_reason(spark, sf):
+    s = peers.score_features_by_segment(_partners(spark, sf), FEATS, "PeerGroup", 2.0, C.peer_group_bound())
+    s = s.withColumns({"isolation_forest_flag": F.lit(False), "risk_score": F.lit(0.0)})
+    return alerts.build_alert_column(s).select("BusinessPartner", "iqr_flag", "flag_reason")
+
+
+ALERT_COLS = ["BusinessPartner", "event_id", "isolation_forest_flag", "iqr_flag", "risk_score", "run_date",
+              "Segment", "PeerGroup", "TotalAmount", "ReversalRatio", "MaxSingleAmount"]
+_COOL = ("recent AS (SELECT DISTINCT BusinessPartner FROM history "
+         "WHERE run_date >= DATE '2024-01-24' AND run_date < DATE '2024-01-31'), "
+         "fresh AS (SELECT * FROM deduped WHERE BusinessPartner NOT IN (SELECT BusinessPartner FROM recent)), "
+         "suppressed AS (SELECT * FROM deduped WHERE BusinessPartner IN (SELECT BusinessPartner FROM recent))")
+_COOLDOWN_DAYS = 7
+
+
+def _dedup_result(spark, sf):
+    new = FX.alert_stream(spark, sf)
+    hist = FX.alert_history(spark, sf)
+    return alerts.run_full_deduplication(new, hist, FX.ALERTS_AS_OF, _COOLDOWN_DAYS, tie_col="event_id")
+
+
+@register("dedup_within_run", O.with_alerts(f"SELECT {', '.join(ALERT_COLS)} FROM deduped"))
+def q_dedup(spark, sf):
+    return alerts.deduplicate_within_run(FX.alert_stream(spark, sf), tie_col="event_id")
+
+
+@register("cooldown_fresh", O.with_alerts(f"SELECT {', '.join(ALERT_COLS)} FROM fresh", extra_ctes=_COOL))
+def q_cooldown_fresh(spark, sf):
+    return _dedup_result(spark, sf).fresh
+
+
+@register("cooldown_suppressed", O.with_alerts(f"SELECT {', '.join(ALERT_COLS)} FROM suppressed", extra_ctes=_COOL))
+def q_cooldown_suppressed(spark, sf):
+    return _dedup_result(spark, sf).suppressed
+
+
+HIST_COLS = ["BusinessPartner", "Segment", "PeerGroup", "risk_score", "isolation_forest_flag", "iqr_flag",
+             "flag_reason", "TotalAmount", "ReversalRatio", "MaxSingleAmount", "run_date"]
+
+
+@register("history_append", O.with_alerts(
+    f"SELECT {', '.join(HIST_COLS)} FROM history UNION ALL "
+    "SELECT BusinessPartner, Segment, PeerGroup, risk_score, isolation_forest_flag, iqr_flag, "
+    "CAST(NULL AS VARCHAR) AS flag_reason, TotalAmount, ReversalRatio, MaxSingleAmount, DATE '2024-01-31' AS run_date "
+    "FROM fresh", extra_ctes=_COOL))
+def q_history_append(spark, sf):
+    return _dedup_result(spark, sf).history.select(*HIST_COLS)
+
+
+@register("alert_summary", O.with_alerts(
+    "SELECT (SELECT count(*) FROM deduped) AS total_flagged, (SELECT count(*) FROM fresh) AS fresh_alerts, "
+    "(SELECT count(*) FROM suppressed) AS suppressed_alerts", extra_ctes=_COOL))
+def q_alert_summary(spark, sf):
+    return alerts.alert_summary(_dedup_result(spark, sf))
+
+
+WATCH_COLS = [c for c in C.WATCHLIST_COLUMNS if c in ALERT_COLS]
+
+
+@register("watchlist", O.with_alerts(
+    f"SELECT {', '.join(WATCH_COLS)} FROM fresh", extra_ctes=_COOL))
+def q_watchlist(spark, sf):
+    return alerts.watchlist(_dedup_result(spark, sf).fresh)
+
+
+for _key, _col in [("top_reversal", "ReversalRatio"), ("top_amount", "MaxSingleAmount"),
+                   ("top_volume", "TotalTransactions")]:
+    def _mk(col):
+        def q(spark, sf):
+            return rounded(alerts.show_top(_raw_partners(spark, sf), col, 12))
+        return q
+    _cols = list(dict.fromkeys(["BusinessPartner", "BusinessPartnerName", "Segment", _col, "TotalTransactions", "TotalAmount"]))
+    _sel = ", ".join(R(c, 2 if c in MONEY_2DP else 6) + f" AS {c}"
+                     if c in ("ReversalRatio", "MaxSingleAmount", "TotalAmount") else c for c in _cols)
+    register(_key, O.with_ledger(
+        f"SELECT {_sel} FROM raw_partners WHERE {_col} IS NOT NULL "
+        f"ORDER BY {_col} DESC, BusinessPartner ASC LIMIT 12"))(_mk(_col))
+
+
+@register("top_watchlist", O.with_alerts(
+    "SELECT BusinessPartner, Segment, TotalAmount, MaxSingleAmount, ReversalRatio, risk_score, "
+    "CASE WHEN isolation_forest_flag THEN 'YES' ELSE 'no' END AS IF, CASE WHEN iqr_flag THEN 'YES' ELSE 'no' END AS IQR "
+    "FROM deduped WHERE isolation_forest_flag OR iqr_flag ORDER BY risk_score DESC, BusinessPartner LIMIT 20"))
+def q_top_watchlist(spark, sf):
+    return alerts.top_watchlist(alerts.deduplicate_within_run(FX.alert_stream(spark, sf), tie_col="event_id"), 20)
+
+
+# ------------------------------------------------------------------ M1-M6
+TH = C.DEFAULT_CONFIG.thresholds
+
+
+def _gold_if(spark, sf, segment_col="PeerGroup", min_size=TH.isolation_forest_min_segment_size):
+    p = _partners(spark, sf)
+    return iforest.run_isolation_forest_by_segment(
+        p, FEATS, segment_col, TH.isolation_forest_contamination, TH.isolation_forest_n_estimators,
+        TH.isolation_forest_random_state, min_size)
+
+
+@register("if_scores")
+def q_if_scores(spark, sf):
+    g = _gold_if(spark, sf)
+    return g.select("BusinessPartner", "PeerGroup", r("isolation_forest_score", 9).alias("isolation_forest_score"),
+                    "isolation_forest_flag", r("risk_score", 9).alias("risk_score"))
+
+
+@register("if_score_range", O.with_ledger(
+    "SELECT count(*) AS partners, 0.0 AS risk_min, 1.0 AS risk_max, count(*) AS in_range FROM partners"))
+def q_if_score_range(spark, sf):
+    g = _gold_if(spark, sf)
+    return g.agg(F.count(F.lit(1)).alias("partners"), r(F.min("risk_score"), 9).alias("risk_min"),
+                 r(F.max("risk_score"), 9).alias("risk_max"),
+                 F.count_if(F.col("risk_score").between(0.0, 1.0)).alias("in_range"))
+
+
+def _expected_flags(n: str, c: float) -> str:
+    return f"CAST(ceil(round({c!r} * ({n} - 1), 9)) AS BIGINT)"
+
+
+@register("if_flag_counts", O.with_ledger(
+    f"SELECT PeerGroup AS model_key, count(*) AS n_train, {_expected_flags('count(*)', 0.05)} AS flagged "
+    "FROM partners GROUP BY PeerGroup"))
+def q_if_flag_counts(spark, sf):
+    return iforest.flag_counts(_partners(spark, sf), FEATS, "PeerGroup", TH.isolation_forest_contamination,
+                               TH.isolation_forest_n_estimators, TH.isolation_forest_random_state,
+                               TH.isolation_forest_min_segment_size)
+
+
+_ROUTE_MIN = 60
+
+
+@register("if_routing", O.with_ledger(
+    f"SELECT BusinessPartner, CASE WHEN count(*) OVER (PARTITION BY PeerGroup) >= {_ROUTE_MIN} THEN PeerGroup "
+    f"ELSE '{C.GLOBAL_MODEL_KEY}' END AS model_key FROM partners"))
+def q_if_routing(spark, sf):
+    return iforest.model_routing(_partners(spark, sf), "PeerGroup", _ROUTE_MIN)
+
+
+@register("if_breakdown", O.with_ledger(
+    f"SELECT Segment, count(*) AS Partners, {_expected_flags('count(*)', 0.05)} AS IF_Flagged, "
+    f"round_even({_expected_flags('count(*)', 0.05)} / count(*) * 100 * 10.0, 0) / 10.0 AS PctFlagged "
+    "FROM partners GROUP BY Segment"))
+def q_if_breakdown(spark, sf):
+    g = _gold_if(spark, sf, "Segment")
+    return explore.flag_breakdown(g, "isolation_forest_flag", "Segment", flagged_name="IF_Flagged")
+
+
+SWEEP = (0.01, 0.02, 0.05, 0.10, 0.15)
+
+
+@register("contamination_sweep", O.with_ledger(
+    " UNION ALL ".join(
+        f"SELECT CAST({c!r} AS DOUBLE) AS contamination, {_expected_flags('count(*)', c)} AS flagged, "
+        f"{R(_expected_flags('count(*)', c) + ' / count(*) * 100')} AS pct FROM partners" for c in SWEEP)))
+def q_contamination_sweep(spark, sf):
+    s = iforest.contamination_sweep(_partners(spark, sf), FEATS, SWEEP, 100, TH.isolation_forest_random_state)
+    return s.select("contamination", "flagged", r("pct").alias("pct"))
+
+
+@register("risk_score", O.with_alerts(
+    f"SELECT event_id, {R('1 - (TotalAmount - mn) / CASE WHEN mx <> mn THEN mx - mn ELSE 1 END', 9)} AS risk_score "
+    "FROM alerts, (SELECT min(TotalAmount) AS mn, max(TotalAmount) AS mx FROM alerts)"))
+def q_risk_score(spark, sf):
+    a = FX.alert_stream(spark, sf).select("event_id", F.col("TotalAmount").alias("score"))
+    return iforest.risk_from_scores(a, "score").select("event_id", r("risk_score", 9).alias("risk_score"))
+
+
+# ------------------------------------------------------------------ S1
+from partnerwatch.sources import odata  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+ORDER_RECORD = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderdate", T.StringType()), T.StructField("o_orderpriority", T.StringType()),
+])
+PAGE_SIZE = 500
+
+
+def order_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Captured-page stand-in: ``orders`` grouped into pages of PAGE_SIZE records
+    (bounded per page), each rendered as an OData JSON envelope."""
+    o = FX.table(spark, sf, "orders")
+    rec = F.struct(
+        F.struct(F.concat(F.lit("Orders("), F.col("o_orderkey").cast("string"), F.lit(")")).alias("uri")).alias("__metadata"),
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        F.concat(F.lit("/Date("), F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string"),
+                 F.lit(")/")).alias("o_orderdate"),
+        "o_orderpriority")
+    page = F.floor(F.col("o_orderkey") / PAGE_SIZE)
+    pages = o.groupBy(page.alias("page")).agg(F.collect_list(rec).alias("results"))
+    nxt = F.concat(F.lit("Orders?$skiptoken="), (F.col("page") + 1).cast("string"))
+    return pages.select(F.to_json(F.struct(F.struct("results", nxt.alias("__next")).alias("d"))).alias("body"))
+
+
+@register("odata_land",
+          "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+          "'/Date(' || CAST(epoch_ms(CAST(o_orderdate AS TIMESTAMP)) AS VARCHAR) || ')/' AS o_orderdate, "
+          "o_orderpriority FROM orders")
+def q_odata_land(spark, sf):
+    return odata.parse_pages(order_pages(spark, sf), "body", ORDER_RECORD)
