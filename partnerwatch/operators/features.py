@@ -149,16 +149,46 @@ def _first_by(order: Column, value: str, cond: Column) -> Column:
     return F.min(F.when(cond & v.isNotNull(), F.struct(order.alias("o"), v.alias("v"))))["v"]
 
 
+DISTINCT_COUNTS = (
+    ("CADocumentType", "UniqueDocTypes"),
+    ("CAMainTransaction", "UniqueMainTransactions"),
+    ("ContractAccount", "UniqueContracts"),
+)
+FIRST_VALUES = ("BusinessPartnerName", "Segment", "TransactionType")
+
+
+def distinct_counts(df: DataFrame, key: str, cols_out: Sequence[tuple[str, str]], cond: Column) -> DataFrame:
+    """Exact distinct counts of several columns per key in one two-level hash
+    aggregation: (key, column, value) triples are de-duplicated map side first,
+    then counted per key. Numeric buffers only, so both levels stay in
+    codegen'd ``HashAggregate``; a key with very many rows is folded to its
+    distinct values before the shuffle."""
+    triples = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).cast("string").alias("_v"))
+                        for i, (c, _) in enumerate(cols_out)])
+    distinct = (df.filter(cond).select(key, F.inline(triples))
+                .filter(F.col("_v").isNotNull()).distinct())
+    return distinct.groupBy(key).agg(*[F.count_if(F.col("_i") == i).alias(out)
+                                       for i, (_, out) in enumerate(cols_out)])
+
+
 def aggregate_to_partner_level(df: DataFrame, use_netted: bool = True,
                                partner_col: str = "BusinessPartner",
                                order_col: str = "CADocumentNumber") -> DataFrame:
     """A1: one row per partner over its non-netted rows.
 
-    A single ``groupBy`` computes the clean-row aggregates with conditional
-    expressions and ``NettedPairsCount`` alongside, so the netted counts need no
-    join; partners whose rows are all netted are dropped (Q8). ``first`` is the
-    first non-NULL value in ``order_col`` order (deterministic, Q9). Columns the
-    input lacks are skipped; NULL numeric results become 0.
+    Three aggregations by partner, joined on the partner key (all three are
+    hash-partitioned by it, so the joins add no exchange):
+
+    * numeric: counts, exact money sum, std, max, sums of flags and
+      ``NettedPairsCount`` (conditional aggregates: no join for the netted
+      counts); fixed-width buffers, so it is a codegen'd ``HashAggregate`` with
+      partial aggregation;
+    * first values: the first non-NULL value in ``order_col`` order
+      (deterministic, Q9) as ``min(struct(order, value))`` on a narrow projection;
+    * exact distinct counts (``distinct_counts``).
+
+    Partners whose rows are all netted are dropped (Q8). Columns the input
+    lacks are skipped; NULL numeric results become 0.
     """
     have = set(df.columns)
     if use_netted and "IsNetted" in have:
@@ -167,48 +197,50 @@ def aggregate_to_partner_level(df: DataFrame, use_netted: bool = True,
     else:
         clean = F.lit(True)
         netted_count = F.lit(0).cast("bigint").alias("NettedPairsCount")
-    order = F.col(order_col) if order_col in have else F.monotonically_increasing_id()
 
     def on_clean(c: str) -> Column:
         return F.when(clean, F.col(c))
 
-    aggs: list[Column] = []
-    for name in ("BusinessPartnerName", "Segment", "TransactionType"):
-        if name in have:
-            aggs.append(_first_by(order, name, clean).alias(name))
     amt = on_clean("Amount")
-    aggs += [
+    aggs: list[Column] = [
         F.count(amt).alias("TotalTransactions"),
         money_sum(amt).alias("TotalAmount"),
         F.stddev_samp(amt).alias("StdAmount"),
         F.max(amt).alias("MaxSingleAmount"),
     ]
     optional = [
-        ("NumberOfItems", lambda v: F.sum(v), "TotalItems"),
-        ("CADocumentType", lambda v: F.size(F.collect_set(v)).cast("bigint"), "UniqueDocTypes"),
-        ("CAMainTransaction", lambda v: F.size(F.collect_set(v)).cast("bigint"), "UniqueMainTransactions"),
-        ("ContractAccount", lambda v: F.count_distinct(v), "UniqueContracts"),
-        ("ACDocCount", lambda v: F.sum(v), "ACDocCount"),
-        ("ZCDocCount", lambda v: F.sum(v), "ZCDocCount"),
-        ("IsHighValue", lambda v: F.sum(v), "HighValueCount"),
-        ("IsExtremeValue", lambda v: F.sum(v), "ExtremeValueCount"),
-        ("Balance", lambda v: F.max(v), "Balance"),
-        ("TotalDebit", lambda v: F.max(v), "TotalDebit"),
-        ("TotalCredit", lambda v: F.max(v), "TotalCredit"),
-        ("DaysOverdue", lambda v: F.avg(v), "AvgDaysOverdue"),
-        ("DaysOverdue", lambda v: F.max(v), "MaxDaysOverdue"),
-        ("ROSScore", lambda v: F.avg(v), "AvgROSScore"),
-        ("ROSScore", lambda v: F.max(v), "MaxROSScore"),
-        ("IsRoundAny", lambda v: F.sum(v), "RoundTransactionCount"),
+        ("NumberOfItems", F.sum, "TotalItems"),
+        ("ACDocCount", F.sum, "ACDocCount"),
+        ("ZCDocCount", F.sum, "ZCDocCount"),
+        ("IsHighValue", F.sum, "HighValueCount"),
+        ("IsExtremeValue", F.sum, "ExtremeValueCount"),
+        ("Balance", F.max, "Balance"),
+        ("TotalDebit", F.max, "TotalDebit"),
+        ("TotalCredit", F.max, "TotalCredit"),
+        ("DaysOverdue", F.avg, "AvgDaysOverdue"),
+        ("DaysOverdue", F.max, "MaxDaysOverdue"),
+        ("ROSScore", F.avg, "AvgROSScore"),
+        ("ROSScore", F.max, "MaxROSScore"),
+        ("IsRoundAny", F.sum, "RoundTransactionCount"),
     ]
     aggs += [fn(on_clean(src)).alias(out) for src, fn, out in optional if src in have]
     aggs.append(netted_count)
-
     rolled = df.groupBy(partner_col).agg(*aggs).filter(F.col("TotalTransactions") > 0)
+
+    first_cols = [c for c in FIRST_VALUES if c in have]
+    if first_cols:
+        order = F.col(order_col) if order_col in have else F.lit(None).cast("string")
+        firsts = df.select(partner_col, order.alias("_o"), clean.alias("_clean"), *first_cols).groupBy(partner_col).agg(
+            *[_first_by(F.col("_o"), c, F.col("_clean")).alias(c) for c in first_cols])
+        rolled = rolled.join(firsts, partner_col, "left")
+    wanted = [(c, out) for c, out in DISTINCT_COUNTS if c in have]
+    if wanted:
+        rolled = rolled.join(distinct_counts(df, partner_col, wanted, clean), partner_col, "left")
+
     rolled = rolled.withColumn("AvgAmount", F.col("TotalAmount") / F.col("TotalTransactions"))
-    first = [c for c in ("BusinessPartnerName", "Segment", "TransactionType") if c in rolled.columns]
-    order = [partner_col, *first, "TotalTransactions", "TotalAmount", "AvgAmount"]
-    rolled = rolled.select(*order, *[c for c in rolled.columns if c not in order])
+    lead = [partner_col, *first_cols, "TotalTransactions", "TotalAmount", "AvgAmount", "StdAmount",
+            "MaxSingleAmount"] + [c for c in ("TotalItems",) if c in rolled.columns] + [out for _, out in wanted]
+    rolled = rolled.select(*lead, *[c for c in rolled.columns if c not in lead])
     numeric = [f.name for f in rolled.schema.fields
                if f.name != partner_col and f.dataType.typeName() in ("long", "integer", "double")]
     rolled = rolled.fillna(0, subset=numeric)

@@ -16,9 +16,10 @@ Plan shape:
   partner, tree, seed): deterministic under retries and repartitioning. A row
   joins tree t when that number is below p = min(1, (psi + 6 sqrt(psi) + 16) / n),
   then the psi smallest per (model, tree) are kept (a window over about
-  psi + 6 sqrt(psi) rows). Work is n * trees hashes with no shuffle of the
-  full table; about trees * psi rows per model are shuffled, whatever n is;
-* fitting: ``groupBy(model, tree).applyInPandas`` (numpy on <= psi rows);
+  psi + 6 sqrt(psi) narrow rows per tree, whatever n is). Work is n * trees
+  hashes with no shuffle of the full table;
+* fitting: ``groupBy(model, block of trees).applyInPandas``; numpy grows each
+  tree level by level on <= psi rows;
 * scoring: ``cogroup`` on (model, salt); rows are spread over
   ceil(n / rows_per_task) salts and each model's forest is replicated to its
   salts, so no task holds more than ``rows_per_task`` partners or one forest;
@@ -75,26 +76,32 @@ def _unit_hash(*cols) -> F.Column:
     return (h.bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).cast("double")) / F.lit(float(2 ** 63))
 
 
-def feature_vector(cols: Sequence[str]) -> F.Column:
-    """Model input: NULL and NaN -> 0, as an array<double>."""
-    return F.array(*[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(0.0))
-                     for c in cols])
+def feature_columns(cols: Sequence[str]) -> list[F.Column]:
+    """Model input ``_x0.._x{d-1}``: NULL and NaN -> 0, one double column per
+    feature (Arrow hands plain double columns to numpy without copies)."""
+    return [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(0.0)).alias(f"_x{i}")
+            for i, c in enumerate(cols)]
+
+
+def _xcols(n: int) -> list[str]:
+    return [f"_x{i}" for i in range(n)]
 
 
 def assign_models(df: DataFrame, feature_cols: Sequence[str], segment_col: str | None,
                   min_segment_size: int, partner_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Return (members, model_sizes, routing).
 
-    members: (_model_key, _partner, _features), one row per (model, partner) a
+    members: (_model_key, _partner, _x0.._x{d-1}), one row per (model, partner) a
     model trains on and scores; model_sizes: (_model_key, _n); routing:
     (_partner, _own_key) the model whose score a partner keeps.
     """
+    xs = _xcols(len(feature_cols))
     base = df.select(F.col(partner_col).cast("string").alias(_PK),
                      (F.col(segment_col).cast("string") if segment_col else F.lit(GLOBAL_MODEL_KEY)).alias("_seg"),
-                     feature_vector(feature_cols).alias(_X))
+                     *feature_columns(feature_cols))
     if not segment_col:
         sizes = base.groupBy().agg(F.count(F.lit(1)).alias("_n")).select(F.lit(GLOBAL_MODEL_KEY).alias(_MK), "_n")
-        members = base.select(F.lit(GLOBAL_MODEL_KEY).alias(_MK), _PK, _X)
+        members = base.select(F.lit(GLOBAL_MODEL_KEY).alias(_MK), _PK, *xs)
         routing = base.select(_PK, F.lit(GLOBAL_MODEL_KEY).alias("_own_key"))
         return members, sizes, routing
 
@@ -111,7 +118,7 @@ def assign_models(df: DataFrame, feature_cols: Sequence[str], segment_col: str |
         F.when(F.col("_segn") >= min_segment_size, F.col("_seg")),
         F.when(F.col("_any_small") == 1, F.lit(GLOBAL_MODEL_KEY)),
     ))
-    members = tagged.select(F.explode(keys).alias(_MK), _PK, _X)
+    members = tagged.select(F.explode(keys).alias(_MK), _PK, *xs)
     routing = tagged.select(_PK, own.alias("_own_key"))
     own_models = seg_sizes.filter(F.col("_segn") >= min_segment_size).select(F.col("_seg").alias(_MK), F.col("_segn").alias("_n"))
     global_model = (seg_sizes.filter(F.col("_any_small") == 1)
@@ -123,85 +130,155 @@ def assign_models(df: DataFrame, feature_cols: Sequence[str], segment_col: str |
 
 def sample_for_trees(members: DataFrame, model_sizes: DataFrame, n_estimators: int,
                      max_samples: int, seed: int) -> DataFrame:
-    """(_model_key, _tree, _partner, _features, _psi): psi rows per tree."""
+    """(_model_key, _tree, _partner, _x0.., _psi): psi rows per tree.
+
+    A row joins tree t when u(model, partner, t) < p; u comes from a per-row
+    64-bit seed hashed with t, so the per-tree test hashes two longs. The psi
+    smallest (u, partner) of each tree are found by a window over narrow rows
+    only; the resulting cut-off per (model, tree), a table bounded by
+    models x trees, is broadcast to filter the rows that carry features, so
+    feature arrays are never sorted."""
+    xs = [c for c in members.columns if c.startswith("_x")]
     sized = members.join(F.broadcast(model_sizes), _MK)
     psi = F.least(F.lit(max_samples), F.col("_n")).cast("int")
     p = F.least(F.lit(1.0), (psi + F.lit(6.0) * F.sqrt(psi.cast("double")) + F.lit(16.0)) / F.col("_n"))
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_estimators - 1)),
-                     lambda t: _unit_hash(F.col(_MK), F.col(_PK), t, F.lit(seed)) < p)
-    exploded = sized.select(_MK, _PK, _X, psi.alias("_psi"), F.explode(trees).alias("_tree"))
-    exploded = exploded.withColumn("_u", _unit_hash(F.col(_MK), F.col(_PK), F.col("_tree"), F.lit(seed)))
+    sized = sized.select(_MK, _PK, *xs, psi.alias("_psi"), p.alias("_p"),
+                         F.xxhash64(F.col(_MK), F.col(_PK), F.lit(seed)).alias("_h0"))
+    u = _unit_hash(F.col("_h0"), F.col("_tree"))
+
+    # narrow pass: generate + filter are codegen'd; rank per tree on 5 columns
+    narrow = (sized.select(_MK, _PK, "_psi", "_h0", "_p",
+                           F.explode(F.sequence(F.lit(0), F.lit(n_estimators - 1))).alias("_tree"))
+              .withColumn("_u", u).filter(F.col("_u") < F.col("_p")))
     w = Window.partitionBy(_MK, "_tree").orderBy("_u", _PK)
-    return exploded.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= F.col("_psi")).drop("_rn", "_u")
+    cut = (narrow.select(_MK, "_tree", "_u", _PK, "_psi")
+           .withColumn("_rn", F.row_number().over(w))
+           .filter(F.col("_rn") <= F.col("_psi"))
+           .groupBy(_MK, "_tree").agg(F.max(F.struct("_u", _PK)).alias("_cut")))
+
+    # wide pass: only the selected tree ids are generated for each row
+    trees = F.filter(F.sequence(F.lit(0), F.lit(n_estimators - 1)),
+                     lambda t: _unit_hash(F.col("_h0"), t) < F.col("_p"))
+    wide = sized.select(_MK, _PK, *xs, "_psi", "_h0", F.explode(trees).alias("_tree")).withColumn("_u", u)
+    kept = wide.join(F.broadcast(cut), [_MK, "_tree"]).filter(F.struct("_u", _PK) <= F.col("_cut"))
+    return kept.select(_MK, "_tree", _PK, *xs, "_psi")
 
 
 def _make_tree_builder(seed: int):
-    """Pandas function fitting one isolation tree per (model, tree) group."""
+    """Pandas function fitting every tree of one (model, block) group.
+
+    A tree is grown level by level: at each depth the rows of all open nodes
+    are sorted by node, per-node min/max come from ``reduceat``, and a random
+    non-constant feature and a uniform cut are drawn for every node at once,
+    so a tree costs about ceil(log2 psi) vectorised steps.
+    """
     import hashlib
 
-    def c_of(n):
-        if n <= 1:
-            return 0.0
-        if n <= 2:
-            return 1.0
-        return 2.0 * (math.log(n - 1.0) + 0.5772156649015329) - 2.0 * (n - 1.0) / n
+    def c_vec(n):
+        import numpy as np
+
+        n = np.asarray(n, dtype=np.float64)
+        out = np.zeros_like(n)
+        two = n == 2
+        big = n > 2
+        out[two] = 1.0
+        nb = n[big]
+        out[big] = 2.0 * (np.log(nb - 1.0) + 0.5772156649015329) - 2.0 * (nb - 1.0) / nb
+        return out
+
+    def grow(X, rng, max_depth):
+        import numpy as np
+
+        n = X.shape[0]
+        cap = 2 * n + 1
+        feat = np.full(cap, -1, dtype=np.int64)
+        thr = np.zeros(cap)
+        left = np.full(cap, -1, dtype=np.int64)
+        right = np.full(cap, -1, dtype=np.int64)
+        leaf = np.zeros(cap)
+        node_of = np.zeros(n, dtype=np.int64)
+        rows = np.arange(n)          # rows still in open nodes
+        lo_id, hi_id = 0, 1          # open nodes of this level are [lo_id, hi_id)
+        n_nodes = 1
+        depth = 0
+        while rows.size:
+            local = node_of[rows] - lo_id
+            width = hi_id - lo_id
+            counts = np.bincount(local, minlength=width)
+            order = np.argsort(local, kind="stable")
+            rows_sorted = rows[order]
+            present = np.flatnonzero(counts)
+            starts = np.concatenate(([0], np.cumsum(counts[present])[:-1]))
+            Xs = X[rows_sorted]
+            mins = np.minimum.reduceat(Xs, starts, axis=0)
+            maxs = np.maximum.reduceat(Xs, starts, axis=0)
+            ids = present + lo_id
+            cnt = counts[present]
+            if depth >= max_depth:
+                leaf[ids] = depth + c_vec(cnt)
+                break
+            usable = (maxs > mins) & (cnt[:, None] > 1)
+            can = usable.any(axis=1)
+            leaf[ids[~can]] = depth + c_vec(cnt[~can])
+            ids, mins, maxs, usable = ids[can], mins[can], maxs[can], usable[can]
+            if ids.size == 0:
+                break
+            r = rng.random(usable.shape)
+            r[~usable] = -1.0
+            f = r.argmax(axis=1)
+            k = np.arange(ids.size)
+            lo, hi = mins[k, f], maxs[k, f]
+            t = lo + rng.random(ids.size) * (hi - lo)
+            t = np.where(t >= hi, lo, t)
+            feat[ids], thr[ids] = f, t
+            left[ids] = n_nodes + 2 * k
+            right[ids] = n_nodes + 2 * k + 1
+            pos = np.full(width, -1, dtype=np.int64)
+            pos[ids - lo_id] = k
+            a = pos[node_of[rows] - lo_id]
+            moving = a >= 0
+            rows, a = rows[moving], a[moving]
+            go_left = X[rows, f[a]] <= t[a]
+            node_of[rows] = np.where(go_left, left[ids][a], right[ids][a])
+            lo_id, hi_id = n_nodes, n_nodes + 2 * ids.size
+            n_nodes = hi_id
+            depth += 1
+        return (feat[:n_nodes].tolist(), thr[:n_nodes].tolist(), left[:n_nodes].tolist(),
+                right[:n_nodes].tolist(), leaf[:n_nodes].tolist())
 
     def build(pdf):
         import numpy as np
         import pandas as pd
 
-        pdf = pdf.sort_values(_PK, kind="mergesort")
+        pdf = pdf.sort_values(["_tree", _PK], kind="mergesort")
         model_key = str(pdf[_MK].iloc[0])
-        tree = int(pdf["_tree"].iloc[0])
         psi = int(pdf["_psi"].iloc[0])
-        X = np.stack(pdf[_X].to_numpy()).astype(np.float64)
-        digest = hashlib.blake2b(f"{model_key}|{tree}|{seed}".encode(), digest_size=8).digest()
-        rng = np.random.default_rng(int.from_bytes(digest, "little"))
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
-
-        feat, thr, left, right, leaf = [], [], [], [], []
-        stack = [(np.arange(X.shape[0]), 0, -1, 0)]  # rows, depth, parent, side
-        while stack:
-            rows, depth, parent, side = stack.pop()
-            node = len(feat)
-            feat.append(-1)
-            thr.append(0.0)
-            left.append(-1)
-            right.append(-1)
-            leaf.append(0.0)
-            if parent >= 0:
-                (left if side == 0 else right)[parent] = node
-            n = rows.shape[0]
-            split = None
-            if depth < max_depth and n > 1:
-                sub = X[rows]
-                lo, hi = sub.min(axis=0), sub.max(axis=0)
-                usable = np.flatnonzero(hi > lo)
-                if usable.size:
-                    f = int(usable[rng.integers(usable.size)])
-                    t = float(rng.uniform(lo[f], hi[f]))
-                    if t >= hi[f]:
-                        t = float(lo[f])
-                    split = (f, t, sub[:, f] <= t)
-            if split is None:
-                leaf[node] = depth + c_of(n)
-                continue
-            f, t, go_left = split
-            feat[node] = f
-            thr[node] = t
-            stack.append((rows[~go_left], depth + 1, node, 1))
-            stack.append((rows[go_left], depth + 1, node, 0))
-        return pd.DataFrame({
-            _MK: [model_key], "_tree": [tree], "_psi": [psi], "_feat": [feat], "_thr": [thr],
-            "_left": [left], "_right": [right], "_leaf": [leaf],
-        })
+        xs = sorted((c for c in pdf.columns if c.startswith("_x")), key=lambda c: int(c[2:]))
+        X_all = pdf[xs].to_numpy(dtype=np.float64)
+        tree_ids = pdf["_tree"].to_numpy()
+        bounds = np.flatnonzero(np.diff(tree_ids)) + 1
+        out = {_MK: [], "_tree": [], "_psi": [], "_feat": [], "_thr": [], "_left": [], "_right": [], "_leaf": []}
+        for lo, hi in zip(np.r_[0, bounds], np.r_[bounds, len(tree_ids)]):
+            tree = int(tree_ids[lo])
+            digest = hashlib.blake2b(f"{model_key}|{tree}|{seed}".encode(), digest_size=8).digest()
+            rng = np.random.default_rng(int.from_bytes(digest, "little"))
+            fe, th, le, ri, lf = grow(X_all[lo:hi], rng, max_depth)
+            for key, val in ((_MK, model_key), ("_tree", tree), ("_psi", psi), ("_feat", fe), ("_thr", th),
+                             ("_left", le), ("_right", ri), ("_leaf", lf)):
+                out[key].append(val)
+        return pd.DataFrame(out)
 
     return build
 
 
-def fit_forest(sample: DataFrame, seed: int) -> DataFrame:
-    """One row per (model, tree) with the tree as parallel node arrays."""
-    return sample.groupBy(_MK, "_tree").applyInPandas(_make_tree_builder(seed), FOREST_SCHEMA)
+def fit_forest(sample: DataFrame, seed: int, trees_per_task: int = 100) -> DataFrame:
+    """One row per (model, tree) with the tree as parallel node arrays; trees
+    are fitted ``trees_per_task`` at a time (<= trees_per_task * psi rows)."""
+    block = (F.col("_tree") / F.lit(trees_per_task)).cast("int")
+    return (sample.withColumn("_block", block)
+            .groupBy(_MK, "_block")
+            .applyInPandas(_make_tree_builder(seed), FOREST_SCHEMA))
 
 
 def _make_scorer():
@@ -219,7 +296,8 @@ def _make_scorer():
         if rows.empty or trees.empty:
             return pd.DataFrame({_MK: pd.Series([], dtype=str), _PK: pd.Series([], dtype=str),
                                  "_score": pd.Series([], dtype=float)})
-        X = np.stack(rows[_X].to_numpy()).astype(np.float64)
+        xs = sorted((c for c in rows.columns if c.startswith("_x")), key=lambda c: int(c[2:]))
+        X = rows[xs].to_numpy(dtype=np.float64)
         m = X.shape[0]
         idx = np.arange(m)
         total = np.zeros(m)
@@ -264,12 +342,21 @@ def score_members(members: DataFrame, forest: DataFrame, model_sizes: DataFrame,
 
 def forest_scores(df: DataFrame, feature_cols: Sequence[str], segment_col: str | None,
                   n_estimators: int, random_state: int, min_segment_size: int, partner_col: str,
-                  max_samples: int = 256, rows_per_task: int = 50_000):
-    """(scores per member, model sizes, routing)."""
+                  max_samples: int = 256, rows_per_task: int = 50_000, materialize: bool = True):
+    """(scores per member, model sizes, routing).
+
+    With ``materialize`` the member scores are written once to the shared
+    checkpoint folder: the offsets and the final join both read them, and an
+    executor lost later does not re-run the Python fitting and scoring."""
     members, sizes, routing = assign_models(df, feature_cols, segment_col, min_segment_size, partner_col)
     sample = sample_for_trees(members, sizes, n_estimators, max_samples, random_state)
     forest = fit_forest(sample, random_state)
-    return score_members(members, forest, sizes, rows_per_task), sizes, routing
+    scores = score_members(members, forest, sizes, rows_per_task)
+    if materialize:
+        from partnerwatch.session import cut_lineage
+
+        scores = cut_lineage(scores, "if-scores")
+    return scores, sizes, routing
 
 
 def model_offsets(scores: DataFrame, contamination: float) -> DataFrame:

@@ -572,7 +572,9 @@ TH = C.DEFAULT_CONFIG.thresholds
 
 
 def _gold_if(spark, sf, segment_col="PeerGroup", min_size=TH.isolation_forest_min_segment_size):
-    p = _partners(spark, sf)
+    from partnerwatch.session import cut_lineage
+
+    p = cut_lineage(_partners(spark, sf), "partners")
     return iforest.run_isolation_forest_by_segment(
         p, FEATS, segment_col, TH.isolation_forest_contamination, TH.isolation_forest_n_estimators,
         TH.isolation_forest_random_state, min_size)
@@ -602,7 +604,9 @@ def _expected_flags(n: str, c: float) -> str:
     f"SELECT PeerGroup AS model_key, count(*) AS n_train, {_expected_flags('count(*)', 0.05)} AS flagged "
     "FROM partners GROUP BY PeerGroup"))
 def q_if_flag_counts(spark, sf):
-    return iforest.flag_counts(_partners(spark, sf), FEATS, "PeerGroup", TH.isolation_forest_contamination,
+    from partnerwatch.session import cut_lineage
+
+    return iforest.flag_counts(cut_lineage(_partners(spark, sf), "partners"), FEATS, "PeerGroup", TH.isolation_forest_contamination,
                                TH.isolation_forest_n_estimators, TH.isolation_forest_random_state,
                                TH.isolation_forest_min_segment_size)
 
@@ -634,7 +638,9 @@ SWEEP = (0.01, 0.02, 0.05, 0.10, 0.15)
         f"SELECT CAST({c!r} AS DOUBLE) AS contamination, {_expected_flags('count(*)', c)} AS flagged, "
         f"{R(_expected_flags('count(*)', c) + ' / count(*) * 100')} AS pct FROM partners" for c in SWEEP)))
 def q_contamination_sweep(spark, sf):
-    s = iforest.contamination_sweep(_partners(spark, sf), FEATS, SWEEP, 100, TH.isolation_forest_random_state)
+    from partnerwatch.session import cut_lineage
+
+    s = iforest.contamination_sweep(cut_lineage(_partners(spark, sf), "partners"), FEATS, SWEEP, 100, TH.isolation_forest_random_state)
     return s.select("contamination", "flagged", r("pct").alias("pct"))
 
 

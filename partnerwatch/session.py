@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
@@ -44,11 +45,19 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint directory (reliable
-    checkpoint; survives executor loss). Without a configured directory the
-    frame is persisted to memory and disk instead."""
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a Parquet table under the shared checkpoint
+    directory and return a scan of it.
+
+    One job computes the frame once (``Dataset.checkpoint`` would compute it
+    twice unless cached), the files live in the cluster's shared folder so
+    they survive executor loss, and later reads get column pruning. Without a
+    configured directory the frame is persisted to memory and disk instead.
+    """
     spark = df.sparkSession
-    if checkpoint_dir(spark):
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    base = checkpoint_dir(spark)
+    if not base:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = f"{base.rstrip('/')}/partnerwatch/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
