@@ -1,4 +1,4 @@
-"""Exploration tables (A3-A16, H1, H2): the numbers behind the notebooks'
+"""Exploration tables (A3-A16, H1, H2): the numbers behind the exploration
 charts and summaries, as distributed aggregates.
 
 Quantiles use the exact distributed quantile of ``functions.stats``; one-row
