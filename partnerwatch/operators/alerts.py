@@ -199,9 +199,10 @@ def alert_summary(result: DedupResult) -> DataFrame:
     def n(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias(name))
 
+    from partnerwatch.functions.stats import attach
+
     total = n(result.deduped, "total_flagged")
-    return (total.join(n(result.fresh, "fresh_alerts"))
-            .join(n(result.suppressed, "suppressed_alerts")))
+    return attach(attach(total, n(result.fresh, "fresh_alerts"), []), n(result.suppressed, "suppressed_alerts"), [])
 
 
 # ------------------------------------------------------------------ L4-L6

@@ -213,11 +213,11 @@ def segment_density(df: DataFrame, col: str, group_col: str = "Segment", clip_qu
                  (F.col("_min") - (F.col("_max") - F.col("_min")) * 0.5).alias("_g0"),
                  ((F.col("_max") - F.col("_min")) * 2 / F.lit(float(grid_points - 1))).alias("_gstep"))
     j = clipped.join(F.broadcast(g) if group_bound is not None else g, group_col)
-    grid = F.sequence(F.lit(0), F.lit(grid_points - 1))
-    kern = F.transform(grid, lambda i: F.exp(F.lit(-0.5) * F.pow(
-        ((F.col("_g0") + i * F.col("_gstep")) - F.col("_x")) / F.col("_bw"), 2)))
-    pts = j.select(group_col, "_n", "_bw", "_g0", "_gstep", F.posexplode(kern).alias("point", "_k"))
-    dens = pts.groupBy(group_col, "point", "_n", "_bw", "_g0", "_gstep").agg(F.sum("_k").alias("_s"))
+    pts = j.select(group_col, "_x", "_n", "_bw", "_g0", "_gstep",
+                   F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("point"))
+    kern = F.exp(F.lit(-0.5) * F.pow(((F.col("_g0") + F.col("point") * F.col("_gstep")) - F.col("_x"))
+                                     / F.col("_bw"), 2))
+    dens = pts.groupBy(group_col, "point", "_n", "_bw", "_g0", "_gstep").agg(F.sum(kern).alias("_s"))
     norm = F.col("_n").cast("double") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))
     return dens.select(group_col, "point", (F.col("_g0") + F.col("point") * F.col("_gstep")).alias("x"),
                        (F.col("_s") / norm).alias("density"))

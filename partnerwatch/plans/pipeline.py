@@ -41,7 +41,7 @@ def score_partners(partner_df: DataFrame, cfg: C.PipelineConfig = C.DEFAULT_CONF
     bound = C.peer_group_bound() if group_col == "PeerGroup" else None
     # the partner table feeds z-scores, quantiles, sampling, scoring and the
     # final joins: write it once instead of recomputing the ledger plan each time
-    partner_df = cut_lineage(partner_df, "partners") if with_forest else partner_df
+    partner_df = cut_lineage(partner_df, "partners")
     scored = peers.add_peer_zscores(partner_df, cfg.features.zscore_columns, group_col, bound)
     scored = peers.score_features_by_segment(scored, cfg.features.numeric_features, group_col,
                                              th.iqr_multiplier, bound)

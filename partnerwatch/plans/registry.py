@@ -77,7 +77,11 @@ def _tx(spark, sf):
 
 
 def _partners(spark, sf):
-    return P.fixture_partners(spark, sf)
+    """Partner table written once to the checkpoint folder: the queries below
+    read it at least twice (statistics, then the join back)."""
+    from partnerwatch.session import cut_lineage
+
+    return cut_lineage(P.fixture_partners(spark, sf), "partners")
 
 
 ROLLUP_COLS = [
@@ -171,7 +175,7 @@ for _key, _cols, _dbl in [
 @register("peer_groups", O.with_ledger(
     "SELECT PeerGroup, count(*) AS partners FROM partners GROUP BY PeerGroup"))
 def q_peer_groups(spark, sf):
-    return _partners(spark, sf).groupBy("PeerGroup").agg(F.count(F.lit(1)).alias("partners"))
+    return P.fixture_partners(spark, sf).groupBy("PeerGroup").agg(F.count(F.lit(1)).alias("partners"))
 
 
 # ------------------------------------------------------------------ J1, J2
@@ -194,7 +198,7 @@ def q_net_summary(spark, sf):
         f"{R(c, 2 if c in MONEY_2DP else 6)} AS {c}" if c in ROLLUP_DOUBLES else c for c in ROLLUP_COLS)
     + " FROM partners"))
 def q_partner_rollup(spark, sf):
-    return rounded(_partners(spark, sf).select(*ROLLUP_COLS))
+    return rounded(P.fixture_partners(spark, sf).select(*ROLLUP_COLS))
 
 
 RAW_COLS = list(features.SLIM_ROLLUP_COLUMNS)
@@ -261,7 +265,10 @@ def _sig(spark, sf):
 
 
 def _raw_partners(spark, sf):
-    return features.partner_rollup_raw(features.add_transaction_signals(_silver(spark, sf)))
+    from partnerwatch.session import cut_lineage
+
+    return cut_lineage(features.partner_rollup_raw(features.add_transaction_signals(_silver(spark, sf))),
+                       "raw-partners")
 
 
 @register("segment_overview", O.with_ledger(
@@ -572,9 +579,7 @@ TH = C.DEFAULT_CONFIG.thresholds
 
 
 def _gold_if(spark, sf, segment_col="PeerGroup", min_size=TH.isolation_forest_min_segment_size):
-    from partnerwatch.session import cut_lineage
-
-    p = cut_lineage(_partners(spark, sf), "partners")
+    p = _partners(spark, sf)
     return iforest.run_isolation_forest_by_segment(
         p, FEATS, segment_col, TH.isolation_forest_contamination, TH.isolation_forest_n_estimators,
         TH.isolation_forest_random_state, min_size)
@@ -604,9 +609,7 @@ def _expected_flags(n: str, c: float) -> str:
     f"SELECT PeerGroup AS model_key, count(*) AS n_train, {_expected_flags('count(*)', 0.05)} AS flagged "
     "FROM partners GROUP BY PeerGroup"))
 def q_if_flag_counts(spark, sf):
-    from partnerwatch.session import cut_lineage
-
-    return iforest.flag_counts(cut_lineage(_partners(spark, sf), "partners"), FEATS, "PeerGroup", TH.isolation_forest_contamination,
+    return iforest.flag_counts(_partners(spark, sf), FEATS, "PeerGroup", TH.isolation_forest_contamination,
                                TH.isolation_forest_n_estimators, TH.isolation_forest_random_state,
                                TH.isolation_forest_min_segment_size)
 
@@ -638,9 +641,7 @@ SWEEP = (0.01, 0.02, 0.05, 0.10, 0.15)
         f"SELECT CAST({c!r} AS DOUBLE) AS contamination, {_expected_flags('count(*)', c)} AS flagged, "
         f"{R(_expected_flags('count(*)', c) + ' / count(*) * 100')} AS pct FROM partners" for c in SWEEP)))
 def q_contamination_sweep(spark, sf):
-    from partnerwatch.session import cut_lineage
-
-    s = iforest.contamination_sweep(cut_lineage(_partners(spark, sf), "partners"), FEATS, SWEEP, 100, TH.isolation_forest_random_state)
+    s = iforest.contamination_sweep(_partners(spark, sf), FEATS, SWEEP, 100, TH.isolation_forest_random_state)
     return s.select("contamination", "flagged", r("pct").alias("pct"))
 
 
