@@ -687,3 +687,50 @@ def order_pages(spark: SparkSession, sf: str) -> DataFrame:
           "o_orderpriority FROM orders")
 def q_odata_land(spark, sf):
     return odata.parse_pages(order_pages(spark, sf), "body", ORDER_RECORD)
+
+
+# ------------------------------------------------------------------ variants: W5 per group / fixed, L6, H1
+@register("winsorize_by_segment", O.with_ledger(
+    "SELECT r.BusinessPartner, r.Segment, " + ", ".join(
+        f"{R(f'least(CAST(r.{c} AS DOUBLE), q.{c}__cap)')} AS {c}" for c in ("TotalAmount", "ReversalRatio",
+                                                                                "TotalTransactions"))
+    + " FROM raw_partners r JOIN (SELECT Segment, " + ", ".join(
+        f"quantile_cont({c}, 0.95) AS {c}__cap" for c in ("TotalAmount", "ReversalRatio", "TotalTransactions"))
+    + " FROM raw_partners GROUP BY Segment) q ON r.Segment = q.Segment"))
+def q_winsorize_by_segment(spark, sf):
+    cols = ["TotalAmount", "ReversalRatio", "TotalTransactions"]
+    w = peers.winsorize(_raw_partners(spark, sf), cols, 0.95, "Segment", len(C.SEGMENT_LABELS) + 1)
+    return rounded(w.select("BusinessPartner", "Segment", *cols), money=set())
+
+
+_CLIP_FEATS = ["ReversalRatio", "TotalAmount", "MaxSingleAmount", "TotalTransactions"]
+
+
+@register("iqr_score_clip", O.with_ledger(
+    "SELECT BusinessPartner, " + ", ".join(
+        f"{R(f'least(greatest({c}_iqr_score, -3.0), 10.0)')} AS {c}_iqr_score" for c in _CLIP_FEATS)
+    + " FROM iqr", extra_ctes=O.iqr_cte(group="Segment")))
+def q_iqr_score_clip(spark, sf):
+    s = peers.score_features_by_segment(_partners(spark, sf), FEATS, "Segment", 2.0, len(C.SEGMENT_LABELS) + 1)
+    cols = [f"{c}_iqr_score" for c in _CLIP_FEATS]
+    c = peers.clip_range(s, cols, -3.0, 10.0)
+    return c.select("BusinessPartner", *[r(x).alias(x) for x in cols])
+
+
+@register("sample_reasons", O.with_ledger(
+    f"SELECT BusinessPartner, BusinessPartnerName, Segment, 0.0 AS risk_score, {_reason_sql()} AS flag_reason "
+    "FROM iqr WHERE iqr_flag ORDER BY BusinessPartner LIMIT 10", extra_ctes=O.iqr_cte()))
+def q_sample_reasons(spark, sf):
+    s = peers.score_features_by_segment(_partners(spark, sf), FEATS, "PeerGroup", 2.0, C.peer_group_bound())
+    s = alerts.build_alert_column(s.withColumns({"isolation_forest_flag": F.lit(False), "risk_score": F.lit(0.0)}))
+    return alerts.sample_reasons(s, 10)
+
+
+@register("amount_histogram_under_10k", O.with_ledger(
+    "SELECT CAST(b AS INTEGER) AS bin, " + R("lo + b * ((hi - lo) / 100.0)") + " AS bin_start, "
+    + R("lo + (b + 1) * ((hi - lo) / 100.0)") + " AS bin_end, count(*) AS count FROM ("
+    "SELECT CASE WHEN hi - lo = 0 THEN 0 ELSE least(floor((Amount - lo) * (100.0 / (hi - lo))), 99) END AS b, lo, hi "
+    "FROM (SELECT Amount FROM silver WHERE Amount < 10000), "
+    "(SELECT min(Amount) AS lo, max(Amount) AS hi FROM silver WHERE Amount < 10000)) GROUP BY b, lo, hi"))
+def q_amount_histogram_under_10k(spark, sf):
+    return rounded(explore.histogram(_silver(spark, sf), "Amount", 100, upper_exclusive=10_000.0))
