@@ -68,6 +68,12 @@ def build_gold(silver_df: DataFrame, as_of: date, cfg: C.PipelineConfig = C.DEFA
 
 
 def fixture_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed silver rows of the fixture ledger (as read from a silver table)."""
+    return fixtures.ledger_silver(spark, sf_dir)
+
+
+def fixture_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture ledger through the X1 silver job (text bronze -> typed)."""
     return silver.build_silver(fixtures.ledger_bronze(spark, sf_dir))
 
 

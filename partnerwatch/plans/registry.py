@@ -106,7 +106,8 @@ SILVER_COLS = ["BusinessPartner", "BusinessPartnerName", "FirstName", "LastName"
 
 @register("silver_transactions", O.with_ledger(f"SELECT {', '.join(SILVER_COLS)} FROM silver"))
 def q_silver(spark, sf):
-    return _silver(spark, sf)
+    """The silver job over the all-text bronze ledger."""
+    return P.fixture_staged(spark, sf)
 
 
 @register("lenient_cast", O.with_ledger(
@@ -134,7 +135,7 @@ def q_sap_date(spark, sf):
 @register("days_overdue", O.with_ledger(
     "SELECT CADocumentNumber, DaysOverdue, CAST(greatest(DaysOverdue, 0) AS INTEGER) AS DaysOverdueClipped FROM sig"))
 def q_days_overdue(spark, sf):
-    s = _silver(spark, sf)
+    s = P.fixture_staged(spark, sf)
     a = silver.add_days_overdue(s, FX.LEDGER_AS_OF)
     a = silver.add_days_overdue(a, FX.LEDGER_AS_OF, clip_negative=True, out_col="DaysOverdueClipped")
     return a.select("CADocumentNumber", "DaysOverdue", "DaysOverdueClipped")
@@ -734,3 +735,14 @@ def q_sample_reasons(spark, sf):
     "(SELECT min(Amount) AS lo, max(Amount) AS hi FROM silver WHERE Amount < 10000)) GROUP BY b, lo, hi"))
 def q_amount_histogram_under_10k(spark, sf):
     return rounded(explore.histogram(_silver(spark, sf), "Amount", 100, upper_exclusive=10_000.0))
+
+
+@register("flag_reason_alerts", O.with_alerts(
+    "SELECT event_id, CASE WHEN isolation_forest_flag OR iqr_flag THEN "
+    "CASE WHEN ReversalRatio > 5.0 THEN 'ReversalRatio ' || format('{:.1f}', ReversalRatio) || 'x exceeds 5.0x threshold' "
+    "WHEN isolation_forest_flag THEN 'Flagged by Isolation Forest within ' || PeerGroup || ' peer group (risk score ' "
+    "|| format('{:.2f}', risk_score) || '); no single metric exceeded IQR threshold -- review full profile' "
+    "ELSE '' END ELSE '' END AS flag_reason FROM alerts"))
+def q_flag_reason_alerts(spark, sf):
+    """L1/L2 on the alert fixture: exercises the reversal rule and the IF-only fallback."""
+    return alerts.build_alert_column(FX.alert_stream(spark, sf)).select("event_id", "flag_reason")
