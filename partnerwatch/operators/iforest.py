@@ -106,6 +106,7 @@ def assign_models(df: DataFrame, feature_cols: Sequence[str], segment_col: str |
         return members, sizes, routing
 
     seg_sizes = base.groupBy("_seg").agg(F.count(F.lit(1)).alias("_segn"))
+    # one row per peer group (bounded by the code tables), so a keyless window is fine
     everyone = Window.partitionBy()
     seg_sizes = seg_sizes.select(
         "_seg", "_segn",

@@ -6,15 +6,18 @@ the only places that write.
 
 from __future__ import annotations
 
+import logging
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from partnerwatch import config as C
 from partnerwatch.operators import alerts, features, iforest, peers, silver
 from partnerwatch.sources import fixtures
 
+log = logging.getLogger("partnerwatch")
+
 
 def transactions(silver_df: DataFrame, as_of: date, cfg: C.PipelineConfig = C.DEFAULT_CONFIG,
                  clip_negative: bool = False) -> DataFrame:
@@ -82,16 +85,19 @@ def fixture_partners(spark: SparkSession, sf_dir: str, cfg: C.PipelineConfig = C
 
 
 # ------------------------------------------------------------------ jobs
-def run_staging(spark: SparkSession, cfg: C.PipelineConfig = C.DEFAULT_CONFIG) -> None:
-    """X1 job: bronze CSV -> silver Parquet (one scan, counts observed)."""
-    from pyspark.sql import Observation
-
+def run_staging(spark: SparkSession, cfg: C.PipelineConfig = C.DEFAULT_CONFIG) -> dict:
+    """X1 job: bronze CSV -> silver Parquet. Raw and kept row counts are
+    observed during the one write (S9), not counted by extra scans."""
     from partnerwatch.sources import files
 
-    obs = Observation("staging")
+    raw_obs, kept_obs = Observation("bronze"), Observation("silver")
     bronze = files.read_bronze_csv(spark, cfg.staging.raw_path)
-    out = silver.build_silver(silver.drop_columns(bronze, cfg.staging.drop_columns), obs)
+    out = silver.build_silver(silver.drop_columns(bronze, cfg.staging.drop_columns), raw_obs)
+    out = out.observe(kept_obs, F.count(F.lit(1)).alias("silver_rows"))
     files.write_silver(out, cfg.staging.staging_path)
+    counts = {**raw_obs.get, **kept_obs.get}
+    log.info("staging: %s raw rows, %s silver rows", counts.get("raw_rows"), counts.get("silver_rows"))
+    return counts
 
 
 def run_curated(spark: SparkSession, as_of: date, cfg: C.PipelineConfig = C.DEFAULT_CONFIG) -> dict:
@@ -104,8 +110,13 @@ def run_curated(spark: SparkSession, as_of: date, cfg: C.PipelineConfig = C.DEFA
     from partnerwatch.sources import files
 
     silver_df = files.read_silver(spark, cfg.staging.staging_path)
-    gold = build_gold(silver_df, as_of, cfg)
+    gold_obs = Observation("gold")
+    gold = build_gold(silver_df, as_of, cfg).observe(
+        gold_obs, F.count(F.lit(1)).alias("partners"), F.count_if(F.col("iqr_flag")).alias("iqr_flagged"),
+        F.count_if(F.col("isolation_forest_flag")).alias("if_flagged"),
+        F.count_if(F.col("iqr_flag") & F.col("isolation_forest_flag")).alias("both_flagged"))
     files.write_gold(gold, cfg.output.curated_path)
+    log.info("gold: %s", gold_obs.get)
     gold = files.read_gold(spark, cfg.output.curated_path)
 
     flagged = gold.filter(F.col("isolation_forest_flag") | F.col("iqr_flag"))
