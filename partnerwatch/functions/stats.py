@@ -21,7 +21,8 @@
   is collected, and the plan is deterministic (segments are identified by
   their value range, not by task numbering).
 * ``attach``: join a per-group statistics table back to the rows; broadcast
-  only when the caller states a bound on the number of groups.
+  only when the caller states a bound on the number of groups. One-row
+  (global) statistics become a scalar subquery instead of a join.
 """
 
 from __future__ import annotations
@@ -60,9 +61,12 @@ def attach(df: DataFrame, stats: DataFrame, group_cols: Sequence[str],
     only when the statistics actually turn out small.
     """
     if not group_cols:
-        # one-row statistics table: a bounded broadcast lookup on a constant key
-        one = F.lit(1).alias("_one")
-        return df.select("*", one).join(F.broadcast(stats.select("*", one)), "_one").drop("_one")
+        # one-row statistics: a scalar subquery, computed once and inlined as a
+        # value (no join, stays inside whole-stage codegen)
+        sub = stats.select(F.struct(*stats.columns)).scalar()
+        return (df.withColumn("_attach", sub)
+                .select("*", *[F.col(f"_attach.{c}").alias(c) for c in stats.columns])
+                .drop("_attach"))
     small = group_bound is not None and group_bound <= BROADCAST_GROUP_LIMIT
     return df.join(F.broadcast(stats) if small else stats, list(group_cols), "left")
 
