@@ -138,7 +138,12 @@ def sample_for_trees(members: DataFrame, model_sizes: DataFrame, n_estimators: i
     smallest (u, partner) of each tree are found by a window over narrow rows
     only; the resulting cut-off per (model, tree), a table bounded by
     models x trees, is broadcast to filter the rows that carry features, so
-    feature arrays are never sorted."""
+    feature arrays are never sorted.
+
+    The pre-filter keeps Binomial(n, p) rows per tree with mean
+    psi + 6 sqrt(psi) + 16, so fewer than psi survive with probability about
+    Phi(-5.8) ~ 3e-9 per tree; the tree is then grown on the survivors, which
+    are still a uniform random subset."""
     xs = [c for c in members.columns if c.startswith("_x")]
     sized = members.join(F.broadcast(model_sizes), _MK)
     psi = F.least(F.lit(max_samples), F.col("_n")).cast("int")
