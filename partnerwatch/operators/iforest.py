@@ -41,7 +41,6 @@ from partnerwatch.functions import stats
 
 _MK = "_model_key"
 _PK = "_partner"
-_X = "_features"
 
 FOREST_SCHEMA = T.StructType([
     T.StructField(_MK, T.StringType()),

@@ -12,12 +12,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from partnerwatch import config as C
-from partnerwatch.operators import features, peers, silver
+from partnerwatch.operators import alerts, explore, features, iforest, peers, silver
 from partnerwatch.plans import oracles as O
 from partnerwatch.plans import pipeline as P
 from partnerwatch.sources import fixtures as FX
+from partnerwatch.sources import odata
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -258,7 +260,6 @@ def q_iqr_flags(spark, sf):
 
 
 # ------------------------------------------------------------------ A3-A16, H1, H2, W5, M1
-from partnerwatch.operators import alerts, explore, iforest  # noqa: E402
 
 
 def _sig(spark, sf):
@@ -272,6 +273,10 @@ def _raw_partners(spark, sf):
                        "raw-partners")
 
 
+ZC_OVER_AC = ("count(*) FILTER (WHERE CADocumentType = 'ZC') "
+              "/ (count(*) FILTER (WHERE CADocumentType = 'AC') + 1)")
+
+
 @register("segment_overview", O.with_ledger(
     f"SELECT Segment, count(Amount) AS Transactions, {R(MSUM)} AS TotalAmount, "
     f"{R(MSUM + ' / count(Amount)')} AS AvgAmount, count(DISTINCT BusinessPartner) AS UniquePartners, "
@@ -291,7 +296,7 @@ def q_doc_type_counts(spark, sf):
 @register("global_reversal_ratio", O.with_ledger(
     "SELECT count(*) FILTER (WHERE CADocumentType = 'AC') AS ac_total, "
     "count(*) FILTER (WHERE CADocumentType = 'ZC') AS zc_total, "
-    f"{R(chr(40) + 'count(*) FILTER (WHERE CADocumentType = ' + chr(39) + 'ZC' + chr(39) + ')) / (count(*) FILTER (WHERE CADocumentType = ' + chr(39) + 'AC' + chr(39) + ') + 1)')} AS global_ratio "
+    f"{R(ZC_OVER_AC)} AS global_ratio "
     "FROM silver"))
 def q_global_reversal_ratio(spark, sf):
     return rounded(explore.global_reversal_ratio(_silver(spark, sf)))
@@ -387,7 +392,7 @@ def q_detection_overlap(spark, sf):
     "SELECT * FROM (SELECT count(*) AS transactions, "
     f"{R('max(Amount)')} AS largest_amount, count(*) FILTER (WHERE Amount > 10000) AS over_10k, "
     "count(*) FILTER (WHERE Amount > 100000) AS over_100k, "
-    f"{R(chr(40) + 'count(*) FILTER (WHERE CADocumentType = ' + chr(39) + 'ZC' + chr(39) + ')) / (count(*) FILTER (WHERE CADocumentType = ' + chr(39) + 'AC' + chr(39) + ') + 1)')} AS global_zc_ac_ratio, "
+    f"{R(ZC_OVER_AC)} AS global_zc_ac_ratio, "
     f"{R('quantile_cont(Amount, 0.5)')} AS median_amount FROM sig2) "
     ", (SELECT count(*) AS partners, count(*) FILTER (WHERE ReversalRatio > 5) AS reversal_over_5x, "
     "count(*) FILTER (WHERE MaxSingleAmount > 100000) AS max_amount_over_100k, "
@@ -655,8 +660,6 @@ def q_risk_score(spark, sf):
 
 
 # ------------------------------------------------------------------ S1
-from partnerwatch.sources import odata  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
 ORDER_RECORD = T.StructType([
     T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),

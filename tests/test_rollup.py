@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from partnerwatch.operators import features
-from tests.conftest import frame
+
 
 SCHEMA = ("BusinessPartner string, BusinessPartnerName string, CADocumentNumber string, CADocumentType string, "
           "CAMainTransaction string, ContractAccount string, Amount double, NumberOfItems int, Balance double, "
@@ -48,7 +48,6 @@ def test_rollup_clean_rows_and_netted_count(tx):
     assert a.RoundTransactionCount == 1 and a.RoundTransactionRate == pytest.approx(1 / 3)
     # first non-null values in document-number order among clean rows
     assert (a.BusinessPartnerName, a.Segment, a.TransactionType) == ("Alpha2", "Standard", "Payment")
-    assert a.PeerGroup if "PeerGroup" in a else True
 
 
 def test_rollup_without_netting(tx):
