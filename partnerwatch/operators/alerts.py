@@ -10,6 +10,7 @@ side instead of being sorted in one task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, timedelta
 from typing import NamedTuple
@@ -19,36 +20,74 @@ from pyspark.sql import functions as F
 
 from partnerwatch import config as C
 
-# Reason templates (fixed texts, equal to the reference's wording).
+# ---------------------------------------------------------------------------
+# Reason texts (wording must equal the reference's). Placeholders:
+# {col} feature name, {peer} peer label, {limit} a threshold as Python prints it;
+# numbers take a format spec (.1f / .2f / .0f, a leading "," adds thousands
+# separators); {pct} is the value x 100 and {count} the value truncated to an int.
+# ---------------------------------------------------------------------------
 MONEY_FEATURES = ("TotalAmount", "MaxSingleAmount", "Balance", "TotalDebit")
+FEATURE_TEMPLATES = {
+    "ReversalRatio": "ReversalRatio {value:.1f}x is {score:.1f} IQRs above {peer} peers",
+    "money": "{col} ${value:,.0f} is {score:.1f} IQRs above {peer} peers",
+    "AvgROSScore": ("Average transaction amount is suspiciously close to authority limits "
+                    "(ROS score {value:.2f}, {score:.1f} IQRs above {peer} peers)"),
+    "RoundTransactionRate": "{pct:.0f}% of transactions are round numbers ({score:.1f} IQRs above {peer} peers)",
+    "NettedPairsCount": "{count:,} AC/ZC cancellation pairs detected ({score:.1f} IQRs above {peer} peers)",
+    "other": "{col} ({value:.1f}) is {score:.1f} IQRs above {peer} peers",
+}
+RULE_REVERSAL = "ReversalRatio {value:.1f}x exceeds {limit}x threshold"
+RULE_ROS = "Avg transaction amount near authority limit (ROS score {value:.2f})"
+RULE_BALANCE = "Balance ${value:,.0f} exceeds ${limit:,.0f} threshold"
+IF_ONLY = ("Flagged by Isolation Forest within {peer} peer group (risk score {risk:.2f}); "
+           "no single metric exceeded IQR threshold -- review full profile")
+REASON_SEPARATOR = "; "
+# ---------------------------------------------------------------------------
+
+_PLACEHOLDER = re.compile(r"\{(\w+)(?::([^}]*))?\}")
+
+
+def feature_template(name: str) -> str:
+    if name in MONEY_FEATURES:
+        return FEATURE_TEMPLATES["money"]
+    return FEATURE_TEMPLATES.get(name, FEATURE_TEMPLATES["other"])
 
 
-def _num(x: Column, decimals: int, thousands: bool = False) -> Column:
+def _num(x: Column, spec: str) -> Column:
+    """Python's ``format(x, spec)`` for specs ``[,].Nf`` and ``,`` via ``format_number``
+    (half-even on the exact binary value, as Python rounds)."""
+    thousands = spec.startswith(",")
+    body = spec.lstrip(",")
+    decimals = int(body[1:-1]) if body.startswith(".") and body.endswith("f") else 0
     text = F.format_number(x.cast("double"), decimals)
     return text if thousands else F.translate(text, ",", "")
 
 
-def _py_float_text(v: float) -> str:
-    return repr(float(v))
+def render(template: str, values: dict[str, Column | str | float]) -> Column:
+    """Template -> ``concat`` expression. Column values are formatted by their
+    spec; plain Python values are rendered at plan time."""
+    parts: list[Column] = []
+    pos = 0
+    for m in _PLACEHOLDER.finditer(template):
+        if m.start() > pos:
+            parts.append(F.lit(template[pos:m.start()]))
+        name, spec = m.group(1), m.group(2) or ""
+        v = values[name]
+        if isinstance(v, Column):
+            parts.append(_num(v, spec) if spec else v)
+        else:
+            parts.append(F.lit(format(v, spec) if spec else str(v)))
+        pos = m.end()
+    if pos < len(template):
+        parts.append(F.lit(template[pos:]))
+    return F.concat(*parts)
 
 
 def _feature_text(name: str, value: Column, score: Column, peer: Column) -> Column:
-    s1 = _num(score, 1)
-    tail = [F.lit(" IQRs above "), peer, F.lit(" peers")]
-    if name == "ReversalRatio":
-        return F.concat(F.lit("ReversalRatio "), _num(value, 1), F.lit("x is "), s1, *tail)
-    if name in MONEY_FEATURES:
-        return F.concat(F.lit(f"{name} $"), _num(value, 0, True), F.lit(" is "), s1, *tail)
-    if name == "AvgROSScore":
-        return F.concat(
-            F.lit("Average transaction amount is suspiciously close to authority limits (ROS score "),
-            _num(value, 2), F.lit(", "), s1, *tail, F.lit(")"))
-    if name == "RoundTransactionRate":
-        return F.concat(_num(value * 100, 0), F.lit("% of transactions are round numbers ("), s1, *tail, F.lit(")"))
-    if name == "NettedPairsCount":
-        return F.concat(_num(value.cast("bigint"), 0, True), F.lit(" AC/ZC cancellation pairs detected ("),
-                        s1, *tail, F.lit(")"))
-    return F.concat(F.lit(f"{name} ("), _num(value, 1), F.lit(") is "), s1, *tail)
+    return render(feature_template(name), {
+        "col": name, "value": value, "score": score, "peer": peer,
+        "pct": value * 100, "count": value.cast("bigint"),
+    })
 
 
 def flag_reason_expr(columns: Sequence[str], iqr_multiplier: float = 2.0,
@@ -76,7 +115,7 @@ def flag_reason_expr(columns: Sequence[str], iqr_multiplier: float = 2.0,
             parts.append(F.struct(F.array_position(names, F.lit(base)).alias("pos"), text.alias("text")))
     if parts:
         picked = F.filter(F.array(*parts), lambda s: (s["pos"] > 0) & s["text"].isNotNull())
-        per_feature = F.array_join(F.transform(F.array_sort(picked), lambda s: s["text"]), "; ")
+        per_feature = F.array_join(F.transform(F.array_sort(picked), lambda s: s["text"]), REASON_SEPARATOR)
         per_feature = F.when(triggered != "", per_feature).otherwise(F.lit(""))
     else:
         per_feature = F.lit("")
@@ -86,20 +125,15 @@ def flag_reason_expr(columns: Sequence[str], iqr_multiplier: float = 2.0,
     balance = get("Balance", 0.0)
     rules = [
         F.when((reversal > F.lit(suspicious_reversal_ratio)) & ~triggered.contains("ReversalRatio"),
-               F.concat(F.lit("ReversalRatio "), _num(reversal, 1),
-                        F.lit(f"x exceeds {_py_float_text(suspicious_reversal_ratio)}x threshold"))),
+               render(RULE_REVERSAL, {"value": reversal, "limit": float(suspicious_reversal_ratio)})),
         F.when((ros > F.lit(high_ros_score)) & ~triggered.contains("AvgROSScore"),
-               F.concat(F.lit("Avg transaction amount near authority limit (ROS score "), _num(ros, 2), F.lit(")"))),
+               render(RULE_ROS, {"value": ros})),
         F.when(F.abs(balance) > F.lit(high_balance_threshold),
-               F.concat(F.lit("Balance $"), _num(balance, 0, True),
-                        F.lit(f" exceeds ${high_balance_threshold:,.0f} threshold"))),
+               render(RULE_BALANCE, {"value": balance, "limit": float(high_balance_threshold)})),
     ]
-    base = F.concat_ws("; ", F.when(per_feature != "", per_feature), *rules)
+    base = F.concat_ws(REASON_SEPARATOR, F.when(per_feature != "", per_feature), *rules)
     if_flag = F.coalesce(get("isolation_forest_flag", False).cast("boolean"), F.lit(False))
-    risk = get("risk_score", 0.0)
-    fallback = F.concat(
-        F.lit("Flagged by Isolation Forest within "), peer, F.lit(" peer group (risk score "), _num(risk, 2),
-        F.lit("); no single metric exceeded IQR threshold -- review full profile"))
+    fallback = render(IF_ONLY, {"peer": peer, "risk": get("risk_score", 0.0)})
     return F.when((base == "") & if_flag, fallback).otherwise(base)
 
 

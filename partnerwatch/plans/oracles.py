@@ -133,6 +133,36 @@ raw_partners AS (
 )"""
 
 
+class Sql(str):
+    """A SQL expression (as opposed to a plan-time Python value) for ``render_sql``."""
+
+
+def render_sql(template: str, values: dict) -> str:
+    """DuckDB twin of ``operators.alerts.render``: the same reason template as a
+    SQL string expression (``format`` agrees with Python's format spec)."""
+    import re
+
+    parts, pos = [], 0
+    for m in re.finditer(r"\{(\w+)(?::([^}]*))?\}", template):
+        if m.start() > pos:
+            parts.append("'" + template[pos:m.start()].replace("'", "''") + "'")
+        name, spec = m.group(1), m.group(2) or ""
+        v = values[name]
+        if isinstance(v, Sql):
+            if not spec:
+                parts.append(str(v))
+            elif spec == ",":
+                parts.append(f"format('{{:,}}', CAST({v} AS BIGINT))")
+            else:
+                parts.append(f"format('{{:{spec}}}', CAST({v} AS DOUBLE))")
+        else:
+            parts.append("'" + (format(v, spec) if spec else str(v)).replace("'", "''") + "'")
+        pos = m.end()
+    if pos < len(template):
+        parts.append("'" + template[pos:].replace("'", "''") + "'")
+    return "(" + " || ".join(parts) + ")"
+
+
 def with_ledger(body: str, as_of: str = "DATE '2002-01-01'", extra_ctes: str = "") -> str:
     extra = f",\n{extra_ctes}" if extra_ctes else ""
     return f"WITH {ledger_ctes(as_of)}{extra}\n{body}"

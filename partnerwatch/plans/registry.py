@@ -452,43 +452,25 @@ def q_standard_scale(spark, sf):
 
 
 # ------------------------------------------------------------------ L1-L6, W4, J4, S8, L3
-def _reason_sql(m: float = 2.0, srr: float = 5.0, hbt: float = 100_000.0, hrs: float = 0.7) -> str:
-    def f1(x):
-        return f"format('{{:.1f}}', CAST({x} AS DOUBLE))"
-
-    def f2(x):
-        return f"format('{{:.2f}}', CAST({x} AS DOUBLE))"
-
-    def f0c(x):
-        return f"format('{{:,.0f}}', CAST({x} AS DOUBLE))"
-
-    tail = " || ' IQRs above ' || PeerGroup || ' peers'"
+def _reason_sql(srr: float = 5.0, hbt: float = 100_000.0, hrs: float = 0.7) -> str:
+    """Reason text in SQL from the same fixed templates as the Spark expression."""
     texts = []
     for c in FEATS:
-        s = f"{c}_iqr_score"
-        if c == "ReversalRatio":
-            t = f"'ReversalRatio ' || {f1(c)} || 'x is ' || {f1(s)}{tail}"
-        elif c in alerts.MONEY_FEATURES:
-            t = f"'{c} $' || {f0c(c)} || ' is ' || {f1(s)}{tail}"
-        elif c == "AvgROSScore":
-            t = (f"'Average transaction amount is suspiciously close to authority limits (ROS score ' || {f2(c)} "
-                 f"|| ', ' || {f1(s)}{tail} || ')'")
-        elif c == "RoundTransactionRate":
-            t = f"format('{{:.0f}}', CAST({c} AS DOUBLE) * 100) || '% of transactions are round numbers (' || {f1(s)}{tail} || ')'"
-        elif c == "NettedPairsCount":
-            t = f"format('{{:,}}', CAST({c} AS BIGINT)) || ' AC/ZC cancellation pairs detected (' || {f1(s)}{tail} || ')'"
-        else:
-            t = f"'{c} (' || {f1(c)} || ') is ' || {f1(s)}{tail}"
+        t = O.render_sql(alerts.feature_template(c), {
+            "col": c, "value": O.Sql(c), "score": O.Sql(f"{c}_iqr_score"), "peer": O.Sql("PeerGroup"),
+            "pct": O.Sql(f"CAST({c} AS DOUBLE) * 100"), "count": O.Sql(c)})
         texts.append(f"CASE WHEN list_contains(string_split(iqr_triggered_cols, ', '), '{c}') THEN {t} END")
-    per = "concat_ws('; ', " + ", ".join(texts) + ")"
+    sep = alerts.REASON_SEPARATOR
+    per = f"concat_ws('{sep}', " + ", ".join(texts) + ")"
     rules = [
-        f"CASE WHEN ReversalRatio > {srr!r} AND NOT contains(iqr_triggered_cols, 'ReversalRatio') "
-        f"THEN 'ReversalRatio ' || {f1('ReversalRatio')} || 'x exceeds {srr!r}x threshold' END",
-        f"CASE WHEN AvgROSScore > {hrs!r} AND NOT contains(iqr_triggered_cols, 'AvgROSScore') "
-        f"THEN 'Avg transaction amount near authority limit (ROS score ' || {f2('AvgROSScore')} || ')' END",
-        f"CASE WHEN abs(Balance) > {hbt!r} THEN 'Balance $' || {f0c('Balance')} || ' exceeds ${hbt:,.0f} threshold' END",
+        f"CASE WHEN ReversalRatio > {srr!r} AND NOT contains(iqr_triggered_cols, 'ReversalRatio') THEN "
+        + O.render_sql(alerts.RULE_REVERSAL, {"value": O.Sql("ReversalRatio"), "limit": srr}) + " END",
+        f"CASE WHEN AvgROSScore > {hrs!r} AND NOT contains(iqr_triggered_cols, 'AvgROSScore') THEN "
+        + O.render_sql(alerts.RULE_ROS, {"value": O.Sql("AvgROSScore")}) + " END",
+        f"CASE WHEN abs(Balance) > {hbt!r} THEN "
+        + O.render_sql(alerts.RULE_BALANCE, {"value": O.Sql("Balance"), "limit": hbt}) + " END",
     ]
-    return f"CASE WHEN iqr_flag THEN concat_ws('; ', NULLIF({per}, ''), {', '.join(rules)}) ELSE '' END"
+    return f"CASE WHEN iqr_flag THEN concat_ws('{sep}', NULLIF({per}, ''), {', '.join(rules)}) ELSE '' END"
 
 
 @register("flag_reason", O.with_ledger(
@@ -742,10 +724,11 @@ def q_amount_histogram_under_10k(spark, sf):
 
 @register("flag_reason_alerts", O.with_alerts(
     "SELECT event_id, CASE WHEN isolation_forest_flag OR iqr_flag THEN "
-    "CASE WHEN ReversalRatio > 5.0 THEN 'ReversalRatio ' || format('{:.1f}', ReversalRatio) || 'x exceeds 5.0x threshold' "
-    "WHEN isolation_forest_flag THEN 'Flagged by Isolation Forest within ' || PeerGroup || ' peer group (risk score ' "
-    "|| format('{:.2f}', risk_score) || '); no single metric exceeded IQR threshold -- review full profile' "
-    "ELSE '' END ELSE '' END AS flag_reason FROM alerts"))
+    "CASE WHEN ReversalRatio > 5.0 THEN "
+    + O.render_sql(alerts.RULE_REVERSAL, {"value": O.Sql("ReversalRatio"), "limit": 5.0})
+    + " WHEN isolation_forest_flag THEN "
+    + O.render_sql(alerts.IF_ONLY, {"peer": O.Sql("PeerGroup"), "risk": O.Sql("risk_score")})
+    + " ELSE '' END ELSE '' END AS flag_reason FROM alerts"))
 def q_flag_reason_alerts(spark, sf):
     """L1/L2 on the alert fixture: exercises the reversal rule and the IF-only fallback."""
     return alerts.build_alert_column(FX.alert_stream(spark, sf)).select("event_id", "flag_reason")
