@@ -69,6 +69,11 @@ def average_path_length(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + 0.5772156649015329) - 2.0 * (n - 1.0) / n
 
 
+def _bounded(df: DataFrame, rows_bound: int | None) -> DataFrame:
+    """Broadcast a per-model table only when its row count has a proven bound."""
+    return F.broadcast(df) if rows_bound is not None and rows_bound <= stats.BROADCAST_GROUP_LIMIT else df
+
+
 def _unit_hash(*cols) -> F.Column:
     """Uniform [0, 1) from xxhash64 of the given columns."""
     h = F.xxhash64(*cols)
@@ -87,7 +92,8 @@ def _xcols(n: int) -> list[str]:
 
 
 def assign_models(df: DataFrame, feature_cols: Sequence[str], segment_col: str | None,
-                  min_segment_size: int, partner_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+                  min_segment_size: int, partner_col: str,
+                  group_bound: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Return (members, model_sizes, routing).
 
     members: (_model_key, _partner, _x0.._x{d-1}), one row per (model, partner) a
@@ -112,7 +118,7 @@ def assign_models(df: DataFrame, feature_cols: Sequence[str], segment_col: str |
         F.max((F.col("_segn") < min_segment_size).cast("int")).over(everyone).alias("_any_small"),
         F.sum("_segn").over(everyone).alias("_total"),
     )
-    tagged = base.join(F.broadcast(seg_sizes), "_seg")
+    tagged = base.join(_bounded(seg_sizes, group_bound), "_seg")
     own = F.when(F.col("_segn") >= min_segment_size, F.col("_seg")).otherwise(F.lit(GLOBAL_MODEL_KEY))
     keys = F.array_compact(F.array(
         F.when(F.col("_segn") >= min_segment_size, F.col("_seg")),
@@ -129,7 +135,7 @@ def assign_models(df: DataFrame, feature_cols: Sequence[str], segment_col: str |
 
 
 def sample_for_trees(members: DataFrame, model_sizes: DataFrame, n_estimators: int,
-                     max_samples: int, seed: int) -> DataFrame:
+                     max_samples: int, seed: int, model_bound: int | None = None) -> DataFrame:
     """(_model_key, _tree, _partner, _x0.., _psi): psi rows per tree.
 
     A row joins tree t when u(model, partner, t) < p; u comes from a per-row
@@ -144,7 +150,7 @@ def sample_for_trees(members: DataFrame, model_sizes: DataFrame, n_estimators: i
     Phi(-5.8) ~ 3e-9 per tree; the tree is then grown on the survivors, which
     are still a uniform random subset."""
     xs = [c for c in members.columns if c.startswith("_x")]
-    sized = members.join(F.broadcast(model_sizes), _MK)
+    sized = members.join(_bounded(model_sizes, model_bound), _MK)
     psi = F.least(F.lit(max_samples), F.col("_n")).cast("int")
     p = F.least(F.lit(1.0), (psi + F.lit(6.0) * F.sqrt(psi.cast("double")) + F.lit(16.0)) / F.col("_n"))
     sized = sized.select(_MK, _PK, *xs, psi.alias("_psi"), p.alias("_p"),
@@ -165,7 +171,8 @@ def sample_for_trees(members: DataFrame, model_sizes: DataFrame, n_estimators: i
     trees = F.filter(F.sequence(F.lit(0), F.lit(n_estimators - 1)),
                      lambda t: _unit_hash(F.col("_h0"), t) < F.col("_p"))
     wide = sized.select(_MK, _PK, *xs, "_psi", "_h0", F.explode(trees).alias("_tree")).withColumn("_u", u)
-    kept = wide.join(F.broadcast(cut), [_MK, "_tree"]).filter(F.struct("_u", _PK) <= F.col("_cut"))
+    cut_bound = None if model_bound is None else model_bound * n_estimators
+    kept = wide.join(_bounded(cut, cut_bound), [_MK, "_tree"]).filter(F.struct("_u", _PK) <= F.col("_cut"))
     return kept.select(_MK, "_tree", _PK, *xs, "_psi")
 
 
@@ -330,14 +337,14 @@ def _make_scorer():
 
 
 def score_members(members: DataFrame, forest: DataFrame, model_sizes: DataFrame,
-                  rows_per_task: int = 50_000) -> DataFrame:
+                  rows_per_task: int = 50_000, model_bound: int | None = None) -> DataFrame:
     """(_model_key, _partner, _score) for every member row."""
     salts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(rows_per_task))).cast("int"))
     sizes = model_sizes.select(_MK, salts.alias("_salts"))
-    rows = (members.join(F.broadcast(sizes), _MK)
+    rows = (members.join(_bounded(sizes, model_bound), _MK)
             .withColumn("_salt", F.pmod(F.xxhash64(F.col(_PK)), F.col("_salts").cast("long")).cast("int"))
             .drop("_salts"))
-    trees = (forest.join(F.broadcast(sizes), _MK)
+    trees = (forest.join(_bounded(sizes, model_bound), _MK)
              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
              .drop("_salts"))
     return (rows.groupBy(_MK, "_salt")
@@ -347,16 +354,25 @@ def score_members(members: DataFrame, forest: DataFrame, model_sizes: DataFrame,
 
 def forest_scores(df: DataFrame, feature_cols: Sequence[str], segment_col: str | None,
                   n_estimators: int, random_state: int, min_segment_size: int, partner_col: str,
-                  max_samples: int = 256, rows_per_task: int = 50_000, materialize: bool = True):
+                  max_samples: int = 256, rows_per_task: int = 50_000, materialize: bool = True,
+                  group_bound: int | None = None):
     """(scores per member, model sizes, routing).
 
     With ``materialize`` the member scores are written once to the shared
     checkpoint folder: the offsets and the final join both read them, and an
-    executor lost later does not re-run the Python fitting and scoring."""
-    members, sizes, routing = assign_models(df, feature_cols, segment_col, min_segment_size, partner_col)
-    sample = sample_for_trees(members, sizes, n_estimators, max_samples, random_state)
+    executor lost later does not re-run the Python fitting and scoring.
+
+    ``group_bound`` is a proven bound on the number of groups; the per-model
+    tables (at most groups + 1 rows, or that times the tree count) are
+    broadcast only with it, else AQE decides at run time."""
+    if not segment_col:
+        group_bound = 1
+    model_bound = None if group_bound is None else group_bound + 1
+    members, sizes, routing = assign_models(df, feature_cols, segment_col, min_segment_size, partner_col,
+                                            group_bound)
+    sample = sample_for_trees(members, sizes, n_estimators, max_samples, random_state, model_bound)
     forest = fit_forest(sample, random_state)
-    scores = score_members(members, forest, sizes, rows_per_task)
+    scores = score_members(members, forest, sizes, rows_per_task, model_bound)
     if materialize:
         from partnerwatch.session import cut_lineage
 
@@ -381,7 +397,7 @@ def run_isolation_forest_by_segment(df: DataFrame, feature_cols: Sequence[str],
                                     contamination: float = 0.05, n_estimators: int = 200,
                                     random_state: int = 42, min_segment_size: int = 10,
                                     partner_col: str = "BusinessPartner", max_samples: int = 256,
-                                    rows_per_task: int = 50_000) -> DataFrame:
+                                    rows_per_task: int = 50_000, group_bound: int | None = None) -> DataFrame:
     """M2-M5: adds ``isolation_forest_flag``, ``isolation_forest_score`` (decision
     value, lower = more anomalous) and ``risk_score`` (1 = most anomalous).
 
@@ -389,11 +405,13 @@ def run_isolation_forest_by_segment(df: DataFrame, feature_cols: Sequence[str],
     """
     feats = [c for c in feature_cols if c in df.columns]
     scores, _sizes, routing = forest_scores(df, feats, segment_col, n_estimators, random_state,
-                                            min_segment_size, partner_col, max_samples, rows_per_task)
+                                            min_segment_size, partner_col, max_samples, rows_per_task,
+                                            group_bound=group_bound)
     offsets = model_offsets(scores, contamination)
+    model_bound = 2 if not segment_col else (None if group_bound is None else group_bound + 1)
     kept = (scores.join(routing, _PK)
             .filter(F.col(_MK) == F.col("_own_key"))
-            .join(F.broadcast(offsets), _MK)
+            .join(_bounded(offsets, model_bound), _MK)
             .select(F.col(_PK), (F.col("_score") - F.col("_offset")).alias("isolation_forest_score")))
     kept = kept.withColumn("isolation_forest_flag", F.col("isolation_forest_score") < 0)
     out = df.join(kept.withColumnRenamed(_PK, "_pk_join"),
@@ -410,13 +428,14 @@ def model_routing(df: DataFrame, segment_col: str, min_segment_size: int = 10,
 
 def flag_counts(df: DataFrame, feature_cols: Sequence[str], segment_col: str | None, contamination: float,
                 n_estimators: int, random_state: int, min_segment_size: int,
-                partner_col: str = "BusinessPartner") -> DataFrame:
+                partner_col: str = "BusinessPartner", group_bound: int | None = None) -> DataFrame:
     """M4 check table: per model, training rows and rows below the offset."""
     feats = [c for c in feature_cols if c in df.columns]
     scores, _sizes, _routing = forest_scores(df, feats, segment_col, n_estimators, random_state,
-                                             min_segment_size, partner_col)
+                                             min_segment_size, partner_col, group_bound=group_bound)
     offsets = model_offsets(scores, contamination)
-    return (scores.join(F.broadcast(offsets), _MK)
+    model_bound = None if group_bound is None else group_bound + 1
+    return (scores.join(_bounded(offsets, model_bound), _MK)
             .groupBy(F.col(_MK).alias("model_key"))
             .agg(F.count(F.lit(1)).alias("n_train"),
                  F.count_if(F.col("_score") < F.col("_offset")).alias("flagged")))

@@ -55,6 +55,7 @@ def score_partners(partner_df: DataFrame, cfg: C.PipelineConfig = C.DEFAULT_CONF
             n_estimators=th.isolation_forest_n_estimators,
             random_state=th.isolation_forest_random_state,
             min_segment_size=th.isolation_forest_min_segment_size,
+            group_bound=bound,
         )
     return alerts.build_alert_column(
         scored, iqr_multiplier=th.iqr_multiplier,

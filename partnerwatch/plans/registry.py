@@ -566,11 +566,14 @@ def q_top_watchlist(spark, sf):
 TH = C.DEFAULT_CONFIG.thresholds
 
 
+GROUP_BOUNDS = {"PeerGroup": C.peer_group_bound(), "Segment": len(C.SEGMENT_LABELS) + 1}
+
+
 def _gold_if(spark, sf, segment_col="PeerGroup", min_size=TH.isolation_forest_min_segment_size):
     p = _partners(spark, sf)
     return iforest.run_isolation_forest_by_segment(
         p, FEATS, segment_col, TH.isolation_forest_contamination, TH.isolation_forest_n_estimators,
-        TH.isolation_forest_random_state, min_size)
+        TH.isolation_forest_random_state, min_size, group_bound=GROUP_BOUNDS[segment_col])
 
 
 @register("if_scores")
@@ -599,7 +602,7 @@ def _expected_flags(n: str, c: float) -> str:
 def q_if_flag_counts(spark, sf):
     return iforest.flag_counts(_partners(spark, sf), FEATS, "PeerGroup", TH.isolation_forest_contamination,
                                TH.isolation_forest_n_estimators, TH.isolation_forest_random_state,
-                               TH.isolation_forest_min_segment_size)
+                               TH.isolation_forest_min_segment_size, group_bound=C.peer_group_bound())
 
 
 _ROUTE_MIN = 60
