@@ -30,8 +30,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The session's checkpoint directory; a local scratch one only when unset."""
-    sc = spark.sparkContext
+    """The session's checkpoint directory (``spark.checkpoint.dir``).
+
+    Only a local-mode session without one gets a scratch folder; a cluster
+    session without one gets ``None`` (callers then persist instead of
+    writing to a machine-local folder). Works without a SparkContext handle
+    (Spark Connect) by reading the session configuration.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
