@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partnerwatch.functions import stats
@@ -37,8 +37,10 @@ def segment_overview(tx: DataFrame, segment_col: str = "Segment", partner_col: s
         F.count_distinct(partner_col).alias("UniquePartners"),
     ).withColumn("AvgAmount", F.col("TotalAmount") / F.col("Transactions"))
     per = per.select(segment_col, "Transactions", "TotalAmount", "AvgAmount", "UniquePartners")
-    total = F.sum("Transactions").over(Window.partitionBy())  # one row per segment: a handful
-    return per.withColumn("PctTransactions", pandas_round(F.col("Transactions") / total * 100, 1))
+    total = per.agg(F.sum("Transactions").alias("_all"))
+    with_total = stats.attach(per, total, [])
+    return with_total.withColumn(
+        "PctTransactions", pandas_round(F.col("Transactions") / F.col("_all") * 100, 1)).drop("_all")
 
 
 def doc_type_counts(tx: DataFrame, doc_type_col: str = "CADocumentType") -> DataFrame:

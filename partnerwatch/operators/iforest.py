@@ -111,13 +111,9 @@ def assign_models(df: DataFrame, feature_cols: Sequence[str], segment_col: str |
         return members, sizes, routing
 
     seg_sizes = base.groupBy("_seg").agg(F.count(F.lit(1)).alias("_segn"))
-    # one row per peer group (bounded by the code tables), so a keyless window is fine
-    everyone = Window.partitionBy()
-    seg_sizes = seg_sizes.select(
-        "_seg", "_segn",
-        F.max((F.col("_segn") < min_segment_size).cast("int")).over(everyone).alias("_any_small"),
-        F.sum("_segn").over(everyone).alias("_total"),
-    )
+    overall = seg_sizes.agg(F.max((F.col("_segn") < min_segment_size).cast("int")).alias("_any_small"),
+                            F.sum("_segn").alias("_total"))
+    seg_sizes = stats.attach(seg_sizes, overall, [])
     tagged = base.join(_bounded(seg_sizes, group_bound), "_seg")
     own = F.when(F.col("_segn") >= min_segment_size, F.col("_seg")).otherwise(F.lit(GLOBAL_MODEL_KEY))
     keys = F.array_compact(F.array(
