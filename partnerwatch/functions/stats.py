@@ -42,9 +42,13 @@ _V = "_value"
 _C = "_count"
 
 
-def to_long(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
-    """(group..., feature, value) rows, NaN/NULL values dropped (pandas skips them)."""
-    pairs = F.array(*[F.struct(F.lit(c).alias(_F), nan_to_null(c).alias(_V)) for c in value_cols])
+def to_long(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
+            as_index: bool = False) -> DataFrame:
+    """(group..., feature, value) rows, NaN/NULL values dropped (pandas skips them).
+    With ``as_index`` the feature is its position (an int) instead of its name,
+    which keeps the shuffled rows narrow."""
+    pairs = F.array(*[F.struct((F.lit(i) if as_index else F.lit(c)).alias(_F), nan_to_null(c).alias(_V))
+                      for i, c in enumerate(value_cols)])
     return (
         df.select(*group_cols, F.inline(pairs))
         .filter(F.col(_V).isNotNull())
@@ -147,9 +151,12 @@ def _quantile_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
 
 def group_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
                     probs: Sequence[float], partitions: int | None = None) -> DataFrame:
-    """Long result: (group..., ``_feature``, ``n``, ``q0``, ``q1``, ...)."""
-    long = to_long(df, group_cols, value_cols)
-    return _quantile_long(long, [*group_cols, _F], probs, partitions)
+    """Long result: (group..., ``_feature``, ``n``, ``q0``, ``q1``, ...); the
+    shuffles carry a feature index, the name is put back on the small result."""
+    long = to_long(df, group_cols, value_cols, as_index=True)
+    out = _quantile_long(long, [*group_cols, _F], probs, partitions)
+    names = F.array(*[F.lit(c) for c in value_cols])
+    return out.withColumn(_F, F.element_at(names, F.col(_F) + 1))
 
 
 def group_quantiles_wide(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
