@@ -66,3 +66,11 @@ def test_registry_is_consistent():
     qs, oracles = registry.QUERIES, registry.ORACLES
     assert set(oracles) <= set(qs)
     assert len(qs) >= 50
+
+
+def test_no_cross_or_nested_loop_joins(spark):
+    from partnerwatch.plans import registry as R
+
+    for key in ("amount_summary", "feature_corr", "risk_score", "alert_summary", "segment_overview", "eda_summary"):
+        text = plan(R.QUERIES[key](spark, SF))
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, key
