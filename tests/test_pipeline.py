@@ -54,3 +54,13 @@ def test_gold_columns(spark):
     assert {"iqr_max_score", "iqr_flag", "iqr_triggered_cols", "isolation_forest_flag", "isolation_forest_score",
             "risk_score", "flag_reason", "PeerGroup"} <= cols
     assert len(gold.columns) == 64
+
+
+def test_cli_stage_step(spark, tmp_path):
+    from partnerwatch.__main__ import main
+
+    raw = str(tmp_path / "raw")
+    FX.ledger_bronze(spark, SF).write.option("header", True).csv(raw)
+    counts = main(["stage", "--raw", raw, "--silver", str(tmp_path / "silver"), "--as-of", "2002-01-01"])
+    assert counts == {"raw_rows": 6000, "silver_rows": 6000}
+    assert files.read_silver(spark, str(tmp_path / "silver")).count() == 6000
