@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 
 from partnerwatch.functions.scalar import nan_to_null
 
-# Broadcast a statistics table only below this many groups (rows).
-BROADCAST_GROUP_LIMIT = 100_000
+# Broadcast a statistics table only when its proven row bound is below this.
+# The largest bounded tables here are the forest's cut-off table (models x
+# trees = 67 x 200) and per-group quantiles (66 rows x ~60 doubles): a few MB.
+BROADCAST_GROUP_LIMIT = 20_000
 
 _F = "_feature"
 _V = "_value"
