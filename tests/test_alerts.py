@@ -12,6 +12,8 @@ import os
 from datetime import date, timedelta
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from partnerwatch.operators import alerts
@@ -238,3 +240,17 @@ def test_show_top(sample_flagged):
 def test_top_watchlist_yes_no(sample_flagged):
     rows = alerts.top_watchlist(sample_flagged, n=2).collect()
     assert [(r.BusinessPartner, r.IF, r.IQR) for r in rows] == [("BP001", "YES", "YES"), ("BP004", "YES", "YES")]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(new=st.lists(st.sampled_from(["a", "b", "c", "d", "e"]), min_size=0, max_size=8),
+       hist=st.lists(st.tuples(st.sampled_from(["a", "b", "c", "x"]), st.integers(-5, 40)), max_size=8))
+def test_cooldown_split_property(spark, new, hist):
+    new_df = spark.createDataFrame([(p, 0.5) for p in new], "BusinessPartner string, risk_score double")
+    hist_df = spark.createDataFrame([(p, AS_OF - timedelta(days=d)) for p, d in hist],
+                                    "BusinessPartner string, run_date date")
+    fresh, suppressed = alerts.filter_recently_alerted(new_df, hist_df, AS_OF, cooldown_days=30)
+    f, s = [r.BusinessPartner for r in fresh.collect()], [r.BusinessPartner for r in suppressed.collect()]
+    recent = {p for p, d in hist if 1 <= d <= 30}
+    assert sorted(f + s) == sorted(new)
+    assert set(s) == {p for p in new if p in recent} and not set(f) & recent
