@@ -57,14 +57,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _OP1 = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, x -> greatest(least(floor(256 * x::DOUBLE), 9223372036854774784.0), -9223372036854775808.0))) AS v
+  SELECT vec_id, min([greatest(least(floor(256 * x::DOUBLE), 9223372036854774784.0), -9223372036854775808.0) FOR x IN embedding]) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
   GROUP BY vec_id
 ), pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), i -> q.v[i]::BIGINT * c.v[i]::BIGINT)), 0)::BIGINT AS score
+         coalesce(list_sum([q.v[i]::BIGINT * c.v[i]::BIGINT FOR i IN range(1, least(len(q.v), len(c.v)) + 1)]), 0)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs
