@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerwatch.llm import chat, mixing, token_files, topk, url_filter
+from partnerwatch.llm import chat, decontaminate, html_text, jaccard_join, mixing, quality, token_files, topk, toxicity, url_filter
 from partnerwatch.llm.common import LOWER, UPPER, table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -35,11 +35,32 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.url_verdicts(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components_of(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = r"\### Assistant: </turn> ok"
@@ -51,7 +72,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
+    "op4_decontaminate": op4_decontaminate,
     "op5_url_filter": op5_url_filter,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality": op8_quality,
+    "op9_html_text": op9_html_text,
     "op10_chat_format": op10_chat_format,
 }
 
