@@ -27,7 +27,7 @@ import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,42 +47,77 @@ _ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
 INDEX = "part int, file string, doc_id long, first long, n_tokens long"
 
 
+class _Kept(dict):
+    """ids of words; ``most`` words are kept, none longer than ``longest``."""
+
+    def __init__(self, of: Callable[[str], bytes], most: int, longest: int = 64) -> None:
+        super().__init__()
+        self.of, self.most, self.longest = of, most, longest
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.of(word)
+        if len(word) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+def byte_letters() -> dict[int, str]:
+    """Letters of Latin-1 beyond ASCII as byte-level BPE spells their UTF-8
+    bytes: printable bytes stand for themselves, the others for the code points
+    from 256 on, in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    spelled = {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+    return {c: "".join(spelled[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
 class TextEncoder:
     """ids of whole texts as bytes of little-endian unsigned 32-bit integers.
 
     With ``by_word``, the tokenizer sees each word (what stands between ASCII
     white space) once and its ids are kept: right for tokenizers that drop white
-    space and never join across it. The kept words are bounded.
+    space and never join across it. Words of Latin letters, with or without
+    marks behind them, go straight to the tokenizer's model, lower-cased and
+    spelled as its byte-level step does, if that gives the tokenizer's own ids
+    for ``PROBES``. The kept words are bounded.
     """
 
-    MOST_WORDS, LONGEST = 300_000, 64
+    MOST_WORDS = 300_000
+    PROBES = ("the", "The,", "ÉTÉ&&&", "straße.", "thwhsh", "ÿ", "a", "ñandú|", "ÀÖØÞ!!")
+    _WORD = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,!|*$%&#?:;]*)")
 
     def __init__(self, path: str, by_word: bool) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
-        self.kept: dict[str, bytes] = {}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.spelling, self.model = byte_letters(), self.tokenizer.model
+        self.stems = _Kept(self._stem, self.MOST_WORDS)
+        self.marks = _Kept(self._raw, self.MOST_WORDS // 100)
+        self.direct = by_word and all(self._word(w) == self._raw(w) for w in self.PROBES)
+        self.kept = _Kept(self._word if self.direct else self._raw, self.MOST_WORDS)
+
+    def _raw(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _stem(self, stem: str) -> bytes:
+        spelled = stem if stem.isascii() else stem.translate(self.spelling)
+        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        parts = self._WORD.fullmatch(word)
+        if not parts:
+            return self._raw(word)
+        stem, marks = parts.groups()
+        return self.stems[stem.lower()] + (self.marks[marks] if marks else b"")
 
     def encode(self, text: str) -> bytes:
         if not self.by_word:
-            return self._raw([text])[0]
+            return self._raw(text)
         words = _ASCII_SPACE.split(text) if _OTHER_SPACE.search(text) else text.split()
-        kept = self.kept
-        new = [w for w in set(words) if w not in kept]
-        if new:
-            if len(kept) + len(new) > self.MOST_WORDS:
-                kept.clear()
-                new = list(set(words))
-            kept.update(zip(new, self._raw(new)))
-        ids = b"".join(map(kept.__getitem__, words))
-        for w in new:
-            if len(w) > self.LONGEST:
-                del kept[w]
-        return ids
+        return b"".join(map(self.kept.__getitem__, words))
 
 
 _ENCODERS: dict[tuple[str, bool], TextEncoder] = {}
