@@ -42,7 +42,12 @@ FOUND = "array<struct<item_id:long,score:double,first_word:long,last_word:long>>
 
 
 def plain_word(word: bytes) -> bytes:
-    return _PLAIN.sub("", word.decode("utf-8", "surrogatepass").lower()).encode("utf-8", "surrogatepass")
+    """The word without case and punctuation."""
+    core = word.strip(b".,;:!?()[]|*$%&#'\"-_")
+    if core.isalnum():  # ASCII only
+        return core
+    text = core.decode("utf-8", "surrogatepass").lower()
+    return (text if text.isalnum() else _PLAIN.sub("", text)).encode("utf-8", "surrogatepass")
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:

@@ -6,19 +6,25 @@ bucket in a fixed-size table of counts over all documents, then by hash, so
 what many documents share comes last.
 
 Two sets of similarity t or more share one of their first n - ceil(t n) + 1
-shingles (prefixes). Prefix entries meet by shingle:
-
-1. Each entry's node is paired with the first node of its shingle (hot shingles
-   in slices, whose firsts meet in a second step). No group's pairs are all made.
-2. Sets of paired nodes are compared by the prefix-tree join: the sets that meet
-   one set are stored in a trie in the global order, and a walk shares the
-   partial overlap of their common beginnings and leaves subtrees whose overlap
-   cannot reach the bound with the shingles that remain.
-3. Pairs that pass are links; their connected components are found.
-4. What is left are nodes of different components that share a prefix shingle:
-   all those pairs that sizes and places allow are compared too, so no link is
-   lost. Pairs inside a component need no comparison, which keeps large groups
-   of near copies linear.
+shingles (prefixes), and the smaller set has the first of these among its first
+n (1 - t) / (1 + t) (its inner prefix; an outer entry alone can link nothing).
+Prefix entries meet by shingle:
+
+1. Each entry's node is paired with the first inner node of its shingle (hot
+   shingles in slices, whose firsts meet in a second step). No group's pairs are
+   all made. Sizes and places in the order rule out pairs.
+2. Parity bitmaps of about a bit a shingle bound the difference of two sets from
+   below; pairs whose bound is too large go, the others' sets are fetched.
+3. They are compared by the prefix-tree join: the sets that meet one set are
+   stored in a trie in the global order, and a walk shares the partial overlap
+   of their common beginnings and leaves subtrees whose overlap cannot reach the
+   bound with the shingles that remain.
+4. Pairs that pass are links; their connected components are found.
+5. What is left are nodes of different components that share a prefix shingle:
+   all those pairs that steps 1 and 2 cannot rule out are compared too, so no
+   link is lost. Of shingles that the same nodes hold, the first in the order
+   stands for all. Pairs inside a component need no comparison, which keeps
+   large groups of near copies linear.
 
 Defined results: null texts, and texts without words, have no shingles and are
 alone; a text of fewer words than a shingle is one shingle; rows that repeat a
@@ -74,6 +80,23 @@ def similar(overlap: int, n: int, m: int, percent: int) -> bool:
     return 100 * overlap >= percent * (n + m - overlap)
 
 
+def parity_bitmap(shingles: np.ndarray) -> bytes:
+    """Parities of the counts of shingles by their low bits, one to two bits a shingle."""
+    size = 1 << max(6, (len(shingles) - 1).bit_length())
+    at = np.bincount((shingles & np.uint64(size - 1)).view(np.int64), minlength=size)
+    return np.packbits((at & 1).astype(np.uint8)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets by their bitmaps."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 class SetTrie:
     """Ordered sets in a compressed trie; nodes hold [tokens, children by first
     token, smallest and largest set below, names of the sets that end here]."""
@@ -120,34 +143,34 @@ class SetTrie:
 
 
 def text_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, node) of every document, and the table of counts."""
+    """(doc_id, n, node, bits) of every document, and the table of counts."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = WordHashes(), np.zeros(COUNTS, np.int64)
-        names = ["doc_id", "n", "node", "bucket", "count"]
+        names = ["doc_id", "n", "node", "bits", "bucket", "count"]
         empty = lambda n: pa.nulls(n, pa.int64())
         for b in batches:
             rows, at = [], [np.empty(0, np.uint64)]
             for text in b["text"].to_pylist():
                 s = shingle_set(hashes.of(text), SHINGLE)
                 at.append(s & np.uint64(COUNTS - 1))
-                rows.append((len(s), digest(s) if len(s) else None))
+                rows.append((len(s), digest(s), parity_bitmap(s)) if len(s) else (0, None, None))
             counts += np.bincount(np.concatenate(at).view(np.int64), minlength=COUNTS)
-            n, nodes = (pa.array(x, pa.int64()) for x in (zip(*rows) if rows else ((), ())))
-            yield pa.record_batch([b["doc_id"], n, nodes, empty(len(n)), empty(len(n))], names)
+            n, nodes, bits = zip(*rows) if rows else ((), (), ())
+            yield pa.record_batch([b["doc_id"], pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary()), empty(len(n)), empty(len(n))], names)
         some = np.flatnonzero(counts)
         for at in range(0, len(some), 1 << 16):
             part = some[at : at + (1 << 16)]
             none = empty(len(part))
-            yield pa.record_batch([none, none, none, pa.array(part), pa.array(counts[part])], names)
+            yield pa.record_batch([none, none, none, pa.nulls(len(part), pa.binary()), pa.array(part), pa.array(counts[part])], names)
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, node long, bucket long, count long")
+    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, node long, bits binary, bucket long, count long")
     table = shared_table(rows, "shingle-sets")
     sums = table.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).toPandas()
     counts = np.zeros(COUNTS, np.int64)  # as many numbers whatever the corpus
     counts[sums["bucket"]] = sums["count"]
-    return table.where("bucket is null").select("doc_id", "n", "node"), counts
+    return table.where("bucket is null").select("doc_id", "n", "node", "bits"), counts
 
 
 def prefix_entries(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
@@ -188,53 +211,70 @@ def _could_link(a: str, b: str, percent: int) -> Column:
     return F.least(left(a), left(b)) * (100 + percent) >= (size(a) + size(b)) * percent
 
 
+def _inner(at: str, percent: int) -> Column:
+    """Whether an entry is in the inner prefix: a set of at least its size can be similar."""
+    size = F.shiftright(F.col(at), 32)
+    return (size - F.col(at).bitwiseAND(F.lit((1 << 32) - 1))) * (100 + percent) >= size * 2 * percent
+
+
 def _pairs_with_first(entries: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Entries of shingles that more than one node has, and the pairs of their
     nodes with the first node of the shingle (or of its slice)."""
-    order = Window.partitionBy("shingle", "slice").orderBy("node")
+    entries = entries.withColumn("inner", _inner("at", percent))
+    order = Window.partitionBy("shingle", "slice").orderBy(F.desc("inner"), "node")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = entries.select(
-        "shingle", "slices", "node", "at",
-        F.first("node").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("first"),
-        F.first("at").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("first_at"),
-        F.lag("node").over(order).alias("before"),
+        "shingle", "slices", "node", "at", "inner",
+        F.first("node").over(so_far).alias("first"),
+        F.first("at").over(so_far).alias("first_at"),
+        F.first("inner").over(so_far).alias("first_inner"),
         F.lead("node").over(order).alias("after"),
     )
-    own = F.col("before").isNull() | (F.col("before") != F.col("node"))  # a node that two tasks saw has equal rows
-    met = (F.col("first") != F.col("node")) | (F.col("after").isNotNull() & (F.col("after") != F.col("node"))) | (F.col("slices") > 1)
-    # a first node's last equal row is the one that sees what follows
+    # a node that two tasks saw has equal rows, next to each other: the last counts, which sees what follows
     last = F.col("after").isNull() | (F.col("after") != F.col("node"))
-    kept = shared_table(run.where(met & F.when(F.col("first") == F.col("node"), last).otherwise(own)).drop("before", "after"), "prefix-entries")
+    met = (F.col("first") != F.col("node")) | F.col("after").isNotNull()
+    kept = run.where(last & ((met & F.col("first_inner")) | (F.col("slices") > 1)))
+    kept = shared_table(kept.drop("after", "first_inner"), "prefix-entries")
     firsts = kept.where((F.col("first") == F.col("node")) & (F.col("slices") > 1))
-    over = Window.partitionBy("shingle").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    over = Window.partitionBy("shingle").orderBy(F.desc("inner"), "node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     second = firsts.select("node", "at", F.first("node").over(over).alias("first"), F.first("at").over(over).alias("first_at"))
     both = kept.select("node", "at", "first", "first_at").unionByName(second)
     fit = both.where((F.col("node") != F.col("first")) & _could_link("at", "first_at", percent))
     return kept, fit.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _sets_of(nodes: DataFrame, keyed: DataFrame, docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(node, shingles in the global order) of the given nodes, from one document each."""
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their bitmaps do not rule out."""
+
+    @F.pandas_udf("boolean")
+    def possible(a: pd.Series, b: pd.Series, sizes: pd.Series) -> pd.Series:
+        least = np.array([least_difference(x, y) for x, y in zip(a, b)], np.int64)
+        return pd.Series(least * (100 + percent) <= sizes.to_numpy() * (100 - percent))
+
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("bits").alias(f"{c}_bits"), F.col("n").alias(f"{c}_n"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    return met.where(possible("a_bits", "b_bits", F.col("a_n") + F.col("b_n"))).select("a", "b")
+
+
+def _sets_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(node, tokens: the set in the global order) of the nodes in ``pairs``, from
+    one document each; a doc_id may repeat with other texts, whose sets no pair names."""
     sent = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, hashes = ranked(sent.value), WordHashes()
         for b in batches:
-            sets = [in_order(shingle_set(hashes.of(t), SHINGLE), ranks).tobytes() for t in b["text"].to_pylist()]
-            yield pa.record_batch([b["node"], pa.array(sets, pa.binary())], ["node", "tokens"])
-
-    wanted = shared_table(keyed.join(nodes, "node").select(F.col("one").alias("doc_id"), "node"), "wanted-sets")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
-    found = texts.mapInArrow(lambda it: _own_sets(it, run), "node long, tokens binary")
+            sets = [shingle_set(hashes.of(t), SHINGLE) for t in b["text"].to_pylist()]
+            tokens = pa.array([in_order(s, ranks).tobytes() for s in sets], pa.binary())
+            yield pa.record_batch([pa.array([digest(s) for s in sets], pa.int64()), tokens], ["node", "tokens"])
+
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = shared_table(nodes.join(ends, "node").select(F.col("one").alias("wanted")).distinct(), "wanted-documents")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi")
+    found = texts.select("text").mapInArrow(run, "node long, tokens binary")
     return shared_table(found.dropDuplicates(["node"]), "ordered-sets")
 
 
-def _own_sets(batches: Iterator[pa.RecordBatch], run) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-    """Keep sets whose digest is the node's: a doc_id may repeat with other texts."""
-    for b in run(batches):
-        own = [digest(np.sort(np.frombuffer(t, np.uint64))) == n for n, t in zip(b["node"].to_pylist(), b["tokens"].to_pylist())]
-        yield b.filter(pa.array(own, pa.bool_()))
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity: a's partners, in parts
     of bounded size, are a trie that a's set walks."""
@@ -259,19 +299,26 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _pairs_between(entries: DataFrame, labels: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of different components that share a prefix shingle and
-    were not compared yet."""
-    named = entries.select("shingle", "node", "at").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    were not compared yet; the smaller set's entry is inner."""
+    named = entries.select("shingle", "node", "at", "inner").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = shared_table(named, "named-entries")
-    mixed = named.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
+    place = F.col("at").bitwiseAND(F.lit((1 << 32) - 1))
+    groups = named.groupBy("shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.max("inner").alias("inner"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"), F.min(F.struct("node", place.alias("place"))).alias("least"),
+    )
+    # of shingles with the same nodes, the first in the global order, which all these nodes see first
+    mixed = groups.where("inner and low < high").groupBy("n", "x", "y").agg(F.min(F.struct("least.place", "shingle")).alias("m")).select("m.shingle")
     open_ = shared_table(named.join(mixed, "shingle"), "open-entries")
-    held = open_.select("shingle", "component").distinct()
+    held = open_.groupBy("shingle", "component").agg(F.max("inner").alias("inner"))
     other = held.select("shingle", F.col("component").alias("other"))
-    between = held.join(other, "shingle").where("component < other")
-    left = open_.select("shingle", "component", F.col("node").alias("x"), F.col("at").alias("x_at")).join(between, ["shingle", "component"])
+    between = held.where("inner").select("shingle", "component").join(other, "shingle").where("component <> other")
+    left = open_.where("inner").select("shingle", "component", F.col("node").alias("x"), F.col("at").alias("x_at")).join(between, ["shingle", "component"])
     right = open_.select("shingle", F.col("component").alias("other"), F.col("node").alias("y"), F.col("at").alias("y_at"))
-    met = left.join(right, ["shingle", "other"]).where(_could_link("x_at", "y_at", percent))
+    met = left.join(right, ["shingle", "other"]).where(_could_link("x_at", "y_at", percent) & (F.shiftright("x_at", 32) <= F.shiftright("y_at", 32)))
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return pairs.join(seen, ["a", "b"], "left_anti")
+    turned = seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.join(turned, ["a", "b"], "left_anti")
 
 
 def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -280,21 +327,24 @@ def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     table, counts = text_sets(docs)
     entries, first_pairs = _pairs_with_first(prefix_entries(docs, counts, percent), percent)
     first_pairs = shared_table(first_pairs, "first-pairs")
-    keyed = table.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("one"))
+    keyed = table.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("one"), F.max("n").alias("n"), F.max("bits").alias("bits"))
     keyed = shared_table(keyed, "nodes")
-    ends = lambda pairs: pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    links = shared_table(_verified(first_pairs, _sets_of(ends(first_pairs), keyed, docs, counts), percent), "links-found")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        near = shared_table(_possible(pairs, keyed, percent), "possible-pairs")
+        return shared_table(_verified(near, _sets_of(near, keyed, docs, counts), percent), "links-found")
+
+    links = compared(first_pairs)
     labels = shared_table(connected_components(links), "labels")
     rest = shared_table(_pairs_between(entries, labels, first_pairs, percent), "rest-pairs")
     if rest.take(1):
-        more = shared_table(_verified(rest, _sets_of(ends(rest), keyed, docs, counts), percent), "links-found")
-        links = links.unionByName(more)
+        links = links.unionByName(compared(rest))
         labels = shared_table(connected_components(links), "labels")
     degrees = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
-    named = labels.join(keyed, "node")
+    named = labels.join(keyed.select("node", "one"), "node")
     names = named.join(named.groupBy("component").agg(F.min("one").alias("component_id")), "component")
     linked = shared_table(names.join(degrees, "node", "left").select("node", "component_id", "n_links"), "linked-nodes")
-    whole = keyed.join(linked, "node", "left").select("node", F.coalesce("component_id", "one").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    whole = keyed.select("node", "one").join(linked, "node", "left").select("node", F.coalesce("component_id", "one").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = table.join(whole, "node", "left")
     alone = F.col("node").isNull()
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
