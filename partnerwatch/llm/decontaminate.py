@@ -157,7 +157,7 @@ def _count_seeds(docs: DataFrame, all_seeds: Seeds) -> tuple[np.ndarray, int]:
         some = np.flatnonzero(held)
         yield pa.record_batch([pa.array(np.append(some, -1)), pa.array(np.append(held[some], n))], ["seed", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toPandas()
+    rows = docs.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     counts = np.zeros(len(all_seeds.grams), np.int64)
     own = rows["seed"] >= 0
     counts[rows["seed"][own]] = rows["n"][own]

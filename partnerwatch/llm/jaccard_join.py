@@ -10,9 +10,9 @@ shingles (prefixes), and the smaller set has the first of these among its first
 n (1 - t) / (1 + t) (its inner prefix; an outer entry alone can link nothing).
 Prefix entries meet by shingle:
 
-1. Each entry's node is paired with the first inner node of its shingle (hot
-   shingles in slices, whose firsts meet in a second step). No group's pairs are
-   all made. Sizes and places in the order rule out pairs.
+1. Each entry's node is paired with the inner node that has the shingle earliest
+   in its order (hot shingles in slices, whose firsts meet in a second step). No
+   group's pairs are all made. Sizes and places in the order rule out pairs.
 2. Parity bitmaps of about a bit a shingle bound the difference of two sets from
    below; pairs whose bound is too large go, the others' sets are fetched.
 3. They are compared by the prefix-tree join: the sets that meet one set are
@@ -38,6 +38,7 @@ columns are passed on by ``one_of_each`` and left out by ``components_of``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -51,7 +52,8 @@ from partnerwatch.llm.components import connected_components
 from partnerwatch.llm.grams import WordHashes, shingle_set
 
 SHINGLE, PERCENT = 5, 75
-COUNTS = 1 << 18
+COUNTS = 1 << 20
+CHUNK = 1 << 10  # counts that a row carries from the tasks to their sums
 SLICE = 20_000  # entries of a hot shingle in one slice, as its bucket's count suggests
 PARTNERS = 64  # sets that one trie holds on average
 
@@ -61,15 +63,23 @@ def digest(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
-def ranked(counts: np.ndarray) -> np.ndarray:
-    """The counts' ranks, in a type that sorts fast."""
-    ranks = np.unique(counts, return_inverse=True)[1]
-    return ranks.astype(np.uint16 if ranks.max(initial=0) < 1 << 16 else np.int64)
+@dataclass(frozen=True)
+class Order:
+    """The global order of shingles: the rank of their bucket's count, then the
+    hash; and in how many slices a shingle of a bucket is dealt."""
 
+    ranks: np.ndarray
+    slices: np.ndarray
 
-def in_order(shingles: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """The set in the global order."""
-    return shingles[np.argsort(ranks[shingles & np.uint64(COUNTS - 1)], kind="stable")]
+    @classmethod
+    def of(cls, counts: np.ndarray) -> Order:
+        ranks = np.unique(counts, return_inverse=True)[1]
+        small = np.uint16 if ranks.max(initial=0) < 1 << 16 else np.int64  # small integers sort faster
+        return cls(ranks.astype(small), np.minimum(counts // SLICE + 1, 32_000).astype(np.int16))
+
+    def sort(self, shingles: np.ndarray) -> np.ndarray:
+        """An ascending set in the global order."""
+        return shingles[np.argsort(self.ranks[shingles & np.uint64(COUNTS - 1)], kind="stable")]
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -142,13 +152,13 @@ class SetTrie:
         return found
 
 
-def text_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, node, bits) of every document, and the table of counts."""
+def text_sets(docs: DataFrame) -> tuple[DataFrame, Order]:
+    """(doc_id, n, node, bits) of every document, and the global order."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = WordHashes(), np.zeros(COUNTS, np.int64)
-        names = ["doc_id", "n", "node", "bits", "bucket", "count"]
+        names = ["doc_id", "n", "node", "bits", "chunk", "counts"]
         empty = lambda n: pa.nulls(n, pa.int64())
         for b in batches:
             rows, at = [], [np.empty(0, np.uint64)]
@@ -158,29 +168,29 @@ def text_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 rows.append((len(s), digest(s), parity_bitmap(s)) if len(s) else (0, None, None))
             counts += np.bincount(np.concatenate(at).view(np.int64), minlength=COUNTS)
             n, nodes, bits = zip(*rows) if rows else ((), (), ())
-            yield pa.record_batch([b["doc_id"], pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary()), empty(len(n)), empty(len(n))], names)
-        some = np.flatnonzero(counts)
-        for at in range(0, len(some), 1 << 16):
-            part = some[at : at + (1 << 16)]
-            none = empty(len(part))
-            yield pa.record_batch([none, none, none, pa.nulls(len(part), pa.binary()), pa.array(part), pa.array(counts[part])], names)
-
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, node long, bits binary, bucket long, count long")
+            yield pa.record_batch([b["doc_id"], pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary()), empty(len(n)), pa.nulls(len(n), pa.list_(pa.int64()))], names)
+        chunks = counts.reshape(-1, CHUNK)
+        some = np.flatnonzero(chunks.any(1))
+        none = empty(len(some))
+        sums = pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * CHUNK, chunks[some].ravel())
+        yield pa.record_batch([none, none, none, pa.nulls(len(some), pa.binary()), pa.array(some), sums], names)
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, node long, bits binary, chunk long, counts array<long>")
     table = shared_table(rows, "shingle-sets")
-    sums = table.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).toPandas()
+    each = table.where("chunk is not null").select("chunk", F.posexplode("counts").alias("at", "count")).where("count > 0")
+    sums = each.groupBy((F.col("chunk") * CHUNK + F.col("at")).alias("bucket")).agg(F.sum("count").alias("count")).toArrow()
     counts = np.zeros(COUNTS, np.int64)  # as many numbers whatever the corpus
-    counts[sums["bucket"]] = sums["count"]
-    return table.where("bucket is null").select("doc_id", "n", "node", "bits"), counts
+    counts[sums["bucket"].to_numpy()] = sums["count"].to_numpy()
+    return table.where("chunk is null").select("doc_id", "n", "node", "bits"), Order.of(counts)
 
 
-def prefix_entries(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+def prefix_entries(docs: DataFrame, order: Order, percent: int) -> DataFrame:
     """shingle, slice, slices, node, n, place of every prefix entry; texts of one
     set that a task sees again add none."""
-    sent = docs.sparkSession.sparkContext.broadcast(counts)
+    sent = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, hashes, seen = sent.value, WordHashes(), set()
-        ranks = ranked(counts)
+        order, hashes, seen = sent.value, WordHashes(), set()
         for b in batches:
             parts = []
             for text in b["text"].to_pylist():
@@ -189,13 +199,12 @@ def prefix_entries(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFra
                 if not len(s) or node in seen:
                     continue
                 seen.add(node)
-                first = in_order(s, ranks)[: prefix_length(len(s), percent)]
+                first = order.sort(s)[: prefix_length(len(s), percent)]
                 parts.append((first, np.full(len(first), node), np.full(len(first), len(s) << 32) + np.arange(len(first))))
             if parts:
                 shingles, nodes, sizes = (np.concatenate(x) for x in zip(*parts))
-                slices = counts[shingles & np.uint64(COUNTS - 1)] // SLICE + 1
-                slices = np.minimum(slices, 32_000)
-                yield pa.record_batch([shingles.view(np.int64), (mixed(nodes) % slices).astype(np.int16), slices.astype(np.int16), nodes, sizes], ["shingle", "slice", "slices", "node", "at"])
+                slices = order.slices[shingles & np.uint64(COUNTS - 1)]
+                yield pa.record_batch([shingles.view(np.int64), (mixed(nodes) % slices).astype(np.int16), slices, nodes, sizes], ["shingle", "slice", "slices", "node", "at"])
 
     return docs.where("doc_id is not null").select("text").mapInArrow(run, "shingle long, slice short, slices short, node long, at long")
 
@@ -211,6 +220,13 @@ def _could_link(a: str, b: str, percent: int) -> Column:
     return F.least(left(a), left(b)) * (100 + percent) >= (size(a) + size(b)) * percent
 
 
+def _largest_partner(at: str, percent: int) -> Column:
+    """The largest set that can be similar, if this is the first shared shingle."""
+    size = F.shiftright(F.col(at), 32)
+    left = size - F.col(at).bitwiseAND(F.lit((1 << 32) - 1))
+    return F.floor(left * (100 + percent) / percent) - size
+
+
 def _inner(at: str, percent: int) -> Column:
     """Whether an entry is in the inner prefix: a set of at least its size can be similar."""
     size = F.shiftright(F.col(at), 32)
@@ -221,7 +237,9 @@ def _pairs_with_first(entries: DataFrame, percent: int) -> tuple[DataFrame, Data
     """Entries of shingles that more than one node has, and the pairs of their
     nodes with the first node of the shingle (or of its slice)."""
     entries = entries.withColumn("inner", _inner("at", percent))
-    order = Window.partitionBy("shingle", "slice").orderBy(F.desc("inner"), "node")
+    # a text that others are edited from has few rare shingles of its own: what it shares comes early in its order
+    central = [F.desc("inner"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)), F.col("node")]
+    order = Window.partitionBy("shingle", "slice").orderBy(*central)
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = entries.select(
         "shingle", "slices", "node", "at", "inner",
@@ -236,7 +254,7 @@ def _pairs_with_first(entries: DataFrame, percent: int) -> tuple[DataFrame, Data
     kept = run.where(last & ((met & F.col("first_inner")) | (F.col("slices") > 1)))
     kept = shared_table(kept.drop("after", "first_inner"), "prefix-entries")
     firsts = kept.where((F.col("first") == F.col("node")) & (F.col("slices") > 1))
-    over = Window.partitionBy("shingle").orderBy(F.desc("inner"), "node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    over = Window.partitionBy("shingle").orderBy(*central).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     second = firsts.select("node", "at", F.first("node").over(over).alias("first"), F.first("at").over(over).alias("first_at"))
     both = kept.select("node", "at", "first", "first_at").unionByName(second)
     fit = both.where((F.col("node") != F.col("first")) & _could_link("at", "first_at", percent))
@@ -256,16 +274,16 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return met.where(possible("a_bits", "b_bits", F.col("a_n") + F.col("b_n"))).select("a", "b")
 
 
-def _sets_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, counts: np.ndarray) -> DataFrame:
+def _sets_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
     """(node, tokens: the set in the global order) of the nodes in ``pairs``, from
     one document each; a doc_id may repeat with other texts, whose sets no pair names."""
-    sent = docs.sparkSession.sparkContext.broadcast(counts)
+    sent = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, hashes = ranked(sent.value), WordHashes()
+        order, hashes = sent.value, WordHashes()
         for b in batches:
             sets = [shingle_set(hashes.of(t), SHINGLE) for t in b["text"].to_pylist()]
-            tokens = pa.array([in_order(s, ranks).tobytes() for s in sets], pa.binary())
+            tokens = pa.array([order.sort(s).tobytes() for s in sets], pa.binary())
             yield pa.record_batch([pa.array([digest(s) for s in sets], pa.int64()), tokens], ["node", "tokens"])
 
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
@@ -310,11 +328,19 @@ def _pairs_between(entries: DataFrame, labels: DataFrame, seen: DataFrame, perce
     # of shingles with the same nodes, the first in the global order, which all these nodes see first
     mixed = groups.where("inner and low < high").groupBy("n", "x", "y").agg(F.min(F.struct("least.place", "shingle")).alias("m")).select("m.shingle")
     open_ = shared_table(named.join(mixed, "shingle"), "open-entries")
-    held = open_.groupBy("shingle", "component").agg(F.max("inner").alias("inner"))
-    other = held.select("shingle", F.col("component").alias("other"))
-    between = held.where("inner").select("shingle", "component").join(other, "shingle").where("component <> other")
-    left = open_.where("inner").select("shingle", "component", F.col("node").alias("x"), F.col("at").alias("x_at")).join(between, ["shingle", "component"])
-    right = open_.select("shingle", F.col("component").alias("other"), F.col("node").alias("y"), F.col("at").alias("y_at"))
+    # components meet only where some entries' sizes and caps let them
+    sized = open_.withColumns({"size": F.shiftright("at", 32), "cap": _largest_partner("at", percent)})
+    own = lambda c: F.when(F.col("inner"), F.col(c))
+    held = sized.groupBy("shingle", "component").agg(
+        F.min(own("size")).alias("inner_size"), F.max(own("cap")).alias("inner_cap"),
+        F.min("size").alias("least_size"), F.max("size").alias("most_size"), F.max("cap").alias("most_cap"),
+    )
+    other = held.select("shingle", F.col("component").alias("other"), *(F.col(c).alias(f"other_{c}") for c in ("least_size", "most_size", "most_cap")))
+    meet = "component <> other and inner_size <= least(other_most_cap, other_most_size) and other_least_size <= inner_cap"
+    between = held.where("inner_cap is not null").join(other, "shingle").where(meet).drop("least_size", "most_size", "most_cap")
+    left = sized.where("inner").select("shingle", "component", F.col("node").alias("x"), F.col("at").alias("x_at"), F.col("size").alias("x_size"), F.col("cap").alias("x_cap"))
+    left = left.join(between, ["shingle", "component"]).where("x_size <= least(other_most_cap, other_most_size) and other_least_size <= x_cap")
+    right = sized.select("shingle", F.col("component").alias("other"), F.col("node").alias("y"), F.col("at").alias("y_at"))
     met = left.join(right, ["shingle", "other"]).where(_could_link("x_at", "y_at", percent) & (F.shiftright("x_at", 32) <= F.shiftright("y_at", 32)))
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     turned = seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -324,22 +350,24 @@ def _pairs_between(entries: DataFrame, labels: DataFrame, seen: DataFrame, perce
 def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links of every document; ``n_links``
     counts the other sets that its set was found linked with."""
-    table, counts = text_sets(docs)
-    entries, first_pairs = _pairs_with_first(prefix_entries(docs, counts, percent), percent)
+    table, order = text_sets(docs)
+    entries, first_pairs = _pairs_with_first(prefix_entries(docs, order, percent), percent)
     first_pairs = shared_table(first_pairs, "first-pairs")
     keyed = table.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("one"), F.max("n").alias("n"), F.max("bits").alias("bits"))
     keyed = shared_table(keyed, "nodes")
 
     def compared(pairs: DataFrame) -> DataFrame:
         near = shared_table(_possible(pairs, keyed, percent), "possible-pairs")
-        return shared_table(_verified(near, _sets_of(near, keyed, docs, counts), percent), "links-found")
+        return shared_table(_verified(near, _sets_of(near, keyed, docs, order), percent), "links-found")
 
     links = compared(first_pairs)
     labels = shared_table(connected_components(links), "labels")
     rest = shared_table(_pairs_between(entries, labels, first_pairs, percent), "rest-pairs")
     if rest.take(1):
-        links = links.unionByName(compared(rest))
-        labels = shared_table(connected_components(links), "labels")
+        more = compared(rest)
+        links = links.unionByName(more)
+        joined = labels.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more)
+        labels = shared_table(connected_components(joined), "labels")
     degrees = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
     named = labels.join(keyed.select("node", "one"), "node")
     names = named.join(named.groupBy("component").agg(F.min("one").alias("component_id")), "component")

@@ -152,7 +152,7 @@ def train(stats: DataFrame, labels: DataFrame, pooled: float = 0.1, ridge: float
         flat = np.concatenate([np.concatenate([[counts[c]], sums[c], products[c].ravel()]) for c in (0, 1)])
         yield pd.DataFrame({"i": np.arange(len(flat)), "v": flat})
 
-    rows = known.mapInPandas(moments, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
+    rows = known.mapInPandas(moments, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow().to_pandas()
     flat = np.zeros(2 * (1 + d + d * d))
     flat[rows["i"]] = rows["v"]
     flat = flat.reshape(2, -1)

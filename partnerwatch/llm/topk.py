@@ -66,7 +66,7 @@ def second_moments(vectors: DataFrame, dims: int) -> np.ndarray:
         yield pd.DataFrame({"i": np.arange(dims), "row": list(total)})
 
     rows = vectors.select("v").mapInPandas(moments, "i int, row array<double>")
-    sums = rows.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).toPandas()
+    sums = rows.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).toArrow().to_pandas()
     out = np.zeros((dims, dims))
     out[sums["i"], sums["j"]] = sums["x"]
     return out
@@ -142,7 +142,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, head_share: float =
     values, rotation = values[::-1].clip(0), np.ascontiguousarray(rotation[:, ::-1])
     share = np.cumsum(values) / max(values.sum(), 1e-300)
     head = int(min(dims, np.searchsorted(share, head_share) + 1))
-    longest = items.orderBy(F.desc("norm"), "vec_id").limit(HEAD).toPandas()
+    longest = items.orderBy(F.desc("norm"), "vec_id").limit(HEAD).toArrow().to_pandas()
     tops = items.groupBy("block").agg(F.max("norm").alias("top")).orderBy(F.desc("top")).collect()
     blocks, most = [r["block"] for r in tops], np.array([r["top"] for r in tops])
 

@@ -152,7 +152,7 @@ def lexicons(rows: DataFrame, documents: np.ndarray) -> list[dict[int, float]]:
 
     counted = rows.mapInArrow(count, "part int, bucket long, toxic int, clean int")
     each = [F.sum(F.when(F.col("part") == p, F.col(c))).alias(f"{c}{p}") for p in range(PARTS) for c in ("clean", "toxic")]
-    sums = counted.groupBy("bucket").agg(*each, F.sum("toxic").alias("toxic")).where("toxic > 1").toPandas()
+    sums = counted.groupBy("bucket").agg(*each, F.sum("toxic").alias("toxic")).where("toxic > 1").toArrow().to_pandas()
     counts = sums.drop(columns=["bucket", "toxic"]).fillna(0).to_numpy(float).reshape(-1, PARTS, 2)
     whole, total = counts.sum(1), documents.sum(0)
     out = []
@@ -207,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityM
             kind = pa.list_(pa.float64())
             yield pa.record_batch([pa.array(n, pa.int64()), pa.array(segments, kind), pa.array(scores, kind), b["label"]], ["n", "segments", "scores", "label"])
 
-    seen = rows.mapInArrow(scan, "n long, segments array<double>, scores array<double>, label int").toPandas()
+    seen = rows.mapInArrow(scan, "n long, segments array<double>, scores array<double>, label int").toArrow().to_pandas()
     clean = seen[seen["label"] == 0]
     model = _extreme_values(ToxicityModel(weights), float(clean["n"].sum()), [x for xs in clean["scores"] for x in xs], [x for xs in clean["segments"] for x in xs])
 
