@@ -1,16 +1,9 @@
 """partnerwatch: peer-group anomaly analytics for receivables ledgers on Spark.
 
-Every public operator takes and returns a ``pyspark.sql.DataFrame`` and is
-lazy: no action, no session creation, nothing collected to the driver.
+Every public operator takes and returns a ``pyspark.sql.DataFrame`` and creates
+no session; nothing that grows with the data is collected to the driver.
 """
 
-from partnerwatch.config import (  # noqa: F401
-    DEFAULT_CONFIG,
-    FeatureConfig,
-    OutputConfig,
-    PipelineConfig,
-    StagingConfig,
-    ThresholdConfig,
-)
+from partnerwatch.config import DEFAULTS, Alerting, Scoring, Settings, Signals, Tables  # noqa: F401
 
 __version__ = "0.1.0"

@@ -18,20 +18,10 @@ from datetime import date
 from partnerwatch import config as C
 
 
-def build_config(args: argparse.Namespace) -> C.PipelineConfig:
-    base = C.DEFAULT_CONFIG
-    th = base.thresholds
-    if args.cooldown_days is not None:
-        th = replace(th, alert_cooldown_days=args.cooldown_days)
-    return C.PipelineConfig(
-        staging=replace(base.staging, raw_path=args.raw or base.staging.raw_path,
-                        staging_path=args.silver or base.staging.staging_path),
-        features=base.features,
-        thresholds=th,
-        output=replace(base.output, curated_path=args.gold or base.output.curated_path,
-                       watchlist_path=args.watchlist or base.output.watchlist_path,
-                       historical_alerts_path=args.history or base.output.historical_alerts_path),
-    )
+def settings_of(args: argparse.Namespace) -> C.Settings:
+    if args.cooldown_days is None:
+        return C.DEFAULTS
+    return replace(C.DEFAULTS, alerting=replace(C.DEFAULTS.alerting, cooldown_days=args.cooldown_days))
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -55,13 +45,14 @@ def main(argv: list[str] | None = None) -> dict:
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     args = parse_args(argv)
-    cfg = build_config(args)
+    cfg = settings_of(args)
+    at = C.Tables(args.raw, args.silver, args.gold, args.watchlist, args.history)
     spark = SparkSession.builder.appName("partnerwatch").getOrCreate()
     if args.step == "stage":
-        return pipeline.run_staging(spark, cfg)
+        return pipeline.run_staging(spark, at)
     if args.step == "curated":
-        return pipeline.run_curated(spark, args.as_of, cfg)
-    return pipeline.run_daily(spark, args.as_of, cfg)
+        return pipeline.run_curated(spark, args.as_of, at, cfg)
+    return pipeline.run_daily(spark, args.as_of, at, cfg)
 
 
 if __name__ == "__main__":

@@ -23,13 +23,24 @@ def lenient_double(c: str | Column) -> Column:
 
 
 def lenient_int(c: str | Column) -> Column:
-    return col_of(c).try_cast("int")
+    """Text -> int; text of a whole number in any notation (``3.0``) counts,
+    fractions, junk and numbers beyond an int become NULL."""
+    x = lenient_double(c)
+    return F.when((x == F.floor(x).cast("double")) & x.between(-2147483648.0, 2147483647.0), x).cast("int")
+
+
+def money(c: str | Column) -> Column:
+    """Text -> amount; NULL also where it is not finite or at least 1e26 in size,
+    so that a decimal(38,6) sums more rows than any table holds."""
+    x = lenient_double(c)
+    return F.when(F.abs(x) < F.lit(1e26), x)
 
 
 def parse_epoch_date(c: str | Column) -> Column:
-    """Parse ``/Date(<ms>[+offset])/`` into a timestamp; sign kept, junk -> NULL."""
+    """Parse ``/Date(<ms>[+offset])/`` into a timestamp; sign kept; junk and times
+    outside the years 1 to 9999 -> NULL."""
     ms = F.regexp_extract(col_of(c), r"/Date\((-?\d+)", 1).try_cast("bigint")
-    return F.timestamp_millis(ms)
+    return F.timestamp_millis(F.when(ms.between(-62135596800000, 253402300799999), ms))
 
 
 def days_between(as_of: date, c: str | Column, clip_negative: bool = False) -> Column:
@@ -42,7 +53,7 @@ def pseudonym(c: str | Column, prefix: str = "CUSTOMER_", unknown: str = "CUSTOM
     """``prefix`` + first six hex digits of md5(name), upper case; blank -> ``unknown``."""
     name = col_of(c)
     return (
-        F.when(name.isNull() | (F.trim(name) == ""), F.lit(unknown))
+        F.when(name.isNull() | name.rlike(r"^\s*$"), F.lit(unknown))
         .otherwise(F.concat(F.lit(prefix), F.upper(F.substring(F.md5(name), 1, 6))))
     )
 
@@ -87,7 +98,8 @@ MONEY_DECIMAL = "decimal(38,6)"
 
 
 def money_sum(c: str | Column) -> Column:
-    """Exact sum of a money column: accumulated as decimal(38,6), returned as
-    double. The total no longer depends on partitioning or summation order, so
+    """Exact sum of a money column: accumulated as decimal(38,6), so digits past
+    the sixth decimal are rounded, and returned as double; see ``money`` for the
+    range of amounts. The total no longer depends on partitioning or summation order, so
     retries and repartitioning cannot change a reported figure."""
     return F.sum(col_of(c).cast(MONEY_DECIMAL)).cast("double")

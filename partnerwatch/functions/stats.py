@@ -94,8 +94,9 @@ def group_moments(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence
 
 
 def _quantile_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                   partitions: int | None) -> DataFrame:
-    """Core of ``group_quantiles`` on (keys..., _value) rows -> keys..., q0, q1, ..."""
+                   partitions: int | None, targets_bound: int | None = None) -> DataFrame:
+    """Core of ``group_quantiles`` on (keys..., _value) rows -> keys..., q0, q1, ...
+    ``targets_bound`` is a proven bound on the segments that hold wanted ranks."""
     keys = list(keys)
     counts = long.groupBy(*keys, _V).agg(F.count(F.lit(1)).alias(_C))
 
@@ -127,6 +128,8 @@ def _quantile_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
     for i in pos:
         wanted = wanted | covers(lo_rank[i]) | covers(hi_rank[i])
     targets = segments.filter(wanted)
+    if targets_bound is not None and targets_bound <= BROADCAST_GROUP_LIMIT:
+        targets = F.broadcast(targets)  # the counts then stay where they are, whatever a group's size
 
     # distinct values of the wanted segments only; ranked inside their segment
     cand = counts.join(targets, keys).filter((F.col(_V) >= F.col("_lo")) & (F.col(_V) <= F.col("_hi")))
@@ -152,23 +155,28 @@ def _quantile_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
 
 
 def group_quantiles(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
-                    probs: Sequence[float], partitions: int | None = None) -> DataFrame:
+                    probs: Sequence[float], partitions: int | None = None,
+                    group_bound: int | None = None) -> DataFrame:
     """Long result: (group..., ``_feature``, ``n``, ``q0``, ``q1``, ...); the
-    shuffles carry a feature index, the name is put back on the small result."""
+    shuffles carry a feature index, the name is put back on the small result.
+    A group and feature has at most two segments with wanted ranks for each
+    probability, so ``group_bound`` (see ``attach``) bounds their number."""
     long = to_long(df, group_cols, value_cols, as_index=True)
-    out = _quantile_long(long, [*group_cols, _F], probs, partitions)
+    groups = group_bound if group_cols else 1
+    bound = None if groups is None else groups * len(value_cols) * 2 * len(probs)
+    out = _quantile_long(long, [*group_cols, _F], probs, partitions, bound)
     names = F.array(*[F.lit(c) for c in value_cols])
     return out.withColumn(_F, F.element_at(names, F.col(_F) + 1))
 
 
 def group_quantiles_wide(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
                          probs: Sequence[float], names: Sequence[str],
-                         partitions: int | None = None) -> DataFrame:
+                         partitions: int | None = None, group_bound: int | None = None) -> DataFrame:
     """One row per group with ``{col}__{name}`` for every value column and prob.
 
     Groups that have no non-null value for a column get NULL for it.
     """
-    long = group_quantiles(df, group_cols, value_cols, probs, partitions)
+    long = group_quantiles(df, group_cols, value_cols, probs, partitions, group_bound)
     aggs = []
     for c in value_cols:
         is_c = F.col(_F) == F.lit(c)
@@ -181,7 +189,8 @@ def group_quantiles_wide(df: DataFrame, group_cols: Sequence[str], value_cols: S
 
 
 def column_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                     names: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
+                     names: Sequence[str], group_cols: Sequence[str] = (),
+                     group_bound: int | None = None) -> DataFrame:
     """Quantiles of one column (optionally per group), columns named by ``names``."""
-    wide = group_quantiles_wide(df, group_cols, [value_col], probs, names)
+    wide = group_quantiles_wide(df, group_cols, [value_col], probs, names, group_bound=group_bound)
     return wide.select(*group_cols, *[F.col(f"{value_col}__{nm}").alias(nm) for nm in names])

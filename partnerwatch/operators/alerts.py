@@ -189,14 +189,23 @@ def recent_partners(history: DataFrame, as_of: date, cooldown_days: int,
     return history.filter((rd >= F.lit(start)) & (rd < F.lit(as_of))).select(partner_col).distinct()
 
 
+_RECENT = "_recently_alerted"
+
+
+def mark_recent(new_alerts: DataFrame, history: DataFrame, as_of: date,
+                partner_col: str = "BusinessPartner", cooldown_days: int = 30) -> DataFrame:
+    """New alerts with a boolean: whether the partner had a recent alert."""
+    recent = recent_partners(history, as_of, cooldown_days, partner_col).withColumn(_RECENT, F.lit(True))
+    joined = new_alerts.join(recent, partner_col, "left")
+    return joined.withColumn(_RECENT, F.coalesce(F.col(_RECENT), F.lit(False))).select(*new_alerts.columns, _RECENT)
+
+
 def filter_recently_alerted(new_alerts: DataFrame, history: DataFrame, as_of: date,
                             partner_col: str = "BusinessPartner",
                             cooldown_days: int = 30) -> tuple[DataFrame, DataFrame]:
     """(fresh, suppressed) = new alerts without / with a recent alert."""
-    recent = recent_partners(history, as_of, cooldown_days, partner_col)
-    fresh = new_alerts.join(recent, partner_col, "left_anti")
-    suppressed = new_alerts.join(recent, partner_col, "left_semi")
-    return fresh, suppressed
+    marked = mark_recent(new_alerts, history, as_of, partner_col, cooldown_days)
+    return marked.filter(~F.col(_RECENT)).drop(_RECENT), marked.filter(F.col(_RECENT)).drop(_RECENT)
 
 
 def stamp_for_history(alerts_df: DataFrame, as_of: date,
@@ -217,6 +226,7 @@ class DedupResult(NamedTuple):
     suppressed: DataFrame
     history: DataFrame
     deduped: DataFrame
+    marked: DataFrame
 
 
 def run_full_deduplication(new_alerts: DataFrame, history: DataFrame, as_of: date,
@@ -224,19 +234,18 @@ def run_full_deduplication(new_alerts: DataFrame, history: DataFrame, as_of: dat
                            tie_col: str | None = None) -> DedupResult:
     """L3: W4 -> J4 -> S8 (logical). Writing the log is ``sources.files.write_history``."""
     deduped = deduplicate_within_run(new_alerts, partner_col, tie_col)
-    fresh, suppressed = filter_recently_alerted(deduped, history, as_of, partner_col, cooldown_days)
-    return DedupResult(fresh, suppressed, history_log(history, fresh, as_of), deduped)
+    marked = mark_recent(deduped, history, as_of, partner_col, cooldown_days)
+    fresh = marked.filter(~F.col(_RECENT)).drop(_RECENT)
+    suppressed = marked.filter(F.col(_RECENT)).drop(_RECENT)
+    return DedupResult(fresh, suppressed, history_log(history, fresh, as_of), deduped, marked)
 
 
 def alert_summary(result: DedupResult) -> DataFrame:
     """L3 counts: flagged this run (after dedup), fresh, suppressed (one row)."""
-    def n(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name))
-
-    from partnerwatch.functions.stats import attach
-
-    total = n(result.deduped, "total_flagged")
-    return attach(attach(total, n(result.fresh, "fresh_alerts"), []), n(result.suppressed, "suppressed_alerts"), [])
+    recent = F.count_if(F.col(_RECENT))
+    total = F.count(F.lit(1))
+    return result.marked.agg(total.alias("total_flagged"), (total - recent).alias("fresh_alerts"),
+                             recent.alias("suppressed_alerts"))
 
 
 # ------------------------------------------------------------------ L4-L6

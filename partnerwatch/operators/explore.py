@@ -197,29 +197,34 @@ def segment_density(df: DataFrame, col: str, group_col: str = "Segment", clip_qu
                     grid_points: int = 1000, min_rows: int = 5, group_bound: int | None = None) -> DataFrame:
     """H2: Gaussian KDE per group of ``col`` clipped at the group's quantile,
     Scott's bandwidth (n^-1/5 x sample std), evaluated on ``grid_points`` points
-    spanning [min - range/2, max + range/2]. Groups under ``min_rows`` are skipped.
+    spanning [min - range/2, max + range/2]. Groups under ``min_rows`` are skipped;
+    the density of a group whose values are all equal is NULL.
 
-    Each row adds its kernel to every grid point of its group: a generator
-    feeding a partial aggregation, so work is rows x grid points and memory is
-    groups x grid points; no row pairs are formed.
+    Equal values of a group are folded first; each distinct value adds its
+    kernel, times its count, to every grid point of its group: a generator
+    feeding a partial aggregation, so work is distinct values x grid points and
+    memory is groups x grid points; no row pairs are formed.
     """
-    cap = stats.column_quantiles(df, col, (clip_quantile,), ("_cap",), group_cols=[group_col])
+    cap = stats.column_quantiles(df, col, (clip_quantile,), ("_cap",), group_cols=[group_col], group_bound=group_bound)
     clipped = stats.attach(df.select(group_col, col), cap, [group_col], group_bound).select(
         group_col, F.least(nan_to_null(col), F.col("_cap")).alias("_x")).filter(F.col("_x").isNotNull())
     g = clipped.groupBy(group_col).agg(
         F.count("_x").alias("_n"), F.stddev_samp("_x").alias("_sd"), F.min("_x").alias("_min"),
         F.max("_x").alias("_max"))
-    g = g.filter((F.col("_n") >= min_rows) & (F.col("_sd") > 0))
+    g = g.filter(F.col("_n") >= min_rows)
     n = F.col("_n").cast("double")
-    g = g.select(group_col, "_n", (F.col("_sd") * F.pow(n, F.lit(-0.2))).alias("_bw"),
+    spread = F.when(F.col("_sd") > 0, F.col("_sd"))  # NULL, and so the density, where all values are equal
+    g = g.select(group_col, "_n", (spread * F.pow(n, F.lit(-0.2))).alias("_bw"),
                  (F.col("_min") - (F.col("_max") - F.col("_min")) * 0.5).alias("_g0"),
                  ((F.col("_max") - F.col("_min")) * 2 / F.lit(float(grid_points - 1))).alias("_gstep"))
-    j = clipped.join(F.broadcast(g) if group_bound is not None else g, group_col)
-    pts = j.select(group_col, "_x", "_n", "_bw", "_g0", "_gstep",
+    folded = clipped.groupBy(group_col, "_x").agg(F.count(F.lit(1)).alias("_w"))
+    small = group_bound is not None and group_bound <= stats.BROADCAST_GROUP_LIMIT
+    j = folded.join(F.broadcast(g) if small else g, group_col)
+    pts = j.select(group_col, "_x", "_w", "_n", "_bw", "_g0", "_gstep",
                    F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("point"))
     kern = F.exp(F.lit(-0.5) * F.pow(((F.col("_g0") + F.col("point") * F.col("_gstep")) - F.col("_x"))
                                      / F.col("_bw"), 2))
-    dens = pts.groupBy(group_col, "point", "_n", "_bw", "_g0", "_gstep").agg(F.sum(kern).alias("_s"))
+    dens = pts.groupBy(group_col, "point", "_n", "_bw", "_g0", "_gstep").agg(F.sum(F.col("_w") * kern).alias("_s"))
     norm = F.col("_n").cast("double") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))
     return dens.select(group_col, "point", (F.col("_g0") + F.col("point") * F.col("_gstep")).alias("x"),
                        (F.col("_s") / norm).alias("density"))

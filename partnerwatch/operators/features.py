@@ -72,13 +72,12 @@ def add_transaction_type_label(df: DataFrame, main_txn_col: str = "CAMainTransac
     return df.withColumn("TransactionType", label_lookup(main_txn_col, lab, C.TRANSACTION_TYPE_DEFAULT))
 
 
-def add_transaction_signals(df: DataFrame, cfg: C.PipelineConfig = C.DEFAULT_CONFIG) -> DataFrame:
+def add_transaction_signals(df: DataFrame, by: C.Signals = C.DEFAULTS.signals) -> DataFrame:
     """P10-P15 in one projection."""
-    th, fc = cfg.thresholds, cfg.features
     out = add_reversal_flags(df)
-    out = add_value_flags(out, "Amount", th.high_value_threshold, th.extreme_value_threshold)
-    out = add_ros_score(out, "Amount", fc.authority_limits, fc.ros_bandwidth)
-    out = add_round_flags(out, "Amount", fc.round_thresholds)
+    out = add_value_flags(out, "Amount", by.high, by.extreme)
+    out = add_ros_score(out, "Amount", by.limits, by.bandwidth)
+    out = add_round_flags(out, "Amount", by.round_to)
     out = add_segment_label(out)
     return add_transaction_type_label(out)
 

@@ -185,14 +185,7 @@ def _make_tree_builder(seed: int):
     def c_vec(n):
         import numpy as np
 
-        n = np.asarray(n, dtype=np.float64)
-        out = np.zeros_like(n)
-        two = n == 2
-        big = n > 2
-        out[two] = 1.0
-        nb = n[big]
-        out[big] = 2.0 * (np.log(nb - 1.0) + 0.5772156649015329) - 2.0 * (nb - 1.0) / nb
-        return out
+        return np.array([average_path_length(x) for x in np.asarray(n).tolist()], dtype=np.float64)
 
     def grow(X, rng, max_depth):
         import numpy as np
@@ -260,8 +253,6 @@ def _make_tree_builder(seed: int):
 
         pdf = pdf.sort_values(["_tree", _PK], kind="mergesort")
         model_key = str(pdf[_MK].iloc[0])
-        psi = int(pdf["_psi"].iloc[0])
-        max_depth = int(math.ceil(math.log2(max(psi, 2))))
         xs = sorted((c for c in pdf.columns if c.startswith("_x")), key=lambda c: int(c[2:]))
         X_all = pdf[xs].to_numpy(dtype=np.float64)
         tree_ids = pdf["_tree"].to_numpy()
@@ -271,7 +262,8 @@ def _make_tree_builder(seed: int):
             tree = int(tree_ids[lo])
             digest = hashlib.blake2b(f"{model_key}|{tree}|{seed}".encode(), digest_size=8).digest()
             rng = np.random.default_rng(int.from_bytes(digest, "little"))
-            fe, th, le, ri, lf = grow(X_all[lo:hi], rng, max_depth)
+            psi = int(hi - lo)  # the rows that this tree has, which its scores are normalised by
+            fe, th, le, ri, lf = grow(X_all[lo:hi], rng, int(math.ceil(math.log2(max(psi, 2)))))
             for key, val in ((_MK, model_key), ("_tree", tree), ("_psi", psi), ("_feat", fe), ("_thr", th),
                              ("_left", le), ("_right", ri), ("_leaf", lf)):
                 out[key].append(val)
@@ -280,7 +272,7 @@ def _make_tree_builder(seed: int):
     return build
 
 
-def fit_forest(sample: DataFrame, seed: int, trees_per_task: int = 100) -> DataFrame:
+def fit_forest(sample: DataFrame, seed: int, trees_per_task: int = 10) -> DataFrame:
     """One row per (model, tree) with the tree as parallel node arrays; trees
     are fitted ``trees_per_task`` at a time (<= trees_per_task * psi rows)."""
     block = (F.col("_tree") / F.lit(trees_per_task)).cast("int")
@@ -290,13 +282,6 @@ def fit_forest(sample: DataFrame, seed: int, trees_per_task: int = 100) -> DataF
 
 
 def _make_scorer():
-    def c_of(n):
-        if n <= 1:
-            return 0.0
-        if n <= 2:
-            return 1.0
-        return 2.0 * (math.log(n - 1.0) + 0.5772156649015329) - 2.0 * (n - 1.0) / n
-
     def score(rows, trees):
         import numpy as np
         import pandas as pd
@@ -324,9 +309,10 @@ def _make_scorer():
                 node = np.where(inner, np.where(go_left, lft[node], rgt[node]), node)
                 inner = feat[node] >= 0
             total += leaf[node]
-        psi = int(trees["_psi"].iloc[0])
         mean_path = total / len(trees)
-        s = -np.power(2.0, -mean_path / c_of(psi))
+        expected = float(np.mean([average_path_length(n) for n in trees["_psi"]]))
+        # trees of one row tell nothing apart: the neutral score
+        s = -np.power(2.0, -mean_path / expected) if expected > 0 else np.full(m, -0.5)
         return pd.DataFrame({_MK: rows[_MK].to_numpy(), _PK: rows[_PK].to_numpy(), "_score": s})
 
     return score
@@ -376,9 +362,9 @@ def forest_scores(df: DataFrame, feature_cols: Sequence[str], segment_col: str |
     return scores, sizes, routing
 
 
-def model_offsets(scores: DataFrame, contamination: float) -> DataFrame:
+def model_offsets(scores: DataFrame, contamination: float, model_bound: int | None = None) -> DataFrame:
     """(_model_key, _offset): the contamination quantile of each model's training scores."""
-    return stats.column_quantiles(scores, "_score", (contamination,), ("_offset",), group_cols=[_MK])
+    return stats.column_quantiles(scores, "_score", (contamination,), ("_offset",), group_cols=[_MK], group_bound=model_bound)
 
 
 def risk_from_scores(df: DataFrame, score_col: str = "isolation_forest_score") -> DataFrame:
@@ -403,8 +389,8 @@ def run_isolation_forest_by_segment(df: DataFrame, feature_cols: Sequence[str],
     scores, _sizes, routing = forest_scores(df, feats, segment_col, n_estimators, random_state,
                                             min_segment_size, partner_col, max_samples, rows_per_task,
                                             group_bound=group_bound)
-    offsets = model_offsets(scores, contamination)
     model_bound = 2 if not segment_col else (None if group_bound is None else group_bound + 1)
+    offsets = model_offsets(scores, contamination, model_bound)
     kept = (scores.join(routing, _PK)
             .filter(F.col(_MK) == F.col("_own_key"))
             .join(_bounded(offsets, model_bound), _MK)
@@ -429,8 +415,8 @@ def flag_counts(df: DataFrame, feature_cols: Sequence[str], segment_col: str | N
     feats = [c for c in feature_cols if c in df.columns]
     scores, _sizes, _routing = forest_scores(df, feats, segment_col, n_estimators, random_state,
                                              min_segment_size, partner_col, group_bound=group_bound)
-    offsets = model_offsets(scores, contamination)
     model_bound = None if group_bound is None else group_bound + 1
+    offsets = model_offsets(scores, contamination, model_bound)
     return (scores.join(_bounded(offsets, model_bound), _MK)
             .groupBy(F.col(_MK).alias("model_key"))
             .agg(F.count(F.lit(1)).alias("n_train"),

@@ -53,7 +53,7 @@ def iqr_scores(df: DataFrame, feature_cols: Sequence[str], segment_col: str | No
     if not present:
         return df, []
     groups = _group_cols(segment_col)
-    q = stats.group_quantiles_wide(df, groups, present, (0.25, 0.75), ("q1", "q3"))
+    q = stats.group_quantiles_wide(df, groups, present, (0.25, 0.75), ("q1", "q3"), group_bound=group_bound)
     q = q.select(*groups, *[F.col(f"{c}__{n}").alias(f"_iqr_{c}__{n}") for c in present for n in ("q1", "q3")])
     joined = stats.attach(df, q, groups, group_bound)
     scores = {}
@@ -91,7 +91,7 @@ def winsorize(df: DataFrame, cols: Sequence[str], upper_quantile: float = 0.99,
     """Clip each column at its (group's) upper quantile; other columns kept."""
     present = _present(df, cols)
     groups = _group_cols(group_col)
-    q = stats.group_quantiles_wide(df, groups, present, (upper_quantile,), ("cap",))
+    q = stats.group_quantiles_wide(df, groups, present, (upper_quantile,), ("cap",), group_bound=group_bound)
     q = q.select(*groups, *[F.col(f"{c}__cap").alias(f"_w_{c}") for c in present])
     joined = stats.attach(df, q, groups, group_bound)
     clipped = {c: F.least(F.col(c).cast("double"), F.col(f"_w_{c}")) for c in present}

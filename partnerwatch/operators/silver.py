@@ -16,6 +16,7 @@ from partnerwatch.functions.scalar import (
     days_between,
     lenient_double,
     lenient_int,
+    money,
     parse_epoch_date,
     pseudonym,
 )
@@ -29,10 +30,11 @@ def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 def silver_projection(bronze: DataFrame) -> DataFrame:
     """Typed silver rows (P1-P5): text keys, absolute amount, lenient numbers,
-    parsed due date; rows without amount or partner are dropped."""
+    parsed due date; rows without a finite amount or without partner are dropped
+    (and counted by ``silver_reject_count``)."""
     strings = [F.col(c).cast("string").alias(c) for c in SILVER_STRING_COLUMNS]
     typed = [
-        F.abs(lenient_double("AmountInDisplayCurrency")).alias("Amount"),
+        F.abs(money("AmountInDisplayCurrency")).alias("Amount"),
         lenient_double("BalanceAmountInDisplayCurrency").alias("Balance"),
         lenient_double("DebitAmountInDisplayCrcy").alias("TotalDebit"),
         lenient_double("CreditAmountInDisplayCrcy").alias("TotalCredit"),
@@ -67,6 +69,6 @@ def pseudonymise(df: DataFrame, name_col: str = "BusinessPartnerName",
 
 def silver_reject_count(bronze: DataFrame) -> DataFrame:
     """One-row count of bronze lines the silver filter rejects (Q3)."""
-    amount = F.abs(lenient_double("AmountInDisplayCurrency"))
+    amount = money("AmountInDisplayCurrency")
     bad = amount.isNull() | F.col("BusinessPartner").isNull()
     return bronze.agg(F.count_if(bad).alias("rejected_rows"), F.count(F.lit(1)).alias("raw_rows"))

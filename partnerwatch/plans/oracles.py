@@ -23,7 +23,6 @@ def _lit(x: float) -> str:
 
 def ledger_ctes(as_of: str = "DATE '2002-01-01'") -> str:
     """CTEs: silver (typed ledger), tx (signals + netting), partners (rollup + PeerGroup)."""
-    th = C.DEFAULT_CONFIG.thresholds
     ros = ", ".join(
         f"exp(-0.5 * pow((Amount - {_lit(L)}) / {_lit(C.ROS_BANDWIDTH * L)}, 2))" for L in C.AUTHORITY_LIMITS)
     rounds = ", ".join(
@@ -31,9 +30,8 @@ def ledger_ctes(as_of: str = "DATE '2002-01-01'") -> str:
         for t in C.ROUND_THRESHOLDS)
     round_any = "greatest(" + ", ".join(f"IsRound{t}" for t in C.ROUND_THRESHOLDS) + ")"
     docnum = (
-        "lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '-' || lpad(CAST(l_linenumber AS VARCHAR), 4, '0') || '-' || "
-        "lpad(CAST(l_partkey AS VARCHAR), 10, '0') || '-' || lpad(CAST(l_suppkey AS VARCHAR), 10, '0') || '-' || "
-        "lpad(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR), 12, '0')"
+        "format('{:019d}-{:019d}-{:019d}-{:019d}-{:019d}', l_orderkey::BIGINT, l_linenumber::BIGINT, l_partkey::BIGINT, "
+        "l_suppkey::BIGINT, CAST(round(l_extendedprice * 100) AS BIGINT))"
     )
     return f"""
 silver AS (
@@ -59,8 +57,8 @@ sig AS (
          CAST(date_diff('day', CAST(NetDueDate AS DATE), {as_of}) AS INTEGER) AS DaysOverdue,
          CASE WHEN CADocumentType = 'AC' THEN 1 ELSE 0 END AS ACDocCount,
          CASE WHEN CADocumentType = 'ZC' THEN 1 ELSE 0 END AS ZCDocCount,
-         CASE WHEN Amount > {_lit(th.high_value_threshold)} THEN 1 ELSE 0 END AS IsHighValue,
-         CASE WHEN Amount > {_lit(th.extreme_value_threshold)} THEN 1 ELSE 0 END AS IsExtremeValue,
+         CASE WHEN Amount > {_lit(10000)} THEN 1 ELSE 0 END AS IsHighValue,
+         CASE WHEN Amount > {_lit(100000)} THEN 1 ELSE 0 END AS IsExtremeValue,
          greatest(0.0, {ros}) AS ROSScore,
          {rounds},
          {_case('CAAccountDeterminationCode', C.SEGMENT_LABELS, C.SEGMENT_DEFAULT)} AS Segment,

@@ -19,53 +19,49 @@ from partnerwatch.sources import fixtures
 log = logging.getLogger("partnerwatch")
 
 
-def transactions(silver_df: DataFrame, as_of: date, cfg: C.PipelineConfig = C.DEFAULT_CONFIG,
+def transactions(silver_df: DataFrame, as_of: date, cfg: C.Settings = C.DEFAULTS,
                  clip_negative: bool = False) -> DataFrame:
     """Silver rows with days overdue, every row signal and the netting flag."""
     tx = silver.add_days_overdue(silver_df, as_of, clip_negative=clip_negative)
-    tx = features.add_transaction_signals(tx, cfg)
+    tx = features.add_transaction_signals(tx, cfg.signals)
     return features.net_cancellation_pairs(tx)
 
 
-def partners(silver_df: DataFrame, as_of: date, cfg: C.PipelineConfig = C.DEFAULT_CONFIG,
+def partners(silver_df: DataFrame, as_of: date, cfg: C.Settings = C.DEFAULTS,
              clip_negative: bool = False) -> DataFrame:
     """One row per partner with its rollup features and ``PeerGroup``."""
     tx = transactions(silver_df, as_of, cfg, clip_negative)
-    rolled = features.aggregate_to_partner_level(tx, use_netted=True, order_col=cfg.features.order_key)
+    rolled = features.aggregate_to_partner_level(tx, use_netted=True, order_col=cfg.signals.first_by)
     return features.add_peer_group(rolled)
 
 
-def score_partners(partner_df: DataFrame, cfg: C.PipelineConfig = C.DEFAULT_CONFIG,
+def score_partners(partner_df: DataFrame, cfg: C.Settings = C.DEFAULTS,
                    group_col: str = "PeerGroup", with_forest: bool = True) -> DataFrame:
     """z-scores, IQR scores/flags, Isolation Forest and the alert reason."""
     from partnerwatch.session import cut_lineage
 
-    th = cfg.thresholds
-    bound = C.peer_group_bound() if group_col == "PeerGroup" else None
+    by = cfg.scoring
+    # the bound holds for keys made of the label tables, not for a caller's own PeerGroup column
+    labelled = {"Segment", "TransactionType"} <= set(partner_df.columns)
+    bound = C.peer_group_bound() if group_col == "PeerGroup" and labelled else None
     # the partner table feeds z-scores, quantiles, sampling, scoring and the
     # final joins: write it once instead of recomputing the ledger plan each time
     partner_df = cut_lineage(partner_df, "partners")
-    scored = peers.add_peer_zscores(partner_df, cfg.features.zscore_columns, group_col, bound)
-    scored = peers.score_features_by_segment(scored, cfg.features.numeric_features, group_col,
-                                             th.iqr_multiplier, bound)
+    scored = peers.add_peer_zscores(partner_df, by.zscored, group_col, bound)
+    scored = peers.score_features_by_segment(scored, by.features, group_col, by.fence, bound)
     if with_forest:
         scored = iforest.run_isolation_forest_by_segment(
-            scored, cfg.features.numeric_features, group_col,
-            contamination=th.isolation_forest_contamination,
-            n_estimators=th.isolation_forest_n_estimators,
-            random_state=th.isolation_forest_random_state,
-            min_segment_size=th.isolation_forest_min_segment_size,
-            group_bound=bound,
-        )
+            scored, by.features, group_col, contamination=by.contamination, n_estimators=by.trees,
+            random_state=by.seed, min_segment_size=by.smallest_group, group_bound=bound)
     return alerts.build_alert_column(
-        scored, iqr_multiplier=th.iqr_multiplier,
-        suspicious_reversal_ratio=th.suspicious_reversal_ratio,
-        high_balance_threshold=th.high_balance_threshold,
-        high_ros_score=th.high_ros_score,
+        scored, iqr_multiplier=by.fence,
+        suspicious_reversal_ratio=cfg.alerting.reversal_ratio,
+        high_balance_threshold=cfg.alerting.balance,
+        high_ros_score=cfg.alerting.ros,
     )
 
 
-def build_gold(silver_df: DataFrame, as_of: date, cfg: C.PipelineConfig = C.DEFAULT_CONFIG,
+def build_gold(silver_df: DataFrame, as_of: date, cfg: C.Settings = C.DEFAULTS,
                with_forest: bool = True) -> DataFrame:
     """X2 up to the gold table."""
     return score_partners(partners(silver_df, as_of, cfg), cfg, with_forest=with_forest)
@@ -81,27 +77,27 @@ def fixture_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.build_silver(fixtures.ledger_bronze(spark, sf_dir))
 
 
-def fixture_partners(spark: SparkSession, sf_dir: str, cfg: C.PipelineConfig = C.DEFAULT_CONFIG) -> DataFrame:
+def fixture_partners(spark: SparkSession, sf_dir: str, cfg: C.Settings = C.DEFAULTS) -> DataFrame:
     return partners(fixture_silver(spark, sf_dir), fixtures.LEDGER_AS_OF, cfg)
 
 
 # ------------------------------------------------------------------ jobs
-def run_staging(spark: SparkSession, cfg: C.PipelineConfig = C.DEFAULT_CONFIG) -> dict:
+def run_staging(spark: SparkSession, at: C.Tables, drop_columns: tuple[str, ...] = C.BRONZE_DROP_COLUMNS) -> dict:
     """X1 job: bronze CSV -> silver Parquet. Raw and kept row counts are
     observed during the one write (S9), not counted by extra scans."""
     from partnerwatch.sources import files
 
     raw_obs, kept_obs = Observation("bronze"), Observation("silver")
-    bronze = files.read_bronze_csv(spark, cfg.staging.raw_path)
-    out = silver.build_silver(silver.drop_columns(bronze, cfg.staging.drop_columns), raw_obs)
+    bronze = files.read_bronze_csv(spark, at.path("bronze"))
+    out = silver.build_silver(silver.drop_columns(bronze, drop_columns), raw_obs)
     out = out.observe(kept_obs, F.count(F.lit(1)).alias("silver_rows"))
-    files.write_silver(out, cfg.staging.staging_path)
+    files.write_silver(out, at.path("silver"))
     counts = {**raw_obs.get, **kept_obs.get}
     log.info("staging: %s raw rows, %s silver rows", counts.get("raw_rows"), counts.get("silver_rows"))
     return counts
 
 
-def run_curated(spark: SparkSession, as_of: date, cfg: C.PipelineConfig = C.DEFAULT_CONFIG) -> dict:
+def run_curated(spark: SparkSession, as_of: date, at: C.Tables, cfg: C.Settings = C.DEFAULTS) -> dict:
     """X2 job: silver -> gold Parquet, alert dedup + cooldown, watchlist, history.
 
     The gold table is written first and read back, which cuts the lineage of
@@ -110,25 +106,25 @@ def run_curated(spark: SparkSession, as_of: date, cfg: C.PipelineConfig = C.DEFA
     """
     from partnerwatch.sources import files
 
-    silver_df = files.read_silver(spark, cfg.staging.staging_path)
+    silver_df = files.read_silver(spark, at.path("silver"))
     gold_obs = Observation("gold")
     gold = build_gold(silver_df, as_of, cfg).observe(
         gold_obs, F.count(F.lit(1)).alias("partners"), F.count_if(F.col("iqr_flag")).alias("iqr_flagged"),
         F.count_if(F.col("isolation_forest_flag")).alias("if_flagged"),
         F.count_if(F.col("iqr_flag") & F.col("isolation_forest_flag")).alias("both_flagged"))
-    files.write_gold(gold, cfg.output.curated_path)
+    files.write_gold(gold, at.path("gold"))
     log.info("gold: %s", gold_obs.get)
-    gold = files.read_gold(spark, cfg.output.curated_path)
+    gold = files.read_gold(spark, at.path("gold"))
 
     flagged = gold.filter(F.col("isolation_forest_flag") | F.col("iqr_flag"))
-    history = files.read_history(spark, cfg.output.historical_alerts_path)
-    result = alerts.run_full_deduplication(flagged, history, as_of, cfg.thresholds.alert_cooldown_days)
-    files.write_watchlist(alerts.watchlist(result.fresh, cfg.output.watchlist_columns), cfg.output.watchlist_path)
-    files.write_history(result.fresh, cfg.output.historical_alerts_path, as_of)
+    history = files.read_history(spark, at.path("history"))
+    result = alerts.run_full_deduplication(flagged, history, as_of, cfg.alerting.cooldown_days)
+    files.write_watchlist(alerts.watchlist(result.fresh, cfg.alerting.columns), at.path("watchlist"))
+    files.write_history(result.fresh, at.path("history"), as_of)
     return {"fresh": result.fresh, "suppressed": result.suppressed}
 
 
-def run_daily(spark: SparkSession, as_of: date, cfg: C.PipelineConfig = C.DEFAULT_CONFIG) -> dict:
+def run_daily(spark: SparkSession, as_of: date, at: C.Tables, cfg: C.Settings = C.DEFAULTS) -> dict:
     """The daily chain staging -> curated (scheduling itself is external)."""
-    run_staging(spark, cfg)
-    return run_curated(spark, as_of, cfg)
+    run_staging(spark, at)
+    return run_curated(spark, as_of, at, cfg)

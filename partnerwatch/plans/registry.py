@@ -8,6 +8,7 @@ see summation-order noise.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,6 +113,43 @@ def q_silver(spark, sf):
     return P.fixture_staged(spark, sf)
 
 
+@register("bronze_csv_to_silver", O.with_ledger(f"SELECT {', '.join(SILVER_COLS)} FROM silver"))
+def q_bronze_csv(spark, sf):
+    """S2 + X1: the ledger written as CSV with the source's further columns and in
+    another column order, read back by header names and typed."""
+    from partnerwatch.schemas import BRONZE_TEXT_COLUMNS
+    from partnerwatch.session import checkpoint_dir
+    from partnerwatch.sources import files
+
+    extra = [c for c in C.BRONZE_DROP_COLUMNS if c not in BRONZE_TEXT_COLUMNS]
+    wide = FX.ledger_bronze(spark, sf).select("*", *[F.concat(F.lit(f"{i}-"), "CADocumentNumber").alias(c)
+                                                     for i, c in enumerate(extra)])
+    path = f"{checkpoint_dir(spark).rstrip('/')}/partnerwatch/bronze-csv-{uuid.uuid4().hex}"
+    wide.select(*sorted(wide.columns, reverse=True)).write.option("header", True).csv(path)
+    return silver.build_silver(silver.drop_columns(files.read_bronze_csv(spark, path), C.BRONZE_DROP_COLUMNS))
+
+
+_NUMBER_TEXTS = ["3.0", " 12 ", "+7", "-4", "2.5", "99999999999", "n/a", ""]
+_DATE_TEXTS = ["/Date(0)/", "/Date(-86400000)/", "/Date(86400000+0200)/", "/Date(99999999999999999)/",
+               "/Date(99999999999999999999999)/", "0", "/Date()/", "/Date(253402300800000)/"]
+
+
+@register("lenient_texts",
+          "SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN 3 WHEN 1 THEN 12 WHEN 2 THEN 7 WHEN 3 THEN -4 END "
+          "AS whole, CASE o_orderkey % 8 WHEN 0 THEN 3.0 WHEN 1 THEN 12.0 WHEN 2 THEN 7.0 WHEN 3 THEN -4.0 "
+          "WHEN 4 THEN 2.5 WHEN 5 THEN 99999999999.0 END::DOUBLE AS number, CASE o_orderkey % 8 "
+          "WHEN 0 THEN TIMESTAMP '1970-01-01' WHEN 1 THEN TIMESTAMP '1969-12-31' WHEN 2 THEN TIMESTAMP '1970-01-02' "
+          "END AS due FROM orders")
+def q_lenient_texts(spark, sf):
+    """P3, P4 on texts with junk, signs, fractions and numbers out of range."""
+    from partnerwatch.functions.scalar import lenient_double, lenient_int, parse_epoch_date
+    orders = FX.table(spark, sf, "orders").select("o_orderkey")
+    pick = lambda texts: F.element_at(F.array(*map(F.lit, texts)), (F.col("o_orderkey") % 8 + 1).cast("int"))
+    number = pick(_NUMBER_TEXTS)
+    return orders.select("o_orderkey", lenient_int(number).alias("whole"), lenient_double(number).alias("number"),
+                         parse_epoch_date(pick(_DATE_TEXTS)).alias("due"))
+
+
 @register("lenient_cast", O.with_ledger(
     "SELECT CADocumentNumber, Amount AS amount_value, TRY_CAST(BusinessPartnerName AS DOUBLE) AS name_value, "
     "NumberOfItems AS items_value FROM silver"))
@@ -524,6 +562,29 @@ def q_history_append(spark, sf):
     return _dedup_result(spark, sf).history.select(*HIST_COLS)
 
 
+@register("history_rerun", O.with_alerts(
+    "SELECT DISTINCT BusinessPartner, Segment, run_date FROM (SELECT BusinessPartner, Segment, "
+    "DATE '2024-01-30' AS run_date FROM alerts WHERE Segment = 'error' UNION ALL SELECT BusinessPartner, Segment, "
+    "DATE '2024-01-31' FROM alerts WHERE Segment = 'purchase' AND TotalAmount > 100)"))
+def q_history_rerun(spark, sf):
+    """One day written, the next written, rerun with fewer alerts, a third
+    rerun with none; the log read back holds what the last run of each day left."""
+    from datetime import date
+
+    from partnerwatch.session import checkpoint_dir
+    from partnerwatch.sources import files
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/partnerwatch/history-{uuid.uuid4().hex}"
+    ev = FX.alert_stream(spark, sf).drop("run_date").dropDuplicates(["BusinessPartner", "Segment", "TotalAmount"])
+    bought = ev.filter("Segment = 'purchase'")
+    files.write_history(ev.filter("Segment = 'error'"), path, date(2024, 1, 30))
+    files.write_history(bought, path, date(2024, 1, 31))
+    files.write_history(bought.filter("TotalAmount > 100"), path, date(2024, 1, 31))
+    files.write_history(bought, path, date(2024, 2, 1))
+    files.write_history(bought.limit(0), path, date(2024, 2, 1))
+    return files.read_history(spark, path).select("BusinessPartner", "Segment", "run_date").distinct()
+
+
 @register("alert_summary", O.with_alerts(
     "SELECT (SELECT count(*) FROM deduped) AS total_flagged, (SELECT count(*) FROM fresh) AS fresh_alerts, "
     "(SELECT count(*) FROM suppressed) AS suppressed_alerts", extra_ctes=_COOL))
@@ -563,17 +624,17 @@ def q_top_watchlist(spark, sf):
 
 
 # ------------------------------------------------------------------ M1-M6
-TH = C.DEFAULT_CONFIG.thresholds
+TH = C.DEFAULTS.scoring
 
 
 GROUP_BOUNDS = {"PeerGroup": C.peer_group_bound(), "Segment": len(C.SEGMENT_LABELS) + 1}
 
 
-def _gold_if(spark, sf, segment_col="PeerGroup", min_size=TH.isolation_forest_min_segment_size):
+def _gold_if(spark, sf, segment_col="PeerGroup", min_size=TH.smallest_group):
     p = _partners(spark, sf)
     return iforest.run_isolation_forest_by_segment(
-        p, FEATS, segment_col, TH.isolation_forest_contamination, TH.isolation_forest_n_estimators,
-        TH.isolation_forest_random_state, min_size, group_bound=GROUP_BOUNDS[segment_col])
+        p, FEATS, segment_col, TH.contamination, TH.trees,
+        TH.seed, min_size, group_bound=GROUP_BOUNDS[segment_col])
 
 
 @register("if_scores")
@@ -600,9 +661,9 @@ def _expected_flags(n: str, c: float) -> str:
     f"SELECT PeerGroup AS model_key, count(*) AS n_train, {_expected_flags('count(*)', 0.05)} AS flagged "
     "FROM partners GROUP BY PeerGroup"))
 def q_if_flag_counts(spark, sf):
-    return iforest.flag_counts(_partners(spark, sf), FEATS, "PeerGroup", TH.isolation_forest_contamination,
-                               TH.isolation_forest_n_estimators, TH.isolation_forest_random_state,
-                               TH.isolation_forest_min_segment_size, group_bound=C.peer_group_bound())
+    return iforest.flag_counts(_partners(spark, sf), FEATS, "PeerGroup", TH.contamination,
+                               TH.trees, TH.seed,
+                               TH.smallest_group, group_bound=C.peer_group_bound())
 
 
 _ROUTE_MIN = 60
@@ -632,7 +693,7 @@ SWEEP = (0.01, 0.02, 0.05, 0.10, 0.15)
         f"SELECT CAST({c!r} AS DOUBLE) AS contamination, {_expected_flags('count(*)', c)} AS flagged, "
         f"{R(_expected_flags('count(*)', c) + ' / count(*) * 100')} AS pct FROM partners" for c in SWEEP)))
 def q_contamination_sweep(spark, sf):
-    s = iforest.contamination_sweep(_partners(spark, sf), FEATS, SWEEP, 100, TH.isolation_forest_random_state)
+    s = iforest.contamination_sweep(_partners(spark, sf), FEATS, SWEEP, 100, TH.seed)
     return s.select("contamination", "flagged", r("pct").alias("pct"))
 
 

@@ -9,7 +9,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.storagelevel import StorageLevel
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "partnerwatch") -> SparkSession:
@@ -33,8 +32,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     """The session's checkpoint directory (``spark.checkpoint.dir``).
 
     Only a local-mode session without one gets a scratch folder; a cluster
-    session without one gets ``None`` (callers then persist instead of
-    writing to a machine-local folder). Works without a SparkContext handle
+    session without one gets ``None`` (callers then refuse to run rather than
+    write to a machine-local folder). Works without a SparkContext handle
     (Spark Connect) by reading the session configuration.
     """
     try:
@@ -60,13 +59,13 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
 
     One job computes the frame once (``Dataset.checkpoint`` would compute it
     twice unless cached), the files live in the cluster's shared folder so
-    they survive executor loss, and later reads get column pruning. Without a
-    configured directory the frame is persisted to memory and disk instead.
+    they survive executor loss, and later reads get column pruning. A cluster
+    session must name that folder.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     if not base:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{base.rstrip('/')}/partnerwatch/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

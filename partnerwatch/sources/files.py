@@ -14,8 +14,14 @@ from partnerwatch.schemas import BRONZE_SCHEMA, HISTORY_SCHEMA
 
 
 def read_bronze_csv(spark: SparkSession, path: str, schema=BRONZE_SCHEMA) -> DataFrame:
-    """Raw CSV with header, every column text (no inference pass)."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """Raw CSV with header, every column text. Columns are taken by their
+    header names: other columns are left out, absent ones are NULL. All files
+    of a path must have the header of the first; one that differs fails the
+    read instead of shifting values."""
+    raw = spark.read.options(header=True, inferSchema=False, enforceSchema=False, mode="PERMISSIVE").csv(path)
+    have = set(raw.columns)
+    return raw.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if f.name in have
+                        else F.lit(None).cast("string").alias(f.name) for f in schema.fields])
 
 
 def write_silver(df: DataFrame, path: str) -> None:
@@ -58,19 +64,16 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_history(new_alerts: DataFrame, path: str, as_of: date) -> None:
-    """Append today's alerts as the ``run_date = as_of`` partition.
+    """today's alerts become the ``run_date = as_of`` partition.
 
-    Dynamic partition overwrite replaces only today's partition, so a rerun
-    on the same day gives the same table instead of duplicating it; older
-    partitions are never rewritten (the log is not read back and rewritten
-    as a whole).
+    That partition's folder is replaced, also by an empty frame, so a rerun on
+    the same day leaves exactly the alerts of the rerun; older partitions are
+    never touched (the log is not read back and rewritten as a whole).
     """
     from partnerwatch.operators.alerts import stamp_for_history
 
     rows = stamp_for_history(new_alerts, as_of)
     full = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns
-                         else F.lit(None).cast(f.dataType).alias(f.name) for f in HISTORY_SCHEMA.fields])
-    (full.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_date")
-     .parquet(path))
+                         else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in HISTORY_SCHEMA.fields if f.name != "run_date"])
+    full.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_date={as_of.isoformat()}")

@@ -37,20 +37,15 @@ def _text(c) -> F.Column:
 
 def document_number() -> F.Column:
     """Fixed-width text key whose string order equals the order of
-    (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice); unique."""
+    (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice); unique.
+    Every part has the 19 digits of the largest bigint, so none is ever cut."""
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return F.concat_ws(
-        "-",
-        F.lpad(_text(F.col("l_orderkey")), 12, "0"),
-        F.lpad(_text(F.col("l_linenumber")), 4, "0"),
-        F.lpad(_text(F.col("l_partkey")), 10, "0"),
-        F.lpad(_text(F.col("l_suppkey")), 10, "0"),
-        F.lpad(_text(cents), 12, "0"),
-    )
+    parts = [*(F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")), cents]
+    return F.concat_ws("-", *(F.lpad(_text(p), 19, "0") for p in parts))
 
 
-def ledger_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw ledger lines, every column text, as landed from the source system."""
+def _ledger_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, F.Column]:
+    """Order lines with their order and customer, and the signed amount."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_shipdate",
@@ -58,29 +53,32 @@ def ledger_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     rows = li.join(orders, li.l_orderkey == orders.o_orderkey).join(cust, orders.o_custkey == cust.c_custkey)
+    flag, quantity = F.col("l_returnflag"), F.col("l_quantity") * F.lit(12.5)
+    return rows, F.when(flag == "N", F.col("l_extendedprice")).when(flag == "R", quantity).when(flag == "A", -quantity)
 
-    flag = F.col("l_returnflag")
-    qty_amount = F.col("l_quantity") * F.lit(12.5)
-    amount = (
-        F.when(flag == "N", F.col("l_extendedprice"))
-        .when(flag == "R", qty_amount)
-        .when(flag == "A", -qty_amount)
-    )
-    epoch_ms = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
-    null_text = F.lit(None).cast("string")
-    return rows.select(
+
+def _ledger_keys() -> list[F.Column]:
+    """The text columns that bronze and silver share."""
+    codes = F.create_map(*[F.lit(x) for kv in RETURN_FLAG_TO_DOC_TYPE.items() for x in kv])
+    return [
         _text(F.col("o_custkey")).alias("BusinessPartner"),
         F.col("c_name").alias("BusinessPartnerName"),
-        null_text.alias("FirstName"),
-        null_text.alias("LastName"),
-        null_text.alias("PostalCode"),
-        null_text.alias("CompanyCode"),
+        *(F.lit(None).cast("string").alias(c) for c in ("FirstName", "LastName", "PostalCode", "CompanyCode")),
         _text(F.col("l_suppkey")).alias("ContractAccount"),
         document_number().alias("CADocumentNumber"),
-        F.create_map(*[F.lit(x) for kv in RETURN_FLAG_TO_DOC_TYPE.items() for x in kv])[flag].alias("CADocumentType"),
+        codes[F.col("l_returnflag")].alias("CADocumentType"),
         label_lookup("o_orderpriority", ORDER_PRIORITY_TO_MAIN_TXN, "ZZZZ").alias("CAMainTransaction"),
-        null_text.alias("CASubTransaction"),
+        F.lit(None).cast("string").alias("CASubTransaction"),
         label_lookup("c_mktsegment", MARKET_SEGMENT_TO_CODE, "Z9").alias("CAAccountDeterminationCode"),
+    ]
+
+
+def ledger_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ledger lines, every column text, as landed from the source system."""
+    rows, amount = _ledger_rows(spark, sf_dir)
+    epoch_ms = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
+    return rows.select(
+        *_ledger_keys(),
         _text(amount).alias("AmountInDisplayCurrency"),
         _text(F.col("o_totalprice")).alias("BalanceAmountInDisplayCurrency"),
         _text(F.col("c_acctbal")).alias("DebitAmountInDisplayCrcy"),
@@ -94,29 +92,9 @@ def ledger_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The typed silver rows of ``ledger_bronze`` without the text round trip
     (what a silver Parquet read yields; values are identical, since the
     bronze text of every number parses back to the same double)."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_returnflag", "l_shipdate",
-    )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    rows = li.join(orders, li.l_orderkey == orders.o_orderkey).join(cust, orders.o_custkey == cust.c_custkey)
-    flag = F.col("l_returnflag")
-    qty_amount = F.col("l_quantity") * F.lit(12.5)
-    amount = (F.when(flag == "N", F.col("l_extendedprice")).when(flag == "R", qty_amount)
-              .when(flag == "A", -qty_amount))
-    null_text = F.lit(None).cast("string")
+    rows, amount = _ledger_rows(spark, sf_dir)
     out = rows.select(
-        _text(F.col("o_custkey")).alias("BusinessPartner"),
-        F.col("c_name").alias("BusinessPartnerName"),
-        null_text.alias("FirstName"), null_text.alias("LastName"), null_text.alias("PostalCode"),
-        null_text.alias("CompanyCode"),
-        _text(F.col("l_suppkey")).alias("ContractAccount"),
-        document_number().alias("CADocumentNumber"),
-        F.create_map(*[F.lit(x) for kv in RETURN_FLAG_TO_DOC_TYPE.items() for x in kv])[flag].alias("CADocumentType"),
-        label_lookup("o_orderpriority", ORDER_PRIORITY_TO_MAIN_TXN, "ZZZZ").alias("CAMainTransaction"),
-        null_text.alias("CASubTransaction"),
-        label_lookup("c_mktsegment", MARKET_SEGMENT_TO_CODE, "Z9").alias("CAAccountDeterminationCode"),
+        *_ledger_keys(),
         F.abs(amount).alias("Amount"),
         F.col("o_totalprice").alias("Balance"),
         F.col("c_acctbal").alias("TotalDebit"),

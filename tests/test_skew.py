@@ -69,6 +69,24 @@ def test_hot_partner_dedup(spark, skewed):
     assert out["HOT"].event_id == best.event_id
 
 
-def test_adaptive_skew_join_enabled(spark):
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+def test_hot_key_of_the_netting_join_is_split(spark):
+    """One (partner, amount) key holds most rows: the join reads it in parts."""
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        rows = spark.range(120_000, numPartitions=8).select(
+            F.when(F.col("id") % 5 > 0, "HOT").otherwise(F.concat(F.lit("P"), F.col("id"))).alias("BusinessPartner"),
+            F.when(F.col("id") % 2 == 0, "AC").otherwise("ZC").alias("CADocumentType"), F.lit(5.0).alias("Amount"),
+            F.md5(F.col("id").cast("string")).alias("payload"))
+        out = features.net_cancellation_pairs(rows)
+        out.write.format("noop").mode("overwrite").save()
+        counted = out.groupBy("IsNetted").agg(F.count("*").alias("n"), F.max("payload"))
+        assert {r["IsNetted"]: r["n"] for r in counted.collect()}[1] == 96_000
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

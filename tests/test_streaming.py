@@ -9,11 +9,12 @@ from partnerwatch.streaming import stage_new_bronze
 
 
 def write_bronze(path, partners):
+    names = ["Further", *reversed(BRONZE_TEXT_COLUMNS)]
     with open(path, "w", newline="") as fh:
-        w = csv.DictWriter(fh, fieldnames=list(BRONZE_TEXT_COLUMNS))
+        w = csv.DictWriter(fh, fieldnames=names)
         w.writeheader()
         for p in partners:
-            w.writerow(dict.fromkeys(BRONZE_TEXT_COLUMNS) | {"BusinessPartner": p, "AmountInDisplayCurrency": "1.5"})
+            w.writerow(dict.fromkeys(names) | {"BusinessPartner": p, "AmountInDisplayCurrency": "1.5"})
 
 
 def test_incremental_landing(spark, tmp_path):
