@@ -34,7 +34,7 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, most: int = 16 << 20) -> None:
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
     """Hold Arrow batches at ``most`` bytes where the session allows more, so
     that a batch of very long texts fits a Python worker."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -43,6 +43,14 @@ def small_batches(spark: SparkSession, most: int = 16 << 20) -> None:
         spark.conf.set(key, str(most))
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A beginning for the names of helper columns that no column of ``df`` has."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def row_number_columns() -> tuple[Column, Column]:
     """(partition, row in the partition) of each row where it is computed."""
     i = F.monotonically_increasing_id()

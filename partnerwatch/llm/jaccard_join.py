@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partnerwatch.llm.common import shared_table, small_batches
+from partnerwatch.llm.common import free_prefix, shared_table, small_batches
 from partnerwatch.llm.components import connected_components
 from partnerwatch.llm.grams import WordHashes, shingle_set
 
@@ -363,8 +363,8 @@ def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = compared(first_pairs)
     labels = shared_table(connected_components(links), "labels")
     rest = shared_table(_pairs_between(entries, labels, first_pairs, percent), "rest-pairs")
-    if rest.take(1):
-        more = compared(rest)
+    more = compared(rest) if rest.take(1) else rest
+    if more.take(1):
         links = links.unionByName(more)
         joined = labels.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more)
         labels = shared_table(connected_components(joined), "labels")
@@ -382,6 +382,7 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` with one document of each component, that of the
     smallest doc_id; documents without shingles all stay."""
     kept = components_of(docs, percent).where((F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("__id")).distinct()
-    one = docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    name = free_prefix(docs)
+    kept = kept.select(F.col("doc_id").alias(name)).distinct()
+    one = docs.join(kept, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null"))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerwatch.llm.common import WORD_SPACE, global_position, shared_table
+from partnerwatch.llm.common import WORD_SPACE, free_prefix, global_position, shared_table
 
 WEIGHTS = (1, 2, 3)
 MAX_RATE = 3
@@ -60,31 +60,34 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rat
     return sources.select("source", "source_size", target.alias("target"))
 
 
-def _sized(docs: DataFrame, seed: str, *keep: str) -> DataFrame:
-    return docs.select(*keep, word_count(F.col("text")).alias("__size"), coin(F.col("doc_id"), F.col("text"), seed).alias("__coin"))
+def _sized(docs: DataFrame, seed: str, p: str, *keep: str) -> DataFrame:
+    return docs.select(*keep, word_count(F.col("text")).alias(f"{p}size"), coin(F.col("doc_id"), F.col("text"), seed).alias(f"{p}coin"))
 
 
-def _with_copies(sized: DataFrame, targets: DataFrame, max_rate: int) -> DataFrame:
+def _with_copies(sized: DataFrame, targets: DataFrame, max_rate: int, p: str) -> DataFrame:
+    """``sized`` with the source's size and target and the copies, named with the prefix ``p``."""
     # one row a source: Spark broadcasts the table where its files are under the session's limit, else splits hot sources
-    named = targets.select(*(F.col(c).alias(f"__{c}") for c in ("source", "source_size", "target")))
+    named = targets.select(*(F.col(c).alias(f"{p}{c}") for c in ("source", "source_size", "target")))
     t = shared_table(named, "mix-targets")
-    rate = F.least(F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(0.0), F.lit(float(max_rate)))
-    copies = F.floor(rate) + (F.col("__coin") < rate - F.floor(rate)).cast("long")
-    return sized.join(t, F.col("source").eqNullSafe(F.col("__source")), "left").withColumn("__copies", copies)
+    size, target = F.col(f"{p}source_size"), F.col(f"{p}target")
+    rate = F.least(F.when(size > 0, target / size).otherwise(0.0), F.lit(float(max_rate)))
+    copies = F.floor(rate) + (F.col(f"{p}coin") < rate - F.floor(rate)).cast("long")
+    return sized.join(t, F.col("source").eqNullSafe(F.col(f"{p}source")), "left").withColumn(f"{p}copies", copies)
 
 
 def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE, seed: str = SEED) -> DataFrame:
     """doc_id, source, size, source_size, target, copies of every document. The
     texts are read once, into a narrow table in the shared folder."""
-    sized = shared_table(_sized(docs, seed, "doc_id", "source"), "mix-sizes")
+    sized = shared_table(_sized(docs, seed, "__", "doc_id", "source"), "mix-sizes")
     targets = source_targets(sized.select("source", F.col("__size").alias("size")), weights, max_rate)
-    planned = _with_copies(sized, targets, max_rate)
+    planned = _with_copies(sized, targets, max_rate, "__")
     return planned.select("doc_id", "source", *(F.col(f"__{c}").alias(c) for c in ("size", "source_size", "target", "copies")))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE, seed: str = SEED) -> DataFrame:
     """The mixed corpus: the rows of ``docs``, each repeated as often as it is taken."""
-    narrow = shared_table(_sized(docs, seed, "source").select("source", F.col("__size").alias("size")), "mix-sizes")
-    planned = _with_copies(_sized(docs, seed, "*"), source_targets(narrow, weights, max_rate), max_rate)
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))
-    return planned.select(*docs.columns, copies.alias("__copy")).drop("__copy")
+    p = free_prefix(docs)
+    narrow = shared_table(_sized(docs, seed, "__", "source").select("source", F.col("__size").alias("size")), "mix-sizes")
+    planned = _with_copies(_sized(docs, seed, p, "*"), source_targets(narrow, weights, max_rate), max_rate, p)
+    copies = F.explode(F.array_repeat(F.lit(0), F.col(f"{p}copies").cast("int")))
+    return planned.select(*docs.columns, copies.alias(f"{p}copy")).drop(f"{p}copy")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerwatch.llm.common import LOWER, UPPER
+from partnerwatch.llm.common import LOWER, UPPER, free_prefix
 
 BLOCK_CHARS = 16_000_000
 _FOLD = str.maketrans(UPPER, LOWER)
@@ -121,6 +121,7 @@ def url_verdicts(pages: DataFrame, rules: Iterable[tuple[str, str]], url: str =
     found = [_matches(out, block) for block in _blocks(rules)]
     none = F.struct(F.lit(-1).alias("labels"), F.lit(0).alias("length"), F.lit(0).alias("blocks"), F.lit(None).cast("string").alias("rule"))
     best = F.greatest(none, *found) if found else none
-    out = out.withColumn("__best", best)
-    verdict = F.when(F.col("__best.labels") < 0, default).when(F.col("__best.blocks") == 1, "block").otherwise("allow")
-    return out.withColumns({"rule": F.col("__best.rule"), "verdict": verdict}).drop("__best")
+    name = free_prefix(out)
+    out = out.withColumn(name, best)
+    verdict = F.when(F.col(f"{name}.labels") < 0, default).when(F.col(f"{name}.blocks") == 1, "block").otherwise("allow")
+    return out.withColumns({"rule": F.col(f"{name}.rule"), "verdict": verdict}).drop(name)

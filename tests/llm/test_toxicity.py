@@ -13,14 +13,14 @@ SF = "/root/testdata/sf0.1"
 
 
 def brute_segments(scores):
-    """Maximal scoring segments by their recursive definition: the best (first,
-    shortest) segment, then what is left and right of it."""
+    """Maximal scoring segments by their recursive definition: the best (shortest,
+    first) segment, then what is left and right of it."""
     best, at = 0, None
     for i in range(len(scores)):
         total = 0
         for j in range(i, len(scores)):
             total += scores[j]
-            if total > best:
+            if total > best or (total == best and at and j - i < at[1] - at[0]):
                 best, at = total, (i, j)
     if at is None:
         return []
