@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from contextlib import suppress
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,14 @@ def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
         spark.conf.set(key, str(most))
 
 
+def give_back() -> None:
+    """Return what a Python worker has freed to the system, as workers are kept
+    for later tasks and memory of an executor is shared with its JVM."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def free_prefix(df: DataFrame) -> str:
     """A beginning for the names of helper columns that no column of ``df`` has."""
     prefix = "__"

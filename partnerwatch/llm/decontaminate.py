@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partnerwatch.llm.common import small_batches
+from partnerwatch.llm.common import give_back, small_batches
 from partnerwatch.llm.grams import WordHashes, ngrams
 
 SEED, RARE, THRESHOLD, BLOCK_CHARS = 3, 1e-4, 0.5, 8_000_000
@@ -156,6 +156,8 @@ def _count_seeds(docs: DataFrame, all_seeds: Seeds) -> tuple[np.ndarray, int]:
                 n += 1
         some = np.flatnonzero(held)
         yield pa.record_batch([pa.array(np.append(some, -1)), pa.array(np.append(held[some], n))], ["seed", "n"])
+        del hashes, marks, held
+        give_back()
 
     rows = docs.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     counts = np.zeros(len(all_seeds.grams), np.int64)
@@ -200,6 +202,8 @@ def _judge(docs: DataFrame, seeds: Seeds, threshold: float):  # noqa: ANN202
         marks = own.marks()
         for batch in texts:
             yield pd.Series([own.find(words.of(t), marks, threshold) for t in batch], dtype=object)
+        del words, marks
+        give_back()
 
     return judge
 

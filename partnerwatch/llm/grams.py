@@ -7,7 +7,7 @@ from collections.abc import Callable
 import numpy as np
 import xxhash
 
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partnerwatch.llm.common import free_prefix, shared_table, small_batches
+from partnerwatch.llm.common import free_prefix, give_back, shared_table, small_batches
 from partnerwatch.llm.components import connected_components
 from partnerwatch.llm.grams import WordHashes, shingle_set
 
@@ -174,6 +174,8 @@ def text_sets(docs: DataFrame) -> tuple[DataFrame, Order]:
         none = empty(len(some))
         sums = pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * CHUNK, chunks[some].ravel())
         yield pa.record_batch([none, none, none, pa.nulls(len(some), pa.binary()), pa.array(some), sums], names)
+        del hashes, counts, chunks, sums
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, node long, bits binary, chunk long, counts array<long>")
     table = shared_table(rows, "shingle-sets")
@@ -205,6 +207,8 @@ def prefix_entries(docs: DataFrame, order: Order, percent: int) -> DataFrame:
                 shingles, nodes, sizes = (np.concatenate(x) for x in zip(*parts))
                 slices = order.slices[shingles & np.uint64(COUNTS - 1)]
                 yield pa.record_batch([shingles.view(np.int64), (mixed(nodes) % slices).astype(np.int16), slices, nodes, sizes], ["shingle", "slice", "slices", "node", "at"])
+        del hashes, seen
+        give_back()
 
     return docs.where("doc_id is not null").select("text").mapInArrow(run, "shingle long, slice short, slices short, node long, at long")
 
@@ -285,6 +289,8 @@ def _sets_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, order: Order)
             sets = [shingle_set(hashes.of(t), SHINGLE) for t in b["text"].to_pylist()]
             tokens = pa.array([order.sort(s).tobytes() for s in sets], pa.binary())
             yield pa.record_batch([pa.array([digest(s) for s in sets], pa.int64()), tokens], ["node", "tokens"])
+        del hashes
+        give_back()
 
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = shared_table(nodes.join(ends, "node").select(F.col("one").alias("wanted")).distinct(), "wanted-documents")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partnerwatch.llm.common import shared_table, small_batches
+from partnerwatch.llm.common import give_back, shared_table, small_batches
 from partnerwatch.llm.labels import held_out, training_labels
 
 STATISTICS = (
@@ -90,6 +90,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
         for b in batches:
             xs = [statistics(t or "") for t in b["text"].to_pylist()]
             yield pa.record_batch([b["doc_id"], pa.array(xs, kind)], ["doc_id", "x"])
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, x array<double>")
 

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partnerwatch.llm.common import offsets, shared_path, small_batches
+from partnerwatch.llm.common import give_back, offsets, shared_path, small_batches
 
 SEQUENCE = 2048
 SEQUENCES_A_BATCH = 64
@@ -84,7 +84,7 @@ class TextEncoder:
     for ``PROBES``. The kept words are bounded.
     """
 
-    MOST_WORDS = 300_000
+    MOST_WORDS = 200_000
     PROBES = ("the", "The,", "ÉTÉ&&&", "straße.", "thwhsh", "ÿ", "a", "ñandú|", "ÀÖØÞ!!")
     _WORD = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,!|*$%&#?:;]*)")
 
@@ -228,6 +228,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, end_id: int = E
             yield pa.record_batch(list(zip(*rows)) or [[]] * len(schema), schema=schema)
         if file:
             file.close()
+        give_back()
 
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(write, INDEX).write.parquet(f"{out}/index")
