@@ -1,13 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are compared without case and punctuation. Every 3-gram of a test item
-is counted over all documents (documents that hold it). An item's seeds are
-those of its 3-grams that are rare (in at most ``RARE`` of all documents) and,
-in any case, the rarer half, so an item that leaked into many documents keeps
-seeds. A document that holds a seed is aligned with the item around its seeds:
-word by word, by Smith-Waterman with match 2, mismatch -1 and gap -1. The score
-is the best alignment's over that of a full copy; a document is contaminated
-from ``THRESHOLD`` on, so copies with edits, gaps and paraphrased stretches count.
+Words are compared without case and punctuation. Every 3-gram of a test item is
+a seed, however many documents hold it, so copies that leak push none out. A
+document that holds a seed is aligned with the item around its seeds: word by
+word, by Smith-Waterman with match 2, mismatch -1 and gap -1. The score is the
+best alignment's over that of a full copy; a document is contaminated from
+``THRESHOLD`` on, so copies with edits, gaps and paraphrased stretches count, as
+long as three words in a row are left. Places where the words that item and
+text have in common bound every alignment below the threshold are not aligned.
 
 Documents are never shuffled: test items are the small side, sent to the tasks
 in blocks of at most ``BLOCK_CHARS`` characters; with more items than that, the
@@ -28,14 +28,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partnerwatch.llm.common import give_back, small_batches
 from partnerwatch.llm.grams import WordHashes, ngrams
 
-SEED, RARE, THRESHOLD, BLOCK_CHARS = 3, 1e-4, 0.5, 8_000_000
+SEED, THRESHOLD, BLOCK_CHARS = 3, 0.5, 8_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 _PLAIN = re.compile(r"[\W_]+")
 FOUND = "array<struct<item_id:long,score:double,first_word:long,last_word:long>>"
@@ -75,6 +74,17 @@ def span(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return (score, last - first, last) if back == score else (score, 0, last)
 
 
+def _among(words: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    return ascending[np.minimum(np.searchsorted(ascending, words), len(ascending) - 1)] == words
+
+
+def most_score(shared: np.ndarray) -> int:
+    """No local alignment scores more than the best stretch of the words of one
+    side, of which only ``shared`` ones can match."""
+    sums = np.cumsum(np.where(shared, MATCH, max(MISMATCH, GAP)))
+    return int((sums - np.minimum(np.minimum.accumulate(sums), 0)).max(initial=0))
+
+
 @dataclass(frozen=True)
 class Seeds:
     """Items of one block, and where each seed stands in them."""
@@ -88,7 +98,7 @@ class Seeds:
     sizes: tuple[int, ...]
 
     @classmethod
-    def of(cls, rows: list[tuple[int, np.ndarray]], wanted: np.ndarray | None = None) -> Seeds:
+    def of(cls, rows: list[tuple[int, np.ndarray]]) -> Seeds:
         grams, items, places = [], [], []
         for i, (_, words) in enumerate(rows):
             g = ngrams(words, min(SEED, len(words)))
@@ -96,8 +106,6 @@ class Seeds:
             items.append(np.full(len(g), i))
             places.append(np.arange(len(g)))
         g, i, p = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (grams, items, places))
-        if wanted is not None:
-            g, i, p = g[wanted], i[wanted], p[wanted]
         order = np.argsort(g, kind="stable")
         unique, starts = np.unique(g[order], return_index=True)
         sizes = sorted({min(SEED, len(w)) for _, w in rows})
@@ -128,54 +136,31 @@ class Seeds:
         each = np.repeat(np.arange(len(at)), counts)
         entry = np.arange(len(each)) - np.repeat(np.cumsum(counts) - counts, counts) + self.starts[seeds][each]
         items, start = self.items[entry], at[each] - self.places[entry]
-        found = []
-        for i in np.unique(items):
+        order = np.lexsort((start, items))
+        items, start = items[order], start[order]
+        held, found = np.sort(words), []
+        for own in np.split(np.arange(len(items)), np.flatnonzero(np.diff(items)) + 1) if len(items) else ():
+            i = items[own[0]]
             item = self.words[i]
             n, best = len(item), (0, 0, -1)
-            begins = np.unique(start[items == i])
+            least = threshold * MATCH * n
+            if most_score(_among(item, held)) < least:
+                continue
+            begins, by_hash = np.unique(start[own]), np.sort(item)
             for run in np.split(begins, np.flatnonzero(np.diff(begins) > 2 * n) + 1):
                 low = max(int(run[0]) - n, 0)
-                score, first, last = span(item, words[low : int(run[-1]) + 2 * n])
+                text = words[low : int(run[-1]) + 2 * n]
+                if most_score(_among(text, by_hash)) < least or most_score(_among(item, np.sort(text))) < least:
+                    continue
+                score, first, last = span(item, text)
                 if score > best[0]:
                     best = (score, first + low, last + low)
-            if best[0] >= threshold * MATCH * n:
+            if best[0] >= least:
                 found.append({"item_id": self.item_ids[i], "score": best[0] / (MATCH * n), "first_word": best[1], "last_word": best[2]})
         return found
 
 
-def _count_seeds(docs: DataFrame, all_seeds: Seeds) -> tuple[np.ndarray, int]:
-    """Documents that hold each gram, and the number of documents."""
-    sent = docs.sparkSession.sparkContext.broadcast(all_seeds)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = sent.value
-        held, marks, hashes, n = np.zeros(len(seeds.grams), np.int64), seeds.marks(), WordHashes(plain_word), 0
-        for b in batches:
-            for text in b["text"].to_pylist():
-                held[np.unique(seeds.hits(hashes.of(text), marks)[1])] += 1
-                n += 1
-        some = np.flatnonzero(held)
-        yield pa.record_batch([pa.array(np.append(some, -1)), pa.array(np.append(held[some], n))], ["seed", "n"])
-        del hashes, marks, held
-        give_back()
-
-    rows = docs.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toArrow().to_pandas()
-    counts = np.zeros(len(all_seeds.grams), np.int64)
-    own = rows["seed"] >= 0
-    counts[rows["seed"][own]] = rows["n"][own]
-    return counts, int(rows["n"][~own].sum())
-
-
-def _rare(rows: list[tuple[int, np.ndarray]], everything: Seeds, counts: np.ndarray, n_docs: int, rare: float) -> Seeds:
-    wanted = []
-    for _, words in rows:
-        g = ngrams(words, min(SEED, len(words)))
-        df = counts[np.searchsorted(everything.grams, g)]
-        wanted.append((df <= max(1, rare * n_docs)) | (df <= np.median(df)))
-    return Seeds.of(rows, np.concatenate(wanted) if wanted else None)
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", rare: float = RARE, threshold: float = THRESHOLD) -> Column:
+def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> Column:
     """Column over ``docs``: the items that its text holds, with score and place."""
     small_batches(docs.sparkSession)
     hashes = WordHashes(plain_word)
@@ -187,9 +172,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", rar
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b).orderBy("item_id", "text").toLocalIterator()
         rows = [(r["item_id"], w) for r in own if len(w := hashes.of(r["text"]))]
         if rows:
-            everything = Seeds.of(rows)
-            counts, n_docs = _count_seeds(docs.select(F.col(text).alias("text")), everything)
-            blocks.append(_judge(docs, _rare(rows, everything, counts, n_docs, rare), threshold)(F.col(text)))
+            blocks.append(_judge(docs, Seeds.of(rows), threshold)(F.col(text)))
     return F.concat(*blocks) if blocks else F.array().cast(FOUND)
 
 

@@ -85,3 +85,21 @@ def test_ngrams_name_runs_of_words():
     g = ngrams(w, 3)
     assert len(g) == 4 and g[0] == g[3] and len(set(g.tolist())) == 3
     assert len(ngrams(w[:2], 3)) == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 6), min_size=1, max_size=12), st.lists(st.integers(0, 6), min_size=1, max_size=15))
+def test_shared_words_bound_the_alignment(item, text):
+    score = brute_align(item, text)
+    assert score <= D.most_score(np.isin(item, text)) and score <= D.most_score(np.isin(text, item))
+
+
+def test_edited_copies_are_found_beside_other_copies_of_the_item(spark):
+    rng = np.random.default_rng(11)
+    items = [(i, item_text(rng)) for i in range(4)]
+    edited = [" ".join("changed" if k % 5 == 0 else w for k, w in enumerate(text.split())) for _, text in items]
+    leaks = [(100 * i + k, item_text(rng, 60) + " " + items[i][1]) for i in range(3) for k in range((1, 2, 40)[i])]  # exact copies
+    leaks += [(50 + 100 * i, item_text(rng, 60) + " " + edited[i]) for i in range(3)]  # and an edited one
+    leaks += [(300 + k, item_text(rng, 60) + " " + edited[3]) for k in range(60)]  # equal edited copies only
+    got = {(r["doc_id"], r["item_id"]) for r in D.contaminations(docs(spark, leaks), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(d, d // 100) for d, _ in leaks}
