@@ -2,7 +2,10 @@
 
 A page becomes a tree of elements. What never is main text (scripts, styles,
 menus, page headers and footers, sidebars, notices, adverts, forms, reader
-comments, by element, role or class name) is cut. For every element left, its
+comments, by element, role or class name) is cut. Inside an article or main
+element ids are mostly names of headings and compound names anything, so there
+only whole class names of containers cut, and whole ids of those but sections;
+headings, paragraphs and spans stay. For every element left, its
 composite text density is its characters per tag, adjusted for links:
 
     C/T * log_b(C/LC * T/LT),  b = ln(C/NC * LC + LCbody/Cbody * C + e)
@@ -11,7 +14,8 @@ with characters C, tags T, link characters LC, link tags LT, other characters
 NC of its subtree (0 counts as 1 below a line). The element whose children's
 densities have the largest sum is the main one; the smallest density on its
 path up to the body is the threshold below which its link-dominated blocks (in
-lists, tables and divisions) are left out. Text comes out block by block, with
+lists, tables and divisions) are left out; inside an article or main element
+only those whose class names a menu, so lists of sources stay. Text comes out block by block, with
 character references decoded and white space turned into single spaces.
 
 Defined results: null and empty pages, and pages without text, give an empty
@@ -61,13 +65,21 @@ CUT_NAMES = frozenset(
     " toolbar topbar widget".split()
 )
 LINKED = frozenset("ul ol dl table div section".split())
+#: Elements that names cut inside an article or main element.
+CONTAINERS = LINKED | {"ins"}
+#: First parts of class names of link lists that are left out inside an article or main element.
+MENU_NAMES = frozenset("breadcrumb breadcrumbs menu menubar nav navbar navigation pager pagination share sharing social toolbar topbar".split())
 #: An element that ends what it cannot be inside of, up to the elements where the search stops.
 _ITEM_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _STOPS = frozenset("ul ol dl table select body html article section div td th".split())
 
 
-def _cut(tag: str, attrs: str) -> bool:
-    """Whether an element never is main text."""
+def _first_parts(value: str) -> list[str]:
+    return [re.split("[-_]", x)[0] for x in value.split()]
+
+
+def _cut(tag: str, attrs: str, inside: bool = False) -> bool:
+    """Whether an element, ``inside`` an article or main element or not, never is main text."""
     if tag in CUT:
         return True
     if not attrs or tag in ("html", "body", "main", "article"):
@@ -78,17 +90,26 @@ def _cut(tag: str, attrs: str) -> bool:
             return True
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if name in ("class", "id") and any(x in CUT_NAMES or re.split("[-_]", x)[0] in CUT_NAMES for x in value.split()):
+        if name not in ("class", "id"):
+            continue
+        if not inside and not CUT_NAMES.isdisjoint((*value.split(), *_first_parts(value))):
+            return True
+        if inside and tag in CONTAINERS and (name, tag) != ("id", "section") and not CUT_NAMES.isdisjoint(value.split()):
             return True
     return False
 
 
+def _menu(attrs: str) -> bool:
+    return any(name.lower() == "class" and not MENU_NAMES.isdisjoint(_first_parts(value.strip("\"'").lower())) for name, value in _ATTRIBUTE.findall(attrs))
+
+
 class Page:
     """Elements in page order (parents before children) and what happens in
     the page: texts of elements, and None where a block starts or ends."""
 
     def __init__(self, html: str) -> None:
         self.tags, self.parents, self.cut = ["#root"], [-1], [False]
+        self.inside, self.menu = [False], [False]  # an article or main element; whether named as a menu
         self.events: list[tuple[int, str | None]] = []
         self._stack, self._open = [0], {}
         self._read(html)
@@ -106,10 +127,12 @@ class Page:
                     self._pop(item, *(_STOPS - {item, *(("td", "th") if tag == "tr" else ())}))
             self.events.append((self._stack[-1], None))
         parent = self._stack[-1]
-        inside = any(self.tags[i] in ("article", "main") for i in self._stack) if tag == "header" else False
+        inside = self.inside[parent] or self.tags[parent] in ("article", "main")
         self.tags.append(tag)
         self.parents.append(parent)
-        self.cut.append(self.cut[parent] or (tag == "header" and not inside) or _cut(tag, attrs))
+        self.inside.append(inside)
+        self.menu.append(inside and tag in LINKED and _menu(attrs))
+        self.cut.append(self.cut[parent] or (tag == "header" and not inside) or _cut(tag, attrs, inside))
         if tag not in VOID:
             self._stack.append(len(self.tags) - 1)
             self._open[tag] = self._open.get(tag, 0) + 1
@@ -214,7 +237,7 @@ class Page:
         kept = [False] * len(self.tags)
         for i in range(len(self.tags)):
             mine = i in chosen or (i > 0 and kept[self.parents[i]])
-            linked = i != best and self.tags[i] in LINKED and density[i] < threshold and 2 * self.links[i] > self.chars[i]
+            linked = i != best and self.tags[i] in LINKED and (self.menu[i] or not self.inside[i]) and density[i] < threshold and 2 * self.links[i] > self.chars[i]
             kept[i] = mine and not self.cut[i] and not linked
         blocks, block = [], []
         for i, text in [*self.events, (0, None)]:

@@ -58,3 +58,15 @@ def test_edges(spark):
     got = H.extract_main_text(df)
     assert sorted((r["text"], r["n_chars"]) for r in got.collect()) == [("", 0), ("", 0), ("a", 1), ("é\U0001f642", 2)]
     assert rows(H.extract_main_text(df.limit(0))) == []
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_articles_keep_what_only_has_a_name_like_that_of_a_notice_or_menu(tag):
+    sources = "".join(f"<li><a href=s{i}>Source number {i} of the article</a></li>" for i in range(8))
+    inner = f"""<h1>Title</h1><p>{PARAGRAPH}</p><h2 id="related-work">Related work</h2><section id="menu-planning"><p>On menus. {PARAGRAPH}</p></section>
+<div class="social-science"><p>On society. {PARAGRAPH}</p></div><p id="notice-1">One notice.</p><p class="notice">Two notices.</p><section id="navigation"><h2>At sea</h2></section>
+<p>An <span class="ad-hoc">ad hoc</span> word.</p><div class="ad">Buy now</div><div id="comments">Nice post!</div><ul class="share-buttons"><li><a href=x>Tell your friends</a></li></ul>
+<h2>Sources</h2><ol>{sources}</ol><section id="references"><div><a href=y>Last source</a></div></section>"""
+    page = f'<html><body><div class="menu-top"><a href=/>Home</a></div><div id="notice-1">We use cookies</div><{tag}>{inner}</{tag}><div class=foot><ul><li><a href=z>Another story</a></ul></div></body></html>'
+    want = ["Title", PARAGRAPH, "Related work", f"On menus. {PARAGRAPH}", f"On society. {PARAGRAPH}", "One notice.", "Two notices.", "At sea", "An ad hoc word.", "Sources"]
+    assert H.main_text(page).split("\n") == [*want, *(f"Source number {i} of the article" for i in range(8)), "Last source"]
