@@ -23,8 +23,12 @@ Prefix entries meet by shingle:
 5. What is left are nodes of different components that share a prefix shingle:
    all those pairs that steps 1 and 2 cannot rule out are compared too, so no
    link is lost. Of shingles that the same nodes hold, the first in the order
-   stands for all. Pairs inside a component need no comparison, which keeps
-   large groups of near copies linear.
+   stands for all. Pairs inside a component need no comparison for the
+   components, which keeps large groups of near copies linear.
+6. Links are counted inside components: a component's sets are dealt into blocks
+   of bounded size, and each two blocks meet in a task that counts the overlaps
+   of all their pairs by a product of 0/1 matrices. Rows are (set, block); pairs
+   only exist as numbers inside a task. ``one_of_each`` leaves this step out.
 
 Defined results: null texts, and texts without words, have no shingles and are
 alone; a text of fewer words than a shingle is one shingle; rows that repeat a
@@ -56,6 +60,8 @@ COUNTS = 1 << 20
 CHUNK = 1 << 10  # counts that a row carries from the tasks to their sums
 SLICE = 20_000  # entries of a hot shingle in one slice, as its bucket's count suggests
 PARTNERS = 64  # sets that one trie holds on average
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 18  # of a component's sets in one block, on average
+WIDTH = 1 << 12  # columns of a matrix at a time
 
 
 def digest(shingles: np.ndarray) -> int:
@@ -321,6 +327,49 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return grouped.applyInPandas(join, "a long, b long")
 
 
+def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Shared shingles of each of the sets ``left`` with each of the sets ``right``."""
+    names, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    everywhere = held == len(sets)  # the same for all pairs
+    both = np.full((len(left), len(right)), int(everywhere.sum()), np.int64)
+    some = (held > 1) & ~everywhere
+    place, used = np.cumsum(some) - 1, some[column]
+    row, column = row[used], place[column[used]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, int(some.sum()), WIDTH):
+        a, b = np.searchsorted(column, (low, low + WIDTH))
+        has = np.zeros((len(sets), WIDTH), np.float32)
+        has[row[a:b], column[a:b] - low] = 1
+        both += (has[left] @ has[right].T).astype(np.int64)
+    return both
+
+
+def _link_counts(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n_links) of the nodes in ``places`` (node, component, blocks) that
+    are similar to others of their component."""
+    own, other = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.col("other")
+    met = places.withColumn("own", own).join(sets, "node")
+    met = met.select("node", "tokens", "component", "own", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("other"))
+
+    def count(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, np.uint64) for x in group["tokens"]]
+        own, n = group["own"].to_numpy(), np.array([len(x) for x in sets], np.int64)
+        left, right = np.flatnonzero(own == key[1]), np.flatnonzero(own == key[2])
+        both = overlaps(sets, left, right)
+        linked = similar(both, n[left][:, None], n[right][None, :], percent)
+        if key[1] == key[2]:
+            np.fill_diagonal(linked, False)
+            found, counts = left, linked.sum(1)
+        else:
+            found, counts = np.append(left, right), np.append(linked.sum(1), linked.sum(0))
+        return pd.DataFrame({"node": group["node"].to_numpy()[found], "n_links": counts.astype(np.int64)})
+
+    pairs = met.groupBy("component", F.least("own", other).alias("i"), F.greatest("own", other).alias("j"))
+    return pairs.applyInPandas(count, "node long, n_links long").groupBy("node").agg(F.sum("n_links").alias("n_links"))
+
+
 def _pairs_between(entries: DataFrame, labels: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of different components that share a prefix shingle and
     were not compared yet; the smaller set's entry is inner."""
@@ -353,41 +402,55 @@ def _pairs_between(entries: DataFrame, labels: DataFrame, seen: DataFrame, perce
     return pairs.join(turned, ["a", "b"], "left_anti")
 
 
-def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links of every document; ``n_links``
-    counts the other sets that its set was found linked with."""
+def _judged(docs: DataFrame, percent: int, count: bool) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links of every document; links are
+    only counted if asked for."""
     table, order = text_sets(docs)
     entries, first_pairs = _pairs_with_first(prefix_entries(docs, order, percent), percent)
     first_pairs = shared_table(first_pairs, "first-pairs")
     keyed = table.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("one"), F.max("n").alias("n"), F.max("bits").alias("bits"))
     keyed = shared_table(keyed, "nodes")
 
-    def compared(pairs: DataFrame) -> DataFrame:
+    def compared(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         near = shared_table(_possible(pairs, keyed, percent), "possible-pairs")
-        return shared_table(_verified(near, _sets_of(near, keyed, docs, order), percent), "links-found")
+        sets = _sets_of(near, keyed, docs, order)
+        return shared_table(_verified(near, sets, percent), "links-found"), sets
 
-    links = compared(first_pairs)
+    links, sets = compared(first_pairs)
     labels = shared_table(connected_components(links), "labels")
     rest = shared_table(_pairs_between(entries, labels, first_pairs, percent), "rest-pairs")
-    more = compared(rest) if rest.take(1) else rest
+    more, more_sets = compared(rest) if rest.take(1) else (rest, None)
     if more.take(1):
-        links = links.unionByName(more)
         joined = labels.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more)
         labels = shared_table(connected_components(joined), "labels")
-    degrees = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
-    named = labels.join(keyed.select("node", "one"), "node")
-    names = named.join(named.groupBy("component").agg(F.min("one").alias("component_id")), "component")
-    linked = shared_table(names.join(degrees, "node", "left").select("node", "component_id", "n_links"), "linked-nodes")
+        sets = sets.unionByName(more_sets.join(sets.select("node"), "node", "left_anti"))
+    named = labels.join(keyed.select("node", "one", "n"), "node")
+    groups = named.groupBy("component").agg(F.min("one").alias("component_id"), F.count("*").alias("size"), F.sum("n").alias("shingles"))
+    names = named.join(groups, "component")
+    if count:
+        blocks = F.ceil(F.greatest(F.col("size") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES))
+        names = shared_table(names.select("node", "component", "component_id", "size", blocks.alias("blocks")), "linked-nodes")
+        degrees = _link_counts(names.where("size > 2").select("node", "component", "blocks"), sets, percent)
+        names = names.join(degrees, "node", "left").withColumn("n_links", F.when(F.col("size") == 2, F.lit(1)).otherwise(F.col("n_links")).cast("long"))
+    else:
+        names = names.withColumn("n_links", F.lit(None).cast("long"))
+    linked = shared_table(names.select("node", "component_id", "n_links"), "linked-nodes")
     whole = keyed.select("node", "one").join(linked, "node", "left").select("node", F.coalesce("component_id", "one").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = table.join(whole, "node", "left")
     alone = F.col("node").isNull()
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links of every document; ``n_links``
+    counts the other sets that its set is linked with."""
+    return _judged(docs, percent, count=True)
+
+
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` with one document of each component, that of the
     smallest doc_id; documents without shingles all stay."""
-    kept = components_of(docs, percent).where((F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id")))
+    kept = _judged(docs, percent, count=False).where((F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id")))
     name = free_prefix(docs)
     kept = kept.select(F.col("doc_id").alias(name)).distinct()
     one = docs.join(kept, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])

@@ -105,3 +105,22 @@ def test_connected_components(spark):
     df = spark.createDataFrame(links, "a long, b long")
     assert {(r["node"], r["component"]) for r in connected_components(df).collect()} == set(name.items())
     assert rows(connected_components(df.limit(0))) == []
+
+
+def true_links(data):
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for d, t in data for w in [t.lower().split()]}
+    different = {frozenset(s) for s in sets.values()}
+    return {(d, sum(100 * len(s & o) >= 75 * len(s | o) for o in different) - 1) for d, s in sets.items()}
+
+
+def test_all_links_inside_components_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_SETS", 7)  # the groups are dealt into blocks
+    monkeypatch.setattr(J, "WIDTH", 16)
+    data = [(1, "a text like no other one here"), (2, "b c d e f g h i j k l m n o p"), (3, "b c d e f g h i j k l m n o p q"), (4, "B c d e f g h i j k l m n o p")]
+    for i in range(40):  # all near each other
+        words = [f"n{k}" for k in range(120)]
+        words[(i * 3) % 120] = f"edit{i}"
+        data.append((100 + i, " ".join(words)))
+    for i in range(30):  # a drifting chain
+        data.append((200 + i, " ".join([f"c{k}" for k in range(i * 2, 60 + i * 2)])))
+    assert {(r["doc_id"], r["n_links"]) for r in J.components_of(docs(spark, data)).collect()} == true_links(data)
