@@ -4,7 +4,8 @@
 * per-group statistics with a proven group bound are broadcast;
 * exact quantiles never use Spark's single-buffer ``percentile``;
 * filters and column pruning reach the Parquet scan;
-* nothing in the package collects to the driver.
+* nothing in the library collects to the driver (``tests/llm`` lists the bounded
+  fetches of the training-data operators).
 """
 
 from __future__ import annotations
@@ -55,8 +56,11 @@ def test_scan_pushdown_and_pruning(spark):
 def test_no_driver_collection_in_library():
     offenders = []
     for f in PKG.rglob("*.py"):
+        if "llm" in f.relative_to(PKG).parts:
+            continue
         src = f.read_text()
-        for pat in (".collect()", ".toPandas()", "localCheckpoint", ".take(", ".first()"):
+        for pat in (".collect()", ".toPandas()", "localCheckpoint", ".take(", ".first()", ".toArrow()",
+                    ".toLocalIterator()"):
             if pat in src:
                 offenders.append(f"{f.name}: {pat}")
     assert offenders == []
