@@ -14,6 +14,8 @@ from partnerwatch.session import checkpoint_dir
 
 #: White space of the word definition: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_SPACE = r"[\x20\x09-\x0D]+"
+#: Bytes of a row group of tables between steps: what a task's writer holds on the heap.
+ROW_GROUP = 16 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,7 +35,7 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it, so that a
     lost executor never costs more than the stage it worked on."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -31,11 +31,13 @@ Prefix entries meet by shingle:
    only exist as numbers inside a task. ``one_of_each`` leaves this step out.
 
 Defined results: null texts, and texts without words, have no shingles and are
-alone; a text of fewer words than a shingle is one shingle; rows that repeat a
-doc_id are judged by their own texts each; rows without doc_id belong only to
-documents of an equal set (else their component is null) and all stay in
-``one_of_each``, which keeps one row of those that repeat a doc_id; an empty
-table gives an empty result. Texts of any length are whole sets. Further
+alone (``one_of_each`` keeps them all); a text of fewer words than a shingle is
+one shingle; rows that repeat a doc_id, and rows without one, are judged by
+their own texts each, and link like any other; a component whose rows have no
+doc_id has a null id. ``one_of_each`` keeps the row of the smallest doc_id
+(null last) of each component; where texts of one component repeat it, that of
+the smallest set name, then text hash; of rows equal in both, the smallest. An
+empty table gives an empty result. Texts of any length are whole sets. Further
 columns are passed on by ``one_of_each`` and left out by ``components_of``.
 """
 
@@ -57,7 +59,7 @@ from partnerwatch.llm.grams import WordHashes, shingle_set
 
 SHINGLE, PERCENT = 5, 75
 COUNTS = 1 << 20
-CHUNK = 1 << 10  # counts that a row carries from the tasks to their sums
+CHUNK = 1 << 10  # counted buckets that a row carries from the tasks to their sums
 SLICE = 20_000  # entries of a hot shingle in one slice, as its bucket's count suggests
 PARTNERS = 64  # sets that one trie holds on average
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 18  # of a component's sets in one block, on average
@@ -159,13 +161,14 @@ class SetTrie:
 
 
 def text_sets(docs: DataFrame) -> tuple[DataFrame, Order]:
-    """(doc_id, n, node, bits) of every document, and the global order."""
+    """(doc_id, key: hash of the text, n, node, bits) of every document, and the
+    global order. A task emits the counts of the buckets that it saw."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = WordHashes(), np.zeros(COUNTS, np.int64)
-        names = ["doc_id", "n", "node", "bits", "chunk", "counts"]
-        empty = lambda n: pa.nulls(n, pa.int64())
+        names = ["doc_id", "key", "n", "node", "bits", "buckets", "counts"]
+        kinds = [pa.int64()] * 4 + [pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
         for b in batches:
             rows, at = [], [np.empty(0, np.uint64)]
             for text in b["text"].to_pylist():
@@ -173,23 +176,25 @@ def text_sets(docs: DataFrame) -> tuple[DataFrame, Order]:
                 at.append(s & np.uint64(COUNTS - 1))
                 rows.append((len(s), digest(s), parity_bitmap(s)) if len(s) else (0, None, None))
             counts += np.bincount(np.concatenate(at).view(np.int64), minlength=COUNTS)
-            n, nodes, bits = zip(*rows) if rows else ((), (), ())
-            yield pa.record_batch([b["doc_id"], pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary()), empty(len(n)), pa.nulls(len(n), pa.list_(pa.int64()))], names)
-        chunks = counts.reshape(-1, CHUNK)
-        some = np.flatnonzero(chunks.any(1))
-        none = empty(len(some))
-        sums = pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * CHUNK, chunks[some].ravel())
-        yield pa.record_batch([none, none, none, pa.nulls(len(some), pa.binary()), pa.array(some), sums], names)
-        del hashes, counts, chunks, sums
+            own = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else ((), (), ()), kinds[2:5])]
+            yield pa.record_batch([b["doc_id"], b["key"], *own, *(pa.nulls(len(rows), k) for k in kinds[5:])], names)
+        seen = np.flatnonzero(counts)
+        if len(seen):
+            ends = np.append(np.arange(0, len(seen), CHUNK), len(seen)).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (seen.astype(np.int32), counts[seen])]
+            yield pa.record_batch([*(pa.nulls(len(ends) - 1, k) for k in kinds[:5]), *lists], names)
+            del lists
+        del hashes, counts, seen
         give_back()
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, node long, bits binary, chunk long, counts array<long>")
+    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text")
+    rows = texts.mapInArrow(run, "doc_id long, key long, n long, node long, bits binary, buckets array<int>, counts array<long>")
     table = shared_table(rows, "shingle-sets")
-    each = table.where("chunk is not null").select("chunk", F.posexplode("counts").alias("at", "count")).where("count > 0")
-    sums = each.groupBy((F.col("chunk") * CHUNK + F.col("at")).alias("bucket")).agg(F.sum("count").alias("count")).toArrow()
+    each = table.where("buckets is not null").select(F.inline(F.arrays_zip("buckets", "counts")))
+    sums = each.groupBy("buckets").agg(F.sum("counts").alias("count")).toArrow()
     counts = np.zeros(COUNTS, np.int64)  # as many numbers whatever the corpus
-    counts[sums["bucket"].to_numpy()] = sums["count"].to_numpy()
-    return table.where("chunk is null").select("doc_id", "n", "node", "bits"), Order.of(counts)
+    counts[sums["buckets"].to_numpy()] = sums["count"].to_numpy()
+    return table.where("buckets is null").select("doc_id", "key", "n", "node", "bits"), Order.of(counts)
 
 
 def prefix_entries(docs: DataFrame, order: Order, percent: int) -> DataFrame:
@@ -216,7 +221,7 @@ def prefix_entries(docs: DataFrame, order: Order, percent: int) -> DataFrame:
         del hashes, seen
         give_back()
 
-    return docs.where("doc_id is not null").select("text").mapInArrow(run, "shingle long, slice short, slices short, node long, at long")
+    return docs.select("text").mapInArrow(run, "shingle long, slice short, slices short, node long, at long")
 
 
 def mixed(nodes: np.ndarray) -> np.ndarray:
@@ -286,7 +291,8 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def _sets_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
     """(node, tokens: the set in the global order) of the nodes in ``pairs``, from
-    one document each; a doc_id may repeat with other texts, whose sets no pair names."""
+    one document each, or from the rows without doc_id. A doc_id may repeat with
+    other texts, whose sets no pair names."""
     sent = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,10 +305,10 @@ def _sets_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, order: Order)
         give_back()
 
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = shared_table(nodes.join(ends, "node").select(F.col("one").alias("wanted")).distinct(), "wanted-documents")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi")
+    wanted = shared_table(nodes.join(ends, "node").select("node", F.col("one").alias("wanted")), "wanted-documents")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.select("wanted").distinct(), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
     found = texts.select("text").mapInArrow(run, "node long, tokens binary")
-    return shared_table(found.dropDuplicates(["node"]), "ordered-sets")
+    return shared_table(found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "ordered-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -403,8 +409,8 @@ def _pairs_between(entries: DataFrame, labels: DataFrame, seen: DataFrame, perce
 
 
 def _judged(docs: DataFrame, percent: int, count: bool) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links of every document; links are
-    only counted if asked for."""
+    """doc_id, key, node, n_shingles, component_id, root (a node of the component)
+    and n_links of every document; links are only counted if asked for."""
     table, order = text_sets(docs)
     entries, first_pairs = _pairs_with_first(prefix_entries(docs, order, percent), percent)
     first_pairs = shared_table(first_pairs, "first-pairs")
@@ -429,29 +435,40 @@ def _judged(docs: DataFrame, percent: int, count: bool) -> DataFrame:
     names = named.join(groups, "component")
     if count:
         blocks = F.ceil(F.greatest(F.col("size") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES))
-        names = shared_table(names.select("node", "component", "component_id", "size", blocks.alias("blocks")), "linked-nodes")
+        names = shared_table(names.select("node", "component", "component_id", "size", blocks.alias("blocks")), "dealt-nodes")
         degrees = _link_counts(names.where("size > 2").select("node", "component", "blocks"), sets, percent)
         names = names.join(degrees, "node", "left").withColumn("n_links", F.when(F.col("size") == 2, F.lit(1)).otherwise(F.col("n_links")).cast("long"))
     else:
         names = names.withColumn("n_links", F.lit(None).cast("long"))
-    linked = shared_table(names.select("node", "component_id", "n_links"), "linked-nodes")
-    whole = keyed.select("node", "one").join(linked, "node", "left").select("node", F.coalesce("component_id", "one").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    linked = shared_table(names.select("node", "component_id", F.col("component").alias("root"), "n_links"), "linked-nodes")
+    whole = keyed.select("node", "one").join(linked, "node", "left")
+    whole = whole.select("node", F.coalesce("component_id", "one").alias("component_id"), F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = table.join(whole, "node", "left")
     alone = F.col("node").isNull()
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select("doc_id", "key", "node", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "root", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def components_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links of every document; ``n_links``
     counts the other sets that its set is linked with."""
-    return _judged(docs, percent, count=True)
+    return _judged(docs, percent, count=True).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` with one document of each component, that of the
-    smallest doc_id; documents without shingles all stay."""
-    kept = _judged(docs, percent, count=False).where((F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id")))
-    name = free_prefix(docs)
-    kept = kept.select(F.col("doc_id").alias(name)).distinct()
-    one = docs.join(kept, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null"))
+    """The rows of ``docs`` with one document of each component, see above;
+    documents without shingles all stay. Columns must be orderable."""
+    judged = shared_table(_judged(docs, percent, count=False).select("doc_id", "key", "node", "root"), "judged-documents")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "key"))
+    kept = judged.where("root is not null").groupBy("root").agg(first.alias("f")).select("f.doc_id", "f.key")
+    rows_of = judged.where("root is not null").groupBy("doc_id", "key").agg(F.count("*").alias("rows"))
+    p = free_prefix(docs)
+    same = rows_of["doc_id"].eqNullSafe(kept["doc_id"]) & (rows_of["key"] == kept["key"])
+    kept = kept.join(rows_of, same).select(kept["doc_id"].alias(f"{p}id"), kept["key"].alias(f"{p}key"), (F.col("rows") > 1).alias(f"{p}repeats"))
+    kept = shared_table(kept, "kept-documents")
+    met = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{p}id")) & (F.xxhash64("text") == F.col(f"{p}key"))
+    found = docs.join(kept, met)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    once = found.where(~F.col(f"{p}repeats")).select(*names)
+    least = found.where(f"{p}repeats").groupBy(f"{p}id", f"{p}key").agg(F.min(F.struct(*names)).alias("f")).select("f.*")
+    wordless = docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    return once.unionByName(least).unionByName(wordless)

@@ -7,8 +7,8 @@ are not held out, so the fit sees every one of them and the driver only gets
 d x d numbers a class. A class covariance is shrunk towards the pooled one and
 towards a multiple of the identity. Its Cholesky factor is computed once and
 sent to the tasks; a document's score is the logistic function of the
-difference of the two log densities (Mahalanobis distances by triangular
-solves) plus the log odds of the classes.
+difference of the two log densities (Mahalanobis distances by the inverted
+factor) plus the log odds of the classes.
 
 Defined results: a null text is an empty text, whose statistics are those of no
 words; without labels of both classes the score is the share of label 1 (one
@@ -176,8 +176,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7)
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts. Texts are read twice and
-    not shuffled."""
-    model = train(document_statistics(docs), labels)
+    not shuffled. The statistics are written before the fit, so no task ever
+    runs two Python nodes (and two workers) at once."""
+    model = train(shared_table(document_statistics(docs), "quality-statistics"), labels)
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:

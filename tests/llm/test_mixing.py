@@ -54,3 +54,17 @@ def test_edges(spark):
     assert rows(M.mix_plan(df.limit(0))) == [] and rows(M.mix(df.limit(0))) == []
     empty = docs(spark, [(1, None), (2, "")])
     assert [(r["target"], r["copies"]) for r in M.mix_plan(empty).collect()] == [(0.0, 0)] * 2
+
+
+def test_equal_rows_have_coins_of_their_own(spark):
+    same = [(7, "one two three", "a")] * 900 + [(None, "four five", "a")] * 300 + [(i, "six", "b") for i in range(5000, 6200)]
+    df = docs(spark, same).repartition(7)
+    plan = M.mix_plan(df).collect()
+    for source in "ab":
+        own = [r for r in plan if r["source"] == source]
+        assert abs(sum(r["size"] * r["copies"] for r in own) - own[0]["target"]) < 0.1 * own[0]["target"]
+    told = Counter((r["doc_id"], r["size"], r["copies"]) for r in plan)
+    assert told == Counter((r["doc_id"], r["size"], r["copies"]) for r in M.mix_plan(df.repartition(3)).collect())
+    out = Counter((r["doc_id"], r["text"]) for r in M.mix(df).collect())
+    for doc_id, text, size in ((7, "one two three", 3), (None, "four five", 2)):
+        assert out[doc_id, text] == sum(n * copies for (d, s, copies), n in told.items() if d == doc_id and s == size)
