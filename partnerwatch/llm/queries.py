@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerwatch.llm import chat, decontaminate, html_text, jaccard_join, mixing, quality, token_files, topk, toxicity, url_filter
+from partnerwatch.llm import chat, decontaminate, html_text, jaccard_join, mixing, packing, quality, repair, runs, stand_ins, token_files, topk, toxicity, url_filter
 from partnerwatch.llm.common import LOWER, UPPER, table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -68,6 +68,35 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(planted)))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(stand_ins.with_repeating_tails(table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.*",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    placed = repair.placed_rows(stand_ins.damaged_turns(turns))
+    found = repair.diagnoses(placed)
+    parts = [repair.turn_gaps(placed), found, repair.digests(repair.repaired_turns(placed, found))]
+    out = turns.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    for part in parts:
+        part = part.withColumnRenamed("conv_id", "__conv")
+        out = out.join(part, F.col("conv_id").eqNullSafe(F.col("__conv")), "left").drop("__conv")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit(""), 256)
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_token_files": op2_token_files,
@@ -79,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
     "op10_chat_format": op10_chat_format,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _OP1 = """
@@ -157,4 +189,89 @@ SELECT conv_id, count(*) AS n_turns,
 FROM told GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op1_top_k": _OP1, "op3_mixing": _OP3, "op5_url_filter": _OP5, "op10_chat_format": _OP10}
+
+
+def _op13_sql() -> str:
+    """The dynamic program row by row: an entry is an eight-digit cost and the audit."""
+
+    def plus(entry: str, cost: str, letter: str) -> str:
+        return f"CASE WHEN {entry} = '~' THEN '~' ELSE printf('%08d', substr({entry}, 1, 8)::INTEGER + {cost}) || substr({entry}, 9) || '{letter}' END"
+
+    def step(end: str, letter: str | None, sources: tuple[str, ...]) -> str:
+        ways = [plus(f"v.{end}", "3", "D")]
+        for source in sources:
+            if letter != "s":
+                ways.append(f"CASE WHEN gone THEN '~' ELSE {plus(f'v.{source}', '2 + late', 'R')} END")
+            ways.append(f"CASE WHEN gone OR letter <> '{letter}' THEN '~' ELSE {plus(f'v.{source}', 'late', 'K')} END")
+        return f"least({', '.join(ways)})" if len(ways) > 1 else ways[0]
+
+    return rf"""
+WITH RECURSIVE bits AS (
+  SELECT i::BIGINT AS i, 0 AS k, i::BIGINT AS c FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE k = 8
+), fated AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce([4294967295] || [ord(x)::BIGINT FOR x IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')],
+                         lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS fate
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM fated, range(2) copy(k) WHERE fate <> 0 AND (k = 0 OR fate = 3)
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again
+  FROM damaged
+), faulty AS (
+  SELECT conv_id, turn, role, text, i, substr(role, 1, 1) AS letter,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b' WHEN again THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 't' ELSE '-' END AS fault
+  FROM ordered
+), symbols AS (
+  SELECT *, fault IN ('b', 'd') AS gone, (fault = 't')::INTEGER AS late,
+         lag(letter) OVER (PARTITION BY conv_id ORDER BY i) AS previous
+  FROM faulty
+), best AS (
+  SELECT conv_id, 0::BIGINT AS i, '00000000' AS z, '~' AS s, '00000002I' AS u, '00000004II' AS a FROM (SELECT DISTINCT conv_id FROM faulty)
+  UNION ALL
+  SELECT conv_id, i, z, s, u2, least(a, {plus('u2', '2', 'I')})
+  FROM (
+    SELECT *, least(u, {plus('z', '2', 'I')}, {plus('s', '2', 'I')}, {plus('a', '2', 'I')}) AS u2
+    FROM (
+      SELECT v.conv_id, r.i, {step('z', None, ())} AS z, {step('s', 's', ('z',))} AS s, {step('u', 'u', ('z', 's', 'a'))} AS u, {step('a', 'a', ('u',))} AS a
+      FROM best v JOIN symbols r ON r.conv_id IS NOT DISTINCT FROM v.conv_id AND r.i = v.i + 1
+    )
+  )
+), solved AS (
+  SELECT conv_id, substr(least(z, a), 1, 8)::BIGINT AS cost, substr(least(z, a), 9) AS audit
+  FROM best QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), letters AS (
+  SELECT conv_id, p, substr(audit, p, 1) AS edit FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS p FROM solved)
+), edits AS (
+  SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i,
+         count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id ORDER BY p) AS m
+  FROM letters
+), written AS (
+  SELECT e.conv_id, p, m, edit, CASE WHEN edit = 'I' THEN '' ELSE text END AS text, CASE WHEN edit = 'K' THEN role END AS role,
+         max((m = 1 AND edit = 'K' AND letter = 's')::INTEGER) OVER (PARTITION BY e.conv_id) AS system
+  FROM edits e LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.i = e.i WHERE edit <> 'D'
+), hashed AS (
+  SELECT conv_id, sha256(string_agg(coalesce(role, CASE WHEN (m - system) % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY p)) AS repaired_sha256
+  FROM written GROUP BY conv_id
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (i > 1 AND previous || letter NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM symbols GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN solved s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN hashed h ON h.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+ORACLES: dict[str, str] = {"op1_top_k": _OP1, "op3_mixing": _OP3, "op5_url_filter": _OP5, "op10_chat_format": _OP10, "op13_conversation_repair": _op13_sql()}

@@ -15,7 +15,7 @@ from tests.llm.test_jaccard import brute as brute_components
 
 def test_queries_are_registered():
     names = E.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(E.oracle_sql()) <= set(names)
 
 
