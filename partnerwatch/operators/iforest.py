@@ -5,21 +5,24 @@ psi = min(max_samples, n) rows per tree, drawn without replacement; height
 limit ceil(log2 psi); at each node a random feature among those not constant
 in the node and a uniform cut in [min, max); path length = depth + c(leaf
 size); score = -2^(-mean path / c(psi)); offset = the ``contamination``
-quantile of the training scores; flag when score - offset < 0. Groups under
+quantile of the training scores; flag when score - offset < 0. Path lengths are
+added up in units of 2^-32, so their sums do not depend on the order. Groups under
 ``min_segment_size`` partners are scored by a model trained on all partners.
 
 Plan shape:
 
 * membership: each partner -> its own group's model and, only when some
   group is small, the global model (an ``explode`` of at most two keys);
-* sampling: per (row, tree) a uniform number from ``xxhash64`` of (model,
-  partner, tree, seed): deterministic under retries and repartitioning. A row
-  joins tree t when that number is below p = min(1, (psi + 6 sqrt(psi) + 16) / n),
-  then the psi smallest per (model, tree) are kept (a window over about
-  psi + 6 sqrt(psi) narrow rows per tree, whatever n is). Work is n * trees
-  hashes with no shuffle of the full table;
-* fitting: ``groupBy(model, block of trees).applyInPandas``; numpy grows each
-  tree level by level on <= psi rows;
+* randomness is counter-based: every draw is a hash of the seed and of what it
+  is for (model and partner and tree; model and tree and node; feature), made of
+  md5 lanes and arithmetic modulo a prime, so a tree is the same under any
+  partitioning and retry, and any engine with integers grows the same forest;
+* sampling: a row has two md5 lanes (a, b) for each model and joins tree t when
+  u = (a (t + 1) + b) mod prime is below p = min(1, (psi + 6 sqrt(psi) + 16) / n);
+  the psi smallest u of a tree are its sample. One pass makes n * trees products
+  and one shuffle brings about psi + 6 sqrt(psi) rows a tree to its fit;
+* fitting: ``groupBy(model, block of trees).applyInPandas``; numpy cuts each
+  tree's rows to its psi smallest u and grows it level by level;
 * scoring: ``cogroup`` on (model, salt); rows are spread over
   ceil(n / rows_per_task) salts and each model's forest is replicated to its
   salts, so no task holds more than ``rows_per_task`` partners or one forest;
@@ -39,6 +42,8 @@ from pyspark.sql import types as T
 from partnerwatch.config import GLOBAL_MODEL_KEY
 from partnerwatch.functions import stats
 
+PRIME = 2_147_483_647
+UNIT = 1 << 32
 _MK = "_model_key"
 _PK = "_partner"
 
@@ -50,7 +55,7 @@ FOREST_SCHEMA = T.StructType([
     T.StructField("_thr", T.ArrayType(T.DoubleType())),
     T.StructField("_left", T.ArrayType(T.IntegerType())),
     T.StructField("_right", T.ArrayType(T.IntegerType())),
-    T.StructField("_leaf", T.ArrayType(T.DoubleType())),
+    T.StructField("_leaf", T.ArrayType(T.LongType())),
 ])
 
 SCORE_SCHEMA = T.StructType([
@@ -74,10 +79,22 @@ def _bounded(df: DataFrame, rows_bound: int | None) -> DataFrame:
     return F.broadcast(df) if rows_bound is not None and rows_bound <= stats.BROADCAST_GROUP_LIMIT else df
 
 
-def _unit_hash(*cols) -> F.Column:
-    """Uniform [0, 1) from xxhash64 of the given columns."""
-    h = F.xxhash64(*cols)
-    return (h.bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).cast("double")) / F.lit(float(2 ** 63))
+def path_units(n: int) -> int:
+    """c(n) in units of 2^-32."""
+    return round(average_path_length(n) * UNIT)
+
+
+def lanes(text: str, n: int) -> list[int]:
+    """``n`` (at most 4) numbers below PRIME from a text."""
+    import hashlib
+
+    digits = hashlib.md5(text.encode()).hexdigest()
+    return [int(digits[8 * i:8 * i + 8], 16) % PRIME for i in range(n)]
+
+
+def _lane(text: F.Column, i: int) -> F.Column:
+    """Column twin of ``lanes``."""
+    return F.conv(F.substring(F.md5(text), 8 * i + 1, 8), 16, 10).cast("bigint") % F.lit(PRIME)
 
 
 def feature_columns(cols: Sequence[str]) -> list[F.Column]:
@@ -132,14 +149,8 @@ def assign_models(df: DataFrame, feature_cols: Sequence[str], segment_col: str |
 
 def sample_for_trees(members: DataFrame, model_sizes: DataFrame, n_estimators: int,
                      max_samples: int, seed: int, model_bound: int | None = None) -> DataFrame:
-    """(_model_key, _tree, _partner, _x0.., _psi): psi rows per tree.
-
-    A row joins tree t when u(model, partner, t) < p; u comes from a per-row
-    64-bit seed hashed with t, so the per-tree test hashes two longs. The psi
-    smallest (u, partner) of each tree are found by a window over narrow rows
-    only; the resulting cut-off per (model, tree), a table bounded by
-    models x trees, is broadcast to filter the rows that carry features, so
-    feature arrays are never sorted.
+    """(_model_key, _tree, _u, _tie, _partner, _x0.., _psi): the rows that may be
+    among the psi smallest (_u, _tie, _partner) of a tree.
 
     The pre-filter keeps Binomial(n, p) rows per tree with mean
     psi + 6 sqrt(psi) + 16, so fewer than psi survive with probability about
@@ -149,45 +160,31 @@ def sample_for_trees(members: DataFrame, model_sizes: DataFrame, n_estimators: i
     sized = members.join(_bounded(model_sizes, model_bound), _MK)
     psi = F.least(F.lit(max_samples), F.col("_n")).cast("int")
     p = F.least(F.lit(1.0), (psi + F.lit(6.0) * F.sqrt(psi.cast("double")) + F.lit(16.0)) / F.col("_n"))
-    sized = sized.select(_MK, _PK, *xs, psi.alias("_psi"), p.alias("_p"),
-                         F.xxhash64(F.col(_MK), F.col(_PK), F.lit(seed)).alias("_h0"))
-    u = _unit_hash(F.col("_h0"), F.col("_tree"))
-
-    # narrow pass: generate + filter are codegen'd; rank per tree on 5 columns
-    narrow = (sized.select(_MK, _PK, "_psi", "_h0", "_p",
-                           F.explode(F.sequence(F.lit(0), F.lit(n_estimators - 1))).alias("_tree"))
-              .withColumn("_u", u).filter(F.col("_u") < F.col("_p")))
-    w = Window.partitionBy(_MK, "_tree").orderBy("_u", _PK)
-    cut = (narrow.select(_MK, "_tree", "_u", _PK, "_psi")
-           .withColumn("_rn", F.row_number().over(w))
-           .filter(F.col("_rn") <= F.col("_psi"))
-           .groupBy(_MK, "_tree").agg(F.max(F.struct("_u", _PK)).alias("_cut")))
-
-    # wide pass: only the selected tree ids are generated for each row
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_estimators - 1)),
-                     lambda t: _unit_hash(F.col("_h0"), t) < F.col("_p"))
-    wide = sized.select(_MK, _PK, *xs, "_psi", "_h0", F.explode(trees).alias("_tree")).withColumn("_u", u)
-    cut_bound = None if model_bound is None else model_bound * n_estimators
-    kept = wide.join(_bounded(cut, cut_bound), [_MK, "_tree"]).filter(F.struct("_u", _PK) <= F.col("_cut"))
-    return kept.select(_MK, "_tree", _PK, *xs, "_psi")
+    row = F.concat_ws("|", F.col(_MK), F.col(_PK), F.lit(str(seed)))
+    sized = sized.select(_MK, _PK, *xs, psi.alias("_psi"), (p * F.lit(float(PRIME))).alias("_below"),
+                         *[_lane(row, i).alias(c) for i, c in enumerate(("_a", "_b", "_tie"))])
+    drawn = sized.withColumn("_tree", F.explode(F.sequence(F.lit(0), F.lit(n_estimators - 1))))
+    u = (F.col("_a") * (F.col("_tree").cast("bigint") + 1) + F.col("_b")) % F.lit(PRIME)
+    drawn = drawn.withColumn("_u", u).filter(F.col("_u").cast("double") < F.col("_below"))
+    return drawn.select(_MK, "_tree", "_u", "_tie", _PK, *xs, "_psi")
 
 
 def _make_tree_builder(seed: int):
     """Pandas function fitting every tree of one (model, block) group.
 
     A tree is grown level by level: at each depth the rows of all open nodes
-    are sorted by node, per-node min/max come from ``reduceat``, and a random
-    non-constant feature and a uniform cut are drawn for every node at once,
-    so a tree costs about ceil(log2 psi) vectorised steps.
+    are sorted by node, per-node min/max come from ``reduceat``, and the feature
+    and the cut of every node come from hashes of its place in the tree (1 for the
+    root, 2 i and 2 i + 1 for the parts of i), so a tree costs about
+    ceil(log2 psi) vectorised steps.
     """
-    import hashlib
 
-    def c_vec(n):
+    def units(n):
         import numpy as np
 
-        return np.array([average_path_length(x) for x in np.asarray(n).tolist()], dtype=np.float64)
+        return np.array([path_units(x) for x in np.asarray(n).tolist()], dtype=np.int64)
 
-    def grow(X, rng, max_depth):
+    def grow(X, tree_lanes, feature_lanes, cut_lane, max_depth):
         import numpy as np
 
         n = X.shape[0]
@@ -196,7 +193,8 @@ def _make_tree_builder(seed: int):
         thr = np.zeros(cap)
         left = np.full(cap, -1, dtype=np.int64)
         right = np.full(cap, -1, dtype=np.int64)
-        leaf = np.zeros(cap)
+        leaf = np.zeros(cap, dtype=np.int64)
+        place = np.ones(cap, dtype=np.int64)
         node_of = np.zeros(n, dtype=np.int64)
         rows = np.arange(n)          # rows still in open nodes
         lo_id, hi_id = 0, 1          # open nodes of this level are [lo_id, hi_id)
@@ -216,24 +214,27 @@ def _make_tree_builder(seed: int):
             ids = present + lo_id
             cnt = counts[present]
             if depth >= max_depth:
-                leaf[ids] = depth + c_vec(cnt)
+                leaf[ids] = depth * UNIT + units(cnt)
                 break
             usable = (maxs > mins) & (cnt[:, None] > 1)
             can = usable.any(axis=1)
-            leaf[ids[~can]] = depth + c_vec(cnt[~can])
+            leaf[ids[~can]] = depth * UNIT + units(cnt[~can])
             ids, mins, maxs, usable = ids[can], mins[can], maxs[can], usable[can]
             if ids.size == 0:
                 break
-            r = rng.random(usable.shape)
-            r[~usable] = -1.0
+            node = (tree_lanes[0] * (place[ids] % PRIME) + tree_lanes[1]) % PRIME
+            squared = node * node % PRIME
+            r = (squared[:, None] * feature_lanes[None, :] + node[:, None]) % PRIME
+            r[~usable] = -1
             f = r.argmax(axis=1)
             k = np.arange(ids.size)
             lo, hi = mins[k, f], maxs[k, f]
-            t = lo + rng.random(ids.size) * (hi - lo)
+            t = lo + (squared * cut_lane + node) % PRIME / float(PRIME) * (hi - lo)
             t = np.where(t >= hi, lo, t)
             feat[ids], thr[ids] = f, t
             left[ids] = n_nodes + 2 * k
             right[ids] = n_nodes + 2 * k + 1
+            place[left[ids]], place[right[ids]] = 2 * place[ids], 2 * place[ids] + 1
             pos = np.full(width, -1, dtype=np.int64)
             pos[ids - lo_id] = k
             a = pos[node_of[rows] - lo_id]
@@ -251,19 +252,21 @@ def _make_tree_builder(seed: int):
         import numpy as np
         import pandas as pd
 
-        pdf = pdf.sort_values(["_tree", _PK], kind="mergesort")
+        pdf = pdf.sort_values(["_tree", "_u", "_tie", _PK], kind="mergesort")
         model_key = str(pdf[_MK].iloc[0])
         xs = sorted((c for c in pdf.columns if c.startswith("_x")), key=lambda c: int(c[2:]))
+        features = np.array([lanes(f"feature|{i}|{seed}", 1)[0] for i in range(len(xs))], dtype=np.int64)
+        cut = lanes(f"cut|{seed}", 1)[0]
         X_all = pdf[xs].to_numpy(dtype=np.float64)
         tree_ids = pdf["_tree"].to_numpy()
         bounds = np.flatnonzero(np.diff(tree_ids)) + 1
+        wanted = int(pdf["_psi"].iloc[0])
         out = {_MK: [], "_tree": [], "_psi": [], "_feat": [], "_thr": [], "_left": [], "_right": [], "_leaf": []}
         for lo, hi in zip(np.r_[0, bounds], np.r_[bounds, len(tree_ids)]):
-            tree = int(tree_ids[lo])
-            digest = hashlib.blake2b(f"{model_key}|{tree}|{seed}".encode(), digest_size=8).digest()
-            rng = np.random.default_rng(int.from_bytes(digest, "little"))
+            tree, hi = int(tree_ids[lo]), min(hi, lo + wanted)
             psi = int(hi - lo)  # the rows that this tree has, which its scores are normalised by
-            fe, th, le, ri, lf = grow(X_all[lo:hi], rng, int(math.ceil(math.log2(max(psi, 2)))))
+            fe, th, le, ri, lf = grow(X_all[lo:hi], lanes(f"{model_key}|{tree}|{seed}", 2), features, cut,
+                                      max_depth(psi))
             for key, val in ((_MK, model_key), ("_tree", tree), ("_psi", psi), ("_feat", fe), ("_thr", th),
                              ("_left", le), ("_right", ri), ("_leaf", lf)):
                 out[key].append(val)
@@ -272,9 +275,15 @@ def _make_tree_builder(seed: int):
     return build
 
 
+def max_depth(psi: int) -> int:
+    """ceil(log2 psi), 1 at least."""
+    return (max(psi, 2) - 1).bit_length()
+
+
 def fit_forest(sample: DataFrame, seed: int, trees_per_task: int = 10) -> DataFrame:
-    """One row per (model, tree) with the tree as parallel node arrays; trees
-    are fitted ``trees_per_task`` at a time (<= trees_per_task * psi rows)."""
+    """One row per (model, tree) with the tree as parallel node arrays; trees are
+    fitted ``trees_per_task`` at a time (about trees_per_task * (psi + 6 sqrt(psi))
+    rows)."""
     block = (F.col("_tree") / F.lit(trees_per_task)).cast("int")
     return (sample.withColumn("_block", block)
             .groupBy(_MK, "_block")
@@ -293,14 +302,14 @@ def _make_scorer():
         X = rows[xs].to_numpy(dtype=np.float64)
         m = X.shape[0]
         idx = np.arange(m)
-        total = np.zeros(m)
+        total = np.zeros(m, dtype=np.int64)
         for feat, thr, lft, rgt, leaf in zip(trees["_feat"], trees["_thr"], trees["_left"],
                                              trees["_right"], trees["_leaf"]):
             feat = np.asarray(feat, dtype=np.int64)
             thr = np.asarray(thr, dtype=np.float64)
             lft = np.asarray(lft, dtype=np.int64)
             rgt = np.asarray(rgt, dtype=np.int64)
-            leaf = np.asarray(leaf, dtype=np.float64)
+            leaf = np.asarray(leaf, dtype=np.int64)
             node = np.zeros(m, dtype=np.int64)
             inner = feat[node] >= 0
             while inner.any():
@@ -309,10 +318,9 @@ def _make_scorer():
                 node = np.where(inner, np.where(go_left, lft[node], rgt[node]), node)
                 inner = feat[node] >= 0
             total += leaf[node]
-        mean_path = total / len(trees)
-        expected = float(np.mean([average_path_length(n) for n in trees["_psi"]]))
+        expected = sum(path_units(n) for n in trees["_psi"])
         # trees of one row tell nothing apart: the neutral score
-        s = -np.power(2.0, -mean_path / expected) if expected > 0 else np.full(m, -0.5)
+        s = -np.power(2.0, -(total / float(expected))) if expected > 0 else np.full(m, -0.5)
         return pd.DataFrame({_MK: rows[_MK].to_numpy(), _PK: rows[_PK].to_numpy(), "_score": s})
 
     return score
@@ -423,16 +431,32 @@ def flag_counts(df: DataFrame, feature_cols: Sequence[str], segment_col: str | N
                  F.count_if(F.col("_score") < F.col("_offset")).alias("flagged")))
 
 
+def _below_thresholds(df: DataFrame, feature_cols: Sequence[str], contaminations: Sequence[float],
+                      n_estimators: int, random_state: int, partner_col: str) -> tuple[DataFrame, list[str]]:
+    """Scores of one global forest with the quantile of each contamination."""
+    feats = [c for c in feature_cols if c in df.columns]
+    scores, _sizes, _routing = forest_scores(df, feats, None, n_estimators, random_state, 1, partner_col)
+    names = [f"c{i}" for i in range(len(contaminations))]
+    return stats.attach(scores, stats.column_quantiles(scores, "_score", contaminations, names), []), names
+
+
+def contamination_flags(df: DataFrame, feature_cols: Sequence[str],
+                        contaminations: Sequence[float] = (0.01, 0.02, 0.05, 0.10, 0.15),
+                        n_estimators: int = 100, random_state: int = 42,
+                        partner_col: str = "BusinessPartner") -> DataFrame:
+    """M6 by partner: (partner, contamination, flagged) of one global forest."""
+    joined, names = _below_thresholds(df, feature_cols, contaminations, n_estimators, random_state, partner_col)
+    rows = F.array(*[F.struct(F.lit(float(c)).alias("contamination"), (F.col("_score") < F.col(nm)).alias("flagged"))
+                     for c, nm in zip(contaminations, names)])
+    return joined.select(F.col(_PK).alias(partner_col), F.inline(rows))
+
+
 def contamination_sweep(df: DataFrame, feature_cols: Sequence[str],
                         contaminations: Sequence[float] = (0.01, 0.02, 0.05, 0.10, 0.15),
                         n_estimators: int = 100, random_state: int = 42,
                         partner_col: str = "BusinessPartner") -> DataFrame:
     """M6: one global forest; flagged count and percentage per contamination."""
-    feats = [c for c in feature_cols if c in df.columns]
-    scores, _sizes, _routing = forest_scores(df, feats, None, n_estimators, random_state, 1, partner_col)
-    names = [f"c{i}" for i in range(len(contaminations))]
-    thr = stats.column_quantiles(scores, "_score", contaminations, names)
-    joined = stats.attach(scores, thr, [])
+    joined, names = _below_thresholds(df, feature_cols, contaminations, n_estimators, random_state, partner_col)
     counts = joined.agg(F.count(F.lit(1)).alias("_n"),
                         *[F.count_if(F.col("_score") < F.col(nm)).alias(f"_f{i}") for i, nm in enumerate(names)])
     rows = F.array(*[F.struct(F.lit(float(c)).alias("contamination"), F.col(f"_f{i}").alias("flagged"))

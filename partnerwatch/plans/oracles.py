@@ -217,3 +217,90 @@ deduped AS (
 def with_alerts(body: str, extra_ctes: str = "") -> str:
     extra = f",\n{extra_ctes}" if extra_ctes else ""
     return f"WITH {alerts_ctes()}{extra}\n{body}"
+
+
+def forest_ctes(features: tuple[str, ...], value, group: str | None, trees: int, seed: int, min_size: int = 10,
+                max_samples: int = 256, source: str = "partners") -> str:
+    """CTEs that grow the counter-based Isolation Forest and score with it:
+    ``if_scores`` (model, partner, score) of every member of every model and
+    ``if_route`` (partner, model). One relation a level: ``if_r{d}`` holds every
+    member of every tree with its node, ``if_n{d}`` the cut of every node.
+    ``value`` renders a feature's SQL."""
+    from partnerwatch.operators.iforest import PRIME, UNIT, lanes, max_depth
+
+    k = len(features)
+    xs = [f"x{i}" for i in range(k)]
+    flat = ", ".join(f"coalesce(CASE WHEN NOT isnan(CAST({value(c)} AS DOUBLE)) THEN CAST({value(c)} AS DOUBLE) END, 0.0) AS {x}"
+                     for c, x in zip(features, xs))
+    lane = lambda text, i: f"(('0x' || substr(md5({text}), {8 * i + 1}, 8))::BIGINT % {PRIME})"
+    units = lambda n: (f"CASE WHEN {n} <= 1 THEN 0 WHEN {n} <= 2 THEN {UNIT} ELSE "
+                       f"round((2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n}) * {UNIT})::BIGINT END")
+    label = group if group else f"'{C.GLOBAL_MODEL_KEY}'"
+    small = f"seg_n < {min_size}" if group else "FALSE"
+    out = [f"""
+if_base AS (SELECT BusinessPartner AS partner, {label} AS seg, count(*) OVER (PARTITION BY {label}) AS seg_n, {flat} FROM {source}),
+if_route AS (SELECT partner, CASE WHEN {small} THEN '{C.GLOBAL_MODEL_KEY}' ELSE seg END AS model FROM if_base),
+if_member AS (
+  SELECT seg AS model, partner, {', '.join(xs)} FROM if_base WHERE NOT ({small})
+  UNION ALL SELECT '{C.GLOBAL_MODEL_KEY}', partner, {', '.join(xs)} FROM if_base WHERE (SELECT bool_or({small}) FROM if_base)
+),
+if_lane AS (
+  SELECT *, count(*) OVER (PARTITION BY model) AS n, {lane(f"model || '|' || partner || '|{seed}'", 0)} AS a,
+         {lane(f"model || '|' || partner || '|{seed}'", 1)} AS b, {lane(f"model || '|' || partner || '|{seed}'", 2)} AS tie
+  FROM if_member
+),
+if_tree AS (
+  SELECT model, tree, {lane(f"model || '|' || tree || '|{seed}'", 0)} AS ta, {lane(f"model || '|' || tree || '|{seed}'", 1)} AS tb
+  FROM (SELECT DISTINCT model FROM if_member), range({trees}) t(tree)
+),
+if_r0 AS (
+  SELECT m.model, t.tree, m.partner, ta, tb, 1::BIGINT AS node, NULL::BIGINT AS leaf, least(n, {max_samples}) AS psi,
+         row_number() OVER (PARTITION BY m.model, t.tree ORDER BY (a * (t.tree + 1) + b) % {PRIME}, tie, m.partner) <= {max_samples} AS drawn,
+         {', '.join(xs)}
+  FROM if_lane m JOIN if_tree t ON t.model = m.model
+)"""]
+    hashed = lambda i: f"(sq * {lanes(f'feature|{i}|{seed}', 1)[0]} + h) % {PRIME} * 1024 + {1023 - i}"
+    deepest = max_depth(max_samples)
+    for d in range(deepest + 1):
+        best = "greatest(" + ", ".join(f"CASE WHEN hi{i} > lo{i} AND cnt > 1 THEN {hashed(i)} ELSE -1 END" for i in range(k)) + ", -1)"
+        pick = lambda c: "CASE f " + " ".join(f"WHEN {i} THEN {c}{i}" for i in range(k)) + " END"
+        out.append(f"""
+if_h{d} AS (
+  SELECT *, h * h % {PRIME} AS sq FROM (
+    SELECT model, tree, node, (any_value(ta) * node + any_value(tb)) % {PRIME} AS h, any_value(psi) AS psi, count(*) AS cnt,
+           {', '.join(f"min(x{i}) AS lo{i}, max(x{i}) AS hi{i}" for i in range(k))}
+    FROM if_r{d} WHERE drawn AND leaf IS NULL GROUP BY model, tree, node)
+),
+if_n{d} AS (
+  SELECT model, tree, node, cnt, f, CASE WHEN cut >= hi THEN lo ELSE cut END AS t FROM (
+    SELECT *, lo + ((sq * {lanes(f'cut|{seed}', 1)[0]} + h) % {PRIME}) / {float(PRIME)!r} * (hi - lo) AS cut FROM (
+      SELECT *, {pick('lo')} AS lo, {pick('hi')} AS hi FROM (
+        SELECT *, CASE WHEN best < 0 OR {d} >= ceil(log2(greatest(psi, 2))) THEN -1 ELSE 1023 - best % 1024 END AS f
+        FROM (SELECT *, {best} AS best FROM if_h{d})))) 
+),
+if_r{d + 1} AS (
+  SELECT r.model, r.tree, r.partner, ta, tb, drawn, psi, {', '.join(xs)},
+         CASE WHEN r.leaf IS NULL AND f < 0 THEN {d} * {UNIT} + {units('cnt')} ELSE r.leaf END AS leaf,
+         CASE WHEN r.leaf IS NULL AND f >= 0 THEN 2 * r.node + ({pick('x')} > t)::BIGINT ELSE r.node END AS node
+  FROM if_r{d} r LEFT JOIN if_n{d} s ON r.leaf IS NULL AND s.model = r.model AND s.tree = r.tree AND s.node = r.node
+)""")
+    out.append(f"""
+if_scores AS (
+  SELECT model, partner, CASE WHEN expected > 0 THEN -pow(2.0, -(total::DOUBLE / expected::DOUBLE)) ELSE -0.5 END AS score
+  FROM (SELECT model, partner, sum(leaf)::BIGINT AS total, sum({units('psi')})::BIGINT AS expected FROM if_r{deepest + 1} GROUP BY model, partner)
+)""")
+    return ",".join(out)
+
+
+def forest_offsets(contaminations: tuple[float, ...]) -> str:
+    """CTE ``if_offset`` (model, contamination, offset): the quantiles of each model's scores."""
+    at = " UNION ALL ".join(f"SELECT {c!r}::DOUBLE AS contamination" for c in contaminations)
+    return f"""
+if_ranked AS (SELECT model, score, row_number() OVER (PARTITION BY model ORDER BY score) - 1 AS rk,
+                     count(*) OVER (PARTITION BY model) AS n FROM if_scores),
+if_offset AS (
+  SELECT model, contamination, max(score) FILTER (rk = low) + (max(score) FILTER (rk = least(low + 1, n - 1)) - max(score) FILTER (rk = low))
+         * (max(pos) - max(low)) AS offset_
+  FROM (SELECT *, contamination * (n - 1) AS pos, floor(contamination * (n - 1)) AS low FROM if_ranked, ({at}))
+  GROUP BY model, contamination
+)"""

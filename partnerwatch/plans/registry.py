@@ -630,15 +630,36 @@ TH = C.DEFAULTS.scoring
 GROUP_BOUNDS = {"PeerGroup": C.peer_group_bound(), "Segment": len(C.SEGMENT_LABELS) + 1}
 
 
-def _gold_if(spark, sf, segment_col="PeerGroup", min_size=TH.smallest_group):
+def _rounded_partners(spark, sf):
+    """The partner table with model features of six decimals, so that both engines
+    grow the forest from the same numbers."""
     p = _partners(spark, sf)
+    return p.withColumns({c: r(c) for c in FEATS})
+
+
+def _gold_if(spark, sf, segment_col="PeerGroup", min_size=TH.smallest_group):
+    p = _rounded_partners(spark, sf)
     return iforest.run_isolation_forest_by_segment(
         p, FEATS, segment_col, TH.contamination, TH.trees,
         TH.seed, min_size, group_bound=GROUP_BOUNDS[segment_col])
 
 
-@register("if_scores")
+def _forest_sql(group: str | None, trees: int, contaminations: tuple[float, ...], body: str) -> str:
+    grown = O.forest_ctes(tuple(FEATS), R, group, trees, TH.seed, TH.smallest_group)
+    return O.with_ledger(body, extra_ctes=f"{grown},{O.forest_offsets(contaminations)}")
+
+
+_IF_VALUES = ("SELECT r.partner, s.score - o.offset_ AS value FROM if_route r JOIN if_scores s ON s.partner = r.partner "
+              "AND s.model = r.model JOIN if_offset o ON o.model = s.model")
+
+
+@register("if_scores", _forest_sql("PeerGroup", TH.trees, (TH.contamination,), (
+    f"SELECT BusinessPartner, PeerGroup, {R('value', 9)} AS isolation_forest_score, value < 0 AS isolation_forest_flag, "
+    + R("1 - (value - min(value) OVER ()) / CASE WHEN max(value) OVER () <> min(value) OVER () "
+        "THEN max(value) OVER () - min(value) OVER () ELSE 1 END", 9)
+    + f" AS risk_score FROM partners JOIN ({_IF_VALUES}) ON partner = BusinessPartner")))
 def q_if_scores(spark, sf):
+    """M2-M5: scores, flags and risk, against the same forest grown level by level in SQL."""
     g = _gold_if(spark, sf)
     return g.select("BusinessPartner", "PeerGroup", r("isolation_forest_score", 9).alias("isolation_forest_score"),
                     "isolation_forest_flag", r("risk_score", 9).alias("risk_score"))
@@ -688,6 +709,23 @@ def q_if_breakdown(spark, sf):
 SWEEP = (0.01, 0.02, 0.05, 0.10, 0.15)
 
 
+@register("if_flags_by_segment", _forest_sql("Segment", TH.trees, (TH.contamination,), (
+    f"SELECT BusinessPartner, Segment, value < 0 AS isolation_forest_flag, {R('value', 9)} AS isolation_forest_score "
+    f"FROM partners JOIN ({_IF_VALUES}) ON partner = BusinessPartner")))
+def q_if_flags_by_segment(spark, sf):
+    """M4 by partner: groups larger than a tree's sample."""
+    return _gold_if(spark, sf, "Segment").select("BusinessPartner", "Segment", "isolation_forest_flag",
+                                                 r("isolation_forest_score", 9).alias("isolation_forest_score"))
+
+
+@register("contamination_flags", _forest_sql(None, 100, SWEEP, (
+    "SELECT partner AS BusinessPartner, contamination, score < offset_ AS flagged "
+    "FROM if_scores s JOIN if_offset o ON o.model = s.model")))
+def q_contamination_flags(spark, sf):
+    """M6 by partner: who is flagged at each contamination."""
+    return iforest.contamination_flags(_rounded_partners(spark, sf), FEATS, SWEEP, 100, TH.seed)
+
+
 @register("contamination_sweep", O.with_ledger(
     " UNION ALL ".join(
         f"SELECT CAST({c!r} AS DOUBLE) AS contamination, {_expected_flags('count(*)', c)} AS flagged, "
