@@ -220,13 +220,14 @@ WITH RECURSIVE bits AS (
          CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
   FROM fated, range(2) copy(k) WHERE fate <> 0 AND (k = 0 OR fate = 3)
 ), ordered AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
-         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again
-  FROM damaged
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged)
 ), faulty AS (
   SELECT conv_id, turn, role, text, i, substr(role, 1, 1) AS letter,
-         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b' WHEN again THEN 'd'
-              WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 't' ELSE '-' END AS fault
+         CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b' WHEN again THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 't' ELSE '-' END AS fault
   FROM ordered
 ), symbols AS (
   SELECT *, fault IN ('b', 'd') AS gone, (fault = 't')::INTEGER AS late,
