@@ -13,25 +13,28 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from partnerwatch import config as C
-from partnerwatch.operators import alerts, features, iforest, peers, silver
+from partnerwatch.operators import alerts, features, iforest, peers, rollup, silver
 from partnerwatch.sources import fixtures
 
 log = logging.getLogger("partnerwatch")
 
 
+def signals(silver_df: DataFrame, as_of: date, cfg: C.Settings = C.DEFAULTS, clip_negative: bool = False) -> DataFrame:
+    """Silver rows with days overdue and every row signal."""
+    tx = silver.add_days_overdue(silver_df, as_of, clip_negative=clip_negative)
+    return features.add_transaction_signals(tx, cfg.signals)
+
+
 def transactions(silver_df: DataFrame, as_of: date, cfg: C.Settings = C.DEFAULTS,
                  clip_negative: bool = False) -> DataFrame:
-    """Silver rows with days overdue, every row signal and the netting flag."""
-    tx = silver.add_days_overdue(silver_df, as_of, clip_negative=clip_negative)
-    tx = features.add_transaction_signals(tx, cfg.signals)
-    return features.net_cancellation_pairs(tx)
+    """``signals`` with the netting flag of each row."""
+    return features.net_cancellation_pairs(signals(silver_df, as_of, cfg, clip_negative))
 
 
 def partners(silver_df: DataFrame, as_of: date, cfg: C.Settings = C.DEFAULTS,
              clip_negative: bool = False) -> DataFrame:
-    """One row per partner with its rollup features and ``PeerGroup``."""
-    tx = transactions(silver_df, as_of, cfg, clip_negative)
-    rolled = features.aggregate_to_partner_level(tx, use_netted=True, order_col=cfg.signals.first_by)
+    """One row per partner with its rollup features and ``PeerGroup``; the ledger is scanned once."""
+    rolled = rollup.netted_rollup(signals(silver_df, as_of, cfg, clip_negative), order_col=cfg.signals.first_by)
     return features.add_peer_group(rolled)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partnerwatch import config as C
-from partnerwatch.operators import alerts, explore, features, iforest, peers, silver
+from partnerwatch.operators import alerts, explore, features, iforest, pairing, peers, rollup, silver
 from partnerwatch.plans import oracles as O
 from partnerwatch.plans import pipeline as P
 from partnerwatch.sources import fixtures as FX
@@ -230,7 +230,21 @@ def q_net_pairs(spark, sf):
     "SELECT CAST(sum(IsNetted) AS BIGINT) AS netted_rows, "
     "count(DISTINCT BusinessPartner) FILTER (WHERE IsNetted = 1) AS netted_partners FROM tx"))
 def q_net_summary(spark, sf):
-    return features.netting_summary(_tx(spark, sf))
+    return rollup.netting_totals(rollup.ledger_groups(P.signals(_silver(spark, sf), FX.LEDGER_AS_OF)))
+
+
+@register("net_pairs_one_to_one", O.with_ledger(
+    "SELECT CADocumentNumber, BusinessPartner, CADocumentType, Amount, coalesce(CAST(rk <= pairs AS INTEGER), 0) AS IsNetted, "
+    "CASE WHEN rk <= pairs THEN rk END AS NetPair FROM (SELECT s.*, "
+    "CASE WHEN CADocumentType IN ('AC', 'ZC') THEN row_number() OVER "
+    "(PARTITION BY BusinessPartner, round_even(Amount, 2), CADocumentType ORDER BY CADocumentNumber) END AS rk, "
+    "least(count(*) FILTER (CADocumentType = 'AC') OVER (PARTITION BY BusinessPartner, round_even(Amount, 2)), "
+    "count(*) FILTER (CADocumentType = 'ZC') OVER (PARTITION BY BusinessPartner, round_even(Amount, 2))) AS pairs "
+    "FROM sig2 s)"))
+def q_net_pairs_one_to_one(spark, sf):
+    """Each credit cancels one reversal of its partner and amount."""
+    tx = pairing.net_one_to_one(_silver(spark, sf).select("CADocumentNumber", "BusinessPartner", "CADocumentType", "Amount"))
+    return tx.select("CADocumentNumber", "BusinessPartner", "CADocumentType", "Amount", "IsNetted", "NetPair")
 
 
 # ------------------------------------------------------------------ A1, A2
@@ -777,6 +791,54 @@ def q_odata_land(spark, sf):
     return odata.parse_pages(order_pages(spark, sf), "body", ORDER_RECORD)
 
 
+_FILTER = ("o_totalprice gt 100000M and (startswith(o_orderpriority, '1') or o_orderstatus eq 'F') "
+           "and not (o_orderdate lt datetime'1995-01-01T00:00:00') and length(o_orderstatus) le 1 and o_custkey ne null")
+
+
+@register("odata_filter",
+          "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_totalprice > 100000 "
+          "AND (o_orderpriority LIKE '1%' OR o_orderstatus = 'F') AND CAST(o_orderdate AS TIMESTAMP) >= TIMESTAMP '1995-01-01' "
+          "AND length(o_orderstatus) <= 1 AND o_custkey IS NOT NULL")
+def q_odata_filter(spark, sf):
+    """Pages landed through the service's own ``$filter`` text."""
+    rows = odata.parse_pages(order_pages(spark, sf), "body", ORDER_RECORD, odata_filter=_FILTER)
+    return rows.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
+_CHAIN_SQL = """
+WITH RECURSIVE made AS (
+  SELECT o_orderpriority AS entity, o_orderkey // 500 AS page FROM orders GROUP BY ALL
+), captured AS (
+  SELECT entity || '?$skiptoken=' || page AS url, entity || '?$skiptoken=' || (page + 1) AS next, copies
+  FROM (SELECT *, CASE WHEN (page + ascii(entity)) % 37 = 5 THEN 0 WHEN page % 11 = 3 THEN 2 ELSE 1 END AS copies FROM made) WHERE copies > 0
+), reached AS (
+  SELECT DISTINCT entity || '?$skiptoken=' || first AS chain, entity || '?$skiptoken=' || first AS url, 0::BIGINT AS position
+  FROM made, (VALUES (0), (40)) s(first)
+  UNION ALL
+  SELECT chain, c.next, position + 1 FROM reached r JOIN captured c ON c.url = r.url
+)
+SELECT coalesce(r.url, c.url) AS url, chain, position,
+       CASE WHEN c.url IS NULL THEN 'missing' WHEN chain IS NULL THEN 'unreachable' WHEN copies > 1 THEN 'doubled' ELSE 'ok' END AS status
+FROM reached r FULL JOIN captured c ON c.url = r.url
+"""
+
+
+@register("odata_chain", _CHAIN_SQL)
+def q_odata_chain(spark, sf):
+    """The captured pages of five entity sets, some missing and some captured
+    twice, checked along their ``__next`` links from two starts each."""
+    o = FX.table(spark, sf, "orders").select(F.col("o_orderpriority").alias("entity"), F.floor(F.col("o_orderkey") / 500).alias("page"))
+    page = o.groupBy("entity", "page").agg(F.count(F.lit(1)).alias("n"))
+    at = lambda p: F.concat("entity", F.lit("?$skiptoken="), p.cast("string"))
+    copies = F.when((F.col("page") + F.ascii("entity")) % 37 == 5, 0).when(F.col("page") % 11 == 3, 2).otherwise(1)
+    body = F.to_json(F.struct(F.struct(F.array_repeat(F.lit("{}"), F.col("n").cast("int")).alias("results"),
+                                       at(F.col("page") + 1).alias("__next")).alias("d")))
+    pages = page.select(at(F.col("page")).alias("url"), body.alias("body"), F.explode(F.array_repeat(F.lit(0), copies)).alias("_c"))
+    firsts = page.select("entity", F.explode(F.array(F.lit(0), F.lit(40))).alias("first")).distinct()
+    starts = firsts.select(at(F.col("first")).alias("url"))
+    return odata.check_chains(odata.page_links(pages, "url", "body"), starts)
+
+
 # ------------------------------------------------------------------ variants: W5 per group / fixed, L6, H1
 @register("winsorize_by_segment", O.with_ledger(
     "SELECT r.BusinessPartner, r.Segment, " + ", ".join(
