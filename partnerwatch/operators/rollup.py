@@ -74,14 +74,15 @@ def _deviation() -> Column:
     return F.when(F.col("_n") > 1, F.sqrt(F.greatest(both, F.lit(0.0)) / (n - 1.0)))
 
 
-def ledger_groups(df: DataFrame, partner_col: str = "BusinessPartner", amount_col: str = "Amount",
-                  doc_type_col: str = "CADocumentType", order_col: str = "CADocumentNumber",
-                  ac_type: str = C.CREDIT_DOC_TYPE, zc_type: str = C.REVERSAL_DOC_TYPE) -> DataFrame:
-    """Mergeable states per (partner, netting key, counted and named columns), with
-    ``_netted``: whether the key's rows cancel."""
+def _named(columns: list[str], doc_type_col: str) -> list[str]:
+    return [c for c in dict.fromkeys([doc_type_col, *(c for c, _ in DISTINCT_COUNTS), *FIRST_VALUES]) if c in set(columns)]
+
+
+def fold_ledger(df: DataFrame, partner_col: str = "BusinessPartner", amount_col: str = "Amount",
+                doc_type_col: str = "CADocumentType", order_col: str = "CADocumentNumber",
+                ac_type: str = C.CREDIT_DOC_TYPE, zc_type: str = C.REVERSAL_DOC_TYPE) -> DataFrame:
+    """Mergeable states per (partner, netting key, counted and named columns)."""
     have = set(df.columns)
-    kind = F.col(doc_type_col)
-    named = [c for c in dict.fromkeys([doc_type_col, *(c for c, _ in DISTINCT_COUNTS), *FIRST_VALUES]) if c in have]
     states = [F.count(F.lit(1)).alias("_rows"), *_moment_states(amount_col)]
     states += [F.sum(c).alias(f"_sum_{out}") for c, out in SUMS if c in have]
     states += [F.max(c).alias(f"_max_{out}") for c, out in MAXIMA if c in have]
@@ -89,14 +90,36 @@ def ledger_groups(df: DataFrame, partner_col: str = "BusinessPartner", amount_co
         if c in have:
             states += [F.sum(F.col(c).cast("double")).alias(f"_mean_{out}"), F.count(c).alias(f"_of_{out}")]
     order = F.col(order_col) if order_col in have else F.lit(None).cast("string")
-    key = F.when(kind.isin(ac_type, zc_type), F.bround(amount_col, 2))
-    groups = df.withColumn(_KEY, key).groupBy(partner_col, _KEY, *named).agg(*states, F.min(order).alias("_order"))
-    apart = F.when(F.col(_KEY).isNull(), F.xxhash64(*named))
+    key = F.when(F.col(doc_type_col).isin(ac_type, zc_type), F.bround(amount_col, 2))
+    return df.withColumn(_KEY, key).groupBy(partner_col, _KEY, *_named(df.columns, doc_type_col)).agg(
+        *states, F.min(order).alias("_order"))
+
+
+def merge_groups(groups: DataFrame, partner_col: str = "BusinessPartner", doc_type_col: str = "CADocumentType") -> DataFrame:
+    """Groups of several parts of a ledger (a union of ``fold_ledger`` results) as one."""
+    keys = [partner_col, _KEY, *_named(groups.columns, doc_type_col)]
+    largest = tuple(c for c in groups.columns if c.startswith("_max_"))
+    added = [c for c in groups.columns if c.startswith("_") and c not in (*largest, "_order", _KEY, _NET)]
+    # a sum keeps the type of the state, so merged states merge again
+    merged = [F.sum(c).cast(groups.schema[c].dataType).alias(c) for c in added] + [F.max(c).alias(c) for c in largest]
+    return groups.groupBy(*keys).agg(*merged, F.min("_order").alias("_order"))
+
+
+def decide_netting(groups: DataFrame, partner_col: str = "BusinessPartner", doc_type_col: str = "CADocumentType",
+                   ac_type: str = C.CREDIT_DOC_TYPE, zc_type: str = C.REVERSAL_DOC_TYPE) -> DataFrame:
+    """``groups`` with ``_netted``: whether the rows of their key cancel."""
+    kind = F.col(doc_type_col)
+    apart = F.when(F.col(_KEY).isNull(), F.xxhash64(*_named(groups.columns, doc_type_col)))
     decided = Window.partitionBy(partner_col, _KEY, apart)
     both = F.max((kind == ac_type).cast("int")).over(decided) + F.max((kind == zc_type).cast("int")).over(decided)
     return groups.withColumn(_NET, F.col(_KEY).isNotNull() & (both == 2))
 
 
+def ledger_groups(df: DataFrame, partner_col: str = "BusinessPartner", order_col: str = "CADocumentNumber") -> DataFrame:
+    """The folded ledger with the netting decision of each group."""
+    return decide_netting(fold_ledger(df, partner_col, order_col=order_col), partner_col)
+
+
 def netting_totals(groups: DataFrame, partner_col: str = "BusinessPartner") -> DataFrame:
     """J2 from groups: rows netted out and distinct partners affected (one row)."""
     netted = groups.filter(_NET).groupBy(partner_col).agg(F.sum("_rows").alias("_rows"))
@@ -104,9 +127,12 @@ def netting_totals(groups: DataFrame, partner_col: str = "BusinessPartner") -> D
                       F.count(partner_col).alias("netted_partners"))
 
 
-def rollup_groups(groups: DataFrame, partner_col: str = "BusinessPartner") -> DataFrame:
+def rollup_groups(groups: DataFrame, partner_col: str = "BusinessPartner", later: int = 0,
+                  dated: str | None = None) -> DataFrame:
     """A1 from groups: one row per partner over what is not netted; the same
-    columns as ``features.aggregate_to_partner_level``."""
+    columns as ``features.aggregate_to_partner_level``. ``later`` is added to the
+    days overdue, where the groups count them up to an earlier day; ``dated`` names a
+    further column: how many rows have a due date."""
     have = set(groups.columns)
     clean = ~F.col(_NET)
     kept = lambda c: F.when(clean, F.col(c))
@@ -114,6 +140,8 @@ def rollup_groups(groups: DataFrame, partner_col: str = "BusinessPartner") -> Da
     aggs += [F.sum(kept(f"_sum_{out}")).alias(out) for _, out in SUMS if f"_sum_{out}" in have]
     aggs += [F.max(kept(f"_max_{out}")).alias(out) for _, out in MAXIMA if f"_max_{out}" in have]
     aggs += [(F.sum(kept(f"_mean_{out}")) / F.sum(kept(f"_of_{out}"))).alias(out) for _, out in MEANS if f"_mean_{out}" in have]
+    if dated:
+        aggs.append(F.coalesce(F.sum(kept("_of_AvgDaysOverdue")), F.lit(0)).alias(dated))
     firsts = [c for c in FIRST_VALUES if c in have]
     aggs += [F.min(F.when(clean & F.col(c).isNotNull(), F.struct(F.col("_order").alias("o"), F.col(c).alias("v"))))["v"].alias(c)
              for c in firsts]
@@ -127,6 +155,8 @@ def rollup_groups(groups: DataFrame, partner_col: str = "BusinessPartner") -> Da
         counts = distinct.groupBy(partner_col).agg(*[F.count_if(F.col("_i") == i).alias(out) for i, (_, out) in enumerate(counted)])
         rolled = rolled.join(counts, partner_col, "left")
 
+    overdue = [c for c in ("AvgDaysOverdue", "MaxDaysOverdue") if c in rolled.columns]
+    rolled = rolled.withColumns({c: F.col(c) + F.lit(later) for c in overdue}) if later else rolled
     total = F.col("_total").cast("double")
     zero = lambda c: F.coalesce(c, F.lit(0))
     std, avg = zero(_deviation()), total / F.col("_n")
@@ -134,7 +164,7 @@ def rollup_groups(groups: DataFrame, partner_col: str = "BusinessPartner") -> Da
     measures = [c for c in MEASURES if c in out.columns]
     named = ["TotalTransactions", "TotalAmount", "AvgAmount", "StdAmount", "MaxSingleAmount",
              *(c for c in ("TotalItems",) if c in out.columns), *(c for _, c in counted), *measures]
-    out = out.select(partner_col, *firsts, *[zero(F.col(c)).alias(c) for c in named], "NettedPairsCount")
+    out = out.select(partner_col, *firsts, *[zero(F.col(c)).alias(c) for c in named], *([dated] if dated else []), "NettedPairsCount")
     derived = {}
     if {"ZCDocCount", "ACDocCount"} <= set(named):
         derived["ReversalRatio"] = F.col("ZCDocCount") / (F.col("ACDocCount") + 1)

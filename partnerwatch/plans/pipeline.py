@@ -127,6 +127,26 @@ def run_curated(spark: SparkSession, as_of: date, at: C.Tables, cfg: C.Settings
     return {"fresh": result.fresh, "suppressed": result.suppressed}
 
 
+def publish_curated(spark: SparkSession, as_of: date, silver_df: DataFrame, base: str,
+                    cfg: C.Settings = C.DEFAULTS) -> dict:
+    """X2 job, published as one run: gold, watchlist and the day's history are
+    written to folders of this run and become visible together; a run that stops in
+    between leaves the tables as they were. A rerun of a day replaces its history."""
+    from partnerwatch.schemas import HISTORY_SCHEMA
+    from partnerwatch.sources import files, publish
+
+    run = publish.Run(base, f"curated-{as_of.isoformat()}")
+    gold = spark.read.parquet(run.write(build_gold(silver_df, as_of, cfg), "gold", writer=files.write_gold))
+    flagged = gold.filter(F.col("isolation_forest_flag") | F.col("iqr_flag"))
+    history = publish.read(spark, base, "history", HISTORY_SCHEMA)
+    history = spark.createDataFrame([], HISTORY_SCHEMA) if history is None else history
+    result = alerts.run_full_deduplication(flagged, history, as_of, cfg.alerting.cooldown_days)
+    run.write(alerts.watchlist(result.fresh, cfg.alerting.columns), "watchlist", writer=files.write_watchlist)
+    run.write(files.history_rows(result.fresh, as_of), "history", as_of.isoformat())
+    run.publish(spark)
+    return {"fresh": result.fresh, "suppressed": result.suppressed}
+
+
 def run_daily(spark: SparkSession, as_of: date, at: C.Tables, cfg: C.Settings = C.DEFAULTS) -> dict:
     """The daily chain staging -> curated (scheduling itself is external)."""
     run_staging(spark, at)

@@ -256,6 +256,28 @@ def q_partner_rollup(spark, sf):
     return rounded(P.fixture_partners(spark, sf).select(*ROLLUP_COLS))
 
 
+@register("incremental_partners", O.with_ledger(
+    "SELECT " + ", ".join(
+        f"{R(c, 2 if c in MONEY_2DP else 6)} AS {c}" if c in ROLLUP_DOUBLES else c for c in ROLLUP_COLS)
+    + " FROM partners"))
+def q_incremental_partners(spark, sf):
+    """X3 over what changed: the ledger lands in three parts on three days, the second
+    one first without some of its lines and then corrected."""
+    from datetime import timedelta
+
+    from partnerwatch.plans import incremental
+    from partnerwatch.session import checkpoint_dir
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/partnerwatch/landings-{uuid.uuid4().hex}"
+    lines = _silver(spark, sf).withColumn("_part", F.pmod(F.crc32(F.col("CADocumentNumber").cast("binary")), F.lit(3)))
+    part = lambda i: lines.filter(F.col("_part") == i).drop("_part")
+    day = FX.LEDGER_AS_OF
+    incremental.land(spark, base, "first", part(0), day - timedelta(days=9))
+    incremental.land(spark, base, "second", part(1).filter("NumberOfItems > 10"), day - timedelta(days=4))
+    incremental.land(spark, base, "third", part(2), day - timedelta(days=1))
+    return rounded(incremental.land(spark, base, "second", part(1), day).select(*ROLLUP_COLS))
+
+
 RAW_COLS = list(features.SLIM_ROLLUP_COLUMNS)
 
 
@@ -599,6 +621,33 @@ def q_history_rerun(spark, sf):
     return files.read_history(spark, path).select("BusinessPartner", "Segment", "run_date").distinct()
 
 
+@register("published_runs", O.with_alerts(
+    f"SELECT {', '.join(HIST_COLS)} FROM (SELECT BusinessPartner, Segment, PeerGroup, risk_score, isolation_forest_flag, "
+    "iqr_flag, CAST(NULL AS VARCHAR) AS flag_reason, TotalAmount, ReversalRatio, MaxSingleAmount, "
+    "CASE Segment WHEN 'error' THEN DATE '2024-01-30' ELSE DATE '2024-01-31' END AS run_date FROM alerts "
+    "WHERE Segment = 'error' OR (Segment = 'purchase' AND TotalAmount > 100))"))
+def q_published_runs(spark, sf):
+    """S5, S6, S8 as published runs: a day, the next day, that day again with fewer
+    alerts, and a run of both that stops before it publishes; all columns of the log."""
+    from datetime import date
+
+    from partnerwatch.schemas import HISTORY_SCHEMA
+    from partnerwatch.session import checkpoint_dir
+    from partnerwatch.sources import files, publish
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/partnerwatch/published-{uuid.uuid4().hex}"
+    ev = FX.alert_stream(spark, sf).drop("run_date")
+    bought, days = ev.filter("Segment = 'purchase'"), (date(2024, 1, 30), date(2024, 1, 31))
+    for rows, day, finished in ((ev.filter("Segment = 'error'"), days[0], True), (bought, days[1], True),
+                                (bought.filter("TotalAmount > 100"), days[1], True), (ev, days[0], False)):
+        run = publish.Run(base, f"alerts-{day.isoformat()}")
+        run.write(files.history_rows(rows, day), "history", day.isoformat())
+        run.write(rows, "watchlist", writer=files.write_watchlist)
+        if finished:
+            run.publish(spark)
+    return publish.read(spark, base, "history", HISTORY_SCHEMA).select(*HIST_COLS)
+
+
 @register("alert_summary", O.with_alerts(
     "SELECT (SELECT count(*) FROM deduped) AS total_flagged, (SELECT count(*) FROM fresh) AS fresh_alerts, "
     "(SELECT count(*) FROM suppressed) AS suppressed_alerts", extra_ctes=_COOL))
@@ -723,6 +772,85 @@ def q_if_breakdown(spark, sf):
 SWEEP = (0.01, 0.02, 0.05, 0.10, 0.15)
 
 
+ZS = [f"{c}_zscore" for c in Z_COLS]
+IQRS = [f"{c}_iqr_score" for c in FEATS]
+GOLD_TAIL = ["iqr_max_score", "iqr_flag", "iqr_triggered_cols", "isolation_forest_score", "isolation_forest_flag",
+             "risk_score", "flag_reason"]
+
+
+def _gold_sql() -> str:
+    """CTE ``gold``: the partner table with every score, flag and reason."""
+    z = ", ".join(f"(p.{c} - avg(p.{c}) OVER w) / CASE WHEN stddev_samp(p.{c}) OVER w = 0 THEN 1 ELSE stddev_samp(p.{c}) OVER w END "
+                  f"AS {c}_zscore" for c in Z_COLS)
+    risk = ("1 - (value - min(value) OVER ()) / CASE WHEN max(value) OVER () <> min(value) OVER () "
+            "THEN max(value) OVER () - min(value) OVER () ELSE 1 END")
+    reason = _reason_sql().removeprefix("CASE WHEN iqr_flag THEN ").removesuffix(" ELSE '' END")
+    only = O.render_sql(alerts.IF_ONLY, {"peer": O.Sql("PeerGroup"), "risk": O.Sql("risk_score")})
+    return (O.iqr_cte() + "," + O.forest_ctes(tuple(FEATS), R, "PeerGroup", TH.trees, TH.seed, TH.smallest_group)
+            + f",{O.forest_offsets((TH.contamination,))}, "
+            f"if_value AS ({_IF_VALUES}), "
+            f"scored AS (SELECT i.*, {', '.join(ZS)}, value AS isolation_forest_score, value < 0 AS isolation_forest_flag, "
+            f"{risk} AS risk_score FROM iqr i JOIN (SELECT BusinessPartner, {z} FROM partners p WINDOW w AS (PARTITION BY PeerGroup)) zs "
+            "ON zs.BusinessPartner = i.BusinessPartner JOIN if_value ON partner = i.BusinessPartner), "
+            f"reasoned AS (SELECT *, {reason} AS told FROM scored), "
+            f"gold AS (SELECT *, CASE WHEN NOT (iqr_flag OR isolation_forest_flag) THEN '' WHEN told = '' AND isolation_forest_flag "
+            f"THEN {only} ELSE told END AS flag_reason FROM reasoned)")
+
+
+def _gold(spark, sf):
+    """Gold over partners with rounded features, so that both engines see the same numbers."""
+    p = P.fixture_partners(spark, sf)
+    return P.score_partners(p.withColumns({c: r(c) for c in FEATS}))
+
+
+_GOLD_SOURCE = O.ledger_ctes().replace("\npartners AS (", "\nexact_partners AS (", 1).replace("raw_partners AS (", "raw_partners AS (") + (
+    ",\npartners AS (SELECT * REPLACE (" + ", ".join(f"{R(c)} AS {c}" for c in FEATS) + ") FROM exact_partners)")
+
+
+def _with_gold(body: str) -> str:
+    return f"WITH {_GOLD_SOURCE},\n{_gold_sql()}\n{body}"
+
+
+GOLD_DOUBLES = {*ROLLUP_DOUBLES, *FEATS, *ZS, *IQRS, "iqr_max_score", "isolation_forest_score", "risk_score"}
+
+
+def _gold_select(cols: list[str], rank: str = "") -> str:
+    return ", ".join(f"{R(f'CAST({c} AS DOUBLE)', 2 if c in MONEY_2DP else 6)} AS {c}" if c in GOLD_DOUBLES else c for c in cols) + rank
+
+
+def _gold_columns(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[r(F.col(c).cast("double"), 2 if c in MONEY_2DP else 6).alias(c) if c in GOLD_DOUBLES else F.col(c) for c in cols])
+
+
+GOLD_COLS = [*ROLLUP_COLS, *ZS, *IQRS, *GOLD_TAIL]
+
+
+@register("gold", _with_gold(f"SELECT {_gold_select(GOLD_COLS)} FROM gold"))
+def q_gold(spark, sf):
+    """All 64 columns of the gold table."""
+    g = _gold(spark, sf)
+    assert set(g.columns) == set(GOLD_COLS), sorted(set(g.columns) ^ set(GOLD_COLS))
+    return _gold_columns(g, GOLD_COLS)
+
+
+WATCH20 = list(C.WATCHLIST_COLUMNS)
+_RANK = "CAST(row_number() OVER (ORDER BY risk_score DESC NULLS LAST, BusinessPartner) AS BIGINT)"
+
+
+@register("watchlist_ranked", _with_gold(
+    f"SELECT {_gold_select(WATCH20)}, rank FROM (SELECT *, {_RANK} AS rank FROM gold WHERE iqr_flag OR isolation_forest_flag)"))
+def q_watchlist_ranked(spark, sf):
+    """All 20 columns and the order of the watchlist file, read back."""
+    from partnerwatch.session import checkpoint_dir
+    from partnerwatch.sources import files
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/partnerwatch/watchlist-{uuid.uuid4().hex}"
+    g = _gold(spark, sf)
+    listed = alerts.watchlist(g.filter(F.col("iqr_flag") | F.col("isolation_forest_flag")))
+    files.write_watchlist(listed, path)
+    return _gold_columns(files.read_watchlist(spark, path, listed.schema), WATCH20 + ["rank"])
+
+
 @register("if_flags_by_segment", _forest_sql("Segment", TH.trees, (TH.contamination,), (
     f"SELECT BusinessPartner, Segment, value < 0 AS isolation_forest_flag, {R('value', 9)} AS isolation_forest_score "
     f"FROM partners JOIN ({_IF_VALUES}) ON partner = BusinessPartner")))

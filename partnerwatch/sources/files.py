@@ -53,6 +53,24 @@ def write_watchlist(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def read_watchlist(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The watchlist with ``rank``, from 1, in the order of its files and lines. A
+    file is the unit of work, and each file's lines before it are a sum over files."""
+    from pyspark.sql import Window
+
+    rows = spark.read.options(header=True, enforceSchema=False).schema(schema).csv(path)
+    name = F.col("_metadata.file_name")
+    placed = rows.select(*rows.columns, name.alias("_file"), (F.col("_metadata.file_block_start")).alias("_at"),
+                         F.monotonically_increasing_id().alias("_line"))
+    held = placed.groupBy("_file", "_at").agg(F.count(F.lit(1)).alias("_n"), F.min("_line").alias("_first"))
+    before = Window.orderBy("_file", "_at").rowsBetween(Window.unboundedPreceding, -1)  # one row a file block
+    starts = held.select(F.col("_file").alias("_of"), F.col("_at").alias("_of_at"), "_first",
+                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    met = (F.col("_file") == F.col("_of")) & (F.col("_at") == F.col("_of_at"))
+    rank = F.col("_before") + F.col("_line") - F.col("_first") + 1
+    return placed.join(starts, met).select(*rows.columns, rank.alias("rank"))
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """The alert log with its declared schema; typed-empty when absent."""
     try:
@@ -70,10 +88,14 @@ def write_history(new_alerts: DataFrame, path: str, as_of: date) -> None:
     the same day leaves exactly the alerts of the rerun; older partitions are
     never touched (the log is not read back and rewritten as a whole).
     """
+    history_rows(new_alerts, as_of).drop("run_date").write.mode("overwrite").parquet(
+        f"{path.rstrip('/')}/run_date={as_of.isoformat()}")
+
+
+def history_rows(new_alerts: DataFrame, as_of: date) -> DataFrame:
+    """``new_alerts`` in the declared schema of the log, stamped with the day."""
     from partnerwatch.operators.alerts import stamp_for_history
 
     rows = stamp_for_history(new_alerts, as_of)
-    full = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns
-                         else F.lit(None).cast(f.dataType).alias(f.name)
-                         for f in HISTORY_SCHEMA.fields if f.name != "run_date"])
-    full.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_date={as_of.isoformat()}")
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns
+                         else F.lit(None).cast(f.dataType).alias(f.name) for f in HISTORY_SCHEMA.fields])
