@@ -44,7 +44,7 @@ class _Filter:
     def peek(self) -> tuple[str, str]:
         return self.tokens[self.at] if self.at < len(self.tokens) else ("end", "")
 
-    def take(self, *wanted: str) -> str | None:
+    def accept(self, *wanted: str) -> str | None:
         kind, value = self.peek()
         if value in wanted and kind in ("name", "mark"):
             self.at += 1
@@ -52,7 +52,7 @@ class _Filter:
         return None
 
     def need(self, mark: str) -> None:
-        if not self.take(mark):
+        if not self.accept(mark):
             raise FilterError(f"{mark!r} expected before {self.peek()[1]!r}")
 
     def whole(self) -> Column:
@@ -63,25 +63,25 @@ class _Filter:
 
     def any_of(self) -> Column:
         out = self.all_of()
-        while self.take("or"):
+        while self.accept("or"):
             out = out | self.all_of()
         return out
 
     def all_of(self) -> Column:
         out = self.one()
-        while self.take("and"):
+        while self.accept("and"):
             out = out & self.one()
         return out
 
     def one(self) -> Column:
-        if self.take("not"):
+        if self.accept("not"):
             return ~self.one()
-        if self.take("("):
+        if self.accept("("):
             out = self.any_of()
             self.need(")")
             return out
         kind, left = self.value()
-        op = self.take(*_COMPARE)
+        op = self.accept(*_COMPARE)
         if op:
             return _compared(op, (kind, left), self.value())
         if kind != "boolean":
@@ -101,9 +101,9 @@ class _Filter:
             return "boolean", F.lit(text == "true")
         if kind == "name" and text == "null":
             return "null", F.lit(None)
-        if kind == "name" and text in _FUNCTIONS and self.take("("):
+        if kind == "name" and text in _FUNCTIONS and self.accept("("):
             args = [self.value()[1].cast("string")]
-            while self.take(","):
+            while self.accept(","):
                 args.append(self.value()[1].cast("string"))
             self.need(")")
             if len(args) != _FUNCTIONS[text]:
