@@ -2,10 +2,14 @@
 
 A page becomes a tree of elements. What never is main text (scripts, styles,
 menus, page headers and footers, sidebars, notices, adverts, forms, reader
-comments, by element, role or class name) is cut. Inside an article or main
-element ids are mostly names of headings and compound names anything, so there
-only whole class names of containers cut, and whole ids of those but sections;
-headings, paragraphs and spans stay. For every element left, its
+comments, by element, role or name) is cut. A class or id names such a thing if it
+is listed or its first part is. Inside an article (or the main element of a page
+without one) names are mostly slugs: there a class must be listed whole, or be made
+of listed and structural parts only (``comment-list``, ``ad-slot``, but not
+``ad-hoc``), an id must so too and stand on a container, and on a section it must
+name comments. Ids of headings, paragraphs and spans never cut. Headers stay inside
+articles; articles named as comments go where another is left. For every
+element left, its
 composite text density is its characters per tag, adjusted for links:
 
     C/T * log_b(C/LC * T/LT),  b = ln(C/NC * LC + LCbody/Cbody * C + e)
@@ -15,8 +19,11 @@ NC of its subtree (0 counts as 1 below a line). The element whose children's
 densities have the largest sum is the main one; the smallest density on its
 path up to the body is the threshold below which its link-dominated blocks (in
 lists, tables and divisions) are left out; inside an article or main element
-only those whose class names a menu, so lists of sources stay. Text comes out block by block, with
-character references decoded and white space turned into single spaces.
+only those whose class names a menu, so lists of sources stay. If it lies in an
+article, else in a main element, that is taken whole; if it holds articles, the one
+with the most text, if that has half of its text or more. Of equal sums the first
+element in the page counts. Text comes out block by block, with character
+references decoded and white space turned into single spaces.
 
 Defined results: null and empty pages, and pages without text, give an empty
 text; unclosed or crossed tags never fail; pages of any length or depth are
@@ -43,6 +50,7 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)",
     re.S,
 )
+_ARTICLE = re.compile(r"<article(?=[\s/>])([^>]*)", re.I)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _SPACE = re.compile(r"\s+")
 
@@ -64,9 +72,13 @@ CUT_NAMES = frozenset(
     " pagination popup promo promoted promotion related replies respond share sharing sidebar social sponsor sponsored subscribe"
     " toolbar topbar widget".split()
 )
+COMMENT_NAMES = frozenset("comment comments commentlist disqus replies respond".split())
+#: Parts of compound names that say what a thing is made as, not what it holds.
+STRUCTURE = frozenset("list area slot box bar banner wrapper wrap container section thread buttons posts".split())
 LINKED = frozenset("ul ol dl table div section".split())
-#: Elements that names cut inside an article or main element.
-CONTAINERS = LINKED | {"ins"}
+#: Elements whose ids cut inside an article, and those whose ids never cut.
+CONTAINERS = LINKED | {"ins", "article"}
+NAMED_FREELY = frozenset("h1 h2 h3 h4 h5 h6 p span".split())
 #: First parts of class names of link lists that are left out inside an article or main element.
 MENU_NAMES = frozenset("breadcrumb breadcrumbs menu menubar nav navbar navigation pager pagination share sharing social toolbar topbar".split())
 #: An element that ends what it cannot be inside of, up to the elements where the search stops.
@@ -78,8 +90,20 @@ def _first_parts(value: str) -> list[str]:
     return [re.split("[-_]", x)[0] for x in value.split()]
 
 
+def _listed(value: str, names: frozenset, strict: bool) -> bool:
+    """Whether one of the names in ``value`` is in ``names``: whole, by its first part,
+    or (strict) by all parts, structural ones aside."""
+    for name in value.split():
+        parts = re.split("[-_]+", name)
+        if name in names or not strict and parts[0] in names:
+            return True
+        if strict and not names.isdisjoint(parts) and all(p in names or p in STRUCTURE for p in parts):
+            return True
+    return False
+
+
 def _cut(tag: str, attrs: str, inside: bool = False) -> bool:
-    """Whether an element, ``inside`` an article or main element or not, never is main text."""
+    """Whether an element, ``inside`` an article or not, never is main text."""
     if tag in CUT:
         return True
     if not attrs or tag in ("html", "body", "main", "article"):
@@ -90,15 +114,19 @@ def _cut(tag: str, attrs: str, inside: bool = False) -> bool:
             return True
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if name not in ("class", "id"):
-            continue
-        if not inside and not CUT_NAMES.isdisjoint((*value.split(), *_first_parts(value))):
-            return True
-        if inside and tag in CONTAINERS and (name, tag) != ("id", "section") and not CUT_NAMES.isdisjoint(value.split()):
+        if name == "class" and _listed(value, CUT_NAMES, inside):
             return True
+        if name == "id" and tag not in NAMED_FREELY and (not inside or tag in CONTAINERS):
+            if _listed(value, COMMENT_NAMES if inside and tag == "section" else CUT_NAMES, inside):
+                return True
     return False
 
 
+def _comment(attrs: str) -> bool:
+    """Whether an article is named as a reader's comment."""
+    return any(name.lower() in ("class", "id") and _listed(value.strip("\"'").lower(), COMMENT_NAMES, False) for name, value in _ATTRIBUTE.findall(attrs))
+
+
 def _menu(attrs: str) -> bool:
     return any(name.lower() == "class" and not MENU_NAMES.isdisjoint(_first_parts(value.strip("\"'").lower())) for name, value in _ATTRIBUTE.findall(attrs))
 
@@ -110,6 +138,9 @@ class Page:
     def __init__(self, html: str) -> None:
         self.tags, self.parents, self.cut = ["#root"], [-1], [False]
         self.inside, self.menu = [False], [False]  # an article or main element; whether named as a menu
+        self.in_article = [False]
+        self.own = [False]  # inside what holds the article: names are slugs
+        self.has_article = any(not _comment(m[1]) for m in _ARTICLE.finditer(html))
         self.events: list[tuple[int, str | None]] = []
         self._stack, self._open = [0], {}
         self._read(html)
@@ -132,7 +163,12 @@ class Page:
         self.parents.append(parent)
         self.inside.append(inside)
         self.menu.append(inside and tag in LINKED and _menu(attrs))
-        self.cut.append(self.cut[parent] or (tag == "header" and not inside) or _cut(tag, attrs, inside))
+        own = self.own[parent] or self.tags[parent] == "article" or (self.tags[parent] == "main" and not self.has_article)
+        self.own.append(own)
+        in_article = self.in_article[parent] or self.tags[parent] == "article"
+        self.in_article.append(in_article)
+        comment = tag == "article" and self.has_article and _comment(attrs)
+        self.cut.append(self.cut[parent] or comment or (tag == "header" and not in_article) or _cut(tag, attrs, own))
         if tag not in VOID:
             self._stack.append(len(self.tags) - 1)
             self._open[tag] = self._open.get(tag, 0) + 1
@@ -226,12 +262,27 @@ class Page:
             threshold = min(threshold, density[i]) if i > 0 else threshold
         return best, threshold, density
 
-    def text(self) -> str:
-        best, threshold, density = self.main()
-        chosen, i = {best}, best
+    def _whole(self, best: int) -> int:
+        """The outermost article around ``best``, else the main element around it,
+        else the article inside it that has half of its text or more; else itself."""
+        around, i = {}, best
         while i > 0:
-            chosen = {i} if self.tags[i] in ("article", "main") else chosen
+            around[self.tags[i]] = i
             i = self.parents[i]
+        if "article" in around:
+            return around["article"]
+        best = around.get("main", best)
+        within = [False] * len(self.tags)
+        largest = -1
+        for i in range(len(self.tags)):
+            within[i] = i == best or (i > 0 and within[self.parents[i]])
+            if within[i] and self.tags[i] == "article" and not self.cut[i] and (largest < 0 or self.chars[i] > self.chars[largest]):
+                largest = i
+        return largest if largest >= 0 and 2 * self.chars[largest] >= self.chars[best] > 0 else best
+
+    def text(self) -> str:
+        best, threshold, density = self.main()
+        chosen = {self._whole(best)}
         if chosen == {best} and best > 0 and self.tags[best] not in ("article", "main", "body", "html"):
             chosen |= {i for i, p in enumerate(self.parents) if p == self.parents[best] and self.tags[i] in BLOCKS and density[i] >= threshold}
         kept = [False] * len(self.tags)

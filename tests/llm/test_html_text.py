@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import html
+import math
+import random
 import re
 
 import pytest
@@ -68,5 +70,90 @@ def test_articles_keep_what_only_has_a_name_like_that_of_a_notice_or_menu(tag):
 <p>An <span class="ad-hoc">ad hoc</span> word.</p><div class="ad">Buy now</div><div id="comments">Nice post!</div><ul class="share-buttons"><li><a href=x>Tell your friends</a></li></ul>
 <h2>Sources</h2><ol>{sources}</ol><section id="references"><div><a href=y>Last source</a></div></section>"""
     page = f'<html><body><div class="menu-top"><a href=/>Home</a></div><div id="notice-1">We use cookies</div><{tag}>{inner}</{tag}><div class=foot><ul><li><a href=z>Another story</a></ul></div></body></html>'
-    want = ["Title", PARAGRAPH, "Related work", f"On menus. {PARAGRAPH}", f"On society. {PARAGRAPH}", "One notice.", "Two notices.", "At sea", "An ad hoc word.", "Sources"]
+    want = ["Title", PARAGRAPH, "Related work", f"On menus. {PARAGRAPH}", f"On society. {PARAGRAPH}", "One notice.", "At sea", "An ad hoc word.", "Sources"]
     assert H.main_text(page).split("\n") == [*want, *(f"Source number {i} of the article" for i in range(8)), "Last source"]
+
+
+ARTICLE = f"<h1>Title</h1><p>{PARAGRAPH}</p><p>Second. {PARAGRAPH}</p>"
+KEPT = f"Title\n{PARAGRAPH}\nSecond. {PARAGRAPH}"
+
+
+@pytest.mark.parametrize("page", [
+    f'<main><article>{ARTICLE}</article><section id="comments"><p>Nice! {PARAGRAPH}</p></section></main>',
+    f'<main><article>{ARTICLE}<div class="comment-list"><p>Nice! {PARAGRAPH}</p></div></article></main>',
+    f'<main><article>{ARTICLE}</article><article class="comment"><p>Nice! {PARAGRAPH} {PARAGRAPH} {PARAGRAPH} {PARAGRAPH}</p></article></main>',
+    f'<article>{ARTICLE}<article class="comment depth-1"><p>Nice! {PARAGRAPH}</p></article></article>',
+    f'<article>{ARTICLE}<p class="ad">Buy now, buy more.</p></article>',
+    f'<article>{ARTICLE}<div class="ad-slot">Buy now, buy more.</div></article>',
+    f'<main><div class="cookie-banner"><p>We use cookies.</p></div>{ARTICLE}</main>',
+    f'<main>{ARTICLE}<div class="sidebar-widget"><p>Popular today.</p></div></main>',
+    f'<main>{ARTICLE}<div class="related-posts"><p>Read this too.</p></div></main>',
+    f'<main><header>Site, tagline</header>{ARTICLE}</main>',
+    f'<main><header>Site, tagline</header><article>{ARTICLE}</article></main>',
+    f'<article><header><h1>Title</h1></header>{ARTICLE.removeprefix("<h1>Title</h1>")}<p class="notice">Two notices.</p></article>',
+    f'<body><article>{ARTICLE}{ARTICLE}{ARTICLE}</article><article><p>A teaser of another story.</p></article></body>',
+])
+def test_what_surrounds_or_interrupts_an_article_goes(page):
+    want = "\n".join([KEPT] * 3) if "teaser" in page else KEPT
+    assert H.main_text(f"<html><body>{page}</body></html>") == want
+
+
+def test_densities_and_the_main_element_by_their_definition():
+    rng = random.Random(5)
+
+    def grow(depth):
+        tag = rng.choice(["div", "p", "section", "a", "span", "ul"]) if depth else "div"
+        kids = [] if depth > 4 else [rng.choice(["", "some words ", "x"]) if rng.random() < 0.5 else grow(depth + 1) for _ in range(rng.randint(0, 4))]
+        return tag, kids
+
+    def render(node):
+        return node if isinstance(node, str) else f"<{node[0]}>{''.join(map(render, node[1]))}</{node[0]}>"
+
+    def measure(node, linked=False):
+        """(characters, link characters, tags, link tags) of a subtree."""
+        if isinstance(node, str):
+            c = len("".join(node.split()))
+            return c, c * linked, 0, 0
+        own = [measure(k, linked or node[0] == "a") for k in node[1]]
+        nested = [k for k in node[1] if not isinstance(k, str)]
+        return sum(x[0] for x in own), sum(x[1] for x in own), sum(x[2] for x in own) + len(nested), sum(x[3] for x in own) + sum(k[0] == "a" for k in nested)
+
+    checked = 0
+    for _ in range(200):
+        body = ("body", [t for t in (grow(1) for _ in range(3)) if t[0] not in ("a", "p")])  # these would close each other
+        text = render(body)
+        page = H.Page(text)
+        order, linked, parents, todo = [], [], [], [(body, False, 0)]
+        while todo:
+            node, inside, parent = todo.pop()
+            order.append(node)
+            linked.append(inside)
+            parents.append(parent)
+            at = len(order)
+            todo += [(k, inside or node[0] == "a", at) for k in reversed(node[1]) if not isinstance(k, str)]
+        if page.tags[1:] != [n[0] for n in order] or page.parents[1:] != parents:
+            continue  # the reader closed a paragraph or an item by its rules
+        checked += 1
+        c0, lc0, _, _ = measure(body)
+        want = []
+        for node, inside in zip(order, linked):
+            c, lc, t, lt = measure(node, inside)
+            if not c:
+                want.append(0.0)
+                continue
+            t = max(t, 1)
+            base = math.log(c / max(c - lc, 1) * lc + lc0 / max(c0, 1) * c + math.e)
+            ratio = max(c / max(lc, 1) * t / max(lt, 1), 1.0)
+            want.append(c / t * (math.log(ratio) / max(math.log(base), 1e-3) if base > 1.001 else math.log(ratio)))
+        best, threshold, density = page.main()
+        assert density[1:] == pytest.approx(want)
+        by_id = {id(n): i for i, n in enumerate(order)}
+        sums = [sum(want[by_id[id(k)]] for k in n[1] if not isinstance(k, str) and k[0] in H.BLOCKS) for n in order]
+        if best:
+            assert sums[best - 1] == pytest.approx(max(sums))
+            path, i = [], best
+            while page.tags[i] not in ("body", "#root"):
+                path.append(density[i])
+                i = page.parents[i]
+            assert threshold == pytest.approx(min([density[best], *path, density[i]] if i else [density[best], *path]))
+    assert checked > 40
