@@ -7,7 +7,7 @@ import uuid
 from contextlib import suppress
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from partnerwatch.session import checkpoint_dir
@@ -70,15 +70,15 @@ def row_number_columns() -> tuple[Column, Column]:
     return F.shiftright(i, 33).cast("int"), i.bitwiseAND(F.lit((1 << 33) - 1))
 
 
-def offsets(df: DataFrame, part: str, amount: Column) -> Column:
-    """Sum of ``amount`` over all partitions before a row's own: one number per
-    partition reaches the driver."""
-    sums = dict(df.groupBy(part).agg(F.sum(amount)).collect())
-    pairs, before = [], 0
-    for p in sorted(sums):
-        pairs += [F.lit(p), F.lit(before)]
-        before += sums[p] or 0
-    return F.create_map(*pairs)[F.col(part)].cast("long") if pairs else F.lit(0).cast("long")
+def with_before(df: DataFrame, part: str, amount: Column, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``amount`` over all partitions before a
+    row's own. The sums are a table of one row a partition, added up by a window
+    and broadcast: bounded by the number of partitions, whatever they hold."""
+    p = free_prefix(df)
+    sums = df.groupBy(F.col(part).alias(f"{p}of")).agg(F.sum(amount).alias(f"{p}sum"))
+    before = Window.orderBy(f"{p}of").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(f"{p}of", F.coalesce(F.sum(f"{p}sum").over(before), F.lit(0)).cast("long").alias(name))
+    return df.join(F.broadcast(starts), F.col(part) == F.col(f"{p}of")).drop(f"{p}of")
 
 
 def global_position(df: DataFrame, order: list[Column], name: str) -> DataFrame:
@@ -86,5 +86,5 @@ def global_position(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     sort numbers the rows of each partition; no task sees them all."""
     part, row = row_number_columns()
     numbered = shared_table(df.orderBy(*order).select("*", part.alias("__part"), row.alias("__row")), name)
-    at = offsets(numbered, "__part", F.lit(1)) + F.col("__row")
-    return numbered.withColumn(name, at).drop("__part", "__row")
+    placed = with_before(numbered, "__part", F.lit(1), "__before")
+    return placed.withColumn(name, F.col("__before") + F.col("__row")).drop("__part", "__row", "__before")

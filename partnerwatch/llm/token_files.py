@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partnerwatch.llm.common import give_back, offsets, shared_path, small_batches
+from partnerwatch.llm.common import give_back, shared_path, small_batches, with_before
 
 SEQUENCE = 2048
 SEQUENCES_A_BATCH = 64
@@ -256,7 +256,7 @@ def read_token_files(index: DataFrame) -> DataFrame:
                 sums.append(crc)
             yield pa.record_batch([b["doc_id"], b["start"], b["n_tokens"], pa.array(sums, pa.int64())], schema=schema)
 
-    placed = index.withColumn("start", offsets(index, "part", F.col("n_tokens")) + F.col("first"))
+    placed = with_before(index, "part", F.col("n_tokens"), "before").withColumn("start", F.col("before") + F.col("first"))
     return placed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

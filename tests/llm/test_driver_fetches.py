@@ -10,7 +10,6 @@ PKG = Path(__file__).resolve().parents[2] / "partnerwatch" / "llm"
 FETCH = re.compile(r"(?<!\bF)\.(collect|toPandas|take|first|toArrow|toLocalIterator|localCheckpoint)\(")
 #: (module, call): how often, and what bounds the rows.
 BOUNDED = {
-    ("common.py", "collect"): (1, "one number a partition"),
     ("components.py", "first"): (1, "one row: a count and a checksum"),
     ("decontaminate.py", "first"): (1, "one row: characters of the items"),
     ("decontaminate.py", "toLocalIterator"): (1, "the items of one block of at most BLOCK_CHARS characters"),
