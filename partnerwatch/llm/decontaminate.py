@@ -10,12 +10,15 @@ long as three words in a row are left. Places where the words that item and
 text have in common bound every alignment below the threshold are not aligned.
 
 Documents are never shuffled: test items are the small side, sent to the tasks
-in blocks of at most ``BLOCK_CHARS`` characters; with more items than that, the
-documents are scanned once more for each block.
+in blocks of at most ``BLOCK_CHARS`` characters. With more items than that, the
+documents are scanned once for each block, its findings are written to the shared
+folder, and the block is given up before the next one is read, so neither the
+driver nor a task ever holds more than one block, however large the benchmark.
 
 Defined results: null and empty texts and items match nothing; an item of one
 or two words is its own seed; documents that repeat a doc_id give the rows of
-each distinct text; long texts are aligned around all their seeds; an empty
+each distinct text; of equal alignments of an item the first found, by its place in
+the text, counts; long texts are aligned around all their seeds; an empty
 table on either side gives an empty result. Further columns are passed on by
 ``clean_documents`` and left out by ``contaminations``.
 """
@@ -28,15 +31,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partnerwatch.llm.common import give_back, small_batches
+from partnerwatch.llm.common import give_back, shared_table, small_batches
 from partnerwatch.llm.grams import WordHashes, ngrams
 
 SEED, THRESHOLD, BLOCK_CHARS = 3, 0.5, 8_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 _PLAIN = re.compile(r"[\W_]+")
+FOUND_ROWS = "doc_id long, item_id long, score double, first_word long, last_word long"
 FOUND = "array<struct<item_id:long,score:double,first_word:long,last_word:long>>"
 
 
@@ -160,25 +165,21 @@ class Seeds:
         return found
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> Column:
-    """Column over ``docs``: the items that its text holds, with score and place."""
-    small_batches(docs.sparkSession)
+def seed_blocks(benchmark: DataFrame) -> Iterator[tuple[Seeds, bool]]:
+    """The items in blocks of at most about BLOCK_CHARS characters, one at a time,
+    and whether it is the last one."""
     hashes = WordHashes(plain_word)
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), F.col("text")).distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks = -(-chars // BLOCK_CHARS)
-    blocks = []
     for b in range(n_blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b).orderBy("item_id", "text").toLocalIterator()
         rows = [(r["item_id"], w) for r in own if len(w := hashes.of(r["text"]))]
         if rows:
-            blocks.append(_judge(docs, Seeds.of(rows), threshold)(F.col(text)))
-    return F.concat(*blocks) if blocks else F.array().cast(FOUND)
-
+            yield Seeds.of(rows), b == n_blocks - 1
 
-def _judge(docs: DataFrame, seeds: Seeds, threshold: float):  # noqa: ANN202
-    sent = docs.sparkSession.sparkContext.broadcast(seeds)
 
+def _judge(sent: Broadcast, threshold: float):  # noqa: ANN202
     @F.pandas_udf(FOUND)
     def judge(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own, words = sent.value, WordHashes(plain_word)
@@ -191,12 +192,27 @@ def _judge(docs: DataFrame, seeds: Seeds, threshold: float):  # noqa: ANN202
     return judge
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame:
+def contaminations(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, score, first_word, last_word of each leaked item."""
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(contamination(docs, benchmark, **options)).alias("f"))
-    return found.select("doc_id", "f.*").distinct()
-
-
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame:
+    small_batches(docs.sparkSession)
+    found = docs.sparkSession.createDataFrame([], FOUND_ROWS)
+    for seeds, last in seed_blocks(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(seeds)
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(_judge(sent, threshold)(F.col("text"))).alias("f")).select("doc_id", "f.*")
+        if not last:
+            rows = shared_table(rows, "leaked-items")
+            sent.destroy()
+        found = found.unionByName(rows)
+    return found.distinct()
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no test item."""
-    return docs.where(F.size(contamination(docs, benchmark, **options)) == 0)
+    small_batches(docs.sparkSession)
+    for seeds, last in seed_blocks(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(seeds)
+        docs = docs.where(F.size(_judge(sent, threshold)(F.col("text"))) == 0)
+        if not last:
+            docs = shared_table(docs, "clean-documents")
+            sent.destroy()
+    return docs
