@@ -194,3 +194,41 @@ def column_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     """Quantiles of one column (optionally per group), columns named by ``names``."""
     wide = group_quantiles_wide(df, group_cols, [value_col], probs, names, group_bound=group_bound)
     return wide.select(*group_cols, *[F.col(f"{value_col}__{nm}").alias(nm) for nm in names])
+
+
+# ------------------------------------------------------------------ mergeable sketches
+def quantile_sketches(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str], k: int = 200) -> DataFrame:
+    """KLL sketches by group and feature: (group..., ``_feature``, ``_sketch``). Their size
+    depends on ``k`` alone, so a day's sketches can be stored and merged later. The rank
+    error is about 1.33 / k ** 0.9 (99 % confidence); exact quantiles stay the default,
+    nothing switches by size."""
+    long = to_long(df, group_cols, value_cols)
+    return long.groupBy(*group_cols, _F).agg(F.kll_sketch_agg_double(_V, F.lit(k)).alias("_sketch"))
+
+
+def merge_sketches(sketches: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Sketches of several days (a union), or of finer groups, as those of ``group_cols``."""
+    return sketches.groupBy(*group_cols, _F).agg(F.kll_merge_agg_double("_sketch").alias("_sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, group_cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(group..., ``_feature``, ``n``, ``q0``, ...) from sketches."""
+    values = [F.kll_sketch_get_quantile_double("_sketch", F.lit(float(p))).alias(f"q{i}") for i, p in enumerate(probs)]
+    return sketches.select(*group_cols, _F, F.kll_sketch_get_n_double("_sketch").alias("n"), *values)
+
+
+def rank_error(k: int) -> float:
+    """The rank error that ``quantile_sketches`` states for ``k``."""
+    return 2.296 / k ** 0.9021
+
+
+def distinct_sketches(df: DataFrame, group_cols: Sequence[str], cols: Sequence[str], lg_k: int = 12) -> DataFrame:
+    """Theta sketches of distinct values by group: (group..., ``{col}__theta``); exact up to
+    2 ** lg_k values of a group, relative error about 1 / sqrt(2 ** lg_k) beyond."""
+    return df.groupBy(*group_cols).agg(*[F.theta_sketch_agg(F.col(c).cast("string"), F.lit(lg_k)).alias(f"{c}__theta") for c in cols])
+
+
+def union_distinct(sketches: DataFrame, group_cols: Sequence[str], cols: Sequence[str], lg_k: int = 12) -> DataFrame:
+    """Distinct counts of merged sketches: (group..., ``{col}__distinct``)."""
+    return sketches.groupBy(*group_cols).agg(*[F.theta_sketch_estimate(F.theta_union_agg(f"{c}__theta", F.lit(lg_k))).alias(f"{c}__distinct")
+                                               for c in cols])

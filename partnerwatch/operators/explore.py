@@ -228,3 +228,33 @@ def segment_density(df: DataFrame, col: str, group_col: str = "Segment", clip_qu
     norm = F.col("_n").cast("double") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))
     return dens.select(group_col, "point", (F.col("_g0") + F.col("point") * F.col("_gstep")).alias("x"),
                        (F.col("_s") / norm).alias("density"))
+
+
+# ------------------------------------------------------------------ X4 in one pass
+def one_pass(tx: DataFrame, segment_col: str = "Segment", doc_type_col: str = "CADocumentType",
+             date_col: str = "NetDueDate", partner_col: str = "BusinessPartner") -> DataFrame:
+    """A3-A6, A8, A9 and the range of H1 over one scan: tagged rows (``part``: segment,
+    doc_type, month or all; ``key``) of the measures those tables are made of.
+
+    The ledger is folded once to (segment, document type, month, partner), map side
+    first; the grouping sets, and the distinct partners, are taken of that table."""
+    month = F.date_format(F.col(date_col), "yyyy-MM")
+    amount = F.col("Amount")
+    base = tx.select(F.col(segment_col).alias("_segment"), F.col(doc_type_col).alias("_doc_type"), month.alias("_month"),
+                     F.col(partner_col).alias("_partner"), amount.alias("_amount"), F.col(date_col).alias("_date"))
+    folded = base.groupBy("_segment", "_doc_type", "_month", "_partner").agg(
+        F.count(F.lit(1)).alias("_rows"), F.count("_amount").alias("_n"),
+        F.sum(F.col("_amount").cast("decimal(38,6)")).alias("_total"), F.max("_amount").alias("_hi"), F.min("_amount").alias("_lo"),
+        F.count_if(F.col("_amount") > 10_000).alias("_10k"), F.count_if(F.col("_amount") > 100_000).alias("_100k"),
+        F.min("_date").alias("_first"), F.max("_date").alias("_last"))
+    keys = [("segment", "_segment"), ("doc_type", "_doc_type"), ("month", "_month"), ("all", None)]
+    tagged = folded.withColumn("_tag", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("part"), (F.col(c) if c else F.lit(None).cast("string")).alias("key")) for p, c in keys])))
+    # partners first: a distinct count is then the number of their rows
+    by_partner = tagged.groupBy("_tag.part", "_tag.key", "_partner").agg(
+        *[F.sum(c).alias(c) for c in ("_rows", "_n", "_total", "_10k", "_100k")],
+        *[F.max(c).alias(c) for c in ("_hi", "_last")], *[F.min(c).alias(c) for c in ("_lo", "_first")])
+    return by_partner.groupBy("part", "key").agg(
+        F.sum("_rows").alias("rows"), F.sum("_n").alias("transactions"), F.sum("_total").cast("double").alias("total_amount"),
+        F.max("_hi").alias("largest"), F.min("_lo").alias("smallest"), F.sum("_10k").alias("over_10k"), F.sum("_100k").alias("over_100k"),
+        F.count("_partner").alias("partners"), F.min("_first").alias("first_date"), F.max("_last").alias("last_date"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partnerwatch import config as C
+from partnerwatch.functions import stats
 from partnerwatch.operators import alerts, explore, features, iforest, pairing, peers, rollup, silver
 from partnerwatch.plans import oracles as O
 from partnerwatch.plans import pipeline as P
@@ -129,6 +130,47 @@ def q_bronze_csv(spark, sf):
     return silver.build_silver(silver.drop_columns(files.read_bronze_csv(spark, path), C.BRONZE_DROP_COLUMNS))
 
 
+_BAD = "CAST(substr(CADocumentNumber, 1, 19) AS BIGINT) % 40"
+_CAUSE = (f"CASE {_BAD} WHEN 0 THEN 'AmountInDisplayCurrency: not a number' WHEN 1 THEN 'AmountInDisplayCurrency: not finite' "
+          "WHEN 2 THEN 'BusinessPartner: missing' WHEN 3 THEN 'AmountInDisplayCurrency: missing; BusinessPartner: missing' "
+          "WHEN 4 THEN 'AmountInDisplayCurrency: too large' END")
+
+
+def _judged_landing(spark, sf) -> str:
+    """The ledger as CSV, some lines damaged, landed by one job into both sinks."""
+    from partnerwatch.session import checkpoint_dir
+    from partnerwatch.sources import files
+
+    bad = F.substring("CADocumentNumber", 1, 19).cast("bigint") % 40
+    amount = (F.when(bad == 0, "n/a").when(bad == 1, "-Infinity").when(bad == 3, F.lit(None)).when(bad == 4, "1e33")
+              .otherwise(F.col("AmountInDisplayCurrency")))
+    partner = F.when(bad.isin(2, 3), F.lit(None)).otherwise(F.col("BusinessPartner"))
+    lines = FX.ledger_bronze(spark, sf).withColumns({"AmountInDisplayCurrency": amount, "BusinessPartner": partner})
+    base = f"{checkpoint_dir(spark).rstrip('/')}/partnerwatch/judged-{uuid.uuid4().hex}"
+    lines.write.option("header", True).csv(f"{base}/bronze")
+    files.write_judged(silver.judged_lines(files.read_placed_csv(spark, f"{base}/bronze")), f"{base}/judged")
+    return f"{base}/judged"
+
+
+@register("rejected_lines", O.with_ledger(
+    f"SELECT CADocumentNumber, {_CAUSE} AS cause FROM silver WHERE {_BAD} < 5"))
+def q_rejected_lines(spark, sf):
+    """Rejected lines with their causes by column, from the second sink."""
+    from partnerwatch.sources import files
+
+    rows = files.read_rejected(spark, _judged_landing(spark, sf))
+    return rows.select(F.get_json_object("raw", "$.CADocumentNumber").alias("CADocumentNumber"), F.array_join("causes", "; ").alias("cause"))
+
+
+@register("landing_reconciled", O.with_ledger(
+    f"SELECT coalesce({_CAUSE}, 'kept') AS cause, count(*) AS lines FROM silver GROUP BY 1"))
+def q_landing_reconciled(spark, sf):
+    """Kept and rejected lines by cause add up to the bronze lines."""
+    from partnerwatch.sources import files
+
+    return files.reconciled(spark, _judged_landing(spark, sf))
+
+
 _NUMBER_TEXTS = ["3.0", " 12 ", "+7", "-4", "2.5", "99999999999", "n/a", ""]
 _DATE_TEXTS = ["/Date(0)/", "/Date(-86400000)/", "/Date(86400000+0200)/", "/Date(99999999999999999)/",
                "/Date(99999999999999999999999)/", "0", "/Date()/", "/Date(253402300800000)/"]
@@ -412,6 +454,63 @@ def q_feature_describe(spark, sf):
     return rounded(explore.describe_features(_partners(spark, sf), FEATS))
 
 
+def _one_pass_sql() -> str:
+    cols = (f"count(*) AS rows, count(Amount) AS transactions, {R(MSUM)} AS total_amount, {R('max(Amount)')} AS largest, "
+            f"{R('min(Amount)')} AS smallest, count(*) FILTER (Amount > 10000) AS over_10k, count(*) FILTER (Amount > 100000) AS over_100k, "
+            "count(DISTINCT BusinessPartner) AS partners, min(NetDueDate) AS first_date, max(NetDueDate) AS last_date FROM sig2")
+    return " UNION ALL ".join(f"SELECT '{p}' AS part, {k} AS key, {cols}{f' GROUP BY {k}' if p != 'all' else ''}" for p, k in (
+        ("segment", "Segment"), ("doc_type", "CADocumentType"), ("month", "strftime(NetDueDate, '%Y-%m')"),
+        ("all", "CAST(NULL AS VARCHAR)")))
+
+
+@register("eda_one_pass", O.with_ledger(_one_pass_sql()))
+def q_eda_one_pass(spark, sf):
+    """The exploration tables of the ledger from one scan."""
+    return rounded(explore.one_pass(_sig(spark, sf)))
+
+
+_SKETCH_PROBS, _SKETCH_K, _LG_K = (0.01, 0.25, 0.5, 0.75, 0.95, 0.99), 200, 10
+
+
+@register("sketched_quantiles", O.with_ledger(
+    "SELECT Segment, p AS prob, count(Amount) AS n, TRUE AS within FROM sig2, (VALUES "
+    + ", ".join(f"({p!r}::DOUBLE)" for p in _SKETCH_PROBS) + ") t(p) GROUP BY ALL"))
+def q_sketched_quantiles(spark, sf):
+    """W2, A8, A10, option: amounts by segment from KLL sketches of each month, merged;
+    ``within``: the value's exact rank lies within the stated error of its probability."""
+    tx = features.add_segment_label(_silver(spark, sf))
+    tx = tx.withColumn("month", F.date_format("NetDueDate", "yyyy-MM"))
+    merged = stats.merge_sketches(stats.quantile_sketches(tx, ["Segment", "month"], ["Amount"], _SKETCH_K), ["Segment"])
+    q = stats.sketched_quantiles(merged, ["Segment"], _SKETCH_PROBS)
+    pairs = F.array(*[F.struct(F.lit(p).alias("prob"), F.col(f"q{i}").alias("value")) for i, p in enumerate(_SKETCH_PROBS)])
+    long = q.select("Segment", "n", F.inline(pairs))
+    amounts = tx.groupBy(F.col("Segment").alias("_s"), "Amount").agg(F.count(F.lit(1)).alias("_c"))
+    ranks = long.join(amounts, F.col("Segment") == F.col("_s")).groupBy("Segment", "prob", "n", "value").agg(
+        F.sum(F.when(F.col("Amount") < F.col("value"), F.col("_c")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("Amount") <= F.col("value"), F.col("_c")).otherwise(0)).alias("upto"))
+    error = stats.rank_error(_SKETCH_K)
+    within = (F.col("below") / F.col("n") <= F.col("prob") + error) & (F.col("upto") / F.col("n") >= F.col("prob") - error)
+    return ranks.select("Segment", "prob", "n", within.alias("within"))
+
+
+@register("sketched_distinct", O.with_ledger(
+    "SELECT Segment, count(DISTINCT BusinessPartner) AS partners, count(DISTINCT CADocumentNumber) AS documents, "
+    "TRUE AS within FROM sig2 GROUP BY Segment"))
+def q_sketched_distinct(spark, sf):
+    """A1d, option: distinct partners and documents of a segment from theta sketches of
+    each month, merged; ``within``: three times the stated relative error."""
+    tx = features.add_segment_label(_silver(spark, sf)).withColumn("month", F.date_format("NetDueDate", "yyyy-MM"))
+    cols = ["BusinessPartner", "CADocumentNumber"]
+    told = stats.union_distinct(stats.distinct_sketches(tx, ["Segment", "month"], cols, _LG_K), ["Segment"], cols, _LG_K)
+    exact = tx.groupBy(F.col("Segment").alias("_s")).agg(F.count_distinct("BusinessPartner").alias("partners"),
+                                                         F.count_distinct("CADocumentNumber").alias("documents"))
+    most = 3.0 / 2 ** (_LG_K / 2)
+    near = lambda a, b: F.abs(F.col(a) / F.col(b) - 1) <= most
+    both = told.join(exact, F.col("Segment") == F.col("_s"))
+    return both.select("Segment", "partners", "documents",
+                       (near("BusinessPartner__distinct", "partners") & near("CADocumentNumber__distinct", "documents")).alias("within"))
+
+
 EDA8 = list(explore.EDA_FEATURES)
 EDA10 = list(explore.EDA_CORR_FEATURES)
 

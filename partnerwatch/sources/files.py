@@ -24,6 +24,38 @@ def read_bronze_csv(spark: SparkSession, path: str, schema=BRONZE_SCHEMA) -> Dat
                         else F.lit(None).cast("string").alias(f.name) for f in schema.fields])
 
 
+def read_placed_csv(spark: SparkSession, path: str, schema=BRONZE_SCHEMA) -> DataFrame:
+    """``read_bronze_csv`` with where each line stands: ``_file``, ``_split`` (start of
+    the split that read it) and ``_number`` (its number in that split, from 0)."""
+    raw = spark.read.options(header=True, inferSchema=False, enforceSchema=False, mode="PERMISSIVE").csv(path)
+    have = set(raw.columns)
+    rows = raw.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if f.name in have
+                        else F.lit(None).cast("string").alias(f.name) for f in schema.fields],
+                      F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"),
+                      F.monotonically_increasing_id().alias("_number"))
+    return rows
+
+
+def write_judged(df: DataFrame, path: str) -> None:
+    """Kept and rejected lines (``operators.silver.judged_lines``) in one job: folders
+    ``accepted=true`` and ``accepted=false`` of one table."""
+    df.write.mode("overwrite").partitionBy("accepted").parquet(path)
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """file, split, number, causes, raw of every rejected line."""
+    rows = spark.read.parquet(path).filter(~F.col("accepted").cast("boolean"))
+    return rows.select(F.col("_file").alias("file"), F.col("_split").alias("split"), F.col("_number").alias("number"), "causes", "raw")
+
+
+def reconciled(spark: SparkSession, path: str) -> DataFrame:
+    """(cause, lines): kept lines under ``kept``, each rejected line under all its
+    causes joined; their sum is the number of bronze lines."""
+    rows = spark.read.parquet(path).select("accepted", "causes")
+    cause = F.when(F.col("accepted").cast("boolean"), "kept").otherwise(F.array_join("causes", "; "))
+    return rows.groupBy(cause.alias("cause")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 def write_silver(df: DataFrame, path: str) -> None:
     """S3: overwrite the silver Parquet table."""
     df.write.mode("overwrite").parquet(path)
