@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partnerwatch.schemas import BRONZE_SCHEMA, HISTORY_SCHEMA
+from partnerwatch.schemas import BRONZE_SCHEMA, HISTORY_SCHEMA, SILVER_SCHEMA
 
 
 def read_bronze_csv(spark: SparkSession, path: str, schema=BRONZE_SCHEMA) -> DataFrame:
@@ -62,8 +62,9 @@ def write_silver(df: DataFrame, path: str) -> None:
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    """S4."""
-    return spark.read.parquet(path)
+    """The declared silver columns, whether the files lie in the folder itself (the
+    batch job) or in one folder a batch (the incremental landing), or both."""
+    return spark.read.schema(SILVER_SCHEMA).option("recursiveFileLookup", True).parquet(path)
 
 
 def write_gold(df: DataFrame, path: str, partition_col: str = "Segment") -> None:
