@@ -20,7 +20,9 @@ The model is fitted on a sample of labelled documents, by hash, of
 them. The lexicon has at most 2**20 buckets; what is broadcast is the part that
 scores.
 
-Defined results: null and empty texts have no passage and the score of none;
+Defined results: null and empty texts have no passage and the score of none; a text
+of any length is scanned whole; of passages that tie the scan keeps the one that
+starts first;
 without labels of both classes no word scores and the score is the share of
 label 1 (0 without any). Repeated rows get equal scores, an empty table an
 empty result. Further columns are left out.
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partnerwatch.llm.common import small_batches
+from partnerwatch.llm.common import shared_table, small_batches
 from partnerwatch.llm.labels import held_out, logistic, training_labels
 
 SAMPLE, PARTS, BUCKETS, MIN_Z, MIN_ODDS, MAX_E, DRIFT = 40_000, 4, 1 << 20, 3.0, 2.0, 0.05, -0.1
@@ -162,18 +164,21 @@ def lexicons(rows: DataFrame, documents: np.ndarray) -> list[dict[int, float]]:
     return out
 
 
-def _extreme_values(model: ToxicityModel, words: float, scores: list[float], segments: list[float]) -> ToxicityModel:
-    """lambda and K from the words and segments of clean documents."""
-    s = np.array([*scores, max(model.weights.values())])  # one word more than was seen, so that lambda exists
-    p = len(s) / max(words, len(s) * 100.0)
+def _extreme_values(model: ToxicityModel, words: float, scores: dict[float, int], segments: float) -> ToxicityModel:
+    """lambda and K from clean documents: the number of their words, how many words
+    have each positive score, and how many segments reach the least positive one."""
+    top = max(model.weights.values())
+    scores = scores | {top: scores.get(top, 0) + 1}  # one word more than was seen, so that lambda exists
+    s, n = (np.array(x, float) for x in zip(*sorted(scores.items())))
+    p = n.sum() / max(words, n.sum() * 100.0)
     low, high = 0.0, 50.0 / s.max()
     for _ in range(100):
         mid = (low + high) / 2
-        grown = (1 - p) * math.exp(mid * DRIFT) + p * np.exp(mid * s).mean()
+        grown = (1 - p) * math.exp(mid * DRIFT) + p * (np.exp(mid * s) * n).sum() / n.sum()
         low, high = (mid, high) if grown < 1 else (low, mid)
     rate = max((low + high) / 2, 1e-3)
     least = min(model.weights.values())
-    k = (sum(x >= least for x in segments) + 0.5) / max(words, 1) * math.exp(rate * least)
+    k = (segments + 0.5) / max(words, 1) * math.exp(rate * least)
     return ToxicityModel(model.weights, rate, k)
 
 
@@ -207,16 +212,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityM
             kind = pa.list_(pa.float64())
             yield pa.record_batch([pa.array(n, pa.int64()), pa.array(segments, kind), pa.array(scores, kind), b["label"]], ["n", "segments", "scores", "label"])
 
-    seen = rows.mapInArrow(scan, "n long, segments array<double>, scores array<double>, label int").toArrow().to_pandas()
-    clean = seen[seen["label"] == 0]
-    model = _extreme_values(ToxicityModel(weights), float(clean["n"].sum()), [x for xs in clean["scores"] for x in xs], [x for xs in clean["segments"] for x in xs])
-
-    def evidence(n: int, segments: list[float]) -> float:
-        found = [model.rate * s - math.log(model.k * n) for s in segments]
-        return math.log1p(sum(e for e in found if e >= -math.log(MAX_E)))
-
-    x = np.array([evidence(n, s) for n, s in zip(seen["n"], seen["segments"])])
-    intercept, slope = logistic(x[:, None], seen["label"].to_numpy(float))
+    seen = shared_table(rows.mapInArrow(scan, "n long, segments array<double>, scores array<double>, label int"), "toxicity-scans")
+    clean, least = seen.where("label = 0"), min(weights.values())
+    reached = F.size(F.filter("segments", lambda x: x >= least))
+    words, segments = clean.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(reached), F.lit(0))).first()
+    # as many rows as the lexicon has scores, whatever the texts' lengths
+    scores = clean.select(F.explode("scores").alias("score")).groupBy("score").count().toArrow().to_pylist()
+    model = _extreme_values(ToxicityModel(weights), float(words), {r["score"]: r["count"] for r in scores}, float(segments))
+    each = F.transform("segments", lambda x: x * F.lit(model.rate) - F.log(F.col("n") * F.lit(model.k)))
+    found = F.aggregate(F.filter(each, lambda e: e >= F.lit(-math.log(MAX_E))), F.lit(0.0), lambda t, e: t + e)
+    told = seen.select(F.log1p(found).alias("evidence"), "label").toArrow()  # two numbers for each sampled document
+    intercept, slope = logistic(told["evidence"].to_numpy()[:, None], told["label"].to_numpy().astype(float))
     return ToxicityModel(model.weights, model.rate, model.k, float(intercept), float(slope))
 
 

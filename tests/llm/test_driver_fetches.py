@@ -22,7 +22,8 @@ BOUNDED = {
     ("topk.py", "toArrow"): (2, "d x d moments; HEAD vectors"),
     ("topk.py", "collect"): (1, "one number a block of 4096 vectors"),
     ("toxicity.py", "collect"): (1, "a count for each part and label"),
-    ("toxicity.py", "toArrow"): (2, "words of the lexicon; the labelled sample of a bounded size"),
+    ("toxicity.py", "first"): (1, "one row of sums"),
+    ("toxicity.py", "toArrow"): (3, "buckets of the lexicon; a count for each of its scores; two numbers for each document of the bounded sample"),
 }
 
 

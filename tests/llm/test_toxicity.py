@@ -84,6 +84,6 @@ def test_edges(spark):
 
 
 def test_lambda_solves_its_equation():
-    model = T._extreme_values(T.ToxicityModel({1: 4.0, 2: 6.0}), 100_000.0, [4.0] * 20, [4.0] * 20)
+    model = T._extreme_values(T.ToxicityModel({1: 4.0, 2: 6.0}), 100_000.0, {4.0: 20}, 20)
     s, p = [4.0] * 20 + [6.0], 21 / 100_000
     assert abs((1 - p) * math.exp(model.rate * T.DRIFT) + p * sum(math.exp(model.rate * x) for x in s) / 21 - 1) < 1e-6
