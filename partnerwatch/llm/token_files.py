@@ -28,6 +28,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -41,20 +42,17 @@ from partnerwatch.llm.common import give_back, shared_path, small_batches, with_
 SEQUENCE = 2048
 SEQUENCES_A_BATCH = 64
 END_ID = 2
-#: White space that str.split() breaks at and a tokenizer's pattern may not.
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
 INDEX = "part int, file string, doc_id long, first long, n_tokens long"
 
 
 class _Kept(dict):
     """ids of words; ``most`` words are kept, none longer than ``longest``."""
 
-    def __init__(self, of: Callable[[str], bytes], most: int, longest: int = 64) -> None:
+    def __init__(self, of: Callable[[Any], bytes], most: int, longest: int = 64) -> None:
         super().__init__()
         self.of, self.most, self.longest = of, most, longest
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: str | bytes) -> bytes:
         ids = self.of(word)
         if len(word) <= self.longest:
             if len(self) >= self.most:
@@ -97,7 +95,8 @@ class TextEncoder:
         self.stems = _Kept(self._stem, self.MOST_WORDS)
         self.marks = _Kept(self._raw, self.MOST_WORDS // 100)
         self.direct = by_word and all(self._word(w) == self._raw(w) for w in self.PROBES)
-        self.kept = _Kept(self._word if self.direct else self._raw, self.MOST_WORDS)
+        one = self._word if self.direct else self._raw
+        self.kept = _Kept(lambda word: one(word.decode()), self.MOST_WORDS)  # by UTF-8, which is split faster than text
 
     def _raw(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -116,8 +115,7 @@ class TextEncoder:
     def encode(self, text: str) -> bytes:
         if not self.by_word:
             return self._raw(text)
-        words = _ASCII_SPACE.split(text) if _OTHER_SPACE.search(text) else text.split()
-        return b"".join(map(self.kept.__getitem__, words))
+        return b"".join(map(self.kept.__getitem__, text.encode().split()))  # bytes split at ASCII white space only
 
 
 _ENCODERS: dict[tuple[str, bool], TextEncoder] = {}
