@@ -32,9 +32,19 @@ def transactions(silver_df: DataFrame, as_of: date, cfg: C.Settings = C.DEFAULTS
 
 
 def partners(silver_df: DataFrame, as_of: date, cfg: C.Settings = C.DEFAULTS,
-             clip_negative: bool = False) -> DataFrame:
-    """One row per partner with its rollup features and ``PeerGroup``; the ledger is scanned once."""
-    rolled = rollup.netted_rollup(signals(silver_df, as_of, cfg, clip_negative), order_col=cfg.signals.first_by)
+             clip_negative: bool = False, folded: bool = False) -> DataFrame:
+    """One row per partner with its rollup features and ``PeerGroup``.
+
+    ``folded`` takes the one-scan path of ``operators.rollup``: right where many rows
+    share a partner, amount, document type and contract, so that folding them makes
+    them few. Without it the rows are flagged and rolled up, which is faster where
+    nearly every row is a group of its own, as in the given tables.
+    """
+    if folded:
+        rolled = rollup.netted_rollup(signals(silver_df, as_of, cfg, clip_negative), order_col=cfg.signals.first_by)
+    else:
+        tx = transactions(silver_df, as_of, cfg, clip_negative)
+        rolled = features.aggregate_to_partner_level(tx, use_netted=True, order_col=cfg.signals.first_by)
     return features.add_peer_group(rolled)
 
 

@@ -272,6 +272,12 @@ def q_net_pairs(spark, sf):
     "SELECT CAST(sum(IsNetted) AS BIGINT) AS netted_rows, "
     "count(DISTINCT BusinessPartner) FILTER (WHERE IsNetted = 1) AS netted_partners FROM tx"))
 def q_net_summary(spark, sf):
+    return features.netting_summary(_tx(spark, sf))
+
+
+@register("net_summary_folded", ORACLES["net_summary"])
+def q_net_summary_folded(spark, sf):
+    """J1, J2 from ledger groups: one scan, no row join."""
     return rollup.netting_totals(rollup.ledger_groups(P.signals(_silver(spark, sf), FX.LEDGER_AS_OF)))
 
 
@@ -298,6 +304,12 @@ def q_partner_rollup(spark, sf):
     return rounded(P.fixture_partners(spark, sf).select(*ROLLUP_COLS))
 
 
+@register("partner_rollup_folded", ORACLES["partner_rollup"])
+def q_partner_rollup_folded(spark, sf):
+    """J1, J3, A1 from ledger groups: one scan of the ledger."""
+    return rounded(P.partners(_silver(spark, sf), FX.LEDGER_AS_OF, folded=True).select(*ROLLUP_COLS))
+
+
 @register("incremental_partners", O.with_ledger(
     "SELECT " + ", ".join(
         f"{R(c, 2 if c in MONEY_2DP else 6)} AS {c}" if c in ROLLUP_DOUBLES else c for c in ROLLUP_COLS)
