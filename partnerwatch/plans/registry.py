@@ -126,7 +126,7 @@ def q_bronze_csv(spark, sf):
     wide = FX.ledger_bronze(spark, sf).select("*", *[F.concat(F.lit(f"{i}-"), "CADocumentNumber").alias(c)
                                                      for i, c in enumerate(extra)])
     path = f"{checkpoint_dir(spark).rstrip('/')}/partnerwatch/bronze-csv-{uuid.uuid4().hex}"
-    wide.select(*sorted(wide.columns, reverse=True)).write.option("header", True).csv(path)
+    files.write_bronze_csv(wide.select(*sorted(wide.columns, reverse=True)), path)
     return silver.build_silver(silver.drop_columns(files.read_bronze_csv(spark, path), C.BRONZE_DROP_COLUMNS))
 
 

@@ -24,6 +24,16 @@ def read_bronze_csv(spark: SparkSession, path: str, schema=BRONZE_SCHEMA) -> Dat
                         else F.lit(None).cast("string").alias(f.name) for f in schema.fields])
 
 
+#: A compressed file is read by one task, so it holds this many lines at most.
+LINES_A_FILE = 250_000
+
+
+def write_bronze_csv(df: DataFrame, path: str, lines_a_file: int = LINES_A_FILE) -> None:
+    """A landing of raw lines as CSV with header, compressed: wide lines repeat most of
+    their text. Files are cut by lines, as a compressed file is not split."""
+    df.write.options(header=True, compression="gzip", maxRecordsPerFile=lines_a_file).csv(path)
+
+
 def read_placed_csv(spark: SparkSession, path: str, schema=BRONZE_SCHEMA) -> DataFrame:
     """``read_bronze_csv`` with where each line stands: ``_file``, ``_split`` (start of
     the split that read it) and ``_number`` (its number in that split, from 0)."""
