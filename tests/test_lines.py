@@ -7,7 +7,7 @@ from datetime import date
 
 import pytest
 
-from partnerwatch.operators import features
+from partnerwatch.operators import features, rollup
 from partnerwatch.plans import pipeline as P
 
 AS_OF = date(2002, 1, 1)
@@ -59,3 +59,18 @@ def test_partners_shuffle_no_line(spark, silver):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     few = plan.split("BroadcastExchange")[0]
     assert "Bucketed: true" in plan and "Exchange hashpartitioning" not in few
+
+
+def test_ledger_without_lines(silver):
+    for folded in (False, True):
+        assert P.rolled_lines(silver.filter("Amount = -1"), AS_OF, folded=folded).count() == 0
+
+
+def test_groups_of_busy_partners_roll_up_alike(silver):
+    groups = rollup.ledger_groups(P.signals(silver.filter("not isnan(Amount)"), AS_OF)).persist()
+    plain = rollup.rollup_groups(groups)
+    for most in (10_000, 20, 0):
+        new = rollup.rollup_table(groups, most=most)
+        assert new.columns == plain.columns and told(new) == told(plain)
+    few = rollup.rollup_table(groups)._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    assert "Bucketed: true" in few and "Exchange hashpartitioning" not in few
