@@ -41,7 +41,12 @@ def document_number() -> F.Column:
     Every part has the 19 digits of the largest bigint, so none is ever cut."""
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     parts = [*(F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")), cents]
-    return F.concat_ws("-", *(F.lpad(_text(p), 19, "0") for p in parts))
+    padded = F.concat_ws("-", *(F.lpad(_text(p), 19, "0") for p in parts))
+    # the same text from slices of zeros, in half the time of lpad, which is left for
+    # rows with a null part (skipped) or one of 20 characters (cut)
+    fits = F.least(*(p.cast("bigint") for p in parts)) > F.lit(-10 ** 18)
+    pieces = [x for p in parts for x in (F.lit("-"), F.substring(F.lit("0" * 19), F.lit(1), F.lit(19) - F.length(_text(p))), _text(p))]
+    return F.coalesce(F.when(fits, F.concat(*pieces[1:])), padded)
 
 
 def _ledger_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, F.Column]:

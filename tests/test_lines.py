@@ -74,3 +74,22 @@ def test_groups_of_busy_partners_roll_up_alike(silver):
         assert new.columns == plain.columns and told(new) == told(plain)
     few = rollup.rollup_table(groups)._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
     assert "Bucketed: true" in few and "Exchange hashpartitioning" not in few
+
+
+def test_document_numbers_as_lpad_makes_them(spark):
+    """Slices of zeros give the padded text, null parts are skipped and long ones cut as ``lpad`` does."""
+    from pyspark.sql import functions as F
+
+    from partnerwatch.sources import fixtures as FX
+
+    top = 2 ** 63 - 1
+    rows = [(1, 2, 3, 4, 5.5), (top, 7, top, top, 12345678.905), (-5, -1, -3, 0, -0.01), (-top, 1, 10 ** 18, -(10 ** 18), 1.0),
+            (None, 1, 2, 3, 4.0), (1, None, 2, 3, 4.0), (1, 2, None, 3, None), (None, None, None, None, None), (9, 9, 9, 9, 0.005)]
+    df = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    keys = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    old = F.concat_ws("-", *(F.lpad(c.cast("string"), 19, "0") for c in [*keys, cents]))
+    got = df.select(FX.document_number().alias("new"), old.alias("old")).collect()
+    assert [r.new for r in got] == [r.old for r in got] and got[0].new.startswith("0" * 18 + "1-")
+    plan = df.select(FX.document_number())._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring" in plan  # most rows never reach lpad
