@@ -31,6 +31,11 @@ def test_words_of_letters_and_marks(word):
     assert enc.direct and enc.encode(word) == enc._raw(word)
 
 
+def test_id_bytes_are_little_endian():
+    for ids in ([], [0, 2, 49151, 2**32 - 1], list(range(200))):
+        assert T.id_bytes(ids) == np.array(ids, "<u4").tobytes()
+
+
 def test_kept_words_stay_bounded():
     enc = T.TextEncoder(PATH, True)
     enc.kept.most = enc.stems.most = 50
