@@ -34,6 +34,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -63,6 +64,33 @@ class _Kept(dict):
         return ids
 
 
+class _Known:
+    """ids of words as two Arrow columns, those of the latest texts first; ``most``
+    words are known, none longer than ``longest`` bytes."""
+
+    def __init__(self, of: Callable[[pa.Array], pa.Array], most: int, longest: int = 64) -> None:
+        self.of, self.most, self.longest = of, most, longest
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def of_each(self, words: pa.Array) -> pa.Array:
+        """ids of ``words``, each there once; ``of`` is asked for all unknown ones together."""
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(at.is_null())
+        pool = pa.concat_arrays([self.ids, self.of(new)])
+        place = at.to_numpy(zero_copy_only=False)  # with nulls: floats, exact up to 2**53
+        unknown = np.isnan(place)
+        place = np.where(unknown, len(self) + np.cumsum(unknown) - 1, place).astype("i8")
+        idle = np.ones(len(self), bool)
+        idle[place[~unknown]] = False
+        short = pc.less_equal(pc.binary_length(words), self.longest).to_numpy(zero_copy_only=False)
+        stay = np.concatenate([place[short], np.flatnonzero(idle)])[: self.most]
+        self.words, self.ids, got = pa.concat_arrays([self.words, new]).take(stay), pool.take(stay), pool.take(place)
+        return got
+
+
 def id_bytes(ids: list[int]) -> bytes:
     """Little-endian unsigned 32-bit integers; an ``array`` of few ids is made in half
     the time of a numpy one."""
@@ -90,21 +118,32 @@ class TextEncoder:
     marks behind them, go straight to the tokenizer's model, lower-cased and
     spelled as its byte-level step does, if that gives the tokenizer's own ids
     for ``PROBES``. The kept words are bounded.
+
+    ``encode_all`` does the same by column: the distinct words of a batch of texts
+    are looked up, and the unknown ones encoded, ``AT_ONCE`` in a call.
     """
 
-    MOST_WORDS = 200_000
+    MOST_WORDS, AT_ONCE = 200_000, 1_000
     PROBES = ("the", "The,", "ÉTÉ&&&", "straße.", "thwhsh", "ÿ", "a", "ñandú|", "ÀÖØÞ!!")
-    _WORD = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,!|*$%&#?:;]*)")
+    LETTERS, MARKS = "a-zA-ZÀ-ÖØ-öø-ÿ", ".,!|*$%&#?:;"
+    _WORD = re.compile(f"([{LETTERS}]+)([{MARKS}]*)")
 
     def __init__(self, path: str, by_word: bool) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
         self.spelling, self.model = byte_letters(), self.tokenizer.model
         self.stems = _Kept(self._stem, self.MOST_WORDS)
         self.marks = _Kept(self._raw, self.MOST_WORDS // 100)
+        self.letters = Tokenizer(self.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab, suffix = self.tokenizer.get_vocab(), getattr(self.model, "end_of_word_suffix", None)
+        self.ends_word = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.ends_word[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
+        self.known_stems, self.known_words = _Known(self._of_stems, self.MOST_WORDS), _Known(self._of_words, self.MOST_WORDS)
         self.direct = by_word and all(self._word(w) == self._raw(w) for w in self.PROBES)
+        self.direct = self.direct and list(self.encode_all(pa.array(self.PROBES))) == list(map(self._raw, self.PROBES))
         one = self._word if self.direct else self._raw
         self.kept = _Kept(lambda word: one(word.decode()), self.MOST_WORDS)  # by UTF-8, which is split faster than text
 
@@ -127,6 +166,52 @@ class TextEncoder:
             return self._raw(text)
         return b"".join(map(self.kept.__getitem__, text.encode().split()))  # bytes split at ASCII white space only
 
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        parts = [words.slice(at, self.AT_ONCE).to_pylist() for at in range(0, len(words), self.AT_ONCE)]
+        encoded = (self.tokenizer.encode_batch_fast(part, add_special_tokens=False) for part in parts)
+        return pa.array((id_bytes(e.ids) for some in encoded for e in some), pa.large_binary())
+
+    def _of_stems(self, stems: pa.Array) -> pa.Array:
+        """Stems joined by spaces, told apart by the ids that end a word."""
+        out = [pa.array([], pa.large_binary())]
+        for at in range(0, len(stems), self.AT_ONCE):
+            some = stems.slice(at, self.AT_ONCE)
+            text = pc.binary_join(pa.ListArray.from_arrays([0, len(some)], some), pa.scalar(" ", some.type))[0].as_py()
+            ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(some):
+                offsets = np.concatenate([[0], ends * 4]).astype("i8")
+                out.append(pa.Array.from_buffers(pa.large_binary(), len(some), [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())]))
+            else:  # a model that does not mark the ends
+                out.append(self._of_words(some))
+        return pa.concat_arrays(out)
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """``encode`` of each text of a column; null is empty."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not self.by_word:
+            yield from map(self._raw, texts.to_pylist())
+            return
+        split = pc.ascii_split_whitespace(texts)
+        each = split.flatten().dictionary_encode()
+        words = each.dictionary
+        stems = pc.utf8_rtrim(words, self.MARKS)
+        plain = pc.match_substring_regex(stems, f"^[{self.LETTERS}]+$") if self.direct else pa.array(np.zeros(len(words), bool))
+        others = self.known_words.of_each(words.filter(pc.invert(plain)))
+        stems = pc.utf8_lower(stems.filter(plain)).dictionary_encode()
+        marks = pc.replace_substring_regex(words.filter(plain), f"^[{self.LETTERS}]+", "").dictionary_encode()
+        stem_ids = self.known_stems.of_each(stems.dictionary).take(stems.indices)
+        mark_ids = self.known_words.of_each(marks.dictionary).take(marks.indices)
+        of_plain = pc.binary_join_element_wise(stem_ids, mark_ids, pa.scalar(b"", pa.large_binary()))
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        place = np.where(is_plain, np.cumsum(is_plain) - 1, len(of_plain) + np.cumsum(~is_plain) - 1)
+        ids = pa.concat_arrays([of_plain, others]).take(pa.array(place[each.indices.to_numpy()]))
+        _, offsets, data = ids.buffers()
+        at = np.frombuffer(offsets, "i8", len(ids) + 1)[split.offsets.to_numpy()].tolist()
+        flat = memoryview(data or b"")
+        for first, end in zip(at, at[1:]):
+            yield bytes(flat[first:end])
+
 
 _ENCODERS: dict[tuple[str, bool], TextEncoder] = {}
 
@@ -224,11 +309,11 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, end_id: int = E
         enc = encoder(tokenizer, by_word)
         for b in batches:
             rows = []
-            for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
+            for doc_id, encoded in zip(b["doc_id"].to_pylist(), enc.encode_all(b["text"])):
                 if file is None:
                     uri = f"{out}/files/part-{part:06d}-{uuid.uuid4().hex}.arrows"
                     file = SequenceFile(uri, sequence, sequences_a_batch, dtype)
-                ids = np.frombuffer(enc.encode(text or "") + end, "<u4")
+                ids = np.frombuffer(encoded + end, "<u4")
                 if ids.max() > np.iinfo(dtype).max:
                     raise ValueError(f"id {ids.max()} does not fit {dtype}")
                 rows.append((part, uri, doc_id, file.n, len(ids)))

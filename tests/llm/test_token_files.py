@@ -44,6 +44,57 @@ def test_kept_words_stay_bounded():
     assert max(len(enc.kept), len(enc.stems)) <= 50 and max(map(len, enc.kept)) <= 64
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), TEXT, st.text("aAzZéÉßẞÿÞıİK\u212a\u212bøÑñ.,!|*'s<> \x0b\x1c", max_size=30)), max_size=6))
+def test_columns_of_texts_have_the_ids_of_each(texts):
+    want = [T.encoder(PATH, False).encode(t or "") for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array([None, "x", *texts], kind).slice(2)
+        assert list(T.encoder(PATH, True).encode_all(column)) == list(T.encoder(PATH, False).encode_all(column)) == want
+
+
+class Counted:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.calls = tokenizer, 0
+
+    def encode_batch_fast(self, *args, **options):
+        self.calls += 1
+        return self.tokenizer.encode_batch_fast(*args, **options)
+
+
+def spelled(i):
+    return "".join(chr(97 + i // 26**k % 26) for k in range(5))
+
+
+def test_unknown_words_of_a_column_share_calls():
+    enc = T.TextEncoder(PATH, True)
+    enc.letters = Counted(enc.letters)
+    texts = [" ".join(spelled(37 * i + j) + "," for j in range(60)) for i in range(100)]
+    want = [enc._raw(t) for t in texts]
+    assert list(enc.encode_all(pa.array(texts))) == want
+    distinct = len({w for t in texts for w in t.split()})
+    assert enc.letters.calls == -(-distinct // enc.AT_ONCE)
+    enc.letters.calls = 0
+    assert list(enc.encode_all(pa.array(texts))) == want and enc.letters.calls == 0
+
+
+def test_known_words_stay_bounded_and_the_latest_stay():
+    enc = T.TextEncoder(PATH, True)
+    enc.known_stems.most, enc.known_words.most, enc.AT_ONCE = 50, 9, 7
+    for i in range(12):
+        texts = [" ".join([spelled(30 * i + j) + ".", f"{i}-{j}", "the"]) for j in range(20 if i % 4 else 80)] + ["z" * 1000 + " b", None, ""]
+        assert list(enc.encode_all(pa.array(texts))) == [enc._raw(t or "") for t in texts]
+        assert len(enc.known_stems) <= 50 and len(enc.known_words) <= 9
+        assert max(map(len, enc.known_stems.words.to_pylist())) <= 64
+        assert "the" in enc.known_stems.words.to_pylist()
+
+
+def test_models_without_word_ends_encode_each_stem():
+    enc = T.TextEncoder(PATH, True)
+    enc.ends_word[:] = False
+    assert list(enc.encode_all(pa.array(["Some words, été", "words"]))) == [enc._raw("Some words, été"), enc._raw("words")]
+
+
 def brute(table_rows):
     at, out = 0, []
     for doc_id, text in sorted(table_rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
