@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs as pafs
+from pyarrow.compute import take
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,7 +88,7 @@ class _Known:
         idle[place[~unknown]] = False
         short = pc.less_equal(pc.binary_length(words), self.longest).to_numpy(zero_copy_only=False)
         stay = np.concatenate([place[short], np.flatnonzero(idle)])[: self.most]
-        self.words, self.ids, got = pa.concat_arrays([self.words, new]).take(stay), pool.take(stay), pool.take(place)
+        self.words, self.ids, got = take(pa.concat_arrays([self.words, new]), stay), take(pool, stay), take(pool, place)
         return got
 
 
@@ -200,12 +201,12 @@ class TextEncoder:
         others = self.known_words.of_each(words.filter(pc.invert(plain)))
         stems = pc.utf8_lower(stems.filter(plain)).dictionary_encode()
         marks = pc.replace_substring_regex(words.filter(plain), f"^[{self.LETTERS}]+", "").dictionary_encode()
-        stem_ids = self.known_stems.of_each(stems.dictionary).take(stems.indices)
-        mark_ids = self.known_words.of_each(marks.dictionary).take(marks.indices)
+        stem_ids = take(self.known_stems.of_each(stems.dictionary), stems.indices)
+        mark_ids = take(self.known_words.of_each(marks.dictionary), marks.indices)
         of_plain = pc.binary_join_element_wise(stem_ids, mark_ids, pa.scalar(b"", pa.large_binary()))
         is_plain = plain.to_numpy(zero_copy_only=False)
         place = np.where(is_plain, np.cumsum(is_plain) - 1, len(of_plain) + np.cumsum(~is_plain) - 1)
-        ids = pa.concat_arrays([of_plain, others]).take(pa.array(place[each.indices.to_numpy()]))
+        ids = take(pa.concat_arrays([of_plain, others]), place[each.indices.to_numpy()])
         _, offsets, data = ids.buffers()
         at = np.frombuffer(offsets, "i8", len(ids) + 1)[split.offsets.to_numpy()].tolist()
         flat = memoryview(data or b"")
