@@ -1,11 +1,18 @@
-"""The CSV landing of raw lines."""
+"""The CSV landing of raw lines, and landed ledger states."""
 
 from __future__ import annotations
 
+from datetime import date, datetime
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from partnerwatch import config as C
-from partnerwatch.sources import files
+from partnerwatch.operators import features
+from partnerwatch.plans import incremental
+from partnerwatch.session import checkpoint_dir
+from partnerwatch.sources import files, publish
 
 
 def test_bronze_landing_is_compressed_and_cut_by_lines(spark, tmp_path):
@@ -19,3 +26,52 @@ def test_bronze_landing_is_compressed_and_cut_by_lines(spark, tmp_path):
     assert len(parts) == 4 and sum(f.stat().st_size for f in parts) < 1000 * 1900 / 5
     back = files.read_bronze_csv(spark, path).select("BusinessPartner", "BusinessPartnerName", "PostalCode")
     assert sorted(map(tuple, back.collect())) == sorted((str(i), f'say "a, b" {i}', None) for i in range(1000))
+
+
+LINES = ("BusinessPartner string, BusinessPartnerName string, ContractAccount string, CADocumentNumber string, CADocumentType string, "
+         "CAMainTransaction string, CAAccountDeterminationCode string, Amount double, Balance double, TotalDebit double, "
+         "TotalCredit double, NumberOfItems int, NetDueDate timestamp")
+
+
+def ledger(spark, n=600):
+    rows = []
+    for i in range(n):
+        kind, amount = ["AC", "ZC", "RV", None][i % 7 % 4], [5.0, 5.004, -0.0, None, 7.5, 20_000.0][i % 11 % 6]
+        rows.append(("BUSY" if i % 4 == 0 else f"P{i % 23}", None if i % 5 == 0 else f"name {i % 3}", f"c{i % 6}" if i % 9 else None,
+                     f"{i:05d}", kind, ["R000", "0060", None][i % 3], ["Z1", "Z9", None][i % 13 % 3], amount, float(i % 10), 2.0, 0.5,
+                     i % 8, datetime(2001, 1, 1 + i % 28) if i % 6 else None))
+    return spark.createDataFrame(rows, LINES)
+
+
+def told(df):
+    return sorted(str(sorted((k, round(v, 6) if isinstance(v, float) else v) for k, v in r.asDict().items())) for r in df.collect())
+
+
+@pytest.mark.parametrize("most", [10_000, 60])
+def test_landed_states_are_not_written_again(spark, tmp_path, monkeypatch, most):
+    """One file a bucket of states; later landings merge them where they lie, without a
+    further copy of lines or groups, whoever is busy and however many buckets others have."""
+    lines, day, base = ledger(spark), date(2024, 5, 1), str(tmp_path / "tables")
+    part = lambda i: lines.filter(F.crc32(F.col("CADocumentNumber").cast("binary")) % 3 == i).repartition(7)
+    want = told(incremental.land(spark, str(tmp_path / "whole"), "all", lines, day))
+    monkeypatch.setattr(features, "BUSY_ROWS", most)
+    kept = Path(checkpoint_dir(spark).removeprefix("file:"), "partnerwatch")
+    before = {p.name for p in kept.glob("*")}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        for name, rows, more in (("one", part(0), 0), ("two", part(1).filter("NumberOfItems > 3"), 0), ("none", part(2).limit(0), 0),
+                                 ("three", part(2), 1), ("two", part(1), 1)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(buckets + more * (most == 60)))
+            table = incremental.land(spark, base, name, rows, day)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(buckets))
+    assert told(table) == want and told(incremental.full_partners(spark, base, day)) == want
+    if most == 10_000:
+        new = {p.name.rsplit("-", 1)[0] for p in kept.glob("*") if p.name not in before}
+        assert new <= {"busy-partners", "changed-partners"}
+        for path in publish.parts(spark, base, incremental.STATES).values():
+            assert len(list(Path(path).glob("part-*"))) <= buckets
+        held = list(publish.bucketed_parts(spark, base, incremental.STATES).values())
+        assert sorted(n for _, n in held) == [0, buckets, buckets, buckets]
+        plan = incremental._rolled(*incremental._landed(spark, held, buckets), day)._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and "Exchange" not in plan
