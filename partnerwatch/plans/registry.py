@@ -137,7 +137,7 @@ _CAUSE = (f"CASE {_BAD} WHEN 0 THEN 'AmountInDisplayCurrency: not a number' WHEN
 
 
 def _judged_landing(spark, sf) -> str:
-    """The ledger as CSV, some lines damaged, landed by one job into both sinks."""
+    """The ledger as compressed CSV, some lines damaged, landed by one job into both sinks."""
     from partnerwatch.session import checkpoint_dir
     from partnerwatch.sources import files
 
@@ -147,7 +147,7 @@ def _judged_landing(spark, sf) -> str:
     partner = F.when(bad.isin(2, 3), F.lit(None)).otherwise(F.col("BusinessPartner"))
     lines = FX.ledger_bronze(spark, sf).withColumns({"AmountInDisplayCurrency": amount, "BusinessPartner": partner})
     base = f"{checkpoint_dir(spark).rstrip('/')}/partnerwatch/judged-{uuid.uuid4().hex}"
-    lines.write.option("header", True).csv(f"{base}/bronze")
+    files.write_bronze_csv(lines, f"{base}/bronze")
     files.write_judged(silver.judged_lines(files.read_placed_csv(spark, f"{base}/bronze")), f"{base}/judged")
     return f"{base}/judged"
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from partnerwatch import config as C
 from partnerwatch.operators import features
-from partnerwatch.plans import incremental
+from partnerwatch.plans import incremental, registry
+from partnerwatch.schemas import BRONZE_TEXT_COLUMNS
 from partnerwatch.session import checkpoint_dir
 from partnerwatch.sources import files, publish
 
@@ -28,6 +29,24 @@ def test_bronze_landing_is_compressed_and_cut_by_lines(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted((str(i), f'say "a, b" {i}', None) for i in range(1000))
 
 
+@pytest.fixture
+def damaged(spark, monkeypatch):
+    """1,200 lines, 30 of each rest by 40; the first five rests are damaged by the landing."""
+    lines = spark.range(1200, numPartitions=2).select(
+        *[(F.concat(F.lpad(F.col("id").cast("string"), 19, "0"), F.lit("-" + "0" * 79)) if c == "CADocumentNumber" else
+           F.lit("p, \"q\"") if c == "BusinessPartner" else F.lit("12.5") if c == "AmountInDisplayCurrency" else
+           F.lit(None).cast("string")).alias(c) for c in BRONZE_TEXT_COLUMNS])
+    monkeypatch.setattr(registry.FX, "ledger_bronze", lambda *_: lines)
+
+
+def test_judged_lines_land_compressed(spark, damaged):
+    path = Path(registry._judged_landing(spark, "").removeprefix("file:")).parent
+    raw = [f for f in path.glob("bronze/part-*")]
+    assert raw and all(f.name.endswith(".csv.gz") for f in raw) and sum(f.stat().st_size for f in raw) < 1200 * 115 / 5
+    told = {r["cause"]: r["lines"] for r in registry.q_landing_reconciled(spark, "").collect()}
+    assert len(told) == 6 and told.pop("kept") == 1050 and set(told.values()) == {30}
+
+
 LINES = ("BusinessPartner string, BusinessPartnerName string, ContractAccount string, CADocumentNumber string, CADocumentType string, "
          "CAMainTransaction string, CAAccountDeterminationCode string, Amount double, Balance double, TotalDebit double, "
          "TotalCredit double, NumberOfItems int, NetDueDate timestamp")
