@@ -49,7 +49,7 @@ def read_placed_csv(spark: SparkSession, path: str, schema=BRONZE_SCHEMA) -> Dat
 def write_judged(df: DataFrame, path: str) -> None:
     """Kept and rejected lines (``operators.silver.judged_lines``) in one job: folders
     ``accepted=true`` and ``accepted=false`` of one table."""
-    df.write.mode("overwrite").partitionBy("accepted").parquet(path)
+    df.write.mode("overwrite").partitionBy("accepted").option("compression", "zstd").parquet(path)
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:

@@ -47,6 +47,16 @@ def test_judged_lines_land_compressed(spark, damaged):
     assert len(told) == 6 and told.pop("kept") == 1050 and set(told.values()) == {30}
 
 
+def test_rejected_lines_come_from_a_compressed_sink(spark, damaged):
+    path = Path(registry._judged_landing(spark, "").removeprefix("file:"))
+    kinds = {f.name.rpartition("-")[2] for f in path.glob("accepted=*/part-*")}
+    assert kinds and all(k.endswith(".zstd.parquet") for k in kinds)
+    told = registry.q_rejected_lines(spark, "").collect()
+    assert sorted(int(r["CADocumentNumber"][:19]) for r in told) == [i for i in range(1200) if i % 40 < 5]
+    assert {r["cause"] for r in told if int(r["CADocumentNumber"][:19]) % 40 == 3} == {
+        "AmountInDisplayCurrency: missing; BusinessPartner: missing"}
+
+
 LINES = ("BusinessPartner string, BusinessPartnerName string, ContractAccount string, CADocumentNumber string, CADocumentType string, "
          "CAMainTransaction string, CAAccountDeterminationCode string, Amount double, Balance double, TotalDebit double, "
          "TotalCredit double, NumberOfItems int, NetDueDate timestamp")
